@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwright.functions.times import format_time, parse_time
-from tillwright.schemas import SALES_STREAM
+from tillwright.schemas import SALES_STREAM, TIME_TEXT
 
 EVENT_TEXT = SALES_STREAM.text_struct()
 
@@ -22,9 +22,9 @@ def encode(sales: DataFrame, arrived: str | None = None) -> DataFrame:
 
 
 def _typed(name: str, data_type: T.DataType, strict: bool) -> Column:
-    text = F.col(f"_event.{name}")
+    text = F.col(name)
     if isinstance(data_type, T.TimestampNTZType):
-        return parse_time(text) if strict else F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")).cast(data_type)
+        return parse_time(text) if strict else F.try_to_timestamp(text, F.lit(TIME_TEXT)).cast(data_type)
     return text.cast(data_type) if strict else text.try_cast(data_type)
 
 
@@ -50,9 +50,10 @@ def decode(messages: DataFrame, strict: bool = False) -> DataFrame:
     message keeps its text and is marked, so that it can be set aside.
     """
     options = {"mode": "FAILFAST" if strict else "PERMISSIVE"}
-    parsed = messages.withColumn("_event", F.from_json("value", EVENT_TEXT, options))
+    # As a generator, the parser runs once per message: filters on its output stay above it.
+    parsed = messages.select("*", F.inline(F.array(F.from_json("value", EVENT_TEXT, options))))
     types = {f.name: f.dataType for f in SALES_STREAM.struct(only_fed=True).fields}
-    typed = parsed.withColumns({n: _typed(n, t, strict) for n, t in types.items()}).drop("_event")
+    typed = parsed.withColumns({n: _typed(n, t, strict) for n, t in types.items()})
     if not strict:
         return typed.withColumn("is_valid", F.coalesce(_is_valid(), F.lit(False)))
     refuse = F.raise_error(F.concat(F.lit("invalid sale event: "), F.coalesce("value", F.lit("NULL"))))

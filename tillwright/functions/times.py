@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,9 +19,13 @@ def micros(ts: Column) -> Column:
     return ((day * 24 + F.hour(ts)) * 60 + F.minute(ts)) * (60 * SECOND_US) + (second * SECOND_US).cast("bigint")
 
 
+def from_micros(value: int) -> datetime:
+    return datetime(1970, 1, 1) + timedelta(microseconds=value)
+
+
 def floor_to(value: Column, step: int) -> Column:
-    """Largest multiple of ``step`` that is not above ``value``."""
-    return value - F.pmod(value, F.lit(step).cast("bigint"))
+    """Largest multiple of ``step``, a power of two, that is not above ``value``."""
+    return value.bitwiseAND(F.lit(-step).cast("bigint"))
 
 
 def parse_time(text: Column) -> Column:

@@ -5,11 +5,11 @@ Redelivery changes the amount of a sale, not its place in the window.
 
 The plan is a prefix sum over changes. Each change adds at its arrival and takes away once the
 window of its sale has passed. No task has to sort an unbounded group, however many rows share a
-sale, a second or an instant:
+sale, a tick or an instant:
 
 * changes of one microsecond are summed before the shuffle;
-* running sums are formed inside one second (at most a million instants) on top of running sums of
-  whole seconds inside one block (at most ``2 * WINDOW_SECONDS`` seconds);
+* running sums are formed inside one tick (at most a million instants) on top of running sums of
+  whole ticks inside one block (1024 ticks);
 * a change alive across a block border is carried over by one more summed change.
 """
 
@@ -25,12 +25,14 @@ from tillwright.functions.times import SECOND_US, floor_to, micros
 WINDOW_SECONDS = 300
 WINDOW_US = WINDOW_SECONDS * SECOND_US
 
-# Twice the window, so that a change touches at most two blocks.
-BLOCK_US = 2 * WINDOW_US
+# Powers of two: about a second, and about 18 minutes. A block is longer than the window, so a
+# change touches at most two blocks.
+TICK_US = 1 << 20
+BLOCK_US = 1 << 30
 
 
-def _second(at: Column) -> Column:
-    return floor_to(at, SECOND_US)
+def _tick(at: Column) -> Column:
+    return floor_to(at, TICK_US)
 
 
 def _block(at: Column) -> Column:
@@ -38,97 +40,94 @@ def _block(at: Column) -> Column:
 
 
 def _first_deliveries(arrivals: DataFrame) -> DataFrame:
-    """Amount deltas where no sale is delivered twice."""
+    """Changes of revenue and orders where no sale is delivered twice."""
     return arrivals.select(
         "at", (F.col("at") + WINDOW_US + 1).alias("until"),
         F.col("amount").alias("revenue"), F.lit(1).cast("bigint").alias("orders"),
     )
 
 
-def _deltas(arrivals: DataFrame) -> DataFrame:
-    """Change of revenue and orders by each arrival that falls into the window of its own sale.
+def _deliveries(arrivals: DataFrame) -> DataFrame:
+    """Change of revenue and orders by each arrival; none if the window of its sale has passed.
 
-    The previous amount of a sale is looked up inside one second and, for the first arrival of a
-    second, among the at most ``WINDOW_SECONDS + 2`` earlier seconds of its window.
+    The previous amount of a sale is looked up inside one tick and, for the first arrival of a
+    tick, among the few hundred earlier ticks of the window of the sale.
     """
-    instants = arrivals.groupBy("sale_id", _second(F.col("at")).alias("second"), "at").agg(
+    instants = arrivals.groupBy("sale_id", _tick(F.col("at")).alias("tick"), "at").agg(
         F.max("amount").alias("amount")
     )
-    seconds = instants.groupBy("sale_id", _block(F.col("second")).alias("block"), "second").agg(
+    ticks = instants.groupBy("sale_id", _block(F.col("tick")).alias("block"), "tick").agg(
         F.min("at").alias("lowest"), F.max(F.struct("at", "amount"))["amount"].alias("last")
     )
     # A window touches two blocks; joined per block, a sale delivered for years is no hot key.
-    first_blocks = seconds.groupBy("sale_id").agg(F.min("lowest").alias("first")).select(
+    # The unused ``last`` keeps both uses of ``ticks`` one plan, hence one shuffle.
+    first = F.min(F.struct("lowest", "last"))["lowest"]
+    first_blocks = ticks.groupBy("sale_id").agg(first.alias("first")).select(
         "sale_id", "first",
         F.explode(F.array(_block(F.col("first")), _block(F.col("first")) + BLOCK_US)).alias("block"),
     )
-    by_sale = Window.partitionBy("sale_id").orderBy("second")
-    alive_seconds = (
-        seconds.join(first_blocks, ["sale_id", "block"])
+    by_sale = Window.partitionBy("sale_id").orderBy("tick")
+    alive_ticks = (
+        ticks.join(first_blocks, ["sale_id", "block"])
         .filter(F.col("lowest") <= F.col("first") + WINDOW_US)
-        .select("sale_id", "second", "first", F.lag("last").over(by_sale).alias("last_before"))
+        .select("sale_id", "tick", "first", F.lag("last").over(by_sale).alias("last_before"))
     )
-    by_second = Window.partitionBy("sale_id", "second").orderBy("at")
+    by_tick = Window.partitionBy("sale_id", "tick").orderBy("at")
+    previous = F.coalesce(F.lag("amount").over(by_tick), F.col("last_before"), F.lit(0).cast(MONEY))
+    in_window = F.coalesce(F.col("at") <= F.col("first") + WINDOW_US, F.lit(False))
     return (
-        instants.join(alive_seconds, ["sale_id", "second"])
-        .filter(F.col("at") <= F.col("first") + WINDOW_US)
-        .withColumn("previous", F.coalesce(F.lag("amount").over(by_second), F.col("last_before")))
+        instants.join(alive_ticks, ["sale_id", "tick"], "left")
+        .select("at", "first", (F.col("amount") - previous).alias("step"), in_window.alias("in_window"))
         .select(
-            "at", (F.col("first") + WINDOW_US + 1).alias("until"),
-            (F.col("amount") - F.coalesce(F.col("previous"), F.lit(0).cast(MONEY))).alias("revenue"),
+            "at",
+            F.when(F.col("in_window"), F.col("first") + WINDOW_US).otherwise(F.col("at")).alias("last_at"),
+            F.when(F.col("in_window"), F.col("step")).otherwise(0).alias("revenue"),
             F.when(F.col("at") == F.col("first"), 1).otherwise(0).cast("bigint").alias("orders"),
         )
+        .select("at", (F.col("last_at") + 1).alias("until"), "revenue", "orders")
     )
 
 
-def _changes(deltas: DataFrame) -> DataFrame:
+def _changes(deliveries: DataFrame) -> DataFrame:
     """Add at ``at``, take away at ``until``; carried into the next block if that lies between."""
     crosses = _block(F.col("until")) > _block(F.col("at"))
     no_revenue, no_orders = -F.col("revenue"), -F.col("orders")
 
     def change(block: Column, at: Column, revenue: Column, orders: Column) -> Column:
-        return F.struct(block.alias("block"), _second(at).alias("second"), at.alias("at"),
+        return F.struct(block.alias("block"), _tick(at).alias("tick"), at.alias("at"),
                         revenue.alias("revenue"), orders.alias("orders"))
 
     add = change(_block(F.col("at")), F.col("at"), F.col("revenue"), F.col("orders"))
     drop = change(_block(F.col("until")), F.col("until"), no_revenue, no_orders)
-    # The second just before the block is not otherwise part of it.
-    border = _block(F.col("until")) - 1
-    carry = change(_block(F.col("until")), border, F.col("revenue"), F.col("orders"))
-    return deltas.select(
+    # The instant just before the block; no arrival or end of this block is in its tick.
+    carry = change(_block(F.col("until")), _block(F.col("until")) - 1, F.col("revenue"), F.col("orders"))
+    return deliveries.select(
         F.inline(F.when(crosses, F.array(add, carry, drop)).otherwise(F.array(add, drop)))
     )
 
 
-def _no_change(arrivals: DataFrame) -> DataFrame:
-    """An instant for arrivals that come after the window of their own sale."""
-    return arrivals.select(
-        _block(F.col("at")).alias("block"), _second(F.col("at")).alias("second"), "at",
-        F.lit(0).cast("decimal(11,2)").alias("revenue"), F.lit(0).cast("bigint").alias("orders"),
-    )
-
-
-def _running(rows: DataFrame, group: str, order: str, last_row: int) -> DataFrame:
-    w = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, last_row)
+def _running(rows: DataFrame, group: list[str], order: str, last_row: int) -> DataFrame:
+    w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, last_row)
     return rows.withColumns({c: F.sum(c).over(w) for c in ("revenue", "orders")})
 
 
 def _states(changes: DataFrame) -> DataFrame:
     """Revenue and orders in the window at every instant at which something changes."""
-    instants = changes.groupBy("block", "second", "at").agg(
-        F.sum("revenue").cast(TOTAL).alias("revenue"), F.sum("orders").alias("orders")
+    sums = {"revenue": F.sum("revenue").cast(TOTAL), "orders": F.sum("orders")}
+    named = [c.alias(n) for n, c in sums.items()]
+    instants = changes.groupBy("block", "tick", "at").agg(*named)
+    ticks = instants.groupBy("block", "tick").agg(*named)
+    # What holds before the first instant of each tick, placed just before it.
+    before = _running(ticks, ["block"], "tick", -1).select(
+        "block", "tick", (F.col("tick") - 1).alias("at"),
+        F.coalesce("revenue", F.lit(0)).cast(TOTAL).alias("revenue"), F.coalesce("orders", F.lit(0)).alias("orders"),
     )
-    seconds = instants.groupBy("block", "second").agg(
-        F.sum("revenue").cast(TOTAL).alias("revenue"), F.sum("orders").alias("orders")
+    # Both conditions name a column the windows do not group by, so they stay above them and
+    # leave one shared plan, hence one shuffle, for ``instants``.
+    real = (F.col("at") >= F.col("tick")) & (F.col("at") >= F.col("block"))
+    return _running(instants.unionByName(before), ["block", "tick"], "at", Window.currentRow).filter(real).select(
+        "at", "revenue", "orders"
     )
-    # What holds before the first instant of each second, placed just before it.
-    before = _running(seconds, "block", "second", -1).filter(F.col("second") >= F.col("block")).select(
-        "second", (F.col("second") - 1).alias("at"), "revenue", "orders"
-    ).dropna(subset=["revenue"])
-    inside = instants.filter(F.col("second") >= F.col("block")).select("second", "at", "revenue", "orders")
-    return _running(inside.unionByName(before), "second", "at", Window.currentRow).filter(
-        F.col("at") >= F.col("second")
-    ).select("at", "revenue", "orders")
 
 
 def snapshots(arrivals: DataFrame, unique_sales: bool = False) -> DataFrame:
@@ -137,15 +136,15 @@ def snapshots(arrivals: DataFrame, unique_sales: bool = False) -> DataFrame:
     ``arrivals`` has ``sale_id``, ``ingestion_timestamp`` and ``total_amount``. Arrivals at the same
     microsecond see each other. Pass ``unique_sales`` where no sale is delivered twice.
     """
-    timed = arrivals.select(
-        "sale_id", "ingestion_timestamp", micros(F.col("ingestion_timestamp")).alias("at"),
+    # Both keys are not null, and are written so that the optimizer knows it: else each use of the
+    # shared parts below gets its own null filters and with them its own scan and shuffle.
+    keyed = arrivals.filter(F.col("sale_id").isNotNull() & F.col("ingestion_timestamp").isNotNull())
+    timed = keyed.select(
+        F.coalesce("sale_id", F.lit("")).alias("sale_id"), "ingestion_timestamp",
+        F.coalesce(micros(F.col("ingestion_timestamp")), F.lit(0)).alias("at"),
         F.col("total_amount").alias("amount"),
     )
-    if unique_sales:
-        changes = _changes(_first_deliveries(timed))
-    else:
-        changes = _changes(_deltas(timed)).unionByName(_no_change(timed))
-    states = _states(changes)
+    states = _states(_changes(_first_deliveries(timed) if unique_sales else _deliveries(timed)))
     return timed.join(states, "at").select(
         F.col("ingestion_timestamp").alias("metric_timestamp"),
         F.col("sale_id").alias("metric_key"),

@@ -66,6 +66,10 @@ def _daily(spark, root):
     return aggregates.daily_sales_summary(_sales(spark, root), star.stores(spark, root), "rows")
 
 
+def _store_days(spark, root):
+    return aggregates.store_days(_sales(spark, root), "rows")
+
+
 def _performance(spark, root):
     return aggregates.product_performance(_sales(spark, root), star.products(spark, root), "rows")
 
@@ -268,22 +272,22 @@ def product_performance_rowcount(spark, root):
 
 @query
 def batch_kpis(spark, root):
-    return reports.batch_kpis(_daily(spark, root))
+    return reports.batch_kpis(_store_days(spark, root))
 
 
 @query
 def batch_kpis_empty(spark, root):
-    return reports.batch_kpis(_daily(spark, root).filter(F.col("total_revenue") < 0))
+    return reports.batch_kpis(_store_days(spark, root).filter(F.col("total_revenue") < 0))
 
 
 @query
 def kpi_display(spark, root):
-    return reports.kpi_display(reports.batch_kpis(_daily(spark, root)))
+    return reports.kpi_display(reports.batch_kpis(_store_days(spark, root)))
 
 
 @query
 def daily_sales(spark, root):
-    return reports.daily_sales(_daily(spark, root))
+    return reports.daily_sales(_store_days(spark, root))
 
 
 @query
@@ -391,7 +395,7 @@ def json_events_rejected(spark, root):
 
 @query
 def format_ids(spark, root):
-    lines, orders = (spark.read.parquet(f"{root}/{t}.parquet") for t in ("lineitem", "orders"))
+    lines, orders = (star.table(spark, root, t) for t in ("lineitem", "orders"))
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
         format_id("product", F.col("l_partkey")).alias("product_id"),
         format_id("store", F.col("l_suppkey")).alias("store_id"),

@@ -44,9 +44,8 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"{CHECKPOINT_DIR} must name a folder shared by the cluster")
-    local = tempfile.mkdtemp(prefix="tillwright-")
-    spark.conf.set(CHECKPOINT_DIR, local)
-    return local
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tillwright-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -9,18 +9,22 @@ much as the sales it holds, not as the table. Each batch writes the sales it cha
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import timedelta
+from datetime import datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillwright.functions.events import accepted, rejected
+from tillwright.functions.times import from_micros, micros
 from tillwright.operators.realtime import WINDOW_SECONDS, window_metrics
 from tillwright.operators.upsert import latest_by_key
 from tillwright.schemas import REALTIME_SALES_METRICS, SALES_STREAM
 
-DAY, BATCH = "ingestion_day", "batch_id"
+HOUR, BATCH = "ingestion_hour", "batch_id"
 
 
 @dataclass(frozen=True)
@@ -45,6 +49,11 @@ class StreamTables:
         return f"{self.root}/_checkpoints/{name}"
 
 
+def _hour(ts: Column) -> Column:
+    """Text like 2024-01-31T07."""
+    return F.translate(F.substring(ts.cast("string"), 1, len("yyyy-MM-dd HH")), " ", "T")
+
+
 def _replace_partitions(df: DataFrame, path: str, *partitions: str) -> None:
     (
         df.write.mode("overwrite")
@@ -61,27 +70,48 @@ def _newest(versions: DataFrame) -> DataFrame:
 
 def _keep_batch(tables: StreamTables):
     def keep(changed: DataFrame, batch_id: int) -> None:
-        spark = changed.sparkSession
-        staged = f"{tables.sales}"
-        rows = changed.select(*SALES_STREAM.names, "last_arrival").withColumns({
-            DAY: F.to_date("ingestion_timestamp"), BATCH: F.lit(batch_id).cast("bigint"),
-        })
-        _replace_partitions(rows, staged, DAY, BATCH)
-        _log_metrics(spark, tables, batch_id)
+        """Write the changed sales by hour of first arrival, then the metric row of this batch.
+
+        The hour of a sale never changes, so all its versions are in one hour.
+        """
+        arrivals = Observation()
+        rows = changed.observe(arrivals, F.max(micros(F.col("last_arrival"))).alias("newest"))
+        _replace_partitions(
+            rows.select(
+                *SALES_STREAM.names,
+                _hour(F.col("ingestion_timestamp")).alias(HOUR),
+                F.lit(batch_id).cast("bigint").alias(BATCH),
+            ).hint("rebalance", F.col(HOUR)),
+            tables.sales, HOUR, BATCH,
+        )
+        newest = arrivals.get["newest"]
+        if newest is not None:
+            _log_metrics(changed.sparkSession, tables, batch_id, from_micros(newest))
 
     return keep
 
 
-def _log_metrics(spark: SparkSession, tables: StreamTables, batch_id: int) -> None:
+def _hours(spark: SparkSession, tables: StreamTables, hours: list[str]) -> DataFrame:
+    """Stored versions of some hours; only the folders of these hours are listed."""
+    schema = SALES_STREAM.struct().add(HOUR, T.StringType()).add(BATCH, T.LongType())
+    found = []
+    for hour in hours:
+        try:
+            reader = spark.read.schema(schema).option("basePath", tables.sales)
+            found.append(reader.parquet(f"{tables.sales}/{HOUR}={hour}"))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return reduce(DataFrame.unionByName, found, spark.createDataFrame([], schema))
+
+
+def _log_metrics(spark: SparkSession, tables: StreamTables, batch_id: int, now: datetime) -> None:
     """Metric row as of the newest arrival of this batch, over the stored sales of its window."""
-    stored = spark.read.parquet(tables.sales).filter(F.col(BATCH) <= batch_id)
-    # One value from one aggregate: the time the batch ends at.
-    now = stored.filter(F.col(BATCH) == batch_id).agg(F.max("last_arrival")).first()[0]
-    if now is None:
-        return
-    since = (now - timedelta(seconds=WINDOW_SECONDS)).date()
-    recent = _newest(stored.filter(F.col(DAY) >= F.lit(since)))
-    row = window_metrics(recent, F.lit(now)).withColumns({
+    since = now - timedelta(seconds=WINDOW_SECONDS)
+    hours = sorted({f"{t:%Y-%m-%dT%H}" for t in (since, now)})
+    # A batch that runs again must not see later ones.
+    stored = _hours(spark, tables, hours).filter(F.col(BATCH) <= batch_id)
+    row = window_metrics(_newest(stored), F.lit(now).cast("timestamp_ntz")).withColumns({
         "metric_key": F.lit(f"batch-{batch_id}"), BATCH: F.lit(batch_id).cast("bigint"),
     })
     _replace_partitions(row, tables.metrics, BATCH)
@@ -105,7 +135,7 @@ def start_sales(messages: DataFrame, tables: StreamTables, strict: bool = False,
         upserts(messages, strict).writeStream.outputMode("update")
         .option("checkpointLocation", tables.checkpoint("sales"))
         .foreachBatch(_keep_batch(tables))
-        .trigger(**(trigger or {"processingTime": "1 second"}))
+        .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .start()
     )
 
@@ -122,12 +152,12 @@ def start_quarantine(messages: DataFrame, tables: StreamTables, **trigger) -> St
 
 def read_sales(spark: SparkSession, tables: StreamTables) -> DataFrame:
     """The streamed sales, one row per sale."""
-    versions = spark.read.parquet(tables.sales)
+    versions = spark.read.schema(SALES_STREAM.struct().add(BATCH, T.LongType())).parquet(tables.sales)
     return _newest(versions).select(*SALES_STREAM.names)
 
 
 def read_metrics(spark: SparkSession, tables: StreamTables) -> DataFrame:
-    return spark.read.parquet(tables.metrics).select(*REALTIME_SALES_METRICS.names)
+    return spark.read.schema(REALTIME_SALES_METRICS.struct()).parquet(tables.metrics).select(*REALTIME_SALES_METRICS.names)
 
 
 def ingest_available(messages: DataFrame, tables: StreamTables, strict: bool = False) -> None:
