@@ -4,12 +4,15 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tillwright import schemas  # noqa: E402
 from tillwright.session import CHECKPOINT_DIR, build_session  # noqa: E402
 
+SPARK_ERRORS = (PySparkException, Py4JJavaError)
 SMALL = "/root/testdata/sf0.001"
 CHECKED = "/root/testdata/sf0.01"
 

@@ -1,0 +1,180 @@
+"""Messages and streaming ingest over topic files."""
+
+import json
+
+import pytest
+from conftest import SPARK_ERRORS, at, money
+from pyspark.sql import functions as F
+
+from tillwright import schemas
+from tillwright.functions import events
+from tillwright.operators.enrich import enrich
+from tillwright.operators.realtime import snapshots
+from tillwright.operators.upsert import replay_upserts
+from tillwright.sources import topics
+from tillwright.streaming import ingest
+
+MESSAGE = "key string, value string, timestamp timestamp_ntz"
+
+
+def event(**changes):
+    base = {"sale_id": "STREAM-1", "product_id": "P001", "store_id": "S001", "customer_id": "CUST-1",
+            "quantity": 2, "unit_price": 5.25, "total_amount": 10.5, "payment_method": "card",
+            "sale_timestamp": "2024-03-01 10:00:00"}
+    return json.dumps({k: v for k, v in {**base, **changes}.items() if v != "absent"})
+
+
+def messages(spark, *values):
+    return spark.createDataFrame([("k", v, at("2024-03-01 10:00:05")) for v in values], MESSAGE)
+
+
+def test_encode_then_decode(spark, sales_frame, sale):
+    sales = sales_frame([sale("a", amount="12.30", ingested="2024-03-01 10:15:01.25")], schemas.SALES_STREAM)
+    encoded = events.encode(sales, "ingestion_timestamp")
+    row = encoded.first()
+    assert row.key == "a" and row.timestamp == at("2024-03-01 10:15:01.25")
+    assert json.loads(row.value) == {
+        "sale_id": "a", "product_id": "P001", "store_id": "S001", "customer_id": "CUST-000001", "quantity": 1,
+        "unit_price": 12.3, "total_amount": 12.3, "payment_method": "card", "sale_timestamp": "2024-03-01 10:15:00"}
+    assert events.accepted(encoded).collect() == sales.collect()
+
+
+BAD = ["{bad", "", event(quantity="x"), event(total_amount=None), event(sale_id="absent"),
+       event(sale_timestamp="yesterday"), event(total_amount=123456789.0), event(product_id="P" * 51)]
+
+
+def test_bad_messages_are_set_aside(spark):
+    df = messages(spark, event(), *BAD, event(sale_id="STREAM-2", quantity="3"), None)
+    assert sorted(r.sale_id for r in events.accepted(df).collect()) == ["STREAM-1", "STREAM-2"]
+    assert sorted("NULL" if r.value is None else r.value for r in events.rejected(df).collect()) == sorted([*BAD, "NULL"])
+
+
+@pytest.mark.parametrize("bad", BAD)
+def test_strict_decoding_fails(spark, bad):
+    with pytest.raises(SPARK_ERRORS):
+        events.accepted(messages(spark, event(), bad), strict=True).collect()
+
+
+def test_parser_runs_once_per_message(spark):
+    plan = events.accepted(messages(spark, event()))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
+def deliveries(sale):
+    first = [sale("a", amount="1.00", ingested="2024-03-01 09:58:00"),
+             sale("b", amount="2.00", ingested="2024-03-01 09:59:00")]
+    second = [sale("a", amount="1.50", ingested="2024-03-01 10:01:00"),
+              sale("c", amount="4.00", ingested="2024-03-01 10:02:00", when="2024-03-01 10:15:00")]
+    third = [sale("b", amount="9.00", ingested="2024-03-01 10:30:00")]
+    return [first, second, third]
+
+
+@pytest.fixture
+def topic(spark, sales_frame, sale, tmp_path):
+    path = str(tmp_path / "topic")
+
+    def send(rows):
+        frame = sales_frame(rows, schemas.SALES_STREAM).coalesce(1)
+        topics.write_topic_files(events.encode(frame, "ingestion_timestamp"), path)
+
+    return path, send
+
+
+def test_stream_equals_replay(spark, sales_frame, sale, topic, tmp_path):
+    path, send = topic
+    tables = ingest.StreamTables(str(tmp_path / "tables"))
+    seen = []
+    for rows in deliveries(sale):
+        send(rows)
+        seen += rows
+        ingest.ingest_available(topics.read_topic_files(spark, path), tables)
+        arrivals = sales_frame(seen, schemas.SALES_STREAM)
+        want = replay_upserts(arrivals, schemas.SALES_STREAM, "ingestion_timestamp")
+        assert sorted(ingest.read_sales(spark, tables).collect()) == sorted(want.collect())
+        # The metric row of a batch is the snapshot after its newest arrival.
+        newest = snapshots(arrivals).orderBy(F.desc("metric_timestamp")).first()
+        logged = ingest.read_metrics(spark, tables).orderBy(F.desc("metric_timestamp")).first()
+        for c in ("metric_timestamp", "total_revenue", "total_orders", "average_basket"):
+            assert logged[c] == newest[c]
+    assert ingest.read_metrics(spark, tables).count() == 3
+    assert logged.total_orders == 0
+
+    before = sorted(ingest.read_sales(spark, tables).collect())
+    ingest.ingest_available(topics.read_topic_files(spark, path), tables)  # nothing new
+    assert sorted(ingest.read_sales(spark, tables).collect()) == before
+    assert ingest.read_metrics(spark, tables).count() == 3
+
+
+def test_one_file_per_batch_equals_one_batch(spark, sale, topic, tmp_path):
+    path, send = topic
+    for rows in deliveries(sale):
+        send(rows)
+    results = []
+    for name, limit in (("all", None), ("one", 1)):
+        tables = ingest.StreamTables(str(tmp_path / name))
+        ingest.ingest_available(topics.read_topic_files(spark, path, limit), tables)
+        results.append(sorted(ingest.read_sales(spark, tables).collect()))
+        assert ingest.read_metrics(spark, tables).count() == (3 if limit else 1)
+    assert results[0] == results[1]
+
+
+def test_repeated_batch_replaces_its_own_rows(spark, sales_frame, sale, tmp_path):
+    tables = ingest.StreamTables(str(tmp_path / "tables"))
+    rows = sales_frame(deliveries(sale)[0], schemas.SALES_STREAM).withColumn(
+        "last_arrival", F.col("ingestion_timestamp"))
+    keep = ingest._keep_batch(tables)
+    keep(rows, 0)
+    keep(rows, 0)
+    assert spark.read.parquet(tables.sales).count() == 2
+    assert ingest.read_metrics(spark, tables).count() == 1
+
+
+def test_failed_batch_runs_again(spark, sale, topic, tmp_path, monkeypatch):
+    path, send = topic
+    tables = ingest.StreamTables(str(tmp_path / "tables"))
+    parts = deliveries(sale)
+    send(parts[0])
+    ingest.ingest_available(topics.read_topic_files(spark, path), tables)
+    send(parts[1])
+    with monkeypatch.context() as broken:
+        def stop(*args):
+            raise RuntimeError("lost after the sales were written")
+
+        broken.setattr(ingest, "_log_metrics", stop)
+        with pytest.raises(SPARK_ERRORS):
+            ingest.ingest_available(topics.read_topic_files(spark, path), tables)
+    ingest.ingest_available(topics.read_topic_files(spark, path), tables)
+    got = {r.sale_id: (r.total_amount, r.ingestion_timestamp) for r in ingest.read_sales(spark, tables).collect()}
+    assert got == {"a": (money("1.50"), at("2024-03-01 09:58:00")), "b": (money(2), at("2024-03-01 09:59:00")),
+                   "c": (money(4), at("2024-03-01 10:02:00"))}
+    last = ingest.read_metrics(spark, tables).orderBy(F.desc("metric_timestamp")).first()
+    assert (last.total_revenue, last.total_orders) == (money("7.50"), 3)
+
+
+def test_quarantine_and_strict_stream(spark, tmp_path):
+    path, tables = str(tmp_path / "topic"), ingest.StreamTables(str(tmp_path / "tables"))
+    topics.write_topic_files(messages(spark, event(), "{bad"), path)
+    stream = topics.read_topic_files(spark, path)
+    ingest.start_quarantine(stream, tables, availableNow=True).awaitTermination()
+    ingest.ingest_available(stream, tables)
+    assert [r.value for r in spark.read.parquet(tables.quarantine).collect()] == ["{bad"]
+    assert ingest.read_sales(spark, tables).count() == 1
+    strict = ingest.StreamTables(str(tmp_path / "strict"))
+    with pytest.raises(SPARK_ERRORS):
+        ingest.ingest_available(topics.read_topic_files(spark, path), strict, strict=True)
+
+
+def test_stream_joins_static_dimensions(spark, products, stores, tmp_path):
+    path = str(tmp_path / "topic")
+    topics.write_topic_files(messages(spark, event(), event(sale_id="STREAM-2", store_id="S999")), path)
+    enriched = enrich(events.accepted(topics.read_topic_files(spark, path)), products, stores)
+    out = str(tmp_path / "out")
+    enriched.writeStream.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(
+        out, format="parquet").awaitTermination()
+    assert {(r.sale_id, r.city, r.category) for r in spark.read.parquet(out).collect()} == {
+        ("STREAM-1", "Lyon", "Home"), ("STREAM-2", None, "Home")}
+
+
+def test_kafka_needs_its_connector(spark):
+    with pytest.raises(SPARK_ERRORS, match="kafka"):
+        topics.read_kafka(spark, "broker:9092", "sales")

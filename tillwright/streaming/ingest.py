@@ -9,11 +9,11 @@ much as the sales it holds, not as the table. Each batch writes the sales it cha
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -24,7 +24,7 @@ from tillwright.operators.realtime import WINDOW_SECONDS, window_metrics
 from tillwright.operators.upsert import latest_by_key
 from tillwright.schemas import REALTIME_SALES_METRICS, SALES_STREAM
 
-HOUR, BATCH = "ingestion_hour", "batch_id"
+DAY, BATCH = "ingestion_day", "batch_id"
 
 
 @dataclass(frozen=True)
@@ -49,11 +49,6 @@ class StreamTables:
         return f"{self.root}/_checkpoints/{name}"
 
 
-def _hour(ts: Column) -> Column:
-    """Text like 2024-01-31T07."""
-    return F.translate(F.substring(ts.cast("string"), 1, len("yyyy-MM-dd HH")), " ", "T")
-
-
 def _replace_partitions(df: DataFrame, path: str, *partitions: str) -> None:
     (
         df.write.mode("overwrite")
@@ -70,19 +65,19 @@ def _newest(versions: DataFrame) -> DataFrame:
 
 def _keep_batch(tables: StreamTables):
     def keep(changed: DataFrame, batch_id: int) -> None:
-        """Write the changed sales by hour of first arrival, then the metric row of this batch.
+        """Write the changed sales by day of first arrival, then the metric row of this batch.
 
-        The hour of a sale never changes, so all its versions are in one hour.
+        The day of a sale never changes, so all its versions are in one day.
         """
         arrivals = Observation()
         rows = changed.observe(arrivals, F.max(micros(F.col("last_arrival"))).alias("newest"))
         _replace_partitions(
             rows.select(
                 *SALES_STREAM.names,
-                _hour(F.col("ingestion_timestamp")).alias(HOUR),
+                F.to_date("ingestion_timestamp").alias(DAY),
                 F.lit(batch_id).cast("bigint").alias(BATCH),
-            ).hint("rebalance", F.col(HOUR)),
-            tables.sales, HOUR, BATCH,
+            ).hint("rebalance", F.col(DAY)),
+            tables.sales, DAY, BATCH,
         )
         newest = arrivals.get["newest"]
         if newest is not None:
@@ -91,14 +86,14 @@ def _keep_batch(tables: StreamTables):
     return keep
 
 
-def _hours(spark: SparkSession, tables: StreamTables, hours: list[str]) -> DataFrame:
-    """Stored versions of some hours; only the folders of these hours are listed."""
-    schema = SALES_STREAM.struct().add(HOUR, T.StringType()).add(BATCH, T.LongType())
+def _days(spark: SparkSession, tables: StreamTables, days: list[date]) -> DataFrame:
+    """Stored versions of some days; only the folders of these days are listed."""
+    schema = SALES_STREAM.struct().add(DAY, T.DateType()).add(BATCH, T.LongType())
     found = []
-    for hour in hours:
+    for day in days:
         try:
             reader = spark.read.schema(schema).option("basePath", tables.sales)
-            found.append(reader.parquet(f"{tables.sales}/{HOUR}={hour}"))
+            found.append(reader.parquet(f"{tables.sales}/{DAY}={day}"))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -108,9 +103,8 @@ def _hours(spark: SparkSession, tables: StreamTables, hours: list[str]) -> DataF
 def _log_metrics(spark: SparkSession, tables: StreamTables, batch_id: int, now: datetime) -> None:
     """Metric row as of the newest arrival of this batch, over the stored sales of its window."""
     since = now - timedelta(seconds=WINDOW_SECONDS)
-    hours = sorted({f"{t:%Y-%m-%dT%H}" for t in (since, now)})
     # A batch that runs again must not see later ones.
-    stored = _hours(spark, tables, hours).filter(F.col(BATCH) <= batch_id)
+    stored = _days(spark, tables, sorted({since.date(), now.date()})).filter(F.col(BATCH) <= batch_id)
     row = window_metrics(_newest(stored), F.lit(now).cast("timestamp_ntz")).withColumns({
         "metric_key": F.lit(f"batch-{batch_id}"), BATCH: F.lit(batch_id).cast("bigint"),
     })
