@@ -84,8 +84,9 @@ def main() -> None:
     parser = argparse.ArgumentParser(description="Load CSV files into the sales warehouse.")
     parser.add_argument("csv_folder")
     parser.add_argument("warehouse")
+    parser.add_argument("--data-bytes", type=int, help="volume of the sales, to size shuffles")
     args = parser.parse_args()
-    spark = build_session()
+    spark = build_session(data_bytes=args.data_bytes)
     load = BatchLoad(spark, args.warehouse)
     load.run(csv_feed(spark, args.csv_folder), F.localtimestamp()).show(truncate=False)
 

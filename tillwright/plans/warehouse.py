@@ -8,12 +8,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
 
-from tillwright.operators.upsert import latest_by_key, upsert
+from tillwright.operators.upsert import upsert
 from tillwright.schemas import Table
+from tillwright.sources.files import read_if_present
 
-COMMIT = "table_name string, path string, version bigint"
+COMMIT = T.StructType().add("table_name", T.StringType()).add("path", T.StringType()).add("version", T.LongType())
 
 
 class Warehouse:
@@ -25,16 +26,12 @@ class Warehouse:
     def _log(self) -> str:
         return f"{self.root}/_commits"
 
-    def _commits(self) -> DataFrame:
-        return self.spark.read.schema(COMMIT).parquet(self._log)
-
     def path(self, name: str) -> str | None:
         """Folder of the current version; one row reaches the driver."""
-        try:
-            row = self._commits().filter(F.col("table_name") == name).agg(F.max_by("path", "version")).first()
-        except AnalysisException:
+        commits = read_if_present(self.spark, self._log, COMMIT)
+        if commits is None:
             return None
-        return row[0]
+        return commits.filter(F.col("table_name") == name).agg(F.max_by("path", "version")).first()[0]
 
     def table(self, table: Table) -> DataFrame:
         path = self.path(table.full_name)
@@ -76,28 +73,29 @@ class FactTable:
         self.spark, self.table, self.path = spark, table, path
         (self.stamp,) = table.stamps
 
+    def _stored(self) -> DataFrame | None:
+        return read_if_present(self.spark, self.path, self.table.struct().add(self.DAY, T.DateType()))
+
     def exists(self) -> bool:
-        try:
-            self.spark.read.parquet(self.path)
-        except AnalysisException:
-            return False
-        return True
+        return self._stored() is not None
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path).select(*self.table.names)
+        stored = self._stored()
+        if stored is None:
+            raise LookupError(f"{self.table.full_name} has not been loaded")
+        return stored.select(*self.table.names)
 
-    def _touched(self, source: DataFrame) -> list:
+    def _touched(self, stored: DataFrame, source: DataFrame) -> list:
         """Days that hold keys of ``source``: reads key and day only; at most one value per day."""
         keys = list(self.table.key)
-        stored = self.spark.read.parquet(self.path).select(*keys, self.DAY)
-        days = stored.join(source.select(*keys), keys, "left_semi").select(self.DAY).distinct()
-        return [row[0] for row in days.collect()]
+        held = stored.select(*keys, self.DAY).join(source.select(*keys), keys, "left_semi")
+        return [row[0] for row in held.select(self.DAY).distinct().collect()]
 
     def upsert(self, source: DataFrame, order_by: Sequence[str], loaded_at: Column) -> None:
-        current = None
-        if self.exists():
-            stored = self.spark.read.parquet(self.path)
-            touched = F.col(self.DAY).isin(self._touched(source)) | (F.col(self.DAY) == F.to_date(loaded_at))
+        stored, current = self._stored(), None
+        if stored is not None:
+            days = self._touched(stored, source)
+            touched = F.col(self.DAY).isin(days) | (F.col(self.DAY) == F.to_date(loaded_at))
             current = stored.filter(touched).select(*self.table.names)
         merged = upsert(current, source, self.table, order_by, loaded_at)
         (

@@ -22,14 +22,26 @@ SETTINGS = {
 }
 
 
-def build_session(
-    app_name: str = "tillwright", master: str | None = None, conf: dict[str, str] | None = None
-) -> SparkSession:
-    """Session with this package's settings, which ``conf`` may override."""
+# Shuffled bytes one task should hold, well below the memory of an executor core.
+TASK_BYTES = 512 << 20
+
+
+def shuffle_settings(data_bytes: int) -> dict[str, str]:
+    """Shuffle partitions for a given volume; adaptive execution merges those that turn out small.
+
+    A streaming query keeps the number it was first started with, so size it for its state.
+    """
+    return {"spark.sql.shuffle.partitions": str(max(200, -(-data_bytes // TASK_BYTES)))}
+
+
+def build_session(app_name: str = "tillwright", master: str | None = None,
+                  conf: dict[str, str] | None = None, data_bytes: int | None = None) -> SparkSession:
+    """Session with this package's settings, sized for ``data_bytes``; ``conf`` may override all."""
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **(conf or {})}.items():
+    sized = shuffle_settings(data_bytes) if data_bytes is not None else {}
+    for key, value in {**SETTINGS, **sized, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

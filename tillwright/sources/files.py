@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tillwright.schemas import TIME_TEXT, Table
 
@@ -38,6 +40,20 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_if_present(spark: SparkSession, path: str, schema: StructType, base: str | None = None) -> DataFrame | None:
+    """Parquet files with a known schema, so no footer is read; ``None`` if there is no such path.
+
+    ``base`` is the folder of the table if ``path`` is one of its partitions.
+    """
+    reader = spark.read.schema(schema)
+    try:
+        return (reader.option("basePath", base) if base else reader).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def append_parquet(df: DataFrame, columns: list[str], path: str) -> None:
     """Add the named columns of ``df``, in that order, to the files at ``path``."""
     df.select(*columns).write.mode("append").parquet(path)

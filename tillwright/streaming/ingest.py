@@ -8,11 +8,11 @@ much as the sales it holds, not as the table. Each batch writes the sales it cha
 
 from __future__ import annotations
 
+import argparse
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +23,9 @@ from tillwright.functions.times import from_micros, micros
 from tillwright.operators.realtime import WINDOW_SECONDS, window_metrics
 from tillwright.operators.upsert import latest_by_key
 from tillwright.schemas import REALTIME_SALES_METRICS, SALES_STREAM
+from tillwright.session import build_session
+from tillwright.sources.files import read_if_present
+from tillwright.sources.topics import read_kafka
 
 DAY, BATCH = "ingestion_day", "batch_id"
 
@@ -89,15 +92,9 @@ def _keep_batch(tables: StreamTables):
 def _days(spark: SparkSession, tables: StreamTables, days: list[date]) -> DataFrame:
     """Stored versions of some days; only the folders of these days are listed."""
     schema = SALES_STREAM.struct().add(DAY, T.DateType()).add(BATCH, T.LongType())
-    found = []
-    for day in days:
-        try:
-            reader = spark.read.schema(schema).option("basePath", tables.sales)
-            found.append(reader.parquet(f"{tables.sales}/{DAY}={day}"))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-    return reduce(DataFrame.unionByName, found, spark.createDataFrame([], schema))
+    found = [read_if_present(spark, f"{tables.sales}/{DAY}={day}", schema, tables.sales) for day in days]
+    empty = spark.createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, [df for df in found if df is not None], empty)
 
 
 def _log_metrics(spark: SparkSession, tables: StreamTables, batch_id: int, now: datetime) -> None:
@@ -157,3 +154,22 @@ def read_metrics(spark: SparkSession, tables: StreamTables) -> DataFrame:
 def ingest_available(messages: DataFrame, tables: StreamTables, strict: bool = False) -> None:
     """Process everything that has arrived and stop."""
     start_sales(messages, tables, strict, availableNow=True).awaitTermination()
+
+
+def main() -> None:
+    parser = argparse.ArgumentParser(description="Keep the stream tables up to date with a Kafka topic.")
+    parser.add_argument("servers")
+    parser.add_argument("topic")
+    parser.add_argument("root", help="folder of the tables and checkpoints, in shared storage")
+    parser.add_argument("--strict", action="store_true", help="stop at an invalid message")
+    args = parser.parse_args()
+    spark, tables = build_session(), StreamTables(args.root)
+    messages = read_kafka(spark, args.servers, args.topic)
+    start_sales(messages, tables, args.strict)
+    if not args.strict:
+        start_quarantine(messages, tables)
+    spark.streams.awaitAnyTermination()
+
+
+if __name__ == "__main__":
+    main()
