@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tillwright.functions.times import format_time, parse_time
-from tillwright.schemas import SALES_STREAM, TIME_TEXT
+from tillwright.functions.times import format_time
+from tillwright.schemas import SALES_STREAM
 
 EVENT_TEXT = SALES_STREAM.text_struct()
 
@@ -21,13 +20,6 @@ def encode(sales: DataFrame, arrived: str | None = None) -> DataFrame:
     return sales.select(F.col("sale_id").alias("key"), F.to_json(F.struct(*fields)).alias("value"), *arrival)
 
 
-def _typed(name: str, data_type: T.DataType, strict: bool) -> Column:
-    text = F.col(name)
-    if isinstance(data_type, T.TimestampNTZType):
-        return parse_time(text) if strict else F.try_to_timestamp(text, F.lit(TIME_TEXT)).cast(data_type)
-    return text.cast(data_type) if strict else text.try_cast(data_type)
-
-
 def _is_valid() -> Column:
     """Every delivered column is there and fits its declaration."""
     checks = []
@@ -53,7 +45,9 @@ def decode(messages: DataFrame, strict: bool = False) -> DataFrame:
     # As a generator, the parser runs once per message: filters on its output stay above it.
     parsed = messages.select("*", F.inline(F.array(F.from_json("value", EVENT_TEXT, options))))
     types = {f.name: f.dataType for f in SALES_STREAM.struct(only_fed=True).fields}
-    typed = parsed.withColumns({n: _typed(n, t, strict) for n, t in types.items()})
+    typed = parsed.withColumns({
+        n: F.col(n).cast(t) if strict else F.col(n).try_cast(t) for n, t in types.items()
+    })
     if not strict:
         return typed.withColumn("is_valid", F.coalesce(_is_valid(), F.lit(False)))
     refuse = F.raise_error(F.concat(F.lit("invalid sale event: "), F.coalesce("value", F.lit("NULL"))))

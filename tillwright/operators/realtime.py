@@ -57,11 +57,12 @@ def _deliveries(arrivals: DataFrame) -> DataFrame:
         F.max("amount").alias("amount")
     )
     ticks = instants.groupBy("sale_id", _block(F.col("tick")).alias("block"), "tick").agg(
-        F.min("at").alias("lowest"), F.max(F.struct("at", "amount"))["amount"].alias("last")
+        F.min("at").alias("lowest"), F.max_by("amount", "at").alias("last")
     )
     # A window touches two blocks; joined per block, a sale delivered for years is no hot key.
-    # The unused ``last`` keeps both uses of ``ticks`` one plan, hence one shuffle.
-    first = F.min(F.struct("lowest", "last"))["lowest"]
+    # Always ``lowest``; naming ``last`` keeps both uses of ``ticks`` one plan, hence one shuffle.
+    lowest = F.coalesce(F.when(F.col("last").isNull(), F.col("lowest")), F.col("lowest"))
+    first = F.min(lowest)
     first_blocks = ticks.groupBy("sale_id").agg(first.alias("first")).select(
         "sale_id", "first",
         F.explode(F.array(_block(F.col("first")), _block(F.col("first")) + BLOCK_US)).alias("block"),

@@ -14,6 +14,22 @@ def _required(name: str) -> Column:
     return F.coalesce(F.col(name), F.raise_error(F.lit(f"NULL in key column {name}"))).alias(name)
 
 
+def _hash(keys: Sequence[str]) -> Column:
+    """Sorts compare this number first, which is much cheaper than comparing key texts."""
+    return F.xxhash64(*keys).alias("_hash")
+
+
+def _newest(arrivals: DataFrame, keys: Sequence[str], order_by: Sequence[str],
+            first: dict[str, str]) -> DataFrame:
+    payload = [c for c in arrivals.columns if c not in keys and c not in order_by]
+    newest = F.max(F.struct(*order_by, F.struct(*payload).alias("_row")))
+    return (
+        arrivals.groupBy(_hash(keys), *[_required(k) for k in keys])
+        .agg(newest["_row"].alias("_row"), *[F.min(c).alias(name) for name, c in first.items()])
+        .select("_hash", *keys, *[f"_row.{c}" for c in payload], *first)
+    )
+
+
 def latest_by_key(arrivals: DataFrame, keys: Sequence[str], order_by: Sequence[str],
                   first: dict[str, str] | None = None) -> DataFrame:
     """Newest arrival of each key; ``first`` maps an output column to one whose least value it keeps.
@@ -22,13 +38,7 @@ def latest_by_key(arrivals: DataFrame, keys: Sequence[str], order_by: Sequence[s
     rows were split. The maximum combines on the map side: a key that holds a third of all rows
     still sends one row per task through the shuffle. ``order_by`` columns are not returned.
     """
-    payload = [c for c in arrivals.columns if c not in keys and c not in order_by]
-    newest = F.max(F.struct(*order_by, F.struct(*payload).alias("_row")))
-    return (
-        arrivals.groupBy(*[_required(k) for k in keys])
-        .agg(newest["_row"].alias("_row"), *[F.min(c).alias(name) for name, c in (first or {}).items()])
-        .select(*keys, *[f"_row.{c}" for c in payload], *(first or {}))
-    )
+    return _newest(arrivals, keys, order_by, first or {}).drop("_hash")
 
 
 def upsert(target: DataFrame | None, source: DataFrame, table: Table, order_by: Sequence[str],
@@ -41,14 +51,16 @@ def upsert(target: DataFrame | None, source: DataFrame, table: Table, order_by:
     """
     keys = list(table.key)
     values = [c for c in table.fed if c not in keys]
-    fresh = latest_by_key(source.select(*table.fed, *[c for c in order_by if c not in table.fed]), keys, order_by)
+    delivered = source.select(*table.fed, *[c for c in order_by if c not in table.fed])
+    fresh = _newest(delivered, keys, order_by, {})
     stamped = {s: loaded_at.cast("timestamp_ntz") for s in table.stamps}
     if target is None:
         return fresh.select(*keys, *values, *[v.alias(s) for s, v in stamped.items()]).select(*table.names)
 
-    new, old = fresh.withColumn("_new", F.lit(True)).alias("new"), target.alias("old")
+    new = fresh.withColumn("_new", F.lit(True)).alias("new")
+    old = target.select("*", _hash(keys)).alias("old")
     return (
-        old.join(new, keys, "full_outer")
+        old.join(new, ["_hash", *keys], "full_outer")
         .select(
             *keys,
             *[F.when(F.col("_new"), F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in values],
