@@ -19,7 +19,7 @@ def test_csv_round_trip(spark, sales_frame, sale, tmp_path):
 
 
 def test_csv_columns_may_come_in_any_order(spark, tmp_path):
-    (tmp_path / "stores.csv").write_text("store_id,store_name,city,region\nS001,Thiès Store,Thiès,Thiès\n")
+    (tmp_path / "stores.csv").write_text("city,note,store_id,region,store_name\nThiès,x,S001,Thiès,Thiès Store\n")
     row = files.read_csv(spark, str(tmp_path / "stores.csv"), schemas.STORES).first()
     assert tuple(row) == ("S001", "Thiès Store", "Thiès", "Thiès")
 
@@ -28,8 +28,14 @@ def test_missing_or_malformed_csv_is_an_error(spark, tmp_path):
     with pytest.raises(SPARK_ERRORS, match="PATH_NOT_FOUND"):
         files.read_csv(spark, str(tmp_path / "none.csv"), schemas.STORES)
     (tmp_path / "p.csv").write_text("product_id,product_name,category,unit_price,stock_quantity\nP1,a,b,cheap,1\n")
-    with pytest.raises(SPARK_ERRORS):
+    with pytest.raises(SPARK_ERRORS, match="CAST_INVALID_INPUT"):
         files.read_csv(spark, str(tmp_path / "p.csv"), schemas.PRODUCTS).collect()
+    with pytest.raises(SPARK_ERRORS, match="city"):
+        files.read_csv(spark, str(tmp_path / "p.csv"), schemas.STORES)
+    (tmp_path / "text.csv").write_text("store_id,store_name,city,region\nS1,n,,r\n")
+    text = files.read_csv_text(spark, str(tmp_path / "text.csv"), schemas.STORES)
+    assert [(r.column_name, r.rule) for r in quality.violations(text, schemas.STORES).collect()] == [
+        ("city", "not_null")]
 
 
 def test_empty_append_adds_nothing(spark, products, tmp_path):

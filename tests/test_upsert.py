@@ -124,6 +124,18 @@ def test_failed_load_leaves_tables_as_they_were(spark, products, tmp_path):
     assert w.table(schemas.PRODUCTS).count() == 1
 
 
+def test_old_versions_are_dropped(spark, products, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    assert w.drop_old(schemas.PRODUCTS) == []
+    paths = []
+    for n in (2, 1, 2):
+        w.publish({schemas.PRODUCTS: products.limit(n).withColumn("created_at", time(T0))})
+        paths.append(w.path("raw.products"))
+    assert w.drop_old(schemas.PRODUCTS) == paths[:1]
+    assert w.drop_old(schemas.PRODUCTS, keep=0) == [paths[1]]
+    assert w.table(schemas.PRODUCTS).count() == 2
+
+
 def test_batch_load_twice(spark, sales_frame, sale, products, stores, tmp_path):
     load = BatchLoad(spark, str(tmp_path))
     feed = Feed(products, stores, sales_frame([sale("a"), sale("b", quantity=0), sale("c", product_id="P002")]))

@@ -53,6 +53,24 @@ class Warehouse:
             commits.append((table.full_name, path, version))
         self.spark.createDataFrame(commits, COMMIT).coalesce(1).write.mode("append").parquet(self._log)
 
+    def drop_old(self, table: Table, keep: int = 2) -> list[str]:
+        """Delete the files of all but the ``keep`` newest versions, so that reloads do not pile up.
+
+        Keep more than one while readers of an earlier version may still run.
+        """
+        commits = read_if_present(self.spark, self._log, COMMIT)
+        if commits is None:
+            return []
+        mine = commits.filter(F.col("table_name") == table.full_name)
+        old = [row.path for row in mine.orderBy(F.desc("version")).collect()[max(keep, 1):]]
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        deleted = []
+        for path in old:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            if folder.getFileSystem(conf).delete(folder, True):
+                deleted.append(path)
+        return deleted
+
     def upsert_dimension(self, source: DataFrame, table: Table, order_by: Sequence[str], loaded_at: Column) -> DataFrame:
         """Contents of a dimension after the upsert; to be given to ``publish``."""
         current = self.table(table) if self.path(table.full_name) else None

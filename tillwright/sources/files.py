@@ -4,27 +4,25 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillwright.schemas import TIME_TEXT, Table
 
 
-def read_csv(spark: SparkSession, path: str, table: Table) -> DataFrame:
-    """Columns of ``table`` from CSV with a header; a missing path or a malformed row is an error."""
-    return (
-        spark.read.schema(table.struct(only_fed=True))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "FAILFAST")
-        .option("timestampNTZFormat", TIME_TEXT)
-        .csv(path)
-        .select(*table.fed)
-    )
+def read_csv_text(spark: SparkSession, path: str, table: Table) -> DataFrame:
+    """Columns of ``table`` as text, picked by name from CSV with a header.
 
+    Other columns are ignored; a missing path or column is an error. Only the header line is read
+    ahead, no type is inferred.
+    """
+    return spark.read.option("header", True).option("mode", "FAILFAST").csv(path).select(*table.fed)
 
-def read_csv_text(spark: SparkSession, path: str, table: Table) -> DataFrame:
-    """The same columns as untyped text, for input that is still to be checked."""
-    return spark.read.schema(table.text_struct()).option("header", True).option("enforceSchema", False).csv(path)
+
+def read_csv(spark: SparkSession, path: str, table: Table) -> DataFrame:
+    """The same columns with their declared types; text that does not fit is an error."""
+    types = table.struct(only_fed=True)
+    return read_csv_text(spark, path, table).select(*[F.col(f.name).cast(f.dataType) for f in types])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
