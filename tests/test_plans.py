@@ -68,3 +68,12 @@ def test_large_dimension_is_not_broadcast(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert "BroadcastHashJoin" not in text and text.count("SortMergeJoin") >= 4
+
+
+@pytest.mark.parametrize("name, scans", [("realtime_snapshots", 2), ("realtime_snapshots_redelivered", 2)])
+def test_snapshots_share_their_shuffles(spark, name, scans):
+    df = spark_entry.queries()[name](spark, SMALL)
+    df.collect()
+    final = plan(df).split("Initial Plan")[0]
+    assert final.count("FileScan") == scans
+    assert final.count("Generate inline") == 1

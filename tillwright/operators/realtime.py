@@ -81,7 +81,7 @@ def _deliveries(arrivals: DataFrame) -> DataFrame:
         .select("at", "first", (F.col("amount") - previous).alias("step"), in_window.alias("in_window"))
         .select(
             "at",
-            F.when(F.col("in_window"), F.col("first") + WINDOW_US).otherwise(F.col("at")).alias("last_at"),
+            F.coalesce(F.when(F.col("in_window"), F.col("first") + WINDOW_US), F.col("at")).alias("last_at"),
             F.when(F.col("in_window"), F.col("step")).otherwise(0).alias("revenue"),
             F.when(F.col("at") == F.col("first"), 1).otherwise(0).cast("bigint").alias("orders"),
         )
