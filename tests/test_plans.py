@@ -78,8 +78,8 @@ def conf(spark, **values):
 # Thresholds scaled down to the few megabytes of a test.
 SKEW_IN_SMALL = {
     "autoBroadcastJoinThreshold": "-1", "adaptive__autoBroadcastJoinThreshold": "-1",
-    "adaptive__advisoryPartitionSizeInBytes": "64KB",
-    "adaptive__skewJoin__skewedPartitionThresholdInBytes": "64KB", "adaptive__skewJoin__skewedPartitionFactor": "2",
+    "adaptive__advisoryPartitionSizeInBytes": "16KB",
+    "adaptive__skewJoin__skewedPartitionThresholdInBytes": "16KB", "adaptive__skewJoin__skewedPartitionFactor": "1",
 }
 
 
