@@ -14,17 +14,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import bpe, chat, langid, lines, ordermin, packing, quality
+from tillwright.llm import bpe, chat, jaccard, langid, lines, ordermin, packing, passages, quality, suffix
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _share_code(spark)
+    share_code(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def _share_code(spark: SparkSession) -> None:
+def share_code(spark: SparkSession) -> None:
     """Let Python workers on this machine import this package from wherever the driver did."""
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
@@ -59,8 +59,13 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(documents(spark, sf_dir))
 
 
+def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _share_code(spark)
+    share_code(spark)
     table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     shown = chat.format_preferences(*chat.reply_swaps(table))
     mask = F.array_join(F.transform("mask", lambda r: F.concat_ws("-", r["start"].cast("string"), r["end"].cast("string"))), ",")
@@ -75,6 +80,10 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_deleted", mark.alias("kept_lines_md5"))
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(documents(spark, sf_dir))
+
+
 def held_out() -> F.Column:
     return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
 
@@ -86,6 +95,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(documents(spark, sf_dir))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordermin.edit_study(documents(spark, sf_dir))
 
@@ -97,8 +110,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_bpe, op2_quality, op4_preferences, op5_lines, op7_language, op9_fingerprints, op10_packing]
-    return {f.__name__: f for f in found}
+    import corpus_pipeline
+
+    found = [op1_bpe, op2_quality, op3_suffix, op4_preferences, op5_lines, op6_jaccard, op7_language, op8_passages,
+             op9_fingerprints, op10_packing]
+    return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
