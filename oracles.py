@@ -16,14 +16,13 @@ BLOCKS = {
         SELECT 'BATCH-' || l_orderkey || '-' || l_linenumber AS sale_id,
                CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS store_id,
                CAST(o_custkey AS VARCHAR) AS customer_id, CAST(l_quantity AS INTEGER) AS quantity,
-               CAST(p_retailprice AS DECIMAL(10,2)) AS unit_price,
-               CAST(CAST(l_quantity AS INTEGER) * CAST(p_retailprice AS DECIMAL(10,2)) AS DECIMAL(10,2))
-                   AS total_amount,
+               price AS unit_price, CAST(CAST(l_quantity AS INTEGER) * price AS DECIMAL(10,2)) AS total_amount,
                CASE l_returnflag WHEN 'A' THEN 'card' WHEN 'N' THEN 'cash' WHEN 'R' THEN 'mobile_money' END
                    AS payment_method,
                o_orderdate + to_hours(CAST(l_orderkey % 24 AS INTEGER)) AS sale_timestamp,
                l_shipdate AS arrival_timestamp, CAST(l_extendedprice AS DECIMAL(10,2)) AS recorded_amount
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
+        FROM (SELECT *, CAST(coalesce(p_retailprice, l_extendedprice / l_quantity) AS DECIMAL(10,2)) AS price
+              FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey)""",
     "raw_sales": """
         SELECT * EXCLUDE (rn) FROM (
             SELECT *, row_number() OVER (
@@ -190,7 +189,8 @@ FEED = """
     SELECT sale_id, product_id, repeat(store_id, CASE WHEN quantity > 49 THEN 60 ELSE 1 END) AS store_id,
            customer_id, quantity, CAST(unit_price AS VARCHAR) AS unit_price,
            CAST(CASE WHEN quantity > 45 THEN total_amount * 10000 ELSE total_amount END AS DECIMAL(18,2)) AS total_amount,
-           CASE WHEN quantity > 40 THEN NULL ELSE payment_method END AS payment_method, sale_timestamp
+           CASE WHEN quantity > 40 THEN NULL ELSE payment_method END AS payment_method, sale_timestamp,
+           arrival_timestamp
     FROM arrivals"""
 VIOLATIONS = """
     SELECT sale_id AS row_key, 'store_id' AS column_name, 'max_length' AS rule, store_id AS value
@@ -202,6 +202,30 @@ VIOLATIONS = """
     SELECT sale_id, 'payment_method', 'not_null', NULL FROM feed WHERE payment_method IS NULL
     UNION ALL
     SELECT sale_id, 'sale_id', 'primary_key', CAST(COUNT(*) AS VARCHAR) FROM feed GROUP BY sale_id HAVING COUNT(*) > 1"""
+# One metric row for each quarter of the days, as of its newest event.
+BATCHES = """
+    SELECT b.newest AS metric_timestamp, printf('batch-%012d', b.file - 1) AS metric_key,
+           SUM(e.total_amount) AS revenue, COUNT(*) AS orders
+    FROM (SELECT file, max(ingestion_timestamp) AS newest
+          FROM stream_events JOIN (SELECT day, ntile(4) OVER (ORDER BY day) AS file
+                                   FROM (SELECT DISTINCT CAST(ingestion_timestamp AS DATE) AS day FROM stream_events))
+            ON CAST(ingestion_timestamp AS DATE) = day GROUP BY file) b
+    JOIN stream_events e ON e.ingestion_timestamp <= b.newest AND e.ingestion_timestamp >= b.newest - INTERVAL 5 MINUTES
+    GROUP BY b.newest, b.file"""
+REJECTS = """
+    SELECT sale_id AS row_key, '' AS column_name, 'accepted' AS rule, CAST(CAST(total_amount AS DECIMAL(10,2)) AS VARCHAR) AS value
+    FROM (SELECT *, row_number() OVER (
+              PARTITION BY sale_id
+              ORDER BY arrival_timestamp DESC, product_id DESC, store_id DESC, customer_id DESC, quantity DESC,
+                       CAST(unit_price AS DECIMAL(10,2)) DESC, total_amount DESC, payment_method DESC, sale_timestamp DESC) AS rn
+          FROM feed WHERE length(store_id) <= 50 AND total_amount <= 99999999.99 AND payment_method IS NOT NULL)
+    WHERE rn = 1
+    UNION ALL
+    SELECT sale_id, 'store_id', 'max_length', store_id FROM feed WHERE length(store_id) > 50
+    UNION ALL
+    SELECT sale_id, 'total_amount', 'type_range', CAST(total_amount AS VARCHAR) FROM feed WHERE total_amount > 99999999.99
+    UNION ALL
+    SELECT sale_id, 'payment_method', 'not_null', NULL FROM feed WHERE payment_method IS NULL"""
 SCHEMA = """
     SELECT 'analytics.daily_sales_summary' AS table_name,
            CAST(row_number() OVER () AS INTEGER) AS ordinal_position, column_name,
@@ -225,7 +249,9 @@ def texts() -> dict[str, str]:
     recent = "ORDER BY metric_timestamp DESC, metric_key DESC LIMIT"
     return {
         # sources, sinks and tables
-        "csv_roundtrip": _sql("raw_sales", f"SELECT {SALE} FROM raw_sales"),
+        "csv_roundtrip": _sql("raw_sales", f"SELECT {SALE} FROM awkward", awkward="""
+            SELECT * REPLACE (CASE quantity % 3 WHEN 0 THEN '  "a", ' || customer_id || '\\" ' WHEN 1 THEN ''
+                                                ELSE customer_id END AS customer_id) FROM raw_sales"""),
         "append_rows": _sql("deliveries", f"SELECT {stream_columns} FROM deliveries"),
         "upsert_products": _sql("products", f"""
             SELECT product_id, product_name, category,
@@ -248,6 +274,11 @@ def texts() -> dict[str, str]:
             "deliveries", f"SELECT {stream_columns.replace('sale_timestamp', to_second)} FROM newest",
             newest=NEWEST_DELIVERY),
         "reload_overwrite": _sql("performance", f"SELECT {PERFORMANCE} FROM performance"),
+        "batch_load": _sql("products stores daily performance", COUNTS),
+        "stream_quarantine": _sql("damaged", """
+            SELECT key, value, timestamp FROM damaged WHERE payment_method IN ('error', 'signup')"""),
+        "stream_metric_log": _sql("stream_events", f"SELECT {METRIC} FROM m", m=BATCHES),
+        "load_rejects": _sql("arrivals", REJECTS, feed=FEED),
         "table_counts": _sql("products stores daily performance", COUNTS),
         "table_schema": SCHEMA,
         "constraint_violations": _sql("arrivals", VIOLATIONS, feed=FEED),
@@ -296,9 +327,10 @@ def texts() -> dict[str, str]:
         "city_sales": _sql("daily", f"""
             SELECT city, {_d('SUM(total_revenue)', 'total_revenue')}, {_i('SUM(total_orders)', 'total_orders')}
             FROM daily GROUP BY city ORDER BY 2 DESC"""),
-        "sql_report": _sql("daily", f"""
-            SELECT city, {_d('SUM(total_revenue)', 'total_revenue')}, {_i('SUM(total_orders)', 'total_orders')}
-            FROM daily GROUP BY city ORDER BY 2 DESC"""),
+        "sql_report": _sql("raw_sales stores", f"""
+            SELECT region, CAST(isodow(sale_timestamp) - 1 AS INTEGER) AS weekday, COUNT(*) AS sales,
+                   {_d('SUM(total_amount)', 'revenue')}
+            FROM raw_sales JOIN stores USING (store_id) GROUP BY ALL"""),
         "category_sales": _sql("performance", f"""
             SELECT category, {_d('SUM(total_revenue)', 'total_revenue')},
                    {_i('SUM(total_quantity_sold)', 'total_quantity_sold')}
@@ -322,7 +354,7 @@ def texts() -> dict[str, str]:
                    format('{{:,.2f}} €', average_basket) AS average_basket
             FROM (SELECT {METRIC} FROM m {recent} 1)""", m=ONCE),
         "recent_stream_sales": _sql("products stores deliveries", f"""
-            SELECT sale_id, sale_timestamp, product_name, category, store_name, city, quantity, {_d('total_amount')},
+            SELECT sale_id, {to_second}, product_name, category, store_name, city, quantity, {_d('total_amount')},
                    payment_method
             FROM newest n LEFT JOIN products p USING (product_id) LEFT JOIN stores s USING (store_id)
             ORDER BY ingestion_timestamp DESC, sale_id DESC LIMIT 20""", newest=NEWEST_DELIVERY),

@@ -114,11 +114,6 @@ def test_newest_sales_with_facts(sales_frame, sale, products, stores):
     assert [r.sale_id for r in by_time] == ["s29", "s28", "s27", "s26", "s25"]
 
 
-def test_report_from_sql(spark, stores):
-    got = reports.run_report(spark, "SELECT city FROM {stores} ORDER BY city DESC", stores=stores)
-    assert rows(got) == [("Thiès",), ("Lyon",)]
-
-
 def test_revenue_is_conserved(spark):
     from conftest import SMALL
     from tillwright.operators.upsert import replay_upserts

@@ -1,12 +1,13 @@
 """Messages and streaming ingest over topic files."""
 
 import json
+from datetime import timedelta
 
 import pytest
 from conftest import SPARK_ERRORS, at, money
 from pyspark.sql import functions as F
 
-from tillwright import schemas
+from tillwright import schemas, storage
 from tillwright.functions import events
 from tillwright.operators.enrich import enrich
 from tillwright.operators.realtime import snapshots
@@ -155,15 +156,52 @@ def test_quarantine_and_strict_stream(spark, tmp_path):
     path, tables = str(tmp_path / "topic"), ingest.StreamTables(str(tmp_path / "tables"))
     topics.write_topic_files(messages(spark, event(), "{bad"), path)
     stream = topics.read_topic_files(spark, path)
-    ingest.start_quarantine(stream, tables, availableNow=True).awaitTermination()
     ingest.ingest_available(stream, tables)
-    assert [r.value for r in spark.read.parquet(tables.quarantine).collect()] == ["{bad"]
+    assert [r.value for r in ingest.read_quarantine(spark, tables).collect()] == ["{bad"]
     assert ingest.read_sales(spark, tables).count() == 1
     strict = ingest.StreamTables(str(tmp_path / "strict"))
     with pytest.raises(SPARK_ERRORS):
         ingest.ingest_available(topics.read_topic_files(spark, path), strict, strict=True)
 
 
+def test_compaction_changes_no_row(spark, sale, topic, tmp_path):
+    path, send = topic
+    tables = ingest.StreamTables(str(tmp_path / "tables"))
+    for rows in deliveries(sale):
+        send(rows)
+    ingest.ingest_available(topics.read_topic_files(spark, path, 1), tables)
+    before = sorted(ingest.read_sales(spark, tables).collect())
+    day = at("2024-03-01 00:00:00").date()
+    assert ingest.compact(spark, tables, day) == []
+    assert ingest.compact(spark, tables, day + timedelta(days=1)) == [day]
+    assert sorted(ingest.read_sales(spark, tables).collect()) == before
+    assert len(storage.children(spark, f"{tables.sales}/ingestion_day={day}")) == 1
+    send([sale("a", amount="3.00", ingested="2024-03-02 11:00:00")])
+    ingest.ingest_available(topics.read_topic_files(spark, path), tables)
+    assert {r.sale_id: r.total_amount for r in ingest.read_sales(spark, tables).collect()}["a"] == money(3)
+
+
+def test_newest_sales_read_the_newest_days(spark, sale, topic, tmp_path):
+    path, send = topic
+    tables = ingest.StreamTables(str(tmp_path / "tables"))
+    send([sale(f"s{d}", ingested=f"2024-03-0{d} 10:00:00") for d in range(1, 6)])
+    ingest.ingest_available(topics.read_topic_files(spark, path), tables)
+    assert {r.sale_id for r in ingest.recent_sales(spark, tables, 2).collect()} == {"s5", "s4"}
+    assert ingest.recent_sales(spark, tables, 99).count() == 5
+
+
+def test_metric_row_sees_sales_of_later_days(spark, sales_frame, sale, tmp_path):
+    """Batches may come out of order; a sale first ingested on a later day counts, as there is no upper bound."""
+    tables = ingest.StreamTables(str(tmp_path / "tables"))
+    keep = ingest._keep_batch(tables)
+    for batch, when in enumerate(("2024-03-02 00:00:01", "2024-03-01 23:59:59")):
+        rows = sales_frame([sale(f"s{batch}", ingested=when)], schemas.SALES_STREAM)
+        keep(rows.withColumn("last_arrival", F.col("ingestion_timestamp")), batch)
+    rows = {r.metric_key: r.total_orders for r in ingest.read_metrics(spark, tables).collect()}
+    assert rows == {"batch-000000000000": 1, "batch-000000000001": 2}
+    assert ingest.metric_key(9) < ingest.metric_key(10)
+
+
 def test_stream_joins_static_dimensions(spark, products, stores, tmp_path):
     path = str(tmp_path / "topic")
     topics.write_topic_files(messages(spark, event(), event(sale_id="STREAM-2", store_id="S999")), path)

@@ -18,6 +18,35 @@ def test_csv_round_trip(spark, sales_frame, sale, tmp_path):
     assert sorted(files.read_csv(spark, str(tmp_path / "csv"), schemas.SALES_BATCH).collect()) == sorted(sales.collect())
 
 
+def test_csv_keeps_blanks_quotes_and_line_breaks(spark, stores, tmp_path):
+    texts = [' pad ', '""', 'a "b", c', "", None, "back\\slash", "two\nlines"]
+    rows = [(f"S{i}", t, "c", "r") for i, t in enumerate(texts)]
+    files.write_csv(spark.createDataFrame(rows, schemas.STORES.struct(only_fed=True)), str(tmp_path / "csv"))
+    got = files.read_csv(spark, str(tmp_path / "csv"), schemas.STORES, multi_line=True)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(rows, key=lambda r: r[0])
+    (tmp_path / "s.csv").write_text('store_id,store_name,city,region\nS1,"He said ""hi""",Lyon,r\n')
+    assert files.read_csv(spark, str(tmp_path / "s.csv"), schemas.STORES).first().store_name == 'He said "hi"'
+
+
+def test_files_with_other_headers_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("store_id,store_name,city,region\nS1,n,c,r\n")
+    (tmp_path / "b.csv").write_text("store_id,city,store_name,region\nS2,c,n,r\n")
+    with pytest.raises(SPARK_ERRORS):
+        files.read_csv(spark, str(tmp_path), schemas.STORES).collect()
+
+
+def test_later_line_of_a_delivery_wins(spark, tmp_path):
+    header = ",".join(schemas.SALES_BATCH.fed)
+    line = "BATCH-1,{},S001,CUST-1,2,5.00,{},card,2024-03-01 08:00:00"
+    (tmp_path / "sales_batch.csv").write_text("\n".join([header, line.format("P9", "20.00"), line.format("P1", "10.00")]) + "\n")
+    (tmp_path / "products.csv").write_text("product_id,product_name,category,unit_price,stock_quantity\nP1,z,b,1,1\nP1,a,b,1,1\n")
+    (tmp_path / "stores.csv").write_text("store_id,store_name,city,region\nS001,n,c,r\n")
+    load = BatchLoad(spark, str(tmp_path / "w"), buckets=1)
+    load.load_raw(csv_feed(spark, str(tmp_path)), F.lit("2024-03-02 00:00:00").cast("timestamp_ntz"))
+    assert load.warehouse.table(schemas.SALES_BATCH).first().product_id == "P1"
+    assert load.warehouse.table(schemas.PRODUCTS).first().product_name == "a"
+
+
 def test_csv_columns_may_come_in_any_order(spark, tmp_path):
     (tmp_path / "stores.csv").write_text("city,note,store_id,region,store_name\nThiès,x,S001,Thiès,Thiès Store\n")
     row = files.read_csv(spark, str(tmp_path / "stores.csv"), schemas.STORES).first()
@@ -92,6 +121,13 @@ def test_constraint_breaches(spark):
         ("P4", "product_id", "primary_key"), ("", "product_id", "not_null")])
 
 
+def test_rejects_are_set_aside(spark):
+    rows = [("P1", None, "c", "1.00", "1"), ("P2", "n", "c", "1.00", "1")]
+    kept, rejects = quality.set_aside(spark.createDataFrame(rows, schemas.PRODUCTS.text_struct()), schemas.PRODUCTS)
+    assert [tuple(r) for r in kept.collect()] == [("P2", "n", "c", money(1), 1)]
+    assert [(r.row_key, r.rule) for r in rejects.collect()] == [("P1", "not_null")]
+
+
 def test_typed_rows_have_no_breach(spark, products):
     assert quality.violations(products, schemas.PRODUCTS).count() == 0
 

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from tillwright import schemas
 from tillwright.operators.upsert import latest_by_key, replay_upserts, upsert
 from tillwright.plans.batch import BatchLoad, Feed
-from tillwright.plans.warehouse import FactTable, Warehouse
+from tillwright.plans import warehouse
+from tillwright.plans.warehouse import Warehouse
 
 T0, T1 = "2024-01-01 00:00:00", "2024-01-02 00:00:00"
 
@@ -93,19 +94,97 @@ def test_replay_keeps_first_arrival(sales_frame, sale):
         "a": (money(2), at("2024-03-01 10:00:00")), "b": (money(5), at("2024-03-01 10:01:00"))}
 
 
-def test_fact_table_rewrites_touched_days_only(spark, sales_frame, sale, tmp_path):
-    stored = FactTable(spark, schemas.SALES_BATCH, str(tmp_path / "sales"))
-    assert not stored.exists()
+def test_facts_rewrite_touched_parts_only(spark, sales_frame, sale, tmp_path):
+    stored = Warehouse(spark, str(tmp_path), buckets=2)
+    name = schemas.SALES_BATCH.full_name
     days = [at(T0) + timedelta(days=i) for i in range(3)]
-    stored.upsert(sales_frame([sale("a"), sale("b")]), (), time(str(days[0])))
-    stored.upsert(sales_frame([sale("c")]), (), time(str(days[1])))
-    untouched = sorted(str(p) for p in (tmp_path / "sales" / "load_day=2024-01-02").iterdir())
-    for _ in range(2):  # the second run repairs nothing and changes nothing
-        stored.upsert(sales_frame([sale("a", amount="7.00"), sale("d")]), (), time(str(days[2])))
-        got = {r.sale_id: (r.total_amount, r.ingestion_timestamp) for r in stored.read().collect()}
+    stored.upsert_facts(sales_frame([sale("a"), sale("b")]), schemas.SALES_BATCH, (), time(str(days[0])))
+    stored.upsert_facts(sales_frame([sale("c")]), schemas.SALES_BATCH, (), time(str(days[1])))
+    untouched = {p: path for p, path in stored.state()[name].items() if p.startswith("2024-01-02")}
+    for _ in range(2):
+        stored.upsert_facts(sales_frame([sale("a", amount="7.00"), sale("d")]), schemas.SALES_BATCH, (), time(str(days[2])))
+        got = {r.sale_id: (r.total_amount, r.ingestion_timestamp) for r in stored.table(schemas.SALES_BATCH).collect()}
         assert got == {"a": (money(7), days[0]), "b": (money(10), days[0]),
                        "c": (money(10), days[1]), "d": (money(10), days[2])}
-    assert sorted(str(p) for p in (tmp_path / "sales" / "load_day=2024-01-02").iterdir()) == untouched
+    state = stored.state()[name]
+    assert len(untouched) == 1 and untouched.items() <= state.items()
+
+
+def test_facts_break_off_without_a_trace(spark, sales_frame, sale, products, stores, tmp_path, monkeypatch):
+    """A load that ends between writing and publishing, or between two tables, leaves all rows as they were."""
+    load = BatchLoad(spark, str(tmp_path), buckets=2)
+    load.load_raw(Feed(products, stores, sales_frame([sale("a"), sale("b")])), time(T0))
+    tables = (schemas.PRODUCTS, schemas.STORES, schemas.SALES_BATCH)
+    before = {t.full_name: sorted(map(str, load.warehouse.table(t).collect())) for t in tables}
+    more = Feed(products.withColumn("unit_price", F.lit("9.99").cast("decimal(10,2)")), stores, sales_frame([sale("a", amount="99.00"), sale("c")]))
+
+    def stop(*args):
+        raise OSError("the driver is gone")
+
+    for broken in ("rename", "claim"):
+        with monkeypatch.context() as patch:
+            patch.setattr(f"tillwright.plans.warehouse.storage.{broken}", stop)
+            with pytest.raises(OSError, match="gone"):
+                load.load_raw(more, time(T1))
+    bad_store = stores.withColumn("store_name", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(PySparkException, match="broken"):
+        load.load_raw(Feed(more.products, bad_store, more.sales), time(T1))
+    assert {t.full_name: sorted(map(str, load.warehouse.table(t).collect())) for t in tables} == before
+    load.load_raw(more, time(T1))
+    assert load.warehouse.table(schemas.SALES_BATCH).count() == 3
+
+
+def test_of_two_loads_from_one_state_one_fails(spark, products, tmp_path):
+    w, loaded = Warehouse(spark, str(tmp_path)), products.withColumn("created_at", time(T0))
+    before = w._commits()
+    w.publish({schemas.PRODUCTS: loaded}, before=before)
+    with pytest.raises(FileExistsError):
+        w.publish({schemas.PRODUCTS: loaded.limit(1)}, before=before)
+    assert w.table(schemas.PRODUCTS).count() == 2
+
+
+def test_full_commits_keep_every_part(spark, products, tmp_path, monkeypatch):
+    monkeypatch.setattr(warehouse, "FULL_EVERY", 2)
+    w = Warehouse(spark, str(tmp_path))
+    for n in range(5):
+        w.publish({schemas.PRODUCTS: products.limit(n % 2 + 1).withColumn("created_at", time(T0))})
+    assert w.table(schemas.PRODUCTS).count() == 1
+    assert len(w._commits()[1]) == 2
+
+
+def test_source_is_reduced_before_the_key_lookup(spark, sales_frame, sale, tmp_path):
+    """A sale that holds a third of the deliveries is one row when keys are looked up."""
+    w = Warehouse(spark, str(tmp_path), buckets=1)
+    w.upsert_facts(sales_frame([sale("hot")]), schemas.SALES_BATCH, (), time(T0))
+    reads = []
+    read = w._read
+    w._read = lambda table, paths: reads.append(paths) or read(table, paths)
+    w.upsert_facts(sales_frame([sale("hot", amount=str(i)) for i in range(300)] + [sale(str(i)) for i in range(600)]),
+                   schemas.SALES_BATCH, (), time(T1))
+    assert w.table(schemas.SALES_BATCH).filter("sale_id = 'hot'").first().total_amount == money(299)
+    assert len(reads) >= 2
+
+
+def test_load_refuses_what_the_declaration_forbids(spark, sales_frame, sale, products, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    for bad in (sale("a", payment=None), sale("a", product_id="P" * 90)):
+        with pytest.raises(PySparkException, match="is broken by"):
+            w.upsert_facts(sales_frame([sale("b"), bad]), schemas.SALES_BATCH, (), time(T0))
+    with pytest.raises(PySparkException, match="not_null of category"):
+        w.publish({schemas.PRODUCTS: products.withColumn("category", F.lit(None).cast("string")).withColumn("created_at", time(T0))})
+    assert w.state() == {}
+
+
+def test_catalog_tables_hold_the_loads(spark, sales_frame, sale, products, stores, tmp_path):
+    load = BatchLoad(spark, str(tmp_path), buckets=2)
+    load.load_raw(Feed(products, stores, sales_frame([sale("a"), sale("b")])), time(T0))
+    load.warehouse.register()
+    assert spark.sql("SELECT count(*) FROM raw.products").first()[0] == 2
+    load.load_raw(Feed(products, stores, sales_frame([sale("c")])), time(T1))
+    load.warehouse.register()
+    assert {r.sale_id for r in spark.sql("SELECT sale_id FROM raw.sales_batch").collect()} == {"a", "b", "c"}
+    for name in ("products", "stores", "sales_batch"):
+        spark.sql(f"DROP TABLE raw.{name}")
 
 
 def test_failed_load_leaves_tables_as_they_were(spark, products, tmp_path):
@@ -126,13 +205,13 @@ def test_failed_load_leaves_tables_as_they_were(spark, products, tmp_path):
 
 def test_old_versions_are_dropped(spark, products, tmp_path):
     w = Warehouse(spark, str(tmp_path))
-    assert w.drop_old(schemas.PRODUCTS) == []
+    assert w.drop_old() == []
     paths = []
     for n in (2, 1, 2):
         w.publish({schemas.PRODUCTS: products.limit(n).withColumn("created_at", time(T0))})
         paths.append(w.path("raw.products"))
-    assert w.drop_old(schemas.PRODUCTS) == paths[:1]
-    assert w.drop_old(schemas.PRODUCTS, keep=0) == [paths[1]]
+    assert w.drop_old() == paths[:1] and w.drop_old() == []
+    assert w.drop_old(keep=0) == [paths[1]]
     assert w.table(schemas.PRODUCTS).count() == 2
 
 

@@ -50,11 +50,15 @@ def daily_sales_summary(sales: DataFrame, stores: DataFrame, order_count: OrderC
     )
 
 
-def product_performance(sales: DataFrame, products: DataFrame, order_count: OrderCount = "distinct") -> DataFrame:
-    """Revenue, quantity and orders of every product."""
-    reduced = sales.groupBy("product_id").agg(
+def product_totals(sales: DataFrame, order_count: OrderCount = "distinct") -> DataFrame:
+    return sales.groupBy("product_id").agg(
         total(F.col("total_amount")).alias("total_revenue"),
         F.sum("quantity").alias("total_quantity_sold"),
         _orders(order_count).alias("number_of_orders"),
     )
+
+
+def product_performance(sales: DataFrame, products: DataFrame, order_count: OrderCount = "distinct") -> DataFrame:
+    """Revenue, quantity and orders of every product."""
+    reduced = product_totals(sales, order_count)
     return add_facts(reduced, products, "product_id", PRODUCT_FACTS).select(*PRODUCT_PERFORMANCE.names)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwright.schemas import Column, Table
+from tillwright.session import cut
 
 # Name of each rule, and of each type as an information schema shows it.
 NOT_NULL, TOO_LONG, NOT_A_VALUE, REPEATED = "not_null", "max_length", "type_range", "primary_key"
@@ -34,18 +35,40 @@ def _rules(column: Column) -> dict[str, Expr]:
     return rules
 
 
-def row_violations(rows: DataFrame, table: Table) -> DataFrame:
-    """One row per broken value rule, found in a single pass without a shuffle."""
+def refuse_violations(rows: DataFrame, table: Table) -> DataFrame:
+    """``rows`` unchanged; reading one that breaks a value rule is an error. Nothing is evaluated twice."""
+    checked = []
+    for c in table.columns:
+        value = F.col(c.name)
+        for rule, broken in (_rules(c).items() if c.name in rows.columns and not c.stamped else ()):
+            message = F.concat(F.lit(f"{table.full_name}: {rule} of {c.name} is broken by "), F.coalesce(F.col(c.name).cast("string"), F.lit("NULL")))
+            value = F.when(broken, F.raise_error(message)).otherwise(value)
+        if c.name in rows.columns:
+            checked.append(value.cast(rows.schema[c.name].dataType).alias(c.name))
+    rest = [c for c in rows.columns if c not in table.names]
+    return rows.select(*checked, *rest).select(*rows.columns)
+
+
+def _faults(rows: DataFrame, table: Table) -> Expr:
     checks = [
         F.when(broken, F.struct(F.lit(c.name).alias("column_name"), F.lit(rule).alias("rule"),
                                 F.col(c.name).cast("string").alias("value")))
         for c in table.columns if c.name in rows.columns
         for rule, broken in _rules(c).items()
     ]
+    return F.filter(F.array(*checks), lambda v: v.isNotNull())
+
+
+def set_aside(rows: DataFrame, table: Table) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejects): rows without a broken value rule, typed, and one row per broken rule of the others.
+
+    The input is evaluated once and stored in the shared folder with what was found.
+    """
+    checked = cut(rows.withColumn("_faults", _faults(rows, table)))
+    types = {c.name: c.spark_type for c in table.columns}
+    accepted = checked.filter(F.size("_faults") == 0).select(*[F.col(c).cast(types[c]) if c in types else F.col(c) for c in rows.columns])
     key = F.concat_ws("|", *[F.col(k).cast("string") for k in table.key]).alias("row_key")
-    return rows.select(key, F.explode(F.filter(F.array(*checks), lambda v: v.isNotNull())).alias("v")).select(
-        "row_key", "v.column_name", "v.rule", "v.value"
-    )
+    return accepted, checked.select(key, F.explode("_faults").alias("v")).select("row_key", "v.column_name", "v.rule", "v.value")
 
 
 def repeated_keys(rows: DataFrame, table: Table) -> DataFrame:
@@ -61,8 +84,14 @@ def repeated_keys(rows: DataFrame, table: Table) -> DataFrame:
 
 
 def violations(rows: DataFrame, table: Table) -> DataFrame:
-    """Everything in ``rows`` (typed or text) that the declaration of ``table`` forbids."""
-    return row_violations(rows, table).unionByName(repeated_keys(rows, table))
+    """Everything in ``rows`` (typed or text) that the declaration of ``table`` forbids.
+
+    The input is evaluated once; its keys and what breaks a rule are stored in the shared folder.
+    """
+    kept = cut(rows.select(*table.key, _faults(rows, table).alias("_faults")))
+    key = F.concat_ws("|", *[F.col(k).cast("string") for k in table.key]).alias("row_key")
+    broken = kept.select(key, F.explode("_faults").alias("v")).select("row_key", "v.column_name", "v.rule", "v.value")
+    return broken.unionByName(repeated_keys(kept, table))
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

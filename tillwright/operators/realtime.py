@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tillwright.functions.money import MONEY, TOTAL, exact_average, or_zero
 from tillwright.functions.times import SECOND_US, floor_to, micros
+from tillwright.schemas import SALES_STREAM
 
 # Length of the trailing window, closed at both ends.
 WINDOW_SECONDS = 300
@@ -39,22 +40,15 @@ def _block(at: Column) -> Column:
     return floor_to(at, BLOCK_US)
 
 
-def _first_deliveries(arrivals: DataFrame) -> DataFrame:
-    """Changes of revenue and orders where no sale is delivered twice."""
-    return arrivals.select(
-        "at", (F.col("at") + WINDOW_US + 1).alias("until"),
-        F.col("amount").alias("revenue"), F.lit(1).cast("bigint").alias("orders"),
-    )
-
-
 def _deliveries(arrivals: DataFrame) -> DataFrame:
     """Change of revenue and orders by each arrival; none if the window of its sale has passed.
 
     The previous amount of a sale is looked up inside one tick and, for the first arrival of a
     tick, among the few hundred earlier ticks of the window of the sale.
     """
+    # Of deliveries at one instant the one counts that the upsert keeps: the greatest row.
     instants = arrivals.groupBy("sale_id", _tick(F.col("at")).alias("tick"), "at").agg(
-        F.max("amount").alias("amount")
+        F.max("row")["total_amount"].alias("amount")
     )
     ticks = instants.groupBy("sale_id", _block(F.col("tick")).alias("block"), "tick").agg(
         F.min("at").alias("lowest"), F.max_by("amount", "at").alias("last")
@@ -131,21 +125,25 @@ def _states(changes: DataFrame) -> DataFrame:
     )
 
 
-def snapshots(arrivals: DataFrame, unique_sales: bool = False) -> DataFrame:
+def _known(name: str) -> Column:
+    return F.coalesce(F.col(name), F.raise_error(F.lit(f"NULL in {name} of an arrival")))
+
+
+def snapshots(arrivals: DataFrame) -> DataFrame:
     """One metric row per arrival, as the metric log holds it after the arrival was stored.
 
-    ``arrivals`` has ``sale_id``, ``ingestion_timestamp`` and ``total_amount``. Arrivals at the same
-    microsecond see each other. Pass ``unique_sales`` where no sale is delivered twice.
+    ``arrivals`` has ``sale_id``, ``ingestion_timestamp``, ``total_amount`` and any other columns
+    of a sale. Arrivals at the same microsecond see each other. A NULL key is an error, as it is
+    for the upsert.
     """
-    # Both keys are not null, and are written so that the optimizer knows it: else each use of the
-    # shared parts below gets its own null filters and with them its own scan and shuffle.
-    keyed = arrivals.filter(F.col("sale_id").isNotNull() & F.col("ingestion_timestamp").isNotNull())
-    timed = keyed.select(
-        F.coalesce("sale_id", F.lit("")).alias("sale_id"), "ingestion_timestamp",
-        F.coalesce(micros(F.col("ingestion_timestamp")), F.lit(0)).alias("at"),
-        F.col("total_amount").alias("amount"),
+    row = [c for c in SALES_STREAM.fed if c in arrivals.columns and c != "sale_id"]
+    # Never NULL, so that the optimizer adds no null filters, and with them scans and shuffles,
+    # to the uses of the shared parts below.
+    timed = arrivals.select(
+        _known("sale_id").alias("sale_id"), _known("ingestion_timestamp").alias("ingestion_timestamp"),
+        F.coalesce(micros(F.col("ingestion_timestamp")), F.lit(0)).alias("at"), F.struct(*row).alias("row"),
     )
-    states = _states(_changes(_first_deliveries(timed) if unique_sales else _deliveries(timed)))
+    states = _states(_changes(_deliveries(timed)))
     return timed.join(states, "at").select(
         F.col("ingestion_timestamp").alias("metric_timestamp"),
         F.col("sale_id").alias("metric_key"),

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.functions.money import MONEY, display_amount, display_count, exact_average, or_zero
-from tillwright.operators.enrich import add_facts
+from tillwright.operators.enrich import PRODUCT_FACTS, add_facts
 from tillwright.session import cut
 
 # Sums of the stored sums; wide enough for any number of store-days or products.
@@ -85,13 +85,17 @@ def category_revenue_share(performance: DataFrame) -> DataFrame:
     return categories.select("category", "total_revenue", F.round(share, 8).alias("revenue_share"))
 
 
-def top_products(performance: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` products of highest revenue; equal revenue is ordered by product id."""
-    return (
-        performance.orderBy(F.desc_nulls_first("total_revenue"), "product_id")
-        .limit(n)
-        .select("product_name", "category", "total_revenue", "total_quantity_sold", "number_of_orders")
-    )
+def top_products(performance: DataFrame, products: DataFrame | None = None, n: int = 10) -> DataFrame:
+    """The ``n`` products of highest revenue; equal revenue is ordered by product id.
+
+    ``performance`` has the facts of each product, or, to look up those of the ``n`` alone, they
+    come from ``products``.
+    """
+    order = [F.desc_nulls_first("total_revenue"), F.col("product_id")]
+    best = performance.orderBy(*order).limit(n)
+    if products is not None:
+        best = add_facts(best, _matching(products, best, "product_id", n), "product_id", PRODUCT_FACTS).orderBy(*order)
+    return best.select("product_name", "category", "total_revenue", "total_quantity_sold", "number_of_orders")
 
 
 def recent_metrics(metrics: DataFrame, n: int = 50) -> DataFrame:
@@ -116,9 +120,14 @@ def latest_metrics_display(metrics: DataFrame) -> DataFrame:
     )
 
 
-def _matching(dimension: DataFrame, few: DataFrame, key: str) -> DataFrame:
-    """Dimension rows that ``few`` rows refer to; ``few`` is a top-n, so it is safe to broadcast."""
-    return dimension.join(F.broadcast(few.select(key).distinct()), key, "left_semi")
+#: A dimension is reduced by a broadcast of the keys of a top-n up to this length, and by a plain join beyond.
+BROADCAST_ROWS = 10_000
+
+
+def _matching(dimension: DataFrame, few: DataFrame, key: str, n: int = BROADCAST_ROWS) -> DataFrame:
+    """Dimension rows that the ``n`` rows of ``few`` refer to."""
+    keys = few.select(key).distinct()
+    return dimension.join(F.broadcast(keys) if n <= BROADCAST_ROWS else keys, key, "left_semi")
 
 
 def recent_stream_sales(sales: DataFrame, products: DataFrame, stores: DataFrame, n: int = 20) -> DataFrame:
@@ -128,10 +137,10 @@ def recent_stream_sales(sales: DataFrame, products: DataFrame, stores: DataFrame
     rows they refer to, so it is neither shuffled nor broadcast whole, whatever its size.
     """
     newest = cut(sales.orderBy(F.desc("ingestion_timestamp"), F.desc("sale_id")).limit(n))
-    with_product = add_facts(newest, _matching(products, newest, "product_id"), "product_id",
+    with_product = add_facts(newest, _matching(products, newest, "product_id", n), "product_id",
                              ("product_name", "category"))
     return (
-        add_facts(with_product, _matching(stores, newest, "store_id"), "store_id", ("store_name", "city"))
+        add_facts(with_product, _matching(stores, newest, "store_id", n), "store_id", ("store_name", "city"))
         .orderBy(F.desc("ingestion_timestamp"), F.desc("sale_id"))
         .select("sale_id", "sale_timestamp", "product_name", "category", "store_name", "city",
                 "quantity", "total_amount", "payment_method")
@@ -141,8 +150,3 @@ def recent_stream_sales(sales: DataFrame, products: DataFrame, stores: DataFrame
 def recent_by_sale_time(sales: DataFrame, n: int = 5) -> DataFrame:
     """The ``n`` newest streamed sales by business time."""
     return sales.orderBy(F.desc("sale_timestamp"), F.desc("sale_id")).limit(n)
-
-
-def run_report(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
-    """SQL text over named frames, written in the text as ``{name}``."""
-    return spark.sql(sql, **tables)

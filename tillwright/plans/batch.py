@@ -12,46 +12,48 @@ from tillwright import schemas
 from tillwright.operators.aggregates import daily_sales_summary, product_performance
 from tillwright.operators.enrich import clean, enrich
 from tillwright.operators.quality import table_counts
-from tillwright.plans.warehouse import FactTable, Warehouse
+from tillwright.plans.warehouse import Warehouse
 from tillwright.session import build_session
-from tillwright.sources.files import read_csv
+from tillwright.sources.files import LINE_ORDER, read_csv
 
 
 @dataclass(frozen=True)
 class Feed:
-    """Delivered rows of one load; ``order`` names the columns that tell newer rows from older."""
+    """Delivered rows of one load; the orders name the columns that tell newer rows from older."""
 
     products: DataFrame
     stores: DataFrame
     sales: DataFrame
     order: tuple[str, ...] = ()
+    dimension_order: tuple[str, ...] = ()
 
 
-def csv_feed(spark: SparkSession, folder: str) -> Feed:
-    return Feed(
-        read_csv(spark, f"{folder}/products.csv", schemas.PRODUCTS),
-        read_csv(spark, f"{folder}/stores.csv", schemas.STORES),
-        read_csv(spark, f"{folder}/sales_batch.csv", schemas.SALES_BATCH),
-    )
+def csv_feed(spark: SparkSession, folder: str, multi_line: bool = False) -> Feed:
+    """CSV files of one delivery; of two lines with one key the later one counts."""
+    read = [read_csv(spark, f"{folder}/{name}.csv", table, multi_line, numbered=True) for name, table in (
+        ("products", schemas.PRODUCTS), ("stores", schemas.STORES), ("sales_batch", schemas.SALES_BATCH))]
+    return Feed(*read, LINE_ORDER, LINE_ORDER)
 
 
 class BatchLoad:
-    def __init__(self, spark: SparkSession, root: str):
-        self.warehouse = Warehouse(spark, root)
-        self.sales = FactTable(spark, schemas.SALES_BATCH, f"{root.rstrip('/')}/raw/sales_batch")
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
+        self.warehouse = Warehouse(spark, root, buckets)
 
     def load_raw(self, feed: Feed, loaded_at: Column) -> None:
+        """All three raw tables in one commit."""
         w = self.warehouse
-        self.sales.upsert(feed.sales, feed.order, loaded_at)
+        state = w.state()
+        sales = w.stage_facts(feed.sales, schemas.SALES_BATCH, feed.order, loaded_at, state)
         w.publish({
-            schemas.PRODUCTS: w.upsert_dimension(feed.products, schemas.PRODUCTS, (), loaded_at),
-            schemas.STORES: w.upsert_dimension(feed.stores, schemas.STORES, (), loaded_at),
-        })
+            schemas.PRODUCTS: w.upsert_dimension(feed.products, schemas.PRODUCTS, feed.dimension_order, loaded_at, state),
+            schemas.STORES: w.upsert_dimension(feed.stores, schemas.STORES, feed.dimension_order, loaded_at, state),
+        }, [sales])
 
     def build_staging(self, loaded_at: Column) -> None:
         w = self.warehouse
-        sales = self.sales.read().drop("ingestion_timestamp")
-        enriched = enrich(clean(sales), w.table(schemas.PRODUCTS), w.table(schemas.STORES))
+        state = w.state()
+        sales = w.table(schemas.SALES_BATCH, state).drop("ingestion_timestamp")
+        enriched = enrich(clean(sales), w.table(schemas.PRODUCTS, state), w.table(schemas.STORES, state))
         w.publish({
             schemas.SALES_CLEAN: enriched.withColumn("ingestion_timestamp", loaded_at.cast("timestamp_ntz")),
         })
@@ -59,10 +61,11 @@ class BatchLoad:
     def build_analytics(self) -> None:
         """Both aggregates read the stored sales; their ids are unique there, so rows are orders."""
         w = self.warehouse
-        sales = w.table(schemas.SALES_CLEAN)
+        state = w.state()
+        sales = w.table(schemas.SALES_CLEAN, state)
         w.publish({
-            schemas.DAILY_SALES_SUMMARY: daily_sales_summary(sales, w.table(schemas.STORES), "rows"),
-            schemas.PRODUCT_PERFORMANCE: product_performance(sales, w.table(schemas.PRODUCTS), "rows"),
+            schemas.DAILY_SALES_SUMMARY: daily_sales_summary(sales, w.table(schemas.STORES, state), "rows"),
+            schemas.PRODUCT_PERFORMANCE: product_performance(sales, w.table(schemas.PRODUCTS, state), "rows"),
         })
 
     def run(self, feed: Feed, loaded_at: Column) -> DataFrame:
@@ -74,10 +77,10 @@ class BatchLoad:
 
     def counts(self) -> DataFrame:
         w = self.warehouse
-        published = (schemas.PRODUCTS, schemas.STORES, schemas.SALES_CLEAN,
-                     schemas.DAILY_SALES_SUMMARY, schemas.PRODUCT_PERFORMANCE)
-        tables = {t.full_name: w.table(t) for t in published}
-        return table_counts(tables | {schemas.SALES_BATCH.full_name: self.sales.read()})
+        state = w.state()
+        tables = (schemas.PRODUCTS, schemas.STORES, schemas.SALES_BATCH, schemas.SALES_CLEAN,
+                  schemas.DAILY_SALES_SUMMARY, schemas.PRODUCT_PERFORMANCE)
+        return table_counts({t.full_name: w.table(t, state) for t in tables})
 
 
 def main() -> None:
@@ -85,10 +88,14 @@ def main() -> None:
     parser.add_argument("csv_folder")
     parser.add_argument("warehouse")
     parser.add_argument("--data-bytes", type=int, help="volume of the sales, to size shuffles")
+    parser.add_argument("--buckets", type=int, default=16, help="parts of a day of sales; never change it later")
+    parser.add_argument("--multi-line", action="store_true", help="fields hold line breaks, so files are not split")
     args = parser.parse_args()
     spark = build_session(data_bytes=args.data_bytes)
-    load = BatchLoad(spark, args.warehouse)
-    load.run(csv_feed(spark, args.csv_folder), F.localtimestamp()).show(truncate=False)
+    load = BatchLoad(spark, args.warehouse, args.buckets)
+    load.run(csv_feed(spark, args.csv_folder, args.multi_line), F.localtimestamp()).show(truncate=False)
+    load.warehouse.drop_old()
+    load.warehouse.register()
 
 
 if __name__ == "__main__":

@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame
 from tillwright import schemas
 from tillwright.operators import reports
 from tillwright.plans.warehouse import Warehouse
-from tillwright.streaming.ingest import StreamTables, read_metrics, read_sales
+from tillwright.streaming.ingest import StreamTables, read_metrics, recent_sales
 
 
 def batch_reports(warehouse: Warehouse) -> dict[str, DataFrame]:
-    daily = warehouse.table(schemas.DAILY_SALES_SUMMARY)
-    performance = warehouse.table(schemas.PRODUCT_PERFORMANCE)
+    state = warehouse.state()
+    daily = warehouse.table(schemas.DAILY_SALES_SUMMARY, state)
+    performance = warehouse.table(schemas.PRODUCT_PERFORMANCE, state)
     return {
         "batch_kpis": reports.batch_kpis(daily),
         "daily_sales": reports.daily_sales(daily),
@@ -24,12 +25,12 @@ def batch_reports(warehouse: Warehouse) -> dict[str, DataFrame]:
 
 
 def stream_reports(warehouse: Warehouse, tables: StreamTables) -> dict[str, DataFrame]:
-    spark = warehouse.spark
+    spark, state = warehouse.spark, warehouse.state()
     metrics = read_metrics(spark, tables)
     return {
         "latest_metrics": reports.latest_metrics(metrics),
         "recent_metrics": reports.recent_metrics(metrics),
         "metrics_series": reports.metrics_series(metrics),
         "recent_stream_sales": reports.recent_stream_sales(
-            read_sales(spark, tables), warehouse.table(schemas.PRODUCTS), warehouse.table(schemas.STORES)),
+            recent_sales(spark, tables), warehouse.table(schemas.PRODUCTS, state), warehouse.table(schemas.STORES, state)),
     }

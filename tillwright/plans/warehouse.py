@@ -1,124 +1,229 @@
-"""Published tables: a load writes fresh folders, then one appended commit file makes them current."""
+"""Published tables: a load writes fresh folders, then one new commit makes them current.
+
+A commit names, for each part of each table it changes, the folder that now holds it. Commits are
+numbered; the folder of a number can be taken once only, so of two loads that started from the
+same state one fails and changes nothing. Every ``FULL_EVERY`` commits one names all current
+parts, and readers start at the last such one.
+"""
 
 from __future__ import annotations
 
-import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwright.operators.upsert import upsert
+from tillwright import storage
+from tillwright.operators.quality import refuse_violations
+from tillwright.operators.upsert import latest_by_key, upsert
 from tillwright.schemas import Table
-from tillwright.sources.files import read_if_present
 
-COMMIT = T.StructType().add("table_name", T.StringType()).add("path", T.StringType()).add("version", T.LongType())
+COMMIT = (T.StructType().add("table_name", T.StringType()).add("part", T.StringType())
+          .add("path", T.StringType()).add("version", T.LongType()))
+FULL_EVERY = 32
+DAY, BUCKET = "load_day", "bucket"
+WHOLE = ""
+
+
+@dataclass(frozen=True)
+class Staged:
+    """Folders that are written but not yet current: part of the table to folder."""
+
+    table: Table
+    parts: dict[str, str]
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
+    """``buckets`` is the number of parts a day of facts is cut into; it must stay what it was."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+
+    # --- commits -----------------------------------------------------------------------------------
 
     @property
     def _log(self) -> str:
         return f"{self.root}/_commits"
 
-    def path(self, name: str) -> str | None:
-        """Folder of the current version; one row reaches the driver."""
-        commits = read_if_present(self.spark, self._log, COMMIT)
-        if commits is None:
-            return None
-        return commits.filter(F.col("table_name") == name).agg(F.max_by("path", "version")).first()[0]
-
-    def table(self, table: Table) -> DataFrame:
-        path = self.path(table.full_name)
-        if path is None:
+    def _commits(self) -> tuple[int, list]:
+        """Number of the last commit, and the rows from the last full one on: at most one row a part, and few commits more."""
+        taken = max((int(n) for n in storage.children(self.spark, f"{self.root}/_numbers")), default=0)
+        names = sorted(storage.children(self.spark, self._log))
+        if not names:
+            return taken, []
+        full = max((i for i, n in enumerate(names) if n.endswith("-full")), default=0)
+        rows = self.spark.read.schema(COMMIT).parquet(*[f"{self._log}/{n}" for n in names[full:]]).collect()
+        return taken, rows
+
+    @staticmethod
+    def _current(rows: Iterable) -> dict[str, dict[str, tuple[str, int]]]:
+        state: dict[str, dict[str, tuple[str, int]]] = {}
+        for row in sorted(rows, key=lambda r: r.version):
+            state.setdefault(row.table_name, {})[row.part] = (row.path, row.version)
+        return state
+
+    def state(self) -> dict[str, dict[str, str]]:
+        """Folders of the current parts of every table."""
+        return {name: {part: path for part, (path, _) in parts.items()} for name, parts in self._current(self._commits()[1]).items()}
+
+    def _commit(self, staged: Sequence[Staged], before: tuple[int, list], kept: list | None = None) -> None:
+        last, rows = before
+        version = last + 1
+        new = [(s.table.full_name, part, path, version) for s in staged for part, path in s.parts.items()]
+        full = kept is not None or version % FULL_EVERY == 0
+        if full:
+            changed = {(name, part) for name, part, _, _ in new}
+            old = kept if kept is not None else [
+                (name, part, path, v) for name, parts in self._current(rows).items() for part, (path, v) in parts.items()]
+            new = [row for row in old if (row[0], row[1]) not in changed] + new if kept is None else kept
+        draft = f"{self.root}/_drafts/{uuid.uuid4().hex}"
+        self.spark.createDataFrame(new, COMMIT).coalesce(1).write.parquet(draft)
+        # Of two loads that began with the same state only one gets the number. A load that breaks
+        # off here leaves a number without a commit, which changes nothing.
+        storage.claim(self.spark, f"{self.root}/_numbers/{version:012d}")
+        storage.rename(self.spark, draft, f"{self._log}/{version:012d}{'-full' if full else ''}")
+
+    # --- reading -----------------------------------------------------------------------------------
+
+    def path(self, name: str, state: dict | None = None) -> str | None:
+        """Folder of a table that is one part."""
+        return (state if state is not None else self.state()).get(name, {}).get(WHOLE)
+
+    def table(self, table: Table, state: dict | None = None) -> DataFrame:
+        """Current rows of a table; pass ``state`` to read several tables as of one commit."""
+        parts = (state if state is not None else self.state()).get(table.full_name)
+        if parts is None:
             raise LookupError(f"{table.full_name} has not been loaded")
-        return self.spark.read.schema(table.struct()).parquet(path).select(*table.names)
-
-    def publish(self, contents: dict[Table, DataFrame]) -> None:
-        """Replace the contents of all given tables at once, or, if a write fails, of none.
-
-        Executors write the rows, from whatever partitions they are in.
-        """
-        load = uuid.uuid4().hex
-        version = time.time_ns()
-        commits = []
-        for table, df in contents.items():
-            path = f"{self.root}/{table.layer}/{table.name}/{load}"
-            df.select(*table.names).write.parquet(path)
-            commits.append((table.full_name, path, version))
-        self.spark.createDataFrame(commits, COMMIT).coalesce(1).write.mode("append").parquet(self._log)
-
-    def drop_old(self, table: Table, keep: int = 2) -> list[str]:
-        """Delete the files of all but the ``keep`` newest versions, so that reloads do not pile up.
-
-        Keep more than one while readers of an earlier version may still run.
-        """
-        commits = read_if_present(self.spark, self._log, COMMIT)
-        if commits is None:
-            return []
-        mine = commits.filter(F.col("table_name") == table.full_name)
-        old = [row.path for row in mine.orderBy(F.desc("version")).collect()[max(keep, 1):]]
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        deleted = []
-        for path in old:
-            folder = jvm.org.apache.hadoop.fs.Path(path)
-            if folder.getFileSystem(conf).delete(folder, True):
-                deleted.append(path)
-        return deleted
+        return self._read(table, list(parts.values()))
 
-    def upsert_dimension(self, source: DataFrame, table: Table, order_by: Sequence[str], loaded_at: Column) -> DataFrame:
-        """Contents of a dimension after the upsert; to be given to ``publish``."""
-        current = self.table(table) if self.path(table.full_name) else None
-        return upsert(current, source, table, order_by, loaded_at)
+    def _read(self, table: Table, paths: list[str]) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], table.struct())
+        return self.spark.read.schema(table.struct()).parquet(*paths).select(*table.names)
 
+    # --- writing -----------------------------------------------------------------------------------
 
-class FactTable:
-    """Keyed facts, laid out by the day a key was first loaded.
+    def _folder(self, table: Table) -> str:
+        return f"{self.root}/{table.layer}/{table.name}/{uuid.uuid4().hex}"
 
-    That day never changes, so a key never moves between partitions. An upsert rewrites the
-    partitions that hold keys of the source, and the one of the load; a load that broke off is
-    repaired by running it again.
-    """
+    def stage(self, table: Table, df: DataFrame) -> Staged:
+        """Write the contents of a table; a row that its declaration forbids fails the load.
 
-    DAY = "load_day"
-
-    def __init__(self, spark: SparkSession, table: Table, path: str):
-        self.spark, self.table, self.path = spark, table, path
-        (self.stamp,) = table.stamps
+        Executors write the rows, from whatever partitions they are in.
+        """
+        path = self._folder(table)
+        refuse_violations(df.select(*table.names), table).write.parquet(path)
+        return Staged(table, {WHOLE: path})
 
-    def _stored(self) -> DataFrame | None:
-        return read_if_present(self.spark, self.path, self.table.struct().add(self.DAY, T.DateType()))
+    def publish(self, contents: dict[Table, DataFrame], facts: Sequence[Staged] = (), before: tuple[int, list] | None = None) -> None:
+        """Replace the contents of all given tables, and the given parts of facts, at once or, if anything fails, not at all."""
+        before = before or self._commits()
+        self._commit([*[self.stage(table, df) for table, df in contents.items()], *facts], before)
 
-    def exists(self) -> bool:
-        return self._stored() is not None
+    def upsert_dimension(self, source: DataFrame, table: Table, order_by: Sequence[str], loaded_at: Column,
+                         state: dict | None = None) -> DataFrame:
+        """Contents of a dimension after the upsert; to be given to ``publish``."""
+        state = self.state() if state is None else state
+        current = self.table(table, state) if table.full_name in state else None
+        return upsert(current, source, table, order_by, loaded_at)
 
-    def read(self) -> DataFrame:
-        stored = self._stored()
-        if stored is None:
-            raise LookupError(f"{self.table.full_name} has not been loaded")
-        return stored.select(*self.table.names)
+    def _part(self, table: Table) -> list[Column]:
+        (stamp,) = table.stamps
+        return [F.to_date(stamp).alias(DAY), F.pmod(F.xxhash64(*table.key), F.lit(self.buckets)).cast("int").alias(BUCKET)]
 
-    def _touched(self, stored: DataFrame, source: DataFrame) -> list:
-        """Days that hold keys of ``source``: reads key and day only; at most one value per day."""
-        keys = list(self.table.key)
-        held = stored.select(*keys, self.DAY).join(source.select(*keys), keys, "left_semi")
-        return [row[0] for row in held.select(self.DAY).distinct().collect()]
+    def stage_facts(self, source: DataFrame, table: Table, order_by: Sequence[str], loaded_at: Column,
+                    state: dict | None = None) -> Staged:
+        """Write the parts of keyed facts that an upsert of ``source`` changes; to be given to ``publish``.
 
-    def upsert(self, source: DataFrame, order_by: Sequence[str], loaded_at: Column) -> None:
-        stored, current = self._stored(), None
-        if stored is not None:
-            days = self._touched(stored, source)
-            touched = F.col(self.DAY).isin(days) | (F.col(self.DAY) == F.to_date(loaded_at))
-            current = stored.filter(touched).select(*self.table.names)
-        merged = upsert(current, source, self.table, order_by, loaded_at)
+        Facts are laid out by the day a key was first loaded and a hash of the key, neither of
+        which ever changes. The source is reduced to one row a key and stored, so it is evaluated
+        once and no key is hot after that. The parts that hold its keys are found by a semi join
+        that reads the keys of the buckets it touches; only these parts are rewritten, beside the
+        old ones.
+        """
+        (stamp,) = table.stamps
+        reduced = f"{self.root}/_drafts/{uuid.uuid4().hex}"
+        delivered = source.select(*table.fed, *[c for c in order_by if c not in table.fed])
+        newest = latest_by_key(delivered, list(table.key), [c for c in order_by if c not in table.fed])
+        fresh_rows = refuse_violations(newest.select(*table.fed), table).withColumn(stamp, loaded_at.cast("timestamp_ntz"))
+        fresh_rows.select("*", *self._part(table)).write.parquet(reduced)
+        fresh = self.spark.read.parquet(reduced)
+        # At most one row a bucket; and, below, one a day and bucket.
+        new_parts = {f"{r[DAY]}/{r[BUCKET]}" for r in fresh.select(DAY, BUCKET).distinct().collect()}
+        buckets = {p.split("/")[1] for p in new_parts}
+        held = (self.state() if state is None else state).get(table.full_name, {})
+        searched = [path for part, path in held.items() if part.split("/")[1] in buckets]
+        touched = set()
+        if searched:
+            keys = self._read(table, searched).select(*table.key, *self._part(table))
+            found = keys.join(fresh.select(*table.key), list(table.key), "left_semi").select(DAY, BUCKET).distinct()
+            touched = {f"{r[DAY]}/{r[BUCKET]}" for r in found.collect()}
+        current = self._read(table, [held[p] for p in sorted(touched | new_parts) if p in held])
+        merged = upsert(current, fresh.select(*table.fed), table, (), loaded_at)
+        folder = self._folder(table)
         (
-            merged.withColumn(self.DAY, F.to_date(self.stamp))
-            .hint("rebalance", F.col(self.DAY))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(self.DAY).parquet(self.path)
+            merged.select("*", *self._part(table)).hint("rebalance", F.col(DAY), F.col(BUCKET))
+            .write.partitionBy(DAY, BUCKET).parquet(folder)
         )
+        storage.delete(self.spark, reduced)
+        written = {}
+        for day in storage.children(self.spark, folder):
+            for bucket in storage.children(self.spark, f"{folder}/{day}"):
+                written[f"{day.split('=')[1]}/{bucket.split('=')[1]}"] = f"{folder}/{day}/{bucket}"
+        return Staged(table, written)
+
+    def upsert_facts(self, source: DataFrame, table: Table, order_by: Sequence[str], loaded_at: Column) -> None:
+        """One upsert of facts as a commit of its own."""
+        before = self._commits()
+        state = {name: {p: path for p, (path, _) in parts.items()} for name, parts in self._current(before[1]).items()}
+        self._commit([self.stage_facts(source, table, order_by, loaded_at, state)], before)
+
+    # --- upkeep ------------------------------------------------------------------------------------
+
+    def drop_old(self, keep: int = 2) -> list[str]:
+        """Delete the files of all but the ``keep`` newest versions of each part.
+
+        Keep more than one while readers of an earlier version may still run. What was deleted is
+        forgotten by a full commit, so that it is not tried again.
+        """
+        before = self._commits()
+        versions: dict[tuple[str, str], list] = {}
+        for row in before[1]:
+            versions.setdefault((row.table_name, row.part), []).append(row)
+        kept, deleted = [], []
+        for rows in versions.values():
+            rows.sort(key=lambda r: -r.version)
+            kept += [tuple(r) for r in rows[:max(keep, 1)]]
+            deleted += [r.path for r in rows[max(keep, 1):]]
+        deleted = [path for path in deleted if storage.delete(self.spark, path)]
+        if deleted:
+            self._commit([], before, kept)
+        return deleted
+
+    def register(self) -> None:
+        """Let the session catalog's tables of these names hold the current contents.
+
+        The tables are external: their folders are the published ones, a part of facts is a
+        partition, and dropping them deletes nothing.
+        """
+        from tillwright.schemas import TABLES
+
+        state = self.state()
+        for layer in dict.fromkeys(name.split(".")[0] for name in state):
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        for name, parts in state.items():
+            table = TABLES[name]
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            if set(parts) == {WHOLE}:
+                self.spark.sql(table.ddl(parts[WHOLE]))
+                continue
+            columns = ", ".join(f"{c.name} {c.sql_type}" for c in table.columns)
+            self.spark.sql(f"CREATE TABLE {name} ({columns}, {DAY} DATE, {BUCKET} INT) USING parquet "
+                           f"PARTITIONED BY ({DAY}, {BUCKET}) LOCATION '{self._folder(table)}'")
+            named = [f"PARTITION ({DAY}=DATE'{p.split('/')[0]}', {BUCKET}={p.split('/')[1]}) LOCATION '{path}'"
+                     for p, path in sorted(parts.items())]
+            for start in range(0, len(named), 500):
+                self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(named[start:start + 500])}")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,7 @@ from tillwright.functions.times import format_time, parse_time
 from tillwright.operators import aggregates, enrich, quality, realtime, reports
 from tillwright.operators.upsert import replay_upserts, upsert
 from tillwright.plans.batch import BatchLoad, Feed
-from tillwright.plans.warehouse import FactTable, Warehouse
+from tillwright.plans.warehouse import Warehouse
 from tillwright.session import scratch_path
 from tillwright.sources import files, star, topics
 from tillwright.streaming import ingest
@@ -83,7 +83,13 @@ def _stream_sales(spark, root):
 
 
 def _snapshots(spark, root):
-    return realtime.snapshots(star.stream_arrivals(spark, root), unique_sales=True)
+    return realtime.snapshots(star.stream_arrivals(spark, root))
+
+
+def _metric_log(spark, root):
+    warehouse = Warehouse(spark, scratch_path(spark, "metrics"))
+    warehouse.publish({schemas.REALTIME_SALES_METRICS: _snapshots(spark, root)})
+    return warehouse.table(schemas.REALTIME_SALES_METRICS)
 
 
 # --- sources, sinks and tables -------------------------------------------------------------------
@@ -91,8 +97,10 @@ def _snapshots(spark, root):
 
 @query
 def csv_roundtrip(spark, root):
-    path = scratch_path(spark, "sales-csv")
-    files.write_csv(_raw_sales(spark, root).select(*schemas.SALES_BATCH.fed), path)
+    path, third = scratch_path(spark, "sales-csv"), F.col("quantity") % 3
+    awkward = F.concat(F.lit('  "a", '), "customer_id", F.lit('\\" '))
+    texts = F.when(third == 0, awkward).when(third == 1, "").otherwise(F.col("customer_id"))
+    files.write_csv(_raw_sales(spark, root).withColumn("customer_id", texts).select(*schemas.SALES_BATCH.fed), path)
     return files.read_csv(spark, path, schemas.SALES_BATCH)
 
 
@@ -127,10 +135,10 @@ def upsert_stores(spark, root):
 @query
 def upsert_sales_batch(spark, root):
     arrivals, cutoff = star.sales_arrivals(spark, root), _time("1998-01-01 00:00:00")
-    stored = FactTable(spark, schemas.SALES_BATCH, scratch_path(spark, "sales-batch"))
-    stored.upsert(arrivals.filter(F.col(star.ARRIVAL) < cutoff), (star.ARRIVAL,), cutoff)
-    stored.upsert(arrivals.filter(F.col(star.ARRIVAL) >= cutoff), (star.ARRIVAL,), _time("2002-01-01 00:00:00"))
-    return stored.read()
+    stored, order = Warehouse(spark, scratch_path(spark, "sales-batch"), buckets=2), (star.ARRIVAL,)
+    stored.upsert_facts(arrivals.filter(F.col(star.ARRIVAL) < cutoff), schemas.SALES_BATCH, order, cutoff)
+    stored.upsert_facts(arrivals.filter(F.col(star.ARRIVAL) >= cutoff), schemas.SALES_BATCH, order, _time("2002-01-01 00:00:00"))
+    return stored.table(schemas.SALES_BATCH)
 
 
 @query
@@ -138,13 +146,38 @@ def stream_upsert(spark, root):
     return _stream_sales(spark, root)
 
 
-@query
-def stream_file_ingest(spark, root):
+def _ingested(spark, messages):
     folder = scratch_path(spark, "stream")
-    topics.write_topic_files(events.encode(_deliveries(spark, root), "ingestion_timestamp"), f"{folder}/topic")
+    topics.write_topic_files(messages, f"{folder}/topic")
     tables = ingest.StreamTables(folder)
     ingest.ingest_available(topics.read_topic_files(spark, f"{folder}/topic"), tables)
-    return ingest.read_sales(spark, tables)
+    return tables
+
+
+@query
+def stream_file_ingest(spark, root):
+    return ingest.read_sales(spark, _ingested(spark, events.encode(_deliveries(spark, root), "ingestion_timestamp")))
+
+
+@query
+def stream_quarantine(spark, root):
+    return ingest.read_quarantine(spark, _ingested(spark, _damaged(spark, root)))
+
+
+@query
+def stream_metric_log(spark, root):
+    """The metric row of each of four batches, one topic file a batch."""
+    folder, arrivals = scratch_path(spark, "metric-log"), star.stream_arrivals(spark, root)
+    quarter = F.ntile(4).over(Window.orderBy("batch"))
+    days = arrivals.select(F.to_date("ingestion_timestamp").alias("batch")).distinct().select("batch", quarter.alias("file"))
+    bounds = [r.least for r in days.groupBy("file").agg(F.min("batch").alias("least")).orderBy("file").collect()]
+    for first, end in zip(bounds, [*bounds[1:], None]):
+        day = F.to_date("ingestion_timestamp")
+        part = arrivals.filter((day >= F.lit(first)) & (F.lit(True) if end is None else day < F.lit(end)))
+        topics.write_topic_files(events.encode(part, "ingestion_timestamp").coalesce(1), f"{folder}/topic")
+    tables = ingest.StreamTables(folder)
+    ingest.ingest_available(topics.read_topic_files(spark, f"{folder}/topic", 1), tables)
+    return ingest.read_metrics(spark, tables)
 
 
 @query
@@ -156,11 +189,24 @@ def reload_overwrite(spark, root):
     return warehouse.table(schemas.PRODUCT_PERFORMANCE)
 
 
+def _feed(spark, root):
+    return Feed(star.products(spark, root), star.stores(spark, root), star.sales_arrivals(spark, root),
+                (star.ARRIVAL,))
+
+
+@query
+def batch_load(spark, root):
+    return BatchLoad(spark, scratch_path(spark, "warehouse"), buckets=2).run(_feed(spark, root), _time(FIRST_LOAD))
+
+
 @query
 def table_counts(spark, root):
-    feed = Feed(star.products(spark, root), star.stores(spark, root), star.sales_arrivals(spark, root),
-                (star.ARRIVAL,))
-    return BatchLoad(spark, scratch_path(spark, "warehouse")).run(feed, _time(FIRST_LOAD))
+    return quality.table_counts({
+        "raw.products": star.products(spark, root), "raw.stores": star.stores(spark, root),
+        "raw.sales_batch": _raw_sales(spark, root), "staging.sales_clean": _sales(spark, root),
+        "analytics.daily_sales_summary": _store_days(spark, root),
+        "analytics.product_performance": aggregates.product_totals(_sales(spark, root), "rows"),
+    })
 
 
 @query
@@ -171,17 +217,32 @@ def table_schema(spark, root):
     return quality.table_schema(spark, "analytics.daily_sales_summary", stored)
 
 
-@query
-def constraint_violations(spark, root):
+def _dirty_feed(spark, root):
     arrivals, quantity = star.sales_arrivals(spark, root), F.col("quantity")
-    feed = arrivals.select(
+    return arrivals.select(
         "sale_id", "product_id", F.repeat("store_id", F.when(quantity > 49, 60).otherwise(1)).alias("store_id"),
         "customer_id", "quantity", F.col("unit_price").cast("string").alias("unit_price"),
         F.when(quantity > 45, F.col("total_amount") * 10000).otherwise(F.col("total_amount"))
         .cast("decimal(18,2)").cast("string").alias("total_amount"),
-        F.when(quantity <= 40, F.col("payment_method")).alias("payment_method"), "sale_timestamp",
+        F.when(quantity <= 40, F.col("payment_method")).alias("payment_method"), "sale_timestamp", star.ARRIVAL,
     )
-    return quality.violations(feed, schemas.SALES_BATCH)
+
+
+@query
+def constraint_violations(spark, root):
+    return quality.violations(_dirty_feed(spark, root), schemas.SALES_BATCH)
+
+
+@query
+def load_rejects(spark, root):
+    """Sales that a load of a dirty feed keeps, and the rules that the others break."""
+    feed, rejects = quality.set_aside(_dirty_feed(spark, root), schemas.SALES_BATCH)
+    warehouse = Warehouse(spark, scratch_path(spark, "rejects"), buckets=2)
+    warehouse.upsert_facts(feed, schemas.SALES_BATCH, (star.ARRIVAL,), _time(FIRST_LOAD))
+    kept = warehouse.table(schemas.SALES_BATCH).select(
+        F.col("sale_id").alias("row_key"), F.lit("").alias("column_name"), F.lit("accepted").alias("rule"),
+        F.col("total_amount").cast("string").alias("value"))
+    return kept.unionByName(rejects)
 
 
 # --- cleaning and enrichment ---------------------------------------------------------------------
@@ -297,14 +358,17 @@ def city_sales(spark, root):
 
 @query
 def sql_report(spark, root):
-    return reports.run_report(
-        spark,
-        """
-        SELECT city, SUM(total_revenue) AS total_revenue, SUM(total_orders) AS total_orders
-        FROM {daily} GROUP BY city ORDER BY total_revenue DESC NULLS FIRST
-        """,
-        daily=_daily(spark, root),
-    )
+    """Revenue by region and weekday, as SQL text over the catalog's tables of a load."""
+    warehouse = Warehouse(spark, scratch_path(spark, "named"), buckets=1)
+    sales = warehouse.stage_facts(star.sales_arrivals(spark, root), schemas.SALES_BATCH, (star.ARRIVAL,), _time(FIRST_LOAD))
+    warehouse.publish({schemas.STORES: upsert(None, star.stores(spark, root), schemas.STORES, (), _time(FIRST_LOAD))}, [sales])
+    warehouse.register()
+    return spark.sql("""
+        SELECT s.region, weekday(b.sale_timestamp) AS weekday, COUNT(*) AS sales,
+               CAST(SUM(b.total_amount) AS DECIMAL(20,2)) AS revenue
+        FROM raw.sales_batch AS b INNER JOIN raw.stores AS s ON b.store_id = s.store_id
+        GROUP BY s.region, weekday(b.sale_timestamp)
+    """)
 
 
 @query
@@ -319,7 +383,7 @@ def category_revenue_share(spark, root):
 
 @query
 def top_products(spark, root):
-    return reports.top_products(_performance(spark, root))
+    return reports.top_products(aggregates.product_totals(_sales(spark, root), "rows"), star.products(spark, root))
 
 
 # --- realtime ------------------------------------------------------------------------------------
@@ -337,22 +401,23 @@ def realtime_snapshots_redelivered(spark, root):
 
 @query
 def realtime_metrics_recent(spark, root):
-    return reports.recent_metrics(_snapshots(spark, root))
+    return reports.recent_metrics(_metric_log(spark, root))
 
 
 @query
 def realtime_metrics_series(spark, root):
-    return reports.metrics_series(_snapshots(spark, root))
+    return reports.metrics_series(_metric_log(spark, root))
 
 
 @query
 def realtime_kpi_latest(spark, root):
-    return reports.latest_metrics_display(_snapshots(spark, root))
+    return reports.latest_metrics_display(_metric_log(spark, root))
 
 
 @query
 def recent_stream_sales(spark, root):
-    return reports.recent_stream_sales(_stream_sales(spark, root), star.products(spark, root),
+    tables = _ingested(spark, events.encode(_deliveries(spark, root), "ingestion_timestamp"))
+    return reports.recent_stream_sales(ingest.recent_sales(spark, tables), star.products(spark, root),
                                        star.stores(spark, root))
 
 

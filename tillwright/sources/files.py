@@ -2,34 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
 
 from tillwright.schemas import TIME_TEXT, Table
 
 
-def read_csv_text(spark: SparkSession, path: str, table: Table) -> DataFrame:
+#: Columns that tell a later line of a delivery from an earlier one.
+LINE_ORDER = ("_file", "_block", "_line")
+#: Quotes within a field are doubled, as spreadsheets and other writers do.
+_QUOTES = {"quote": '"', "escape": '"'}
+
+
+def read_csv_text(spark: SparkSession, path: str, table: Table, multi_line: bool = False, numbered: bool = False) -> DataFrame:
     """Columns of ``table`` as text, picked by name from CSV with a header.
 
-    Other columns are ignored; a missing path or column is an error. Only the header line is read
-    ahead, no type is inferred.
+    Other columns are ignored; a missing path or column is an error, and so is a file of a folder
+    whose header is not that of the others. Only header lines are read ahead, no type is inferred.
+    ``multi_line`` allows line breaks within quoted fields; a file is then read by one task.
+    ``numbered`` adds the columns of ``LINE_ORDER``.
     """
-    return spark.read.option("header", True).option("mode", "FAILFAST").csv(path).select(*table.fed)
+    # With a mark for NULL that no field holds, an empty field is NULL and a quoted empty one is empty text.
+    reader = spark.read.options(header=True, mode="FAILFAST", multiLine=multi_line, nullValue="\0", **_QUOTES)
+    header = reader.csv(path).columns
+    rows = reader.options(enforceSchema=False).schema(T.StructType([T.StructField(c, T.StringType()) for c in header])).csv(path)
+    places = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+              F.monotonically_increasing_id().alias("_line")] if numbered else []
+    return rows.select(*table.fed, *places)
 
 
-def read_csv(spark: SparkSession, path: str, table: Table) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, table: Table, multi_line: bool = False, numbered: bool = False) -> DataFrame:
     """The same columns with their declared types; text that does not fit is an error."""
     types = table.struct(only_fed=True)
-    return read_csv_text(spark, path, table).select(*[F.col(f.name).cast(f.dataType) for f in types])
+    order = LINE_ORDER if numbered else ()
+    return read_csv_text(spark, path, table, multi_line, numbered).select(
+        *[F.col(f.name).cast(f.dataType) for f in types], *order)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
+    """CSV with a header; texts keep their blanks and quotes, and empty text differs from NULL."""
     (
         df.write.mode("overwrite")
-        .option("header", True)
-        .option("timestampNTZFormat", TIME_TEXT)
+        .options(header=True, timestampNTZFormat=TIME_TEXT, ignoreLeadingWhiteSpace=False,
+                 ignoreTrailingWhiteSpace=False, **_QUOTES)
         .csv(path)
     )
 
@@ -38,20 +54,6 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_if_present(spark: SparkSession, path: str, schema: StructType, base: str | None = None) -> DataFrame | None:
-    """Parquet files with a known schema, so no footer is read; ``None`` if there is no such path.
-
-    ``base`` is the folder of the table if ``path`` is one of its partitions.
-    """
-    reader = spark.read.schema(schema)
-    try:
-        return (reader.option("basePath", base) if base else reader).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
 def append_parquet(df: DataFrame, columns: list[str], path: str) -> None:
     """Add the named columns of ``df``, in that order, to the files at ``path``."""
     df.select(*columns).write.mode("append").parquet(path)

@@ -72,19 +72,21 @@ def sales_arrivals(spark: SparkSession, root: str, recorded_amount: bool = False
     price = table(spark, root, "part").select("p_partkey", F.col("p_retailprice").cast(MONEY).alias("unit_price"))
     quantity = F.col("l_quantity").cast("int")
     payment = F.create_map(*[F.lit(x) for pair in PAYMENT_OF_FLAG.items() for x in pair])[F.col("l_returnflag")]
-    derived = line_total(quantity, F.col("unit_price"))
+    # The price of an unknown product is the line's own.
+    unit_price = F.coalesce("unit_price", (F.col("l_extendedprice") / F.col("l_quantity")).cast(MONEY))
+    derived = line_total(quantity, unit_price)
     hours = F.make_dt_interval(hours=(F.col("l_orderkey") % 24).cast("int"))
     return (
         lines
-        .join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(price, lines.l_partkey == price.p_partkey)
+        .join(orders, lines.l_orderkey == orders.o_orderkey, "left")
+        .join(price, lines.l_partkey == price.p_partkey, "left")
         .select(
             F.concat_ws("-", F.lit("BATCH"), "l_orderkey", "l_linenumber").alias("sale_id"),
             F.col("l_partkey").cast("string").alias("product_id"),
             F.col("l_suppkey").cast("string").alias("store_id"),
             F.col("o_custkey").cast("string").alias("customer_id"),
             quantity.alias("quantity"),
-            F.col("unit_price"),
+            unit_price.alias("unit_price"),
             (F.col("l_extendedprice").cast(MONEY) if recorded_amount else derived).alias("total_amount"),
             payment.alias("payment_method"),
             (F.col("o_orderdate") + hours).alias("sale_timestamp"),

@@ -3,7 +3,9 @@
 Sales are kept by a streaming aggregation per ``sale_id`` (first arrival, newest payload). Its
 partial step runs before the shuffle, and its state store is the key index: a micro-batch costs as
 much as the sales it holds, not as the table. Each batch writes the sales it changed under its own
-``batch_id``, so a batch that is run again after a failure replaces its own files.
+``batch_id``, so a batch that is run again after a failure replaces its own files. The metric row
+of a batch reads the days from the beginning of its window on, and of these only versions of sales
+that first arrived in it. ``compact`` leaves one version per sale of a day that has passed.
 """
 
 from __future__ import annotations
@@ -11,21 +13,20 @@ from __future__ import annotations
 import argparse
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
-from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tillwright import storage
 from tillwright.functions.events import accepted, rejected
 from tillwright.functions.times import from_micros, micros
 from tillwright.operators.realtime import WINDOW_SECONDS, window_metrics
 from tillwright.operators.upsert import latest_by_key
 from tillwright.schemas import REALTIME_SALES_METRICS, SALES_STREAM
 from tillwright.session import build_session
-from tillwright.sources.files import read_if_present
-from tillwright.sources.topics import read_kafka
+from tillwright.sources.topics import TOPIC_COLUMNS, read_kafka
 
 DAY, BATCH = "ingestion_day", "batch_id"
 
@@ -89,21 +90,34 @@ def _keep_batch(tables: StreamTables):
     return keep
 
 
+def _stored_days(spark: SparkSession, tables: StreamTables) -> list[date]:
+    """Days that have a folder, in order."""
+    return sorted(date.fromisoformat(name.split("=")[1]) for name in storage.children(spark, tables.sales))
+
+
 def _days(spark: SparkSession, tables: StreamTables, days: list[date]) -> DataFrame:
     """Stored versions of some days; only the folders of these days are listed."""
     schema = SALES_STREAM.struct().add(DAY, T.DateType()).add(BATCH, T.LongType())
-    found = [read_if_present(spark, f"{tables.sales}/{DAY}={day}", schema, tables.sales) for day in days]
-    empty = spark.createDataFrame([], schema)
-    return reduce(DataFrame.unionByName, [df for df in found if df is not None], empty)
+    if not days:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", tables.sales).parquet(*[f"{tables.sales}/{DAY}={day}" for day in days])
+
+
+def metric_key(batch_id: int) -> str:
+    """Key of a batch's metric row; as text in the order of batches."""
+    return f"batch-{batch_id:012d}"
 
 
 def _log_metrics(spark: SparkSession, tables: StreamTables, batch_id: int, now: datetime) -> None:
     """Metric row as of the newest arrival of this batch, over the stored sales of its window."""
     since = now - timedelta(seconds=WINDOW_SECONDS)
+    days = [day for day in _stored_days(spark, tables) if day >= since.date()]
+    # All versions of a sale carry its first arrival, so the window is cut before they are reduced.
     # A batch that runs again must not see later ones.
-    stored = _days(spark, tables, sorted({since.date(), now.date()})).filter(F.col(BATCH) <= batch_id)
+    stored = _days(spark, tables, days).filter(
+        (F.col("ingestion_timestamp") >= F.lit(since).cast("timestamp_ntz")) & (F.col(BATCH) <= batch_id))
     row = window_metrics(_newest(stored), F.lit(now).cast("timestamp_ntz")).withColumns({
-        "metric_key": F.lit(f"batch-{batch_id}"), BATCH: F.lit(batch_id).cast("bigint"),
+        "metric_key": F.lit(metric_key(batch_id)), BATCH: F.lit(batch_id).cast("bigint"),
     })
     _replace_partitions(row, tables.metrics, BATCH)
 
@@ -151,9 +165,50 @@ def read_metrics(spark: SparkSession, tables: StreamTables) -> DataFrame:
     return spark.read.schema(REALTIME_SALES_METRICS.struct()).parquet(tables.metrics).select(*REALTIME_SALES_METRICS.names)
 
 
+def recent_sales(spark: SparkSession, tables: StreamTables, n: int = 20) -> DataFrame:
+    """Streamed sales of the newest days, so many days that the ``n`` newest sales are among them.
+
+    A sale never leaves the day of its first arrival, so older days cannot hold any.
+    """
+    days: list[date] = []
+    for day in reversed(_stored_days(spark, tables)):
+        days.append(day)
+        if _days(spark, tables, days).select("sale_id").distinct().limit(n).count() >= n:
+            break
+    return _newest(_days(spark, tables, days)).select(*SALES_STREAM.names)
+
+
+def read_quarantine(spark: SparkSession, tables: StreamTables) -> DataFrame:
+    return spark.read.schema(TOPIC_COLUMNS).parquet(tables.quarantine)
+
+
+def compact(spark: SparkSession, tables: StreamTables, before: date) -> list[date]:
+    """Leave one version of each sale of the days before ``before``; returns the days that shrank.
+
+    Run it between batches, for days whose sales no longer arrive often. The newest versions are added
+    to the folder of the day's last batch first, and older folders go only then: a break at any
+    point leaves rows twice, which readers reduce, but loses none.
+    """
+    done = []
+    for day in _stored_days(spark, tables):
+        folder = f"{tables.sales}/{DAY}={day}"
+        batches = sorted(int(name.split("=")[1]) for name in storage.children(spark, folder))
+        if day >= before or len(batches) < 2:
+            continue
+        _newest(_days(spark, tables, [day])).select(*SALES_STREAM.names).write.mode("append").parquet(f"{folder}/{BATCH}={batches[-1]}")
+        for batch in batches[:-1]:
+            storage.delete(spark, f"{folder}/{BATCH}={batch}")
+        done.append(day)
+    return done
+
+
 def ingest_available(messages: DataFrame, tables: StreamTables, strict: bool = False) -> None:
-    """Process everything that has arrived and stop."""
-    start_sales(messages, tables, strict, availableNow=True).awaitTermination()
+    """Process everything that has arrived and stop. Invalid messages are set aside, or stop it if ``strict``."""
+    queries = [start_sales(messages, tables, strict, availableNow=True)]
+    if not strict:
+        queries.append(start_quarantine(messages, tables, availableNow=True))
+    for query in queries:
+        query.awaitTermination()
 
 
 def main() -> None:
@@ -162,9 +217,11 @@ def main() -> None:
     parser.add_argument("topic")
     parser.add_argument("root", help="folder of the tables and checkpoints, in shared storage")
     parser.add_argument("--strict", action="store_true", help="stop at an invalid message")
+    parser.add_argument("--data-bytes", type=int, help="volume of the keyed state, to size its partitions for good")
+    parser.add_argument("--max-offsets", type=int, help="messages a batch takes at most")
     args = parser.parse_args()
-    spark, tables = build_session(), StreamTables(args.root)
-    messages = read_kafka(spark, args.servers, args.topic)
+    spark, tables = build_session(data_bytes=args.data_bytes), StreamTables(args.root)
+    messages = read_kafka(spark, args.servers, args.topic, max_offsets_per_trigger=args.max_offsets)
     start_sales(messages, tables, args.strict)
     if not args.strict:
         start_quarantine(messages, tables)
