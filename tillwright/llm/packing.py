@@ -49,11 +49,12 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
     schema += ", ids binary" if with_ids else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        end = end_id.to_bytes(4, "little")
         encoder, row = Encoder(path), TaskContext.get().partitionId() << 40
         for batch in slices(batches, "text"):
             out: dict[str, list] = {c.split()[0]: [] for c in schema.split(", ")}
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = np.append(encoder.encode(text or ""), np.uint32(end_id)).astype("<u4").tobytes()
+                ids = encoder.encode(text or "") + end
                 for n, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     part = ids[4 * start:4 * (start + length)]
                     values = (row, doc_id, n, start, length, zlib.crc32(part), part)
