@@ -1,39 +1,49 @@
 """BPE encoding and decoding through tables of distinct words and distinct pieces.
 
-A block is a few megabytes of texts. Each block keeps the words of its texts as numbers into a
-list of its own distinct words. Only that list goes on: the lists of all blocks are reduced to
-one table of distinct words, each of which is encoded once, and joined back, so that a block's
-word numbers become token ids. Decoding does the same with the block's distinct ids and the
-vocabulary's table of pieces. The bulk, the numbers of words and ids, is moved once in each
-direction, packed.
+Encoding. A block is a few megabytes of texts. Its texts become numbers into the list of its own
+distinct words. The lists, cut by hash into fragments, meet in one task a fragment, where every
+distinct word of the corpus is encoded once; its ids go back to each block that has it, and are
+joined to the positions by the words' numbers. Frequent words cost one entry a block.
+
+Decoding. A block's distinct ids are joined with the vocabulary's table of pieces, which is sent
+to all executors as its size is the vocabulary's, and the pieces are put where the ids stand.
 
 Nulls and empty texts have no tokens. Rows are never merged: repeated rows each get a result.
-Columns other than the id and the text are ignored.
+Columns other than the id and the text are ignored. The input is read twice and must give the
+same rows in the same order each time, as files do; else the join fails, it never gives wrong ids.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import re
+import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 import tiktoken
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm.textbatch import slices
+from tillwright.llm.textbatch import Texts, slices
 
 #: Fixed value: the pattern by which byte-level vocabularies of this kind part a text.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: What a block's rows may hold of text; a longer text is a block of its own.
 BLOCK_BYTES = 4 << 20
+#: Text whose distinct words one fragment holds on average.
+FRAGMENT_BYTES = 32 << 20
+#: Words encoded, and documents decoded, at a time.
+BATCH_WORDS, BATCH_DOCS = 20_000, 1000
+#: Runs of white space other than one space, one line break, or a line break and a space before a letter.
+_RUNS = re.compile(r"\s{3}|[^\S\n]\s|\n[^\S ]|\s\s\Z|\x00")
 
 
 def special_tokens(path: str) -> dict[str, int]:
@@ -42,30 +52,32 @@ def special_tokens(path: str) -> dict[str, int]:
         return {t["content"]: t["id"] for t in json.load(file).get("added_tokens", [])}
 
 
-def splitter(specials: dict[str, int]) -> regex.Pattern:
-    """Pattern of the pieces that are encoded each for itself; special strings come first."""
-    head = "|".join(regex.escape(s) for s in sorted(specials, key=len, reverse=True))
-    return regex.compile(f"{head}|{PATTERN}" if head else PATTERN)
+class Splitter:
+    """Cuts texts into words, which are encoded each for itself; some may be empty."""
 
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
 
-#: Runs of white space other than one space, one line break, or a line break and a space before a letter.
-_RUNS = re.compile(r"\s{3}|[^\S\n]\s|\n[^\S ]|\s\s\Z|\x00")
+        self.cutter = Tokenizer.from_file(path).pre_tokenizer
+        self.specials = special_tokens(path)
+        self.special = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")") if self.specials else None
 
+    def split(self, text: str) -> list[str]:
+        """Words of a text.
 
-def split_words(pattern: regex.Pattern, specials: dict[str, int], text: str) -> list[str]:
-    """Words of a text, which are encoded each for itself; some may be empty.
+        Where white space is plain, a word is whatever lies between spaces, with the space before
+        it, or a line break: the vocabulary's pattern cuts at these places in any case, so a word's
+        ids do not depend on its neighbours. All else is cut by the pattern. A special string parts
+        the text wherever it stands, even within a word.
+        """
+        if self.special and self.special.search(text):
+            return list(chain.from_iterable([p] if p in self.specials else self._plain(p) for p in self.special.split(text)))
+        return self._plain(text)
 
-    Where white space is plain, a word is whatever lies between spaces, with the space before it,
-    or a line break: the pattern cuts at these places in any case, so that a word's ids do not
-    depend on its neighbours. All else is cut by the pattern. A special string parts the text
-    wherever it stands, even within a word.
-    """
-    if any(s in text for s in specials):
-        parts = regex.split("(" + "|".join(regex.escape(s) for s in specials) + ")", text)
-        return [w for p in parts for w in ([p] if p in specials else split_words(pattern, {}, p))]
-    if _RUNS.search(text):
-        return pattern.findall(text)
-    return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
+    def _plain(self, text: str) -> list[str]:
+        if _RUNS.search(text):
+            return [text[a:b] for _, (a, b) in self.cutter.pre_tokenize_str(text)]
+        return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
 
 
 def byte_letters() -> dict[str, int]:
@@ -124,14 +136,6 @@ def _ranked(path: str) -> tiktoken.Encoding | None:
     return tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special_tokens(path))
 
 
-class _Numbers(dict):
-    """Numbers words as they come."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self)
-        return number
-
-
 def _pack(numbers: np.ndarray) -> bytes:
     """Small numbers of many documents, in bytes planes, which compress well."""
     planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
@@ -143,180 +147,179 @@ def _unpack(payload: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).reshape(-1).view("<u4")
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], specials: dict[str, int]) -> Iterator[pa.RecordBatch]:
-    """Rows of part 0: a block's documents as word numbers; of part 1: its distinct words."""
-    pattern = splitter(specials)
-    task = TaskContext.get().partitionId()
-    for n, batch in enumerate(slices(batches, "text", BLOCK_BYTES)):
-        block = f"{task}-{n}"
-        numbers = _Numbers()
-        counts, codes = [], []
-        for text in batch.column("text").to_pylist():
-            words = split_words(pattern, specials, text) if text else []
-            counts.append(len(words))
-            codes.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)))
-        lengths = np.array(counts, np.uint32)
-        ids = batch.column("doc_id")
-        present = np.array(ids.is_valid(), np.uint32)
-        keys = np.array(ids.fill_null(0), np.int64)
-        head = np.concatenate([[len(lengths)], lengths, present, keys.view(np.uint32)]).astype(np.uint32)
-        whole = _pack(np.concatenate([head, *codes]))
-        words = list(numbers)
-        size = len(words) + 1
-        yield pa.RecordBatch.from_pydict({
-            "block": pa.array([block] * size, pa.string()),
-            "part": pa.array([0] + [1] * len(words), pa.int32()),
-            "ordinal": pa.array(range(-1, len(words)), pa.int32()),
-            "payload": pa.array([whole] + [None] * len(words), pa.binary()),
-            "word": pa.array([None, *words], pa.string()),
-        })
-
-
-def _open(payload: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
+def _to_bytes(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _column(payload: bytes) -> pa.Array:
+    return pa.ipc.open_stream(payload).read_next_batch().column(0)
+
+
+def _facts(ids: pa.Array, lengths: np.ndarray) -> np.ndarray:
+    """Number of documents, lengths, which ids are known, ids: what stands before a block's numbers."""
+    present = np.array(ids.is_valid(), np.uint32)
+    keys = np.array(ids.fill_null(0), np.int64).view(np.uint32)
+    return np.concatenate([[len(lengths)], lengths, present, keys]).astype(np.uint32)
+
+
+def _open(payload: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Ids, lengths and numbers of the documents of a block."""
     numbers = _unpack(payload)
     n = int(numbers[0])
     lengths, present = numbers[1:n + 1].astype(np.int64), numbers[n + 1:2 * n + 1]
     keys = np.ascontiguousarray(numbers[2 * n + 1:4 * n + 1]).view(np.int64)
-    ids = [int(k) if p else None for k, p in zip(keys, present)]
-    return ids, lengths, numbers[4 * n + 1:]
+    return pa.array(keys, mask=present == 0), lengths, numbers[4 * n + 1:]
 
 
-def _gather(table: list[bytes] | np.ndarray, sizes: np.ndarray, starts: np.ndarray, picks: np.ndarray) -> np.ndarray:
+def _numbered(batches: Iterator[pa.RecordBatch], path: str, fragments: int) -> Iterator[tuple]:
+    """For each block: its name, ids, lengths, words' numbers, distinct words by fragment, their numbers, fragments."""
+    splitter = Splitter(path)
+    task = TaskContext.get().partitionId()
+    for n, batch in enumerate(slices(batches, "text", BLOCK_BYTES)):
+        words = [splitter.split(t) if t else [] for t in batch.column("text").to_pylist()]
+        lengths = np.array([len(w) for w in words], np.int64)
+        coded = pa.array(list(chain.from_iterable(words)), pa.string()).dictionary_encode()
+        distinct = coded.dictionary
+        texts = Texts.of(distinct)
+        share = (texts.hashes(texts.bounds[:-1], texts.bounds[1:]) >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)
+        order = np.argsort(share, kind="stable")
+        distinct = distinct.take(pa.array(order))
+        mark = zlib.crc32(Texts.of(distinct).data)
+        yield f"{task}-{n}-{mark}", batch.column("doc_id"), lengths, np.array(coded.indices), distinct, order, share[order].astype(np.int64)
+
+
+def _words(batches: Iterator[pa.RecordBatch], path: str, fragments: int) -> Iterator[pa.RecordBatch]:
+    for block, _, _, _, distinct, _, share in _numbered(batches, path, fragments):
+        cuts = np.searchsorted(share, np.arange(fragments + 1))
+        held = np.flatnonzero(np.diff(cuts))
+        payloads = [_to_bytes(pa.RecordBatch.from_arrays([distinct.slice(cuts[f], cuts[f + 1] - cuts[f])], ["word"])) for f in held]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(held, pa.int32()), pa.array([block] * len(held), pa.string()), pa.array(payloads, pa.binary())],
+            ["fragment", "block", "payload"])
+
+
+def _documents(batches: Iterator[pa.RecordBatch], path: str, fragments: int) -> Iterator[pa.RecordBatch]:
+    for block, ids, lengths, numbers, distinct, order, _ in _numbered(batches, path, fragments):
+        payload = _pack(np.concatenate([_facts(ids, lengths), [len(order)], order, numbers]).astype(np.uint32))
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([block], pa.string()), pa.array([payload], pa.binary())],
+                                         ["fragment", "block", "payload"])
+
+
+def _encode_fragment(table: pa.Table, path: str) -> pa.Table:
+    """Encodes each distinct word of a fragment once; gives each block the ids of its words, in its order."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    tokenizer = Encoder(path).tokenizer
+    parts = [_column(p) for p in table.column("payload").to_pylist()]
+    coded = pa.concat_arrays(parts).dictionary_encode()
+    flat, sizes = [], []
+    for start in range(0, len(coded.dictionary), BATCH_WORDS):
+        for found in tokenizer.encode_batch(coded.dictionary.slice(start, BATCH_WORDS).to_pylist(), add_special_tokens=False):
+            ids = found.ids
+            flat.append(np.array(ids, np.uint32))
+            sizes.append(len(ids))
+    bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(flat) if flat else np.zeros(0, np.uint32)))
+    payloads, start = [], 0
+    for part in parts:
+        mine = lists.take(coded.indices.slice(start, len(part)))
+        start += len(part)
+        payloads.append(_to_bytes(pa.RecordBatch.from_arrays([mine], ["ids"])))
+    return pa.table({"fragment": table.column("fragment"), "block": table.column("block"), "payload": pa.array(payloads, pa.binary())})
+
+
+def _join_back(key: tuple, words: pa.Table, documents: pa.Table) -> pa.Table:
+    """The documents of a block, their words' numbers replaced by ids."""
+    if len(documents) != 1:
+        raise ValueError(f"block {key[0].as_py()} has {len(documents)} times its documents")
+    payloads = documents.column("payload").to_pylist() + words.sort_by("fragment").column("payload").to_pylist()
+    doc_ids, lengths, rest = _open(payloads[0])
+    count = int(rest[0])
+    order, numbers = rest[1:count + 1], rest[count + 1:]
+    lists = pa.concat_arrays([_column(p) for p in payloads[1:]]) if len(payloads) > 1 else pa.array([], pa.list_(pa.uint32()))
+    if len(lists) != count:
+        raise ValueError(f"block {key[0].as_py()} lost words")
+    sizes, starts = np.zeros(count, np.int64), np.zeros(count, np.int64)
+    sizes[order] = lists.value_lengths().to_numpy(zero_copy_only=False)
+    starts[order] = np.cumsum(sizes[order]) - sizes[order]
+    tokens = _gather(lists.flatten().to_numpy(), sizes, starts, numbers)
+    ends = np.concatenate([[0], np.cumsum(sizes[numbers])])
+    bounds = ends[np.concatenate([[0], np.cumsum(lengths)])].astype(np.int32)
+    return pa.table({"doc_id": doc_ids, "ids": pa.ListArray.from_arrays(pa.array(bounds), pa.array(tokens.astype(np.int32)))})
+
+
+def _gather(table: np.ndarray, sizes: np.ndarray, starts: np.ndarray, picks: np.ndarray) -> np.ndarray:
     """Concatenation of the ranges that ``picks`` names, out of one flat table."""
     lengths = sizes[picks]
+    if not len(lengths):
+        return table[:0]
     ends = np.cumsum(lengths)
-    at = np.arange(int(ends[-1]) if len(ends) else 0)
     shift = np.repeat(starts[picks] - (ends - lengths), lengths)
-    return table[at + shift]
+    return table[np.arange(int(ends[-1])) + shift]
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids array<int>) of every row, as the vocabulary file at ``path`` encodes its text."""
-    return _tokens(docs, path).select("doc_id", "ids")
-
-
-def _words_to_ids(words: DataFrame, path: str) -> DataFrame:
-    """(word, ids as little-endian bytes) of distinct words, each encoded once."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Encoder(path).tokenizer
-        for batch in batches:
-            found = tokenizer.encode_batch(batch.column("word").to_pylist(), add_special_tokens=False)
-            ids = [np.array(e.ids, "<u4").tobytes() for e in found]
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(ids, pa.binary())], ["word", "word_ids"])
-
-    return words.mapInArrow(run, "word string, word_ids binary")
-
-
-def _packed_tokens(docs: DataFrame, path: str) -> DataFrame:
-    """(block, payload): the documents of a block as token ids."""
-    specials = special_tokens(path)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        lambda batches: _blocks(batches, specials),
-        "block string, part int, ordinal int, payload binary, word string")
-    words = rows.filter("part = 1").select("block", "ordinal", "word")
-    encoded = _words_to_ids(words.select("word").distinct(), path)
-    listed = words.join(encoded, "word").select(
-        "block", "ordinal", F.lit(None).cast("binary").alias("payload"), "word_ids")
-    whole = rows.filter("part = 0").select("block", "ordinal", "payload", F.lit(None).cast("binary").alias("word_ids"))
-
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        ordinals = table.column("ordinal").to_numpy()
-        payload = table.column("payload").to_pylist()[int(np.flatnonzero(ordinals < 0)[0])]
-        ids, lengths, codes = _open(payload)
-        by_word = table.filter(pc.greater_equal(table.column("ordinal"), 0)).sort_by("ordinal")
-        parts = by_word.column("word_ids").to_pylist()
-        if len(parts) != (int(codes.max()) + 1 if len(codes) else 0):
-            raise ValueError(f"block {key[0].as_py()} lost words")
-        sizes = np.array([len(p) // 4 for p in parts], np.int64)
-        starts = np.cumsum(sizes) - sizes
-        flat = np.frombuffer(b"".join(parts), "<u4")
-        tokens = _gather(flat, sizes, starts, codes) if len(codes) else np.zeros(0, np.uint32)
-        ends = np.concatenate([[0], np.cumsum(sizes[codes] if len(codes) else np.zeros(0, np.int64))])
-        bounds = ends[np.concatenate([[0], np.cumsum(lengths)])]
-        n = len(ids)
-        present = np.array([i is not None for i in ids], np.uint32)
-        keys = np.array([i or 0 for i in ids], np.int64)
-        head = np.concatenate([[n], np.diff(bounds), present, keys.view(np.uint32)]).astype(np.uint32)
-        return pa.table({"block": [key[0].as_py()], "payload": pa.array(
-            [_pack(np.concatenate([head, tokens]))], pa.binary())})
-
-    return whole.unionByName(listed).groupBy("block").applyInArrow(run, "block string, payload binary")
-
-
-def _tokens(docs: DataFrame, path: str) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for payload in batch.column("payload").to_pylist():
-                ids, lengths, tokens = _open(payload)
-                bounds = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-                values = pa.array(tokens.astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(bounds), values)], ["doc_id", "ids"])
-
-    return _packed_tokens(docs, path).select("payload").mapInArrow(run, "doc_id long, ids array<int>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    fragments = max(8, -(-size // FRAGMENT_BYTES))
+    schema = "fragment int, block string, payload binary"
+    words = rows.mapInArrow(lambda b: _words(b, path, fragments), schema)
+    encoded = words.groupBy("fragment").applyInArrow(lambda t: _encode_fragment(t, path), schema)
+    texts = rows.mapInArrow(lambda b: _documents(b, path, fragments), schema)
+    # Each side has a stage of its own, so that a block has the same name in both.
+    return encoded.groupBy("block").cogroup(texts.groupBy("block")).applyInArrow(_join_back, "doc_id long, ids array<int>")
 
 
 def _token_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Token lists as blocks: part 0 the ids, renumbered within the block; part 1 its distinct ids."""
-    task = TaskContext.get().partitionId()
-    count = 0
+    """Each distinct id of a block, then a row of its documents, their ids renumbered."""
     for batch in batches:
-        for start in range(0, batch.num_rows, 1000):
-            rows = batch.slice(start, 1000)
+        for start in range(0, batch.num_rows, BATCH_DOCS):
+            rows = batch.slice(start, BATCH_DOCS)
             lists = pc.fill_null(rows.column("ids"), pa.scalar([], rows.column("ids").type))
-            lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.uint32)
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            distinct, codes = np.unique(flat, return_inverse=True)
-            keys = rows.column("doc_id")
-            head = np.concatenate([[rows.num_rows], lengths, np.array(keys.is_valid(), np.uint32),
-                                   np.array(keys.fill_null(0), np.int64).view(np.uint32)])
-            size = len(distinct) + 1
-            yield pa.RecordBatch.from_pydict({
-                "block": pa.array([f"{task}-{count}"] * size, pa.string()),
-                "ordinal": pa.array(range(-1, len(distinct)), pa.int32()),
-                "id": pa.array([None, *distinct.tolist()], pa.int32()),
-                "payload": pa.array([_pack(np.concatenate([head, codes]).astype(np.uint32)), *[None] * len(distinct)], pa.binary()),
-            })
-            count += 1
+            lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
+            distinct, numbers = np.unique(lists.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+            payload = _pack(np.concatenate([_facts(rows.column("doc_id"), lengths), numbers]).astype(np.uint32))
+            n = len(distinct)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*distinct.tolist(), None], pa.int32()), pa.array(range(n + 1), pa.int32()),
+                 pa.array([None] * n + [payload], pa.binary())], ["id", "ordinal", "payload"])
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, text) of every row of (doc_id, ids); bytes that are no UTF-8 become U+FFFD.
 
-    The pieces come from a join on the id with the vocabulary's table. An id outside it is an error.
+    The pieces come from a join on the id with the vocabulary's table, which every executor gets.
+    The join keeps the order of rows within a partition, so that nothing is shuffled; each block
+    checks that it has its pieces in order. An id outside the vocabulary is an error.
     """
-    blocks = tokens.select("doc_id", "ids").mapInArrow(
-        _token_blocks, "block string, ordinal int, id int, payload binary")
-    return _decode_blocks(blocks, path)
-
+    blocks = tokens.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids")).mapInArrow(
+        _token_blocks, "id int, ordinal int, payload binary")
 
-def _decode_blocks(blocks: DataFrame, path: str) -> DataFrame:
-    """As ``decode``, over rows of (block, ordinal, id, payload).
-
-    The table of pieces is bounded by the vocabulary, so the join may send it to every executor.
-    """
-    pieces = F.broadcast(piece_table(blocks.sparkSession, path))
-
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        ordered = table.sort_by("ordinal")
-        parts = ordered.column("piece").to_pylist()[1:]
-        if any(p is None for p in parts):
-            raise ValueError("an id is not in the vocabulary")
-        ids, lengths, codes = _open(ordered.column("payload").to_pylist()[0])
-        sizes = np.array([len(p) for p in parts], np.int64)
-        flat = np.frombuffer(b"".join(parts), np.uint8)
-        starts = np.cumsum(sizes) - sizes
-        letters = _gather(flat, sizes, starts, codes) if len(codes) else flat
-        ends = np.concatenate([[0], np.cumsum(sizes[codes] if len(codes) else np.zeros(0, np.int64))])
-        bounds = ends[np.concatenate([[0], np.cumsum(lengths)])]
-        whole = letters.tobytes()
-        known = np.array(ordered.column("id").to_pylist()[1:], np.int32)
-        tokens = pa.ListArray.from_arrays(
-            pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), pa.array(known[codes]))
-        texts = [whole[a:b].decode("utf-8", "replace") for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-        return pa.table({"doc_id": pa.array(ids, pa.int64()), "ids": tokens, "text": pa.array(texts, pa.string())})
-
-    return blocks.join(pieces, "id", "left").groupBy("block").applyInArrow(
-        run, "doc_id long, ids array<int>, text string")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids: list[int] = []
+        pieces: list[bytes] = []
+        for batch in batches:
+            for i, ordinal, piece, payload in zip(*(batch.column(c).to_pylist() for c in ("id", "ordinal", "piece", "payload"))):
+                if ordinal != len(ids):
+                    raise ValueError("a block's pieces are out of order")
+                if payload is None:
+                    if piece is None:
+                        raise ValueError(f"id {i} is not in the vocabulary")
+                    ids.append(i)
+                    pieces.append(piece)
+                    continue
+                doc_ids, lengths, numbers = _open(payload)
+                sizes = np.array([len(p) for p in pieces], np.int64)
+                letters = _gather(np.frombuffer(b"".join(pieces), np.uint8), sizes, np.cumsum(sizes) - sizes, numbers).tobytes()
+                places = np.concatenate([[0], np.cumsum(lengths)])
+                bounds = np.concatenate([[0], np.cumsum(sizes[numbers])])[places].tolist() if len(numbers) else [0] * len(places)
+                texts = [letters[a:b].decode("utf-8", "replace") for a, b in zip(bounds[:-1], bounds[1:])]
+                tokens = pa.ListArray.from_arrays(pa.array(places.astype(np.int32)), pa.array(np.array(ids, np.int32)[numbers]))
+                yield pa.RecordBatch.from_arrays([doc_ids, tokens, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+                ids, pieces = [], []
+
+    joined = blocks.join(F.broadcast(piece_table(tokens.sparkSession, path)), "id", "left")
+    return joined.select("id", "ordinal", "piece", "payload").mapInArrow(run, "doc_id long, ids array<int>, text string")
