@@ -1,0 +1,78 @@
+import random
+from collections import defaultdict
+
+from tillwright.llm import chat
+
+
+def plain(chosen, rejected):
+    """Segments of all pairs, by walking both conversations."""
+    sides = []
+    for rows in (chosen, rejected):
+        turns = {}
+        for pair, turn, role, text in rows:
+            if pair is not None and turn is not None:
+                said = (role if role is not None else "user", text if text is not None else "")
+                turns[pair, turn] = min(turns.get((pair, turn), said), said)
+        sides.append(turns)
+    out = defaultdict(list)
+    for pair in {p for side in sides for p, _ in side}:
+        common = True
+        for turn in sorted({t for side in sides for p, t in side if p == pair}):
+            a, b = (side.get((pair, turn)) for side in sides)
+            common = common and a == b
+            for part, said in (("prompt", a),) if common else (("chosen", a), ("rejected", b)):
+                if said:
+                    out[pair, part, turn // chat.SEGMENT].append(said)
+    result = {}
+    for key, said in out.items():
+        text, mask = "", []
+        for role, words in said:
+            start = len(text)
+            text += f"<|{role}|>\n{words}<|end|>\n"
+            if role == "assistant" and key[1] != "prompt":
+                mask.append((start, len(text)))
+        result[key] = (text, mask, len(said))
+    return result
+
+
+def shown(frame):
+    return {(r.pair_id, r.part, r.segment): (r.text, [tuple(m) for m in r["mask"]], r.turns) for r in frame.collect()}
+
+
+SCHEMA = "pair_id long, turn long, role string, text string"
+
+
+def test_pairs_equal_plain_walk(spark):
+    rng = random.Random(1)
+    chosen, rejected = [], []
+    for pair in range(25):
+        split, length = rng.randrange(0, 90), rng.randrange(1, 160)
+        for turn in range(length):
+            role = ["user", "assistant", "system"][turn % 2 if turn else 2 * (pair % 2)]
+            chosen.append((pair, turn, role, f"t{turn}é"))
+            if turn < split or rng.random() < 0.9:
+                rejected.append((pair, turn, role, f"t{turn}é" if turn < split else f"other {turn}"))
+    chosen += [(50, 0, "user", "alone"), (51, 3, None, None), (51, 3, "user", ""), (None, 1, "user", "x"), (52, None, "user", "x"),
+               (53, 1, "user", "b"), (53, 1, "user", "a"), (53, 1, "user", "a")]
+    rejected += [(51, 3, "user", None), (53, 1, "user", "a"), (54, 9, "assistant", "")]
+    rng.shuffle(chosen)
+    got = shown(chat.format_preferences(spark.createDataFrame(chosen, SCHEMA), spark.createDataFrame(rejected, SCHEMA)))
+    assert got == plain(chosen, rejected)
+    assert got[51, "prompt", 0] == ("<|user|>\n<|end|>\n", [], 1)
+
+
+def test_swapped_replies(spark):
+    rows = [(1, 0, "user", "q1"), (1, 1, "assistant", "a1"), (1, 2, "user", "q2"), (1, 3, "assistant", "a2"), (1, 4, "user", "q3"),
+            (2, 0, "user", "q"), (2, 1, "assistant", "a"), (3, 0, "user", "nobody answers")]
+    frame = spark.createDataFrame([(*r, 0) for r in rows], "conv_id long, turn long, role string, text string, pair_id long").drop("pair_id")
+    got = shown(chat.format_preferences(*chat.reply_swaps(frame)))
+    assert got[1, "prompt", 0][0].count("<|end|>") == 3
+    assert got[1, "chosen", 0][0] == "<|assistant|>\na2<|end|>\n" and got[1, "rejected", 0][0] == "<|assistant|>\na1<|end|>\n"
+    assert (2, "rejected", 0) not in got and 3 not in {k[0] for k in got}
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    assert chat.format_preferences(none, none).count() == 0
+    some = spark.createDataFrame([(1, 0, "assistant", "hi")], SCHEMA)
+    assert shown(chat.format_preferences(none, some)) == plain([], [(1, 0, "assistant", "hi")])

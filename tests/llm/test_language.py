@@ -1,0 +1,79 @@
+import numpy as np
+import pytest
+
+from tillwright.llm import langid, registry
+
+
+def longest(text, sample, at):
+    end = at + 1
+    while end <= len(text) and text[at:end] in sample:
+        end += 1
+    return max(1, end - 1 - at)
+
+
+def phrases(text, sample):
+    at = count = 0
+    while at < len(text):
+        at += longest(text, sample, at)
+        count += 1
+    return count
+
+
+def test_phrases_equal_plain_longest_matches():
+    rng = np.random.default_rng(0)
+    letters = list("abcd ")
+    samples = {k: langid.normalise("".join(rng.choice(letters, 300, p=p))) for k, p in
+               (("x", [.4, .3, .1, .1, .1]), ("y", [.1, .1, .4, .3, .1]))}
+    model = langid.Model.train(samples, langid.Settings(stretch=10_000))
+    texts = ["".join(rng.choice(letters, n)) for n in (1, 5, 40, 700)] + ["", None, "zz é a", "ABBA  dada!! 12 a"]
+    found, lengths = model.phrases(texts)
+    for text, counts, length in zip(texts, found.tolist(), lengths.tolist()):
+        plain = langid.normalise(text or "")
+        assert length == len(plain)
+        assert counts == [phrases(plain, samples[k]) for k in model.languages]
+
+
+def test_stretches_add_up():
+    model = langid.Model.train({"x": "abc abd"}, langid.Settings(stretch=4))
+    found, _ = model.phrases(["abcabcabcab"])
+    assert found[0, 0] == phrases("abca", "abc abd") + phrases("bcab", "abc abd") + phrases("cab", "abc abd")
+
+
+def test_held_out_accuracy(spark):
+    root = "/root/testdata/sf0.01"
+    found = registry.op7_language(spark, root)
+    truth = spark.read.parquet(f"{root}/documents.parquet").select("doc_id", "lang")
+    held = found.filter("held_out").join(truth, "doc_id").toPandas()
+    assert len(held) > 200 and (held.lang == held.lang_pred).mean() > 0.98
+    assert held.score.between(0, 1).all()
+
+
+def test_odd_rows_and_clashing_columns(spark, docs, odd):
+    taught = docs([(1, "the cat and the dog", "en"), (2, None, "en"), (3, "le chat et le chien", "fr"), (4, "x", None), (5, "", "de")],
+                  "doc_id long, text string, lang string")
+    model = langid.train(taught)
+    assert model.languages == ["en", "fr"]
+    frame = docs([(i, t, "old") for i, t in odd + [(9, "12 !?"), (8, "the the " * 9000)]], "doc_id long, text string, lang_pred string")
+    got = langid.predict(frame, model).collect()
+    assert len(got) == len(odd) + 2
+    by_id = {r.doc_id: r for r in got}
+    assert [by_id[i].lang_pred for i in (-1, -2, -3, 9, 8)] == ["und"] * 4 + ["en"]
+    assert by_id[-1].lang_score == 0.0
+    assert langid.predict(docs([]), model).count() == 0
+
+
+def test_nothing_to_learn_from(docs):
+    model = langid.train(docs([], "doc_id long, text string, lang string"))
+    assert [r.lang_pred for r in langid.predict(docs([(1, "some text")]), model).collect()] == ["und"]
+
+
+@pytest.mark.parametrize("text", ["abcbc", "aaaa", "abcabcabx"])
+def test_automaton_knows_exactly_the_substrings(text):
+    codes = [ord(c) - 97 for c in text]
+    table = langid.automaton(codes, 26)
+    subs = {text[i:j] for i in range(len(text)) for j in range(i + 1, len(text) + 1)}
+    for word in subs | {"ba", "cb", "xa", "bca"}:
+        state = 0
+        for c in word:
+            state = table[state, ord(c) - 97] if state >= 0 else -1
+        assert (state >= 0) == (word in subs)

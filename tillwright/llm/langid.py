@@ -90,7 +90,7 @@ def automaton(codes: list[int], width: int) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Joint step table of all languages. An entry is twice the next row, plus 1 if a phrase ended."""
+    """Joint step table of all languages. An entry is twice the next row, plus 1 if a phrase begins."""
 
     languages: list[str]
     letters: np.ndarray  # code point below PLAIN to letter code
@@ -115,17 +115,19 @@ class Model:
         for language in sorted(samples):
             table = automaton([code.get(c, 2) for c in samples[language]], width)
             root = table[0]
-            # Where the match ends, the phrase does: the letter opens the next one, from the root.
+            # An entry's last bit: the letter opens a phrase, as the match ended before it or it stands at
+            # the root. A letter that the sample lacks is a phrase of its own and leads back to the root.
             ended = table < 0
             opened = np.where(root >= 0, root, 0)
             nexts = np.where(ended, opened[None, :], table) + rows
             steps = 2 * nexts + ended
-            steps[0] = 2 * (opened + rows) + (root < 0)
+            steps[0] = 2 * (opened + rows) + 1
             steps[:, PAD] = 2 * (np.arange(len(table)) + rows)
             tables.append(steps.astype(np.int32))
             roots.append(rows)
             rows += len(table)
-        return cls(sorted(samples), letters, width, np.array(roots, np.int64), np.concatenate(tables).ravel(), settings.stretch)
+        return cls(sorted(samples), letters, width, np.array(roots, np.int64),
+                   np.concatenate([t.ravel() for t in tables]) if tables else np.zeros(0, np.int32), settings.stretch)
 
     def _codes(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
@@ -167,15 +169,15 @@ class Model:
         live = np.searchsorted(-sorted_sizes, -np.arange(self.stretch), "left")
         for k, root in enumerate(self.roots.tolist()):
             state = np.full(total, root * self.width, np.int64)
-            ended = np.ones(total, np.int64)
+            opened = np.zeros(total, np.int64)
             for column in range(int(sorted_sizes[0])):
                 n = int(live[column])
                 at = state[:n]
                 np.add(at, grid[column, :n], out=at)
                 entry = self.steps[at]
-                ended[:n] += entry & 1
+                opened[:n] += entry & 1
                 np.multiply(entry >> 1, self.width, out=at)
-            result[:, k] = np.bincount(owner[order], weights=ended, minlength=len(texts)).astype(np.int64)
+            result[:, k] = np.bincount(owner[order], weights=opened, minlength=len(texts)).astype(np.int64)
         return result, lengths
 
     def judge(self, texts: list[str | None]) -> list[tuple[str, float, float | None]]:

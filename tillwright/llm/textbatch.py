@@ -38,7 +38,7 @@ class _Powers:
     @classmethod
     def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(cls.up) < n:
-            size = max(n, 2 * len(cls.up))
+            size = n + n // 8
             for name, base in (("up", _BASE), ("down", _INVERSE)):
                 powers = np.full(size, base, np.uint64)
                 powers[0] = 1
