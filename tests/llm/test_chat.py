@@ -1,5 +1,6 @@
 import random
 from collections import defaultdict
+from llm_fixtures import shared_code  # noqa: F401
 
 from tillwright.llm import chat
 

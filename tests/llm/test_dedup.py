@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from llm_fixtures import docs, make_prose, odd, shared_code  # noqa: F401
 
 from tillwright.llm import jaccard, lines, passages, suffix
 from tillwright.llm.components import components
@@ -122,7 +123,7 @@ def test_repeated_strings_equal_brute_force(docs, odd, make_prose, monkeypatch,
     rows = copies(rng, make_prose) + odd + [(900, "ab" * 200), (901, "z" * 199), (902, "q" * 200), (903, "r" * 201)]
     line = make_prose(rng, 30)[:230]
     rows += [(1000 + i, make_prose(rng, i % 9) + line[i % 4:] + make_prose(rng, 20)) for i in range(25)]
-    got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest())
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept or b"").hexdigest())
                   for r in suffix.remove_repeats(docs(rows)).collect())
     assert got == repeats(rows, 200)
 
@@ -234,6 +235,14 @@ def test_planted_passages_are_found_with_edits(docs, odd, monkeypatch, block):
         assert any(r.start_word <= 72 and r.end_word >= 118 for r in by_id[i])
 
 
+def test_a_text_that_repeats_itself_gives_few_passages(docs):
+    found = passages.repeated_passages(docs([(1, "again " * 3000), (2, " ".join(f"w{i % 70}" for i in range(4000)))])).collect()
+    assert 2 <= len(found) <= 40
+    for doc_id, n in ((1, 3000), (2, 4000)):
+        spans = sorted((r.start_word, r.end_word) for r in found if r.doc_id == doc_id)
+        assert sum(b - a for a, b in spans) >= 0.9 * n
+
+
 def test_no_passages(docs):
     assert passages.repeated_passages(docs([])).count() == 0
     assert passages.repeated_passages(docs([(1, "a b c d e f g h"), (2, "a b c d e f g h")])).count() == 0

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from llm_fixtures import docs, make_prose, odd, shared_code  # noqa: F401
 
 from tillwright.llm import ordermin
 from tillwright.llm.textbatch import Texts, Words, combine, mix

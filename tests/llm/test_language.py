@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from llm_fixtures import docs, odd, shared_code  # noqa: F401
 
 from tillwright.llm import langid, registry
 

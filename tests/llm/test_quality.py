@@ -1,6 +1,7 @@
 import random
 import re
 from collections import Counter
+from llm_fixtures import docs, make_prose, odd, shared_code  # noqa: F401
 
 from tillwright.llm import quality
 

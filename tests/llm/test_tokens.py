@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from tokenizers import Tokenizer
+from llm_fixtures import docs, make_prose, odd, shared_code  # noqa: F401
 
 from tillwright.llm import bpe, packing, registry
 
