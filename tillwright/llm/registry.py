@@ -61,7 +61,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.coalesce("kept", F.lit(b"")), 256).alias("kept_sha256"))
 
 
 def op4_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:

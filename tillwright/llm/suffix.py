@@ -14,18 +14,21 @@ and leave as soon as their rank is theirs alone:
    pair of ranks at the position and ``FIRST`` bytes on. Pairs are counted; a pair found twice is a
    repeated string. Of stretches that step 2 found often, one takes part.
 
-Blocks of documents exchange ranks, packed and cut by hash range. Equal stretches of a block go
-out once; where a block has many stretches with one first rank, they are dealt out by stretch, so
-that a passage in a third of all documents loads no single task.
+Blocks of documents exchange ranks, packed and cut by hash range. Equal stretches or pairs of a
+block go out once; where a block has many stretches with one first rank, they are dealt out by
+stretch, so that a passage in a third of all documents loads no single task.
+
+The input is read twice and must give the same rows in the same order each time, as files do.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,11 +40,13 @@ from tillwright.session import scratch_path
 
 LENGTH = 200
 FIRST = 100
-BLOCK_BYTES = 2 << 20
-FRAGMENT_BYTES = 16 << 20
+BLOCK_BYTES = 1 << 20
+FRAGMENT_BYTES = 8 << 20
 #: Stretches with one first rank that a block sends to the rank's own task.
 CROWD = 2
 UNIQUE, REPEATED, OPEN, SAMPLE = 0, 1, 2, 3
+#: Number of an entry that no one asks about.
+NOBODY = 0xFFFFFFFF
 RESULTS = ("n_bytes", "n_removed", "n_spans", "spans", "kept")
 
 
@@ -73,11 +78,23 @@ def anchors(texts: Texts, length: int, first: int) -> tuple[np.ndarray, np.ndarr
     return low, high, ranks[chosen[opens]], texts.hashes(low, high + length, sums)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], fragments: int, length: int, first: int) -> Iterator[pa.RecordBatch]:
-    """Rows (key, block, payload): ranks under their fragment's key, rows and anchors under the block's own."""
+@dataclass
+class _Block:
+    """Anchors of a block, grouped by first rank and stretch."""
+
+    name: str
+    batch: pa.RecordBatch
+    low: np.ndarray
+    high: np.ndarray
+    stretch: np.ndarray  # group of each anchor
+    ranks: np.ndarray  # of each group, in order
+    wholes: np.ndarray
+    counts: np.ndarray
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], length: int, first: int) -> Iterator[_Block]:
     task = TaskContext.get().partitionId()
     for number, batch in enumerate(slices(batches, "text", BLOCK_BYTES)):
-        block = (task << 32) + number
         low, high, ranks, wholes = anchors(Texts.of(batch.column("text")), length, first)
         order = np.lexsort((wholes, ranks))
         k, u = ranks[order], wholes[order]
@@ -86,47 +103,58 @@ def _blocks(batches: Iterator[pa.RecordBatch], fragments: int, length: int, firs
         groups = np.cumsum(new) - 1
         own = np.empty(len(k), np.int64)
         own[order] = groups
-        k, u = k[new], u[new]
-        counts = np.minimum(np.bincount(groups, minlength=len(k)), 2)
+        name = f"{task}-{number}-{zlib.crc32(ranks)}"
+        yield _Block(name, batch, low, high, own, k[new], u[new], np.minimum(np.bincount(groups, minlength=int(new.sum())), 2))
+
+
+def _deal(target: np.ndarray, fragments: int, block: str, columns: list[np.ndarray]) -> pa.RecordBatch:
+    """Rows (fragment, block, payload) of the columns, those of one fragment in order of the first."""
+    order = np.lexsort((columns[0], target))
+    bounds = np.searchsorted(target[order], np.arange(fragments + 1))
+    held = np.flatnonzero(np.diff(bounds))
+    payloads = [pack_numbers(*(c[order[bounds[f]:bounds[f + 1]]] for c in columns)) for f in held]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(held, pa.int32()), pa.array([block] * len(held), pa.string()), pa.array(payloads, pa.binary())],
+        ["fragment", "block", "payload"])
+
+
+def _ranks(batches: Iterator[pa.RecordBatch], fragments: int, length: int, first: int) -> Iterator[pa.RecordBatch]:
+    """Ranks and stretches of each block, under their fragment."""
+    for block in _blocks(batches, length, first):
+        k, u = block.ranks, block.wholes
         # Stretches of one rank: so many, and dealt out by stretch if they are a crowd.
         lead = np.concatenate([[True], k[1:] != k[:-1]])[:len(k)]
         sizes = np.diff(np.concatenate([np.flatnonzero(lead), [len(k)]]))
         crowd = np.repeat(sizes > CROWD, sizes) if len(k) else lead
-        keys = [2 * fragments + block]
-        rows = to_bytes(batch)
-        payloads, heads = [rows + pack_numbers(low, high - low, own)], [len(rows)]
         cut = (k >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)
-        salted = np.uint64(fragments) + (mix(u) >> np.uint64(32)) * np.uint64(fragments) // np.uint64(1 << 32)
-        index = np.arange(len(k), dtype=np.uint32)
+        salted = np.uint64(fragments) + ((mix(u) >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32))
         known = np.flatnonzero(lead & crowd)  # the rank's own task must know that it is shared
         target = np.concatenate([np.where(crowd, salted, cut), cut[known]]).astype(np.int64)
-        k, u = np.concatenate([k, k[known]]), np.concatenate([u, np.zeros(len(known), np.uint64)])
-        index = np.concatenate([index, np.full(len(known), 0xFFFFFFFF, np.uint32)])
-        counts = np.concatenate([counts, np.full(len(known), 2)])
-        order = np.lexsort((k, target))
-        bounds = np.searchsorted(target[order], np.arange(2 * fragments + 1))
-        for f in np.flatnonzero(np.diff(bounds)).tolist():
-            mine = order[bounds[f]:bounds[f + 1]]
-            keys.append(f)
-            payloads.append(pack_numbers(k[mine], u[mine] & np.uint64(0xFFFFFFFF), u[mine] >> np.uint64(32), index[mine], counts[mine]))
-            heads.append(0)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.int64()), pa.array([block] * len(keys), pa.int64()), pa.array(heads, pa.int64()),
-             pa.array(payloads, pa.binary())], ["key", "block", "head", "payload"])
+        u = np.concatenate([u, np.zeros(len(known), np.uint64)])
+        yield _deal(target, 2 * fragments, block.name, [
+            np.concatenate([k, k[known]]), u & np.uint64(0xFFFFFFFF), u >> np.uint64(32),
+            np.concatenate([np.arange(len(k)), np.full(len(known), NOBODY)]), np.concatenate([block.counts, np.full(len(known), 2)])])
+
+
+def _rows(batches: Iterator[pa.RecordBatch], length: int, first: int) -> Iterator[pa.RecordBatch]:
+    """Rows and anchors of each block."""
+    for block in _blocks(batches, length, first):
+        rows = to_bytes(block.batch)
+        payload = rows + pack_numbers(block.low, block.high - block.low, block.stretch)
+        yield pa.RecordBatch.from_arrays([pa.array([block.name]), pa.array([len(rows)], pa.int64()), pa.array([payload], pa.binary())],
+                                         ["block", "head", "payload"])
 
 
 def _judge(key: tuple, table: pa.Table, fragments: int) -> pa.Table:
     """What each block's stretches are: (block, payload of index and kind), unique ones left out."""
     fragment = key[0].as_py()
-    if fragment >= 2 * fragments:
-        return table.select(["block", "head", "payload"])
     blocks = table.column("block").to_pylist()
     parts = [unpack_numbers(p, 5) for p in table.column("payload").to_pylist()]
     k = np.concatenate([p[0] for p in parts])
     u = np.concatenate([p[1].astype(np.uint64) | (p[2].astype(np.uint64) << np.uint64(32)) for p in parts])
     index, counts = np.concatenate([p[3] for p in parts]), np.concatenate([p[4] for p in parts]).astype(np.int64)
     source = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
-    told = index == 0xFFFFFFFF
+    told = index == NOBODY
     order = np.lexsort((source, u, k))
     k, u, index, counts, source, told = (x[order] for x in (k, u, index, counts, source, told))
     new_k = np.concatenate([[True], k[1:] != k[:-1]])
@@ -149,12 +177,11 @@ def _judge(key: tuple, table: pa.Table, fragments: int) -> pa.Table:
             mine = mine[np.argsort(index[mine])]
             out.append(block)
             payloads.append(pack_numbers(index[mine], kind[mine]))
-    return pa.table({"block": pa.array(out, pa.int64()), "head": pa.array([0] * len(out), pa.int64()),
-                     "payload": pa.array(payloads, pa.binary())})
+    return pa.table({"block": pa.array(out, pa.string()), "payload": pa.array(payloads, pa.binary())})
 
 
 def finish(batch: pa.RecordBatch, texts: Texts, low: np.ndarray, high: np.ndarray, length: int) -> pa.RecordBatch:
-    """``batch`` and what goes from it, if the strings that start at ``low`` to ``high`` are repeated."""
+    """The columns of ``batch`` but its text, and what is left, if the strings that start at ``low`` to ``high`` go."""
     edges = np.zeros(len(texts.data) + 1, np.int32)
     np.add.at(edges, low, 1)
     np.add.at(edges, high + length, -1)
@@ -172,64 +199,110 @@ def finish(batch: pa.RecordBatch, texts: Texts, low: np.ndarray, high: np.ndarra
     removed = texts.per_text(gone)
     left = texts.data[~gone].tobytes()
     bounds = np.concatenate([[0], np.cumsum(np.diff(texts.bounds) - removed)])
-    kept = [left[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+    known = batch.column("text").is_valid().to_pylist()
+    kept = [left[a:b] if k else None for a, b, k in zip(bounds[:-1].tolist(), bounds[1:].tolist(), known)]
+    others = [n for n in batch.schema.names if n != "text"]
     return pa.RecordBatch.from_arrays(
-        [*batch.columns, pa.array(np.diff(texts.bounds), pa.int64()), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()),
+        [*[batch.column(n) for n in others], pa.array(np.diff(texts.bounds), pa.int64()), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()),
          pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_spans)]).astype(np.int32)), spans), pa.array(kept, pa.binary())],
-        [*batch.schema.names, *RESULTS])
+        [*others, *RESULTS])
+
+
+STAGED = "kind int, fragment int, block string, payload binary"
+DONE, PENDING, PAIRS = 0, 1, 2
+
 
+def _spread(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """All positions of the ranges, in their order."""
+    sizes = high - low + 1
+    return np.arange(int(sizes.sum())) + np.repeat(low - (np.cumsum(sizes) - sizes), sizes)
 
-STAGED = "kind int, block long, at long, one long, two long, asks boolean, payload binary"
-DONE, PENDING, POSITION = 0, 1, 2
+
+def _pairs(texts: Texts, positions: np.ndarray, length: int, first: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks of the first bytes at each position, and of those ``first`` bytes on up to the whole length."""
+    sums = texts.sums()
+    one = texts.hashes(positions, positions + first, sums)
+    two = texts.hashes(positions + first, positions + length, sums)
+    return one, (two >> np.uint64(32)).astype(np.uint32)
+
+
+def _groups(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of each pair's group, in order of the pairs, and where each group is first met."""
+    order = np.lexsort((two, one))
+    new = np.ones(len(order), bool)
+    new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(new) - 1
+    return group, order[new]
 
 
-def _resolve(key: tuple, table: pa.Table, length: int, first: int) -> pa.Table:
-    """A block after step 2: finished rows, rows that wait, and ranked positions of step 3."""
+def _resolve(key: tuple, replies: pa.Table, rows: pa.Table, fragments: int, length: int, first: int) -> pa.Table:
+    """A block after step 2: finished rows, rows that wait, and pairs of ranks of step 3."""
     block = key[0].as_py()
-    heads, payloads = table.column("head").to_pylist(), table.column("payload").to_pylist()
-    own = int(np.argmax(heads))
-    body = payloads[own]
-    batch = _read_batch(body[:heads[own]])
+    if len(rows) != 1:
+        raise ValueError(f"block {block} has {len(rows)} times its rows")
+    head, body = rows.column("head")[0].as_py(), rows.column("payload")[0].as_py()
+    batch = _read_batch(body[:head])
     texts = Texts.of(batch.column("text"))
-    low, width, stretch = unpack_numbers(body[heads[own]:], 3)
+    low, width, stretch = unpack_numbers(body[head:], 3)
     low, high, stretch = low.astype(np.int64), (low + width).astype(np.int64), stretch.astype(np.int64)
     kinds = np.zeros(int(stretch.max()) + 1 if len(stretch) else 0, np.int64)
-    for i, payload in enumerate(payloads):
-        if i != own:
-            index, kind = unpack_numbers(payload, 2)
-            kinds[index.astype(np.int64)] = kind
+    for payload in replies.column("payload").to_pylist():
+        index, kind = unpack_numbers(payload, 2)
+        kinds[index.astype(np.int64)] = kind
     kind = kinds[stretch] if len(stretch) else stretch
-    sure = (kind == REPEATED) | (kind == SAMPLE)
-    asks = kind == OPEN
-    _, firsts = np.unique(stretch, return_index=True)
+    sure, asks = (kind == REPEATED) | (kind == SAMPLE), kind == OPEN
     lone = np.zeros(len(stretch), bool)
-    lone[firsts] = True
-    spread = np.flatnonzero(asks | ((kind == SAMPLE) & lone))
-    sizes = high[spread] - low[spread] + 1
-    positions = np.arange(int(sizes.sum())) + np.repeat(low[spread] - (np.cumsum(sizes) - sizes), sizes)
-    sums = texts.sums()
-    one = texts.hashes(positions, positions + first, sums).view(np.int64)
-    two = texts.hashes(positions + first, positions + length, sums).view(np.int64)
+    lone[np.unique(stretch, return_index=True)[1]] = True
     waits = np.zeros(len(texts), bool)
-    waits[texts.text_of(low[asks])] = True
     owner = texts.text_of(low)
-    rows = [(DONE, to_bytes(_part(batch, texts, np.flatnonzero(~waits), low[sure], high[sure], owner[sure], length)))] \
-        if not waits.all() else []
+    waits[owner[asks]] = True
+    out: list[tuple] = []
+    if not waits.all():
+        out.append((DONE, -1, to_bytes(_part(batch, texts, np.flatnonzero(~waits), low[sure], high[sure], owner[sure], length))))
     if waits.any():
         rest = np.flatnonzero(waits)
         mine = sure & waits[owner]
-        head = to_bytes(batch.take(pa.array(rest)))
         # Positions are those of the whole block.
-        facts = pa.RecordBatch.from_arrays([pa.array([x], pa.list_(pa.int64())) for x in (texts.bounds[rest], low[mine], high[mine])],
-                                           ["base", "low", "high"])
-        rows.append((PENDING, head + to_bytes(facts)))
-    n, m = len(rows), len(positions)
-    return pa.table({
-        "kind": pa.array([r[0] for r in rows] + [POSITION] * m, pa.int32()), "block": pa.array([block] * (n + m), pa.int64()),
-        "at": pa.array(np.concatenate([np.zeros(n, np.int64), positions])), "one": pa.array(np.concatenate([np.zeros(n, np.int64), one])),
-        "two": pa.array(np.concatenate([np.zeros(n, np.int64), two])),
-        "asks": pa.array(np.concatenate([np.zeros(n, bool), np.repeat(asks[spread], sizes)])),
-        "payload": pa.array([r[1] for r in rows] + [None] * m, pa.binary())})
+        facts = pa.RecordBatch.from_arrays(
+            [pa.array([x], pa.list_(pa.int64())) for x in (texts.bounds[rest], low[mine], high[mine], low[asks], high[asks])],
+            ["base", "low", "high", "open_low", "open_high"])
+        out.append((PENDING, -1, to_bytes(batch.take(pa.array(rest))) + to_bytes(facts)))
+    table = pa.table({"kind": pa.array([r[0] for r in out], pa.int32()), "fragment": pa.array([r[1] for r in out], pa.int32()),
+                      "block": pa.array([block] * len(out), pa.string()), "payload": pa.array([r[2] for r in out], pa.binary())})
+    sample = (kind == SAMPLE) & lone
+    if not (asks.any() or sample.any()):
+        return table
+    asked = _spread(low[asks], high[asks])
+    one, two = _pairs(texts, np.concatenate([asked, _spread(low[sample], high[sample])]), length, first)
+    group, firsts = _groups(one, two)
+    counts = np.minimum(np.bincount(group), 2)
+    wanted = np.zeros(len(firsts), bool)
+    wanted[group[:len(asked)]] = True
+    number = np.where(wanted, np.cumsum(wanted) - 1, NOBODY)
+    one, two = one[firsts], two[firsts]
+    target = ((one >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)).astype(np.int64)
+    dealt = _deal(target, fragments, block, [one, two, number, counts])
+    pairs = pa.Table.from_batches([dealt]).add_column(0, "kind", pa.array([PAIRS] * dealt.num_rows, pa.int32()))
+    return pa.concat_tables([table, pairs])
+
+
+def _match(table: pa.Table) -> pa.Table:
+    """Of a fragment of pairs, the numbers of those that occur twice, to each block that asks."""
+    blocks = table.column("block").to_pylist()
+    parts = [unpack_numbers(p, 4) for p in table.column("payload").to_pylist()]
+    one, two, number, counts = (np.concatenate([p[i] for p in parts]) for i in range(4))
+    group, _ = _groups(one, two)
+    repeated = np.bincount(group, weights=counts)[group] > 1
+    bounds = np.concatenate([[0], np.cumsum([len(p[0]) for p in parts])])
+    out, payloads = [], []
+    for i, block in enumerate(blocks):
+        mine = np.arange(bounds[i], bounds[i + 1])
+        mine = mine[repeated[mine] & (number[mine] != NOBODY)]
+        if len(mine):
+            out.append(block)
+            payloads.append(pack_numbers(np.sort(number[mine])))
+    return pa.table({"block": pa.array(out, pa.string()), "payload": pa.array(payloads, pa.binary())})
 
 
 def _read_batch(payload: bytes) -> pa.RecordBatch:
@@ -247,64 +320,70 @@ def _part(batch, texts, rows, low, high, owner, length) -> pa.RecordBatch:
     return finish(part, own, low[here] + shift, high[here] + shift, length)
 
 
-def _complete(table: pa.Table, length: int) -> pa.Table:
-    """The rows of a block that waited, once its repeated positions are known."""
-    payloads = [p for p in table.column("payload").to_pylist() if p is not None]
-    if not payloads:
-        raise ValueError("a block lost its rows")
-    source = pa.BufferReader(payloads[0])
+def _complete(key: tuple, waiting: pa.Table, replies: pa.Table, length: int, first: int) -> pa.Table:
+    """The rows of a block that waited, once its repeated pairs are known."""
+    if len(waiting) != 1:
+        raise ValueError(f"block {key[0].as_py()} has {len(waiting)} times its rows")
+    source = pa.BufferReader(waiting.column("payload")[0].as_py())
     batch, facts = (pa.ipc.open_stream(source).read_all().combine_chunks().to_batches()[0] for _ in range(2))
-    base, low, high = (facts.column(i)[0].values.to_numpy().astype(np.int64) for i in range(3))
-    found = table.filter(pc.is_null(table.column("payload"))).column("at").to_numpy().astype(np.int64)
+    base, low, high, open_low, open_high = (facts.column(i)[0].values.to_numpy().astype(np.int64) for i in range(5))
     own = Texts.of(batch.column("text"))
-    low, high = np.concatenate([low, found]), np.concatenate([high, found])
-    row = np.searchsorted(base, low, "right") - 1
-    # Empty texts share their base with the next one, but no string starts in them.
-    shift = own.bounds[row] - base[row]
-    return pa.Table.from_batches([finish(batch, own, low + shift, high + shift, length)])
+
+    def here(at: np.ndarray) -> np.ndarray:
+        """Places in these rows of places in the block; empty texts hold none."""
+        row = np.searchsorted(base, at, "right") - 1
+        return at + own.bounds[row] - base[row]
+
+    positions = _spread(here(open_low), here(open_high))
+    group, firsts = _groups(*_pairs(own, positions, length, first))
+    repeated = np.zeros(len(firsts), bool)
+    for payload in replies.column("payload").to_pylist():
+        repeated[unpack_numbers(payload, 1)[0].astype(np.int64)] = True
+    found = positions[repeated[group]]
+    return pa.Table.from_batches([finish(batch, own, np.concatenate([here(low), found]), np.concatenate([here(high), found]), length)])
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, first: int = FIRST) -> DataFrame:
-    """``docs`` with n_bytes, n_removed, n_spans, spans (array<struct<start, end>> in bytes) and kept (binary).
+    """The columns of ``docs`` but ``text``, and n_bytes, n_removed, n_spans, spans, kept.
 
-    Every row stays, in no order, with its columns; those named like a result are replaced. A null
-    or empty text has no bytes. Repeated rows repeat each other. Texts shorter than ``length``
-    are kept whole. Ranks are 64-bit hashes, compared in pairs.
+    ``spans`` (array<struct<start, end>>) are the maximal removed runs, in bytes; ``kept`` (binary)
+    is what is left, null for a null text, which like an empty one has no bytes. Every row stays,
+    in no order; columns named like a result are replaced. Repeated rows repeat each other. Texts
+    shorter than ``length`` are kept whole. Ranks are hashes, compared in pairs of 64 bits and more.
     """
     spark = docs.sparkSession
     docs = docs.drop(*RESULTS)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     fragments = max(8, -(-size // FRAGMENT_BYTES))
-    packed = docs.mapInArrow(lambda b: _blocks(b, fragments, length, first), "key long, block long, head long, payload binary")
-    replies = packed.groupBy("key").applyInArrow(lambda key, t: _judge(key, t, fragments), "block long, head long, payload binary")
+    # Both readings take the same columns, as their size decides where batches end.
+    ranks = docs.mapInArrow(lambda b: _ranks(b, fragments, length, first), "fragment int, block string, payload binary")
+    judged = ranks.groupBy("fragment").applyInArrow(lambda key, t: _judge(key, t, fragments), "block string, payload binary")
+    rows = docs.mapInArrow(lambda b: _rows(b, length, first), "block string, head long, payload binary")
     path = scratch_path(spark, "repeats")
-    replies.groupBy("block").applyInArrow(lambda key, t: _resolve(key, t, length, first), STAGED).write.parquet(path)
+    # Each side has a stage of its own, so that a block has the same name in both.
+    judged.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(
+        lambda key, replies, own: _resolve(key, replies, own, fragments, length, first), STAGED).write.parquet(path)
     staged = spark.read.schema(STAGED).parquet(path)
 
-    schema = T.StructType(list(docs.schema)).add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add(
+    schema = T.StructType([f for f in docs.schema if f.name != "text"]).add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add(
         "spans", T.ArrayType(T.StructType().add("start", "long").add("end", "long"))).add("kept", "binary")
     done = staged.filter(f"kind = {DONE}").select("payload").mapInArrow(
         lambda batches: (_read_batch(p) for b in batches for p in b.column("payload").to_pylist()), schema)
-    positions = staged.filter(f"kind = {POSITION}").select("block", "at", "one", "two", "asks")
-    twice = positions.groupBy("one", "two").agg(F.count("*").alias("n")).filter("n > 1").select("one", "two")
-    found = positions.filter("asks").join(twice, ["one", "two"], "left_semi")
-    waiting = staged.filter(f"kind = {PENDING}").select("block", F.lit(0).cast("long").alias("at"), "payload")
-    met = waiting.unionByName(found.select("block", "at", F.lit(None).cast("binary").alias("payload")))
-    rest = met.groupBy("block").applyInArrow(lambda t: _complete(t, length), schema)
+    pairs = staged.filter(f"kind = {PAIRS}").select("fragment", "block", "payload")
+    matched = pairs.groupBy("fragment").applyInArrow(_match, "block string, payload binary")
+    waiting = staged.filter(f"kind = {PENDING}").select("block", "payload")
+    rest = waiting.groupBy("block").cogroup(matched.groupBy("block")).applyInArrow(
+        lambda key, own, replies: _complete(key, own, replies, length, first), schema)
     return done.unionByName(rest)
 
 
 def kept_text(repeats: DataFrame, text: str = "text") -> DataFrame:
-    """``remove_repeats``' rows with the text that is left in place of the old one.
-
-    Letters that a cut went through are left out. A null text stays null.
-    """
-    schema = repeats.schema
+    """``remove_repeats``' rows with the text that is left; letters that a cut went through are left out."""
+    schema = T.StructType(list(repeats.schema)).add(text, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known = batch.column(text).is_valid().to_pylist()
-            texts = [k.decode("utf-8", "ignore") if v else None for k, v in zip(batch.column("kept").to_pylist(), known)]
-            yield batch.set_column(batch.schema.get_field_index(text), text, pa.array(texts, pa.string()))
+            texts = [k.decode("utf-8", "ignore") if k is not None else None for k in batch.column("kept").to_pylist()]
+            yield batch.append_column(text, pa.array(texts, pa.string()))
 
     return repeats.mapInArrow(run, schema)
