@@ -33,8 +33,8 @@ from tillwright.llm.textbatch import Texts, Words, combine, mix, slices
 from tillwright.session import scratch_path
 
 #: Text that one block covers, and text that one fragment of the order covers on average.
-BLOCK_BYTES = 4 << 20
-FRAGMENT_BYTES = 16 << 20
+BLOCK_BYTES = 2 << 20
+FRAGMENT_BYTES = 8 << 20
 #: Bits of an n-gram's number. Within a pair, a false match has a chance of about n * n / 2**48.
 BITS = 48
 #: Owners from here on are numbers of lists of owners.
@@ -42,7 +42,7 @@ LISTED = 1 << 31
 #: Fragments a pair's overlap is counted in.
 PARTS = 4
 #: Rounds of pivots at most before all remaining pairs are compared.
-ROUNDS = 4
+ROUNDS = 3
 
 
 def pack_numbers(*columns: np.ndarray) -> bytes:
@@ -228,76 +228,86 @@ def _save(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _open_lists(rows: DataFrame) -> DataFrame:
+    """Rows (token, node, n, shared, root) of the lists that still tie two components."""
+    spread = rows.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+    return _save(rows.join(spread.filter("least < most").select("token"), "token", "left_semi"), "open")
+
+
+def _prefix_lists(nodes: DataFrame) -> DataFrame:
+    """(token, node, n, shared): which sets have each n-gram in their prefix; of lists with the same sets, one."""
+    listed = nodes.select("node", "n", "shared", F.explode(F.slice("tokens", 1, F.col("prefix"))).alias("token"))
+    marks = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"mark{i}") for i in range(2)]
+    kinds = listed.groupBy("token").agg(F.count("*").alias("k"), *marks).filter("k > 1")
+    tokens = kinds.groupBy("k", "mark0", "mark1").agg(F.min("token").alias("token")).select("token")
+    return listed.join(tokens, "token", "left_semi")
+
+
 def _link(sets: DataFrame, percent: int) -> DataFrame:
-    """(node, root) of the classes of ``sets`` that hang on another class."""
+    """(mark, root): the classes of ``sets`` that hang on another class, and its mark."""
     spark = sets.sparkSession
-    nodes = _save(sets.filter("tokens is not null").select(
-        F.col("mark").alias("node"), "n", "shared", "prefix", "tokens").dropDuplicates(["node"]), "nodes")
-    listed = nodes.select("node", "n", "shared", F.explode(F.slice("tokens", 1, F.col("prefix"))).alias("token"))
-    shared = listed.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1").select("token")
-    lists = _save(listed.join(shared, "token", "left_semi"), "lists")
+    classes = sets.filter("tokens is not null").select("mark", "n", "shared", "prefix", "tokens").dropDuplicates(["mark"])
+    # Least first: the sets with the least share of n-grams of their own.
+    rank = F.floor((F.col("n") - F.col("shared")) * 1000 / F.col("n")).cast("long")
+    nodes = _save(classes.withColumn("node", F.shiftleft(rank, 52) + F.monotonically_increasing_id()), "nodes")
+    rows = _open_lists(_prefix_lists(nodes).withColumn("root", F.col("node")))
+    involved = _save(nodes.join(rows.select("node").distinct(), "node", "left_semi").select("node", "mark", "tokens"), "involved")
     part = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part")
-    involved = nodes.join(lists.select("node").distinct(), "node", "left_semi")
-    segments = _save(involved.select("node", "tokens", part).select(
+    segments = involved.select("node", "tokens", part).select(
         "node", "part", F.filter("tokens", lambda t: F.floor(t * PARTS / (1 << BITS)) == F.col("part")).alias("tokens")
-    ).filter(F.size("tokens") > 0), "segments")
+    ).filter(F.size("tokens") > 0)
 
-    labels: DataFrame | None = None  # (node, root) of those that hang on another
+    # A root is some node of the same component. Equal roots tie; whole components come at the end.
+    links: DataFrame | None = None  # (x, y) that link
     compared: DataFrame | None = None  # (x, y), x < y
-
-    def labelled() -> DataFrame:
-        if labels is None:
-            return lists.withColumn("root", F.col("node"))
-        return lists.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-
     for round_ in range(ROUNDS + 1):
-        rows = labelled()
         spread = rows.groupBy("token", "root").agg(F.count("*").alias("k")).groupBy("token").agg(
             F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
         open_pairs, members = spread.agg(F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2), F.sum("k")).first()
         if not open_pairs:
             break
-        last = open_pairs <= members or round_ == ROUNDS
+        last = open_pairs <= 2 * members or round_ == ROUNDS
         if last:
             one, other = rows.alias("a"), rows.alias("b")
             met = one.join(other, (F.col("a.token") == F.col("b.token")) & (F.col("a.node") < F.col("b.node"))
                            & (F.col("a.root") != F.col("b.root"))
                            & _may_link(F.col("a.n"), F.col("a.shared"), F.col("b.n"), F.col("b.shared"), percent))
-            pairs = met.select(F.col("a.node").alias("x"), F.col("b.node").alias("y"),
-                               (F.col("a.n") + F.col("b.n")).alias("total")).distinct()
+            roots = F.lit(None).cast("long")
+            pairs = met.select(F.col("a.node").alias("x"), F.col("b.node").alias("y"), (F.col("a.n") + F.col("b.n")).alias("total"),
+                               roots.alias("low_root"), roots.alias("high_root")).distinct()
         else:
-            # The first pivot is the set with the least share of n-grams of its own; later ones are drawn.
-            rank = F.floor((F.col("n") - F.col("shared")) * 1000 / F.col("n")) if round_ == 0 else F.lit(0)
-            pivot = F.struct(rank.cast("long").alias("rank"), F.xxhash64("node", F.lit(round_)).alias("draw"), "node", "root", "n", "shared")
-            pivots = rows.groupBy("token").agg(F.min(pivot).alias("p"))
+            # The first pivot is the least node; later ones are drawn.
+            draw = F.col("node") if round_ == 0 else F.xxhash64("node", F.lit(round_))
+            pivots = rows.groupBy("token").agg(F.min(F.struct(draw.alias("draw"), "node", "root", "n", "shared")).alias("p"))
             met = rows.join(pivots, "token").filter(
                 (F.col("root") != F.col("p.root")) & _may_link(F.col("n"), F.col("shared"), F.col("p.n"), F.col("p.shared"), percent))
-            best = met.groupBy("node", "n").agg(F.min("p").alias("p"))
+            best = met.groupBy("node", "n", "root").agg(F.min("p").alias("p"))
             pairs = best.select(F.least("node", "p.node").alias("x"), F.greatest("node", "p.node").alias("y"),
-                                (F.col("n") + F.col("p.n")).alias("total")).distinct()
+                                (F.col("n") + F.col("p.n")).alias("total"),
+                                F.least("root", "p.root").alias("low_root"), F.greatest("root", "p.root").alias("high_root")).distinct()
         if compared is not None:
             pairs = pairs.join(compared, ["x", "y"], "left_anti")
         counted = _save(overlaps(pairs, segments), "overlaps")
-        links = counted.filter(f"common * {100 + percent} >= {percent} * total")
+        found = counted.filter(f"common * {100 + percent} >= {percent} * total")
+        links = found.select("x", "y") if links is None else links.unionByName(found.select("x", "y"))
         if last:
-            found = links.select(F.col("x").alias("a"), F.col("y").alias("b"))
-            tied = found if labels is None else found.unionByName(labels.select(F.col("node").alias("a"), F.col("root").alias("b")))
-            labels = components(tied)
             break
         seen = counted.select("x", "y")
         compared = seen if compared is None else compared.unionByName(seen)
-        found = links.select(F.col("x").alias("a"), F.col("y").alias("b"))
-        labels = components(found if labels is None else found.unionByName(labels.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-    if labels is None:
-        return spark.createDataFrame([], "node binary, root binary")
-    return labels
+        moves = found.groupBy(F.col("high_root").alias("root")).agg(F.min("low_root").alias("moved"))
+        rows = _open_lists(rows.join(moves, "root", "left").withColumn("root", F.coalesce("moved", "root")).drop("moved"))
+    if links is None:
+        return spark.createDataFrame([], "mark binary, root binary")
+    links = components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))).select(F.col("node").alias("a"), F.col("root").alias("b"))
+    marks = involved.select("node", "mark")
+    return links.join(marks.toDF("a", "mark"), "a").join(marks.toDF("b", "root"), "b").select("mark", "root")
 
 
 def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(doc_id, text_mark, n, group) of every row; the group is null for a text without words."""
     sets = _save(ordered_sets(docs, width, percent), "sets")
     roots = _link(sets, percent)
-    rows = sets.select("doc_id", "text_mark", "n", "mark").join(roots.withColumnRenamed("node", "mark"), "mark", "left")
+    rows = sets.select("doc_id", "text_mark", "n", "mark").join(roots, "mark", "left")
     return rows.select("doc_id", "text_mark", "n", F.when(F.col("n") > 0, F.coalesce("root", "mark")).alias("group"))
 
 
