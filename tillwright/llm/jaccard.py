@@ -1,7 +1,7 @@
 """N-gram Jaccard self-join by vertical partitioning, with components of the links.
 
-Order. All distinct word n-grams have one global order: rarest first (by the number of blocks'
-distinct sets that hold them), then by hash. To count them, blocks of documents send their
+Order. All distinct word n-grams have one global order: those of one class of equal sets first, then
+rarest first (by the number of blocks' distinct sets that hold them), then by hash. To count them, blocks of documents send their
 n-grams, packed and cut by hash range into fragments; a fragment's task returns those that more
 than one set holds. A fragment holds a bounded share of the corpus, as their number follows its size.
 
@@ -243,13 +243,28 @@ def _prefix_lists(nodes: DataFrame) -> DataFrame:
     return listed.join(tokens, "token", "left_semi")
 
 
+def _without_own(classes: DataFrame, percent: int) -> DataFrame:
+    """Classes without the n-grams that no other class has: those that only copies of one set seemed to share.
+
+    In the order they now come first, so that prefixes shrink; classes whose prefix is empty go.
+    """
+    listed = classes.select("node", F.posexplode("tokens").alias("pos", "token"))
+    shared = listed.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1").select("token")
+    left = listed.join(shared, "token", "left_semi").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("left"))
+    kept = classes.drop("tokens", "shared", "prefix").join(left, "node").select(
+        "node", "mark", "n", F.size("left").alias("shared"), F.col("left.token").alias("tokens"))
+    prefix = F.col("shared") + 1 - F.ceil(F.col("n") * percent / 100)
+    return kept.withColumn("prefix", prefix.cast("int")).filter("prefix > 0")
+
+
 def _link(sets: DataFrame, percent: int) -> DataFrame:
     """(mark, root): the classes of ``sets`` that hang on another class, and its mark."""
     spark = sets.sparkSession
-    classes = sets.filter("tokens is not null").select("mark", "n", "shared", "prefix", "tokens").dropDuplicates(["mark"])
+    classes = sets.filter("tokens is not null").select("mark", "n", F.lit(0).alias("shared"), F.lit(0).alias("prefix"), "tokens").dropDuplicates(["mark"])
+    numbered = _save(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     # Least first: the sets with the least share of n-grams of their own.
     rank = F.floor((F.col("n") - F.col("shared")) * 1000 / F.col("n")).cast("long")
-    nodes = _save(classes.withColumn("node", F.shiftleft(rank, 52) + F.monotonically_increasing_id()), "nodes")
+    nodes = _save(_without_own(numbered, percent).withColumn("node", F.shiftleft(rank, 52) + F.col("node")), "nodes")
     rows = _open_lists(_prefix_lists(nodes).withColumn("root", F.col("node")))
     involved = _save(nodes.join(rows.select("node").distinct(), "node", "left_semi").select("node", "mark", "tokens"), "involved")
     part = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part")
