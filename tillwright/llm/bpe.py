@@ -36,10 +36,12 @@ from tillwright.llm.textbatch import Texts, slices
 
 #: Fixed value: the pattern by which byte-level vocabularies of this kind part a text.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: What a block's rows may hold of text; a longer text is a block of its own.
-BLOCK_BYTES = 4 << 20
+#: Text that a block covers; a longer text is a block of its own.
+BLOCK_BYTES = 2 << 20
 #: Text whose distinct words one fragment holds on average.
 FRAGMENT_BYTES = 32 << 20
+#: How hard packed numbers and words are compressed.
+LEVEL = 6
 #: Words encoded, and documents decoded, at a time.
 BATCH_WORDS, BATCH_DOCS = 20_000, 1000
 #: Runs of white space other than one space, one line break, or a line break and a space before a letter.
@@ -139,7 +141,7 @@ def _ranked(path: str) -> tiktoken.Encoding | None:
 def _pack(numbers: np.ndarray) -> bytes:
     """Small numbers of many documents, in bytes planes, which compress well."""
     planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=LEVEL).compress(planes.tobytes())
 
 
 def _unpack(payload: bytes) -> np.ndarray:
@@ -149,7 +151,7 @@ def _unpack(payload: bytes) -> np.ndarray:
 
 def _to_bytes(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))) as writer:
         writer.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
@@ -174,21 +176,31 @@ def _open(payload: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return pa.array(keys, mask=present == 0), lengths, numbers[4 * n + 1:]
 
 
+class _Numbers(dict):
+    """Numbers words as they come."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 def _numbered(batches: Iterator[pa.RecordBatch], path: str, fragments: int) -> Iterator[tuple]:
     """For each block: its name, ids, lengths, words' numbers, distinct words by fragment, their numbers, fragments."""
     splitter = Splitter(path)
     task = TaskContext.get().partitionId()
     for n, batch in enumerate(slices(batches, "text", BLOCK_BYTES)):
-        words = [splitter.split(t) if t else [] for t in batch.column("text").to_pylist()]
-        lengths = np.array([len(w) for w in words], np.int64)
-        coded = pa.array(list(chain.from_iterable(words)), pa.string()).dictionary_encode()
-        distinct = coded.dictionary
+        numbers, codes = _Numbers(), []
+        for i in range(batch.num_rows):
+            text = batch.column("text")[i].as_py()
+            codes.append(np.fromiter(map(numbers.__getitem__, splitter.split(text)), np.uint32) if text else np.zeros(0, np.uint32))
+        lengths = np.array([len(c) for c in codes], np.int64)
+        distinct = pa.array(list(numbers), pa.string())
         texts = Texts.of(distinct)
         share = (texts.hashes(texts.bounds[:-1], texts.bounds[1:]) >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)
         order = np.argsort(share, kind="stable")
         distinct = distinct.take(pa.array(order))
         mark = zlib.crc32(Texts.of(distinct).data)
-        yield f"{task}-{n}-{mark}", batch.column("doc_id"), lengths, np.array(coded.indices), distinct, order, share[order].astype(np.int64)
+        yield f"{task}-{n}-{mark}", batch.column("doc_id"), lengths, np.concatenate(codes), distinct, order, share[order].astype(np.int64)
 
 
 def _words(batches: Iterator[pa.RecordBatch], path: str, fragments: int) -> Iterator[pa.RecordBatch]:
@@ -211,7 +223,11 @@ def _documents(batches: Iterator[pa.RecordBatch], path: str, fragments: int) ->
 def _encode_fragment(table: pa.Table, path: str) -> pa.Table:
     """Encodes each distinct word of a fragment once; gives each block the ids of its words, in its order."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    tokenizer = Encoder(path).tokenizer
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
     parts = [_column(p) for p in table.column("payload").to_pylist()]
     coded = pa.concat_arrays(parts).dictionary_encode()
     flat, sizes = [], []
