@@ -14,7 +14,7 @@ from tillwright.session import scratch_path
 #: Phrases a letter above which a text of at least so many characters is like none of the languages.
 MOST_RATE, LEAST_CHARS = 0.5, 40
 #: Pieces that one task packs at a time; their token ids travel with them.
-GROUP_ITEMS = 20_000
+GROUP_ITEMS = 6_000
 #: SQL has no suffix automata, so the pipeline is tested against brute force.
 ORACLE_SQL = None
 

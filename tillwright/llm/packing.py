@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.llm.bpe import Encoder
-from tillwright.llm.textbatch import slices
+from tillwright.llm.textbatch import release, slices
 from tillwright.session import scratch_path
 
 CAPACITY = 1024
@@ -120,6 +120,7 @@ def _pack_batches(batches: Iterator[pa.RecordBatch], capacity: int, group_items:
             count += part.num_rows
     if count:
         yield _pack_held(held, capacity)
+    release()
 
 
 def _pack_held(held: list[pa.RecordBatch], capacity: int) -> pa.RecordBatch:

@@ -7,6 +7,7 @@ that doubtful, the operators say so.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -46,6 +47,15 @@ class _Powers:
         return cls.up, cls.down
 
 
+def release() -> None:
+    """Give freed memory back to the system. Python workers live on, and their executor's limit counts it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library, which keeps its own account
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in runs of about ``limit`` bytes of ``column``; a longer text is a run of its own."""
     for batch in batches:
@@ -57,6 +67,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BY
             stop = max(start + 1, int(np.searchsorted(ends, done + limit, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+    release()
 
 
 @dataclass
