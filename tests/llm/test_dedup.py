@@ -246,3 +246,27 @@ def test_a_text_that_repeats_itself_gives_few_passages(docs):
 def test_no_passages(docs):
     assert passages.repeated_passages(docs([])).count() == 0
     assert passages.repeated_passages(docs([(1, "a b c d e f g h"), (2, "a b c d e f g h")])).count() == 0
+
+
+@pytest.mark.parametrize("block", [2 << 20, 500])
+def test_a_passage_is_found_whole_though_pieces_of_it_come_first(docs, monkeypatch, block):
+    monkeypatch.setattr(passages, "BLOCK_BYTES", block)
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(50_000)]
+
+    def noise(n):
+        return [rng.choice(vocabulary) for _ in range(n)]
+
+    rows = []
+    for trial in range(20):
+        passage, n = noise(55), 30 + trial % 9
+        # Pieces that are too short alone, also between the two places that hold it whole.
+        pieces = [passage[:n], passage[-n:]] if trial % 2 else [passage[:n], passage[-n:], passage, passage[:n], passage[-n:]]
+        for i, held in enumerate([*pieces, passage, passage]):
+            rows.append((100 * trial + i, " ".join(noise(60) + held + noise(60))))
+    found = {(r.doc_id, r.start_word <= 60 and r.end_word >= 115) for r in passages.repeated_passages(docs(rows)).collect()}
+    for trial in range(20):
+        whole = [i for i, (doc_id, _) in enumerate(rows) if doc_id // 100 == trial]
+        last = rows[whole[-1]][0]
+        assert (last, True) in found
+        assert trial % 2 or (last - 1, True) in found
