@@ -270,3 +270,23 @@ def test_a_passage_is_found_whole_though_pieces_of_it_come_first(docs, monkeypat
         last = rows[whole[-1]][0]
         assert (last, True) in found
         assert trial % 2 or (last - 1, True) in found
+
+
+@pytest.mark.parametrize("rate, least", [(0.15, 0.99), (0.20, 0.97), (0.25, 0.9)])
+def test_passages_with_many_edits_are_found(docs, rate, least):
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(50_000)]
+
+    def noise(n):
+        return [rng.choice(vocabulary) for _ in range(n)]
+
+    rows, certain = [], set()
+    for trial in range(200):
+        passage = noise(55)
+        changed = set(rng.sample(range(55), int(55 * rate)))
+        copy = [f"edit{rng.random()}" if i in changed else w for i, w in enumerate(passage)]
+        rows += [(2 * trial, " ".join(noise(60) + passage + noise(60))), (2 * trial + 1, " ".join(noise(60) + copy + noise(60)))]
+        if any(not changed & set(range(i, i + 6)) for i in range(50)):
+            certain.add(2 * trial + 1)
+    found = {r.doc_id for r in passages.repeated_passages(docs(rows)).collect() if r.source_doc_id == r.doc_id - 1}
+    assert found >= certain and len(certain) >= 200 * least
