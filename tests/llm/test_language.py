@@ -78,3 +78,32 @@ def test_automaton_knows_exactly_the_substrings(text):
         for c in word:
             state = table[state, ord(c) - 97] if state >= 0 else -1
         assert (state >= 0) == (word in subs)
+
+
+def test_copies_of_a_text_take_one_place_of_the_sample(spark, docs):
+    rng = np.random.default_rng(2)
+    texts = [" ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(20)) for _ in range(200)]
+    ranked = docs(list(enumerate(texts))).selectExpr("text", "xxhash64(text) h").orderBy("h").collect()
+    rows = [(t, "en") for t in texts] + [(ranked[0].text, "en")] * 1000
+    sample = langid.samples(docs([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string"), langid.Settings())["en"]
+    assert [r.text in sample for r in ranked[:40]] == [True] * 40
+    assert sum(r.text in sample for r in ranked) == 40
+
+
+def test_a_long_text_teaches_from_its_whole_length(docs):
+    settings = langid.Settings()
+    words = ["".join(chr(97 + int(d)) for d in str(10**6 + i)) for i in range(40_000)]
+    long = langid.samples(docs([(1, " ".join(words), "en")], "doc_id long, text string, lang string"), settings)["en"]
+    assert 0.97 * settings.sample_chars <= len(long) <= settings.sample_chars
+    places = [words.index(w) for w in long.split() if len(w) == 7][::20]
+    assert {p // 4000 for p in places} == set(range(10))
+    # Short texts leave their share to the others.
+    mixed = langid.samples(docs([(i, w, "en") for i, w in enumerate(words[:39])] + [(99, " ".join(words[100:9000]), "en")],
+                                "doc_id long, text string, lang string"), settings)["en"]
+    assert all(w in mixed for w in words[:39]) and len(mixed) >= 0.97 * settings.sample_chars
+
+
+def test_what_is_no_letter_takes_no_room_in_the_sample(docs):
+    text = " ".join(f"{i:08d} {'abcdefgh'[i % 8] * 3}{'ijklmnop'[i // 8 % 8] * 3}" for i in range(20_000))
+    sample = langid.samples(docs([(1, text, "en")], "doc_id long, text string, lang string"), langid.Settings())["en"]
+    assert len(sample) >= 0.97 * langid.Settings().sample_chars

@@ -35,6 +35,9 @@ PAD = 0
 class Settings:
     sample_docs: int = 40
     sample_chars: int = 24_000
+    #: A long text gives pieces of at least so many characters, and at most so many pieces.
+    piece_chars: int = 300
+    pieces: int = 80
     stretch: int = 1024
 
 
@@ -199,30 +202,55 @@ class Model:
 
 
 def samples(labelled: DataFrame, settings: Settings) -> dict[str, str]:
-    """Sample text of each language: at most ``sample_docs`` texts and ``sample_chars`` characters.
+    """Sample text of each language: at most ``sample_docs`` distinct texts and ``sample_chars`` normalised characters.
 
-    The texts are chosen by a hash of text, so whichever rows come first does not matter. Only
-    these bounded samples reach the driver; text is not shuffled, only its hashes are.
+    The texts are chosen by a hash of text, so whichever rows come first does not matter, and a text
+    counts once however many copies it has. Short ones give all they have, and longer ones share
+    what that leaves, in pieces spread over their whole length. Only these bounded samples reach the
+    driver; text is not shuffled, only its hashes are. Of a text of more than ``piece_chars`` times
+    ``pieces`` letters and spaces, as many pieces in equal distances are sent.
     """
     hashed = labelled.filter("lang is not null and text is not null and length(text) > 0").select(
         "lang", "text", F.xxhash64("text").alias("h"))
-    first = Window.partitionBy("lang").orderBy("h")
-    chosen = (hashed.select("lang", "h").withColumn("n", F.row_number().over(first))
-              .filter(F.col("n") <= settings.sample_docs).select("lang", "h").distinct())
-    picked = hashed.join(F.broadcast(chosen), ["lang", "h"], "left_semi").select(
-        "lang", "h", F.substring("text", 1, settings.sample_chars).alias("text")).distinct()
-    texts: dict[str, list[tuple[int, str]]] = {}
+    chosen = hashed.select("lang", "h").distinct()
+    # The least of parts of a language first, so that one with most of the texts is not one task's.
+    for parts in ([F.col("lang"), F.pmod("h", F.lit(16))], [F.col("lang")]):
+        rank = F.row_number().over(Window.partitionBy(*parts).orderBy("h"))
+        chosen = chosen.withColumn("n", rank).filter(F.col("n") <= settings.sample_docs).select("lang", "h")
+    piece, most = settings.piece_chars, settings.pieces
+    spread = F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda i: F.substring(
+        F.col("plain"), (F.floor(i * (F.length("plain") - piece) / (most - 1)) + 1).cast("int"), F.lit(piece)))
+    sent = F.when(F.length("plain") <= piece * most, F.array("plain")).otherwise(spread)
+    picked = (hashed.join(F.broadcast(chosen), ["lang", "h"], "left_semi")
+              .select("lang", "h", F.regexp_replace("text", r"\P{L}+", " ").alias("plain"))
+              .select("lang", "h", sent.alias("parts")).distinct())
+    texts: dict[str, list[tuple[int, list[str]]]] = {}
     for row in picked.collect():
-        texts.setdefault(row.lang, []).append((row.h, row.text))
-    share = max(1, 2 * settings.sample_chars // settings.sample_docs)
+        texts.setdefault(row.lang, []).append((row.h, row.parts))
     joined = {}
     for language, found in texts.items():
-        sample = " ".join(normalise(t)[:share] for _, t in sorted(found))[:settings.sample_chars]
-        if sample.strip():
+        plain = [" ".join(filter(None, (normalise(p) for p in parts))) for _, parts in sorted(found)]
+        sample = shared_out([p for p in plain if p], settings)
+        if sample:
             joined[language] = sample
     return joined
 
 
+def shared_out(texts: list[str], settings: Settings) -> str:
+    """``sample_chars`` of the texts: all of the short ones, equal shares of the others in pieces over their length."""
+    left, shares = settings.sample_chars - max(0, len(texts) - 1), [0] * len(texts)
+    for done, i in enumerate(sorted(range(len(texts)), key=lambda i: len(texts[i]))):
+        shares[i] = min(len(texts[i]), max(0, left) // (len(texts) - done))
+        left -= shares[i]
+    parts = []
+    for text, share in zip(texts, shares):
+        n = max(1, min(settings.pieces, share // settings.piece_chars)) if share < len(text) else 1
+        size = (share - (n - 1)) // n
+        starts = [i * (len(text) - size) // max(1, n - 1) for i in range(n)]
+        parts += [text[at:at + size].strip() for at in starts]
+    return " ".join(filter(None, parts))[:settings.sample_chars]
+
+
 def train(labelled: DataFrame, settings: Settings = Settings()) -> Model:
     """Model of the languages in column ``lang``; a null label or text teaches nothing."""
     return Model.train(samples(labelled, settings), settings)
