@@ -107,3 +107,26 @@ def test_what_is_no_letter_takes_no_room_in_the_sample(docs):
     text = " ".join(f"{i:08d} {'abcdefgh'[i % 8] * 3}{'ijklmnop'[i // 8 % 8] * 3}" for i in range(20_000))
     sample = langid.samples(docs([(1, text, "en")], "doc_id long, text string, lang string"), langid.Settings())["en"]
     assert len(sample) >= 0.97 * langid.Settings().sample_chars
+
+
+@pytest.mark.parametrize("dense", [256, 5])
+def test_languages_of_all_scripts_are_told_apart(monkeypatch, dense):
+    monkeypatch.setattr(langid, "DENSE", dense)
+    rng = np.random.default_rng(4)
+    scripts = {"zh": range(0x4E00, 0x5200), "ja": range(0x3041, 0x3097), "ko": range(0xAC00, 0xAE00), "far": range(0x20000, 0x20100),
+               "el": range(0x3B1, 0x3C1)}
+
+    def written(letters, n):
+        words = ["".join(chr(p) for p in rng.choice(letters, 3)) for _ in range(60)]
+        return " ".join(rng.choice(words, n)), " ".join(rng.choice(words, n))
+
+    texts = {k: written(v, 700) for k, v in scripts.items()}
+    samples = {k: langid.normalise(v[0]) for k, v in texts.items()}
+    model = langid.Model.train(samples, langid.Settings(stretch=50_000))
+    assert [a[0] for a in model.judge([v[1] for v in texts.values()])] == list(texts)
+    found, _ = model.phrases([v[1][:300] for v in texts.values()])
+    for text, counts in zip(texts.values(), found.tolist()):
+        assert counts == [phrases(langid.normalise(text[1][:300]), samples[k]) for k in model.languages]
+    # Letters that no sample holds match nothing, in any script.
+    for letters in (range(0x621, 0x64B), range(0xE01, 0xE2F), range(0x9000, 0x9300), range(0x30000, 0x30100)):
+        assert model.judge(["".join(chr(p) for p in rng.choice(letters, 400))])[0][2] == 1.0

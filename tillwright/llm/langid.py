@@ -12,8 +12,10 @@ stretches abreast; a stretch's end also ends a phrase.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +27,10 @@ from pyspark.sql.window import Window
 from tillwright.llm.textbatch import slices
 
 UNKNOWN = "und"
-#: Code points below this one have a letter class each, if any sample holds them; others share one.
-PLAIN = 0x3000
+#: Letters of a language's sample up to which its automaton is a full table; with more, only its transitions are kept.
+DENSE = 256
+#: The code of a letter that no sample holds, which matches nothing.
+UNSEEN = 2
 #: The end of a text or stretch, over which nothing is counted.
 PAD = 0
 
@@ -46,99 +50,145 @@ def normalise(text: str) -> str:
     return " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
 
 
+@cache
 def _classes() -> np.ndarray:
-    """For each code point below PLAIN, the code point of its lower-case letter, or 0."""
-    table = np.zeros(PLAIN, np.int64)
-    for p in range(PLAIN):
+    """For each code point, the code point of its lower-case letter, or 0."""
+    table = np.zeros(sys.maxunicode + 1, np.int64)
+    for p in range(len(table)):
         c = chr(p)
         if c.isalpha():
             low = c.lower()
-            table[p] = ord(low) if len(low) == 1 and ord(low) < PLAIN else p
+            table[p] = ord(low) if len(low) == 1 else p
     return table
 
 
-def automaton(codes: list[int], width: int) -> np.ndarray:
-    """Table of the suffix automaton of a sequence of letter codes: state x code to state, or -1."""
-    size = 2 * len(codes) + 2
-    steps = np.full((size, width), -1, np.int32)
-    links, lengths = [-1] * size, [0] * size
-    last, used = 0, 1
+def transitions(codes: list[int]) -> list[dict[int, int]]:
+    """Suffix automaton of a sequence of letter codes: for each state, code to state."""
+    steps: list[dict[int, int]] = [{}]
+    links, lengths = [-1], [0]
+    last = 0
     for c in codes:
-        new = used
-        used += 1
-        lengths[new] = lengths[last] + 1
+        new = len(steps)
+        steps.append({})
+        links.append(0)
+        lengths.append(lengths[last] + 1)
         p = last
-        while p >= 0 and steps[p, c] < 0:
-            steps[p, c] = new
+        while p >= 0 and c not in steps[p]:
+            steps[p][c] = new
             p = links[p]
-        if p < 0:
-            links[new] = 0
-        else:
-            q = int(steps[p, c])
+        if p >= 0:
+            q = steps[p][c]
             if lengths[q] == lengths[p] + 1:
                 links[new] = q
             else:
-                twin = used
-                used += 1
-                lengths[twin] = lengths[p] + 1
-                steps[twin] = steps[q]
-                links[twin] = links[q]
-                while p >= 0 and steps[p, c] == q:
-                    steps[p, c] = twin
+                twin = len(steps)
+                steps.append(dict(steps[q]))
+                links.append(links[q])
+                lengths.append(lengths[p] + 1)
+                while p >= 0 and steps[p].get(c) == q:
+                    steps[p][c] = twin
                     p = links[p]
                 links[q] = links[new] = twin
         last = new
-    return steps[:used]
+    return steps
+
+
+def automaton(codes: list[int], width: int) -> np.ndarray:
+    """Table of the suffix automaton of a sequence of letter codes: state x code to state, or -1."""
+    found = transitions(codes)
+    steps = np.full((len(found), width), -1, np.int32)
+    for state, row in enumerate(found):
+        steps[state, list(row)] = list(row.values())
+    return steps
+
+
+@dataclass
+class Parser:
+    """Phrases of one language.
+
+    ``own`` gives the language's code of each letter code. With few letters, ``steps`` is a table of
+    state x own code, an entry twice the next row, plus 1 if a phrase begins. With many, ``keys``
+    are the known (state, own code) in order, ``nexts`` the states they lead to.
+    """
+
+    own: np.ndarray
+    width: int
+    root: np.ndarray  # own code to state, the root for letters that the sample lacks
+    steps: np.ndarray | None
+    keys: np.ndarray | None
+    nexts: np.ndarray | None
+
+    @classmethod
+    def of(cls, codes: list[int], size: int, kind: type) -> Parser:
+        """From a sample of letter codes below ``size``."""
+        letters = sorted({*codes} - {1})
+        own = np.full(size, UNSEEN, kind)
+        own[[PAD, 1]] = PAD, 1
+        own[letters] = np.arange(3, len(letters) + 3)
+        width = len(letters) + 3
+        plain = own[codes].tolist()
+        if len(letters) <= DENSE:
+            table = automaton(plain, width)
+            # An entry's last bit: the letter opens a phrase, as the match ended before it or it stands at
+            # the root. A letter that the sample lacks is a phrase of its own and leads back to the root.
+            ended = table < 0
+            opened = np.where(table[0] >= 0, table[0], 0)
+            steps = 2 * np.where(ended, opened[None, :], table) + ended
+            steps[0] = 2 * opened + 1
+            steps[:, PAD] = 2 * np.arange(len(table))
+            return cls(own, width, opened, steps.astype(np.int32).ravel(), None, None)
+        found = transitions(plain)
+        known = sorted((state * width + c, to) for state, row in enumerate(found) for c, to in row.items())
+        root = np.zeros(width, np.int64)
+        root[list(found[0])] = list(found[0].values())
+        keys, nexts = np.array(known, np.int64).T
+        return cls(own, width, root, None, np.ascontiguousarray(keys), np.ascontiguousarray(nexts))
+
+    def walk(self, grid: np.ndarray, live: list[int]) -> np.ndarray:
+        """Phrases of each column of letter codes, of which the first ``live[i]`` reach row i."""
+        state = np.zeros(grid.shape[1], np.int64)
+        count = np.zeros(grid.shape[1], np.int64)
+        for row, n in zip(grid, live):
+            at, codes = state[:n], self.own[row[:n]]
+            if self.steps is not None:
+                np.add(at, codes, out=at)
+                entry = self.steps[at]
+                count[:n] += entry & 1
+                np.multiply(entry >> 1, self.width, out=at)
+            else:
+                wanted = at * self.width + codes
+                place = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+                known = self.keys[place] == wanted
+                count[:n] += ~known | (at == 0)
+                at[:] = np.where(known, self.nexts[place], self.root[codes])
+        return count
 
 
 @dataclass
 class Model:
-    """Joint step table of all languages. An entry is twice the next row, plus 1 if a phrase begins."""
+    """A parser a language, over common letter codes: 0 pads, 1 is the space, 2 any letter that no sample holds."""
 
     languages: list[str]
-    letters: np.ndarray  # code point below PLAIN to letter code
-    width: int
-    roots: np.ndarray
-    steps: np.ndarray
+    letters: np.ndarray  # code point to letter code
+    parsers: list[Parser]
     stretch: int
 
     @classmethod
     def train(cls, samples: dict[str, str], settings: Settings) -> Model:
         """From the normalised sample text of each language."""
-        alphabet = sorted({c for s in samples.values() for c in s if c != " " and ord(c) < PLAIN})
-        # 0 pads, 1 is the space, 2 any letter that no sample holds.
+        alphabet = sorted({c for s in samples.values() for c in s if c != " "})
         code = {c: i + 3 for i, c in enumerate(alphabet)} | {" ": 1}
-        width = len(alphabet) + 3
+        size = len(alphabet) + 3
+        kind = np.uint16 if size < 1 << 16 else np.uint32
         base = _classes()
-        letters = np.ones(PLAIN, np.int64)
-        for p in range(PLAIN):
-            if base[p]:
-                letters[p] = code.get(chr(base[p]), 2)
-        tables, roots, rows = [], [], 0
-        for language in sorted(samples):
-            table = automaton([code.get(c, 2) for c in samples[language]], width)
-            root = table[0]
-            # An entry's last bit: the letter opens a phrase, as the match ended before it or it stands at
-            # the root. A letter that the sample lacks is a phrase of its own and leads back to the root.
-            ended = table < 0
-            opened = np.where(root >= 0, root, 0)
-            nexts = np.where(ended, opened[None, :], table) + rows
-            steps = 2 * nexts + ended
-            steps[0] = 2 * (opened + rows) + 1
-            steps[:, PAD] = 2 * (np.arange(len(table)) + rows)
-            tables.append(steps.astype(np.int32))
-            roots.append(rows)
-            rows += len(table)
-        return cls(sorted(samples), letters, width, np.array(roots, np.int64),
-                   np.concatenate([t.ravel() for t in tables]) if tables else np.zeros(0, np.int32), settings.stretch)
+        of_letter = np.full(len(base), UNSEEN, kind)
+        of_letter[[ord(c) for c in alphabet]] = np.arange(3, size)
+        letters = np.where(base > 0, of_letter[base], 1).astype(kind)
+        parsers = [Parser.of([code[c] for c in samples[language]], size, kind) for language in sorted(samples)]
+        return cls(sorted(samples), letters, parsers, settings.stretch)
 
     def _codes(self, text: str) -> np.ndarray:
-        points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-        low = points < PLAIN
-        codes = np.where(low, self.letters[np.where(low, points, 0)], 1)
-        if not low.all():
-            far = np.flatnonzero(~low)
-            codes[far] = [2 if chr(p).isalpha() else 1 for p in points[far].tolist()]
+        codes = self.letters[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)]
         keep = (codes != 1) | np.concatenate([[False], codes[:-1] != 1])[:len(codes)]
         codes = codes[keep]
         return codes[:-1] if len(codes) and codes[-1] == 1 else codes
@@ -158,7 +208,7 @@ class Model:
         sizes = np.minimum(lengths[owner] - place * self.stretch, self.stretch)
         # Longest stretches first, so that those still under way stay together at the front.
         order = np.argsort(-sizes, kind="stable")
-        grid = np.zeros((total, self.stretch), np.uint16)
+        grid = np.zeros((total, self.stretch), self.letters.dtype)
         rank = np.empty(total, np.int64)
         rank[order] = np.arange(total)
         row = 0
@@ -170,16 +220,8 @@ class Model:
         grid = np.ascontiguousarray(grid.T)
         sorted_sizes = sizes[order]
         live = np.searchsorted(-sorted_sizes, -np.arange(self.stretch), "left")
-        for k, root in enumerate(self.roots.tolist()):
-            state = np.full(total, root * self.width, np.int64)
-            opened = np.zeros(total, np.int64)
-            for column in range(int(sorted_sizes[0])):
-                n = int(live[column])
-                at = state[:n]
-                np.add(at, grid[column, :n], out=at)
-                entry = self.steps[at]
-                opened[:n] += entry & 1
-                np.multiply(entry >> 1, self.width, out=at)
+        for k, parser in enumerate(self.parsers):
+            opened = parser.walk(grid[:int(sorted_sizes[0])], live.tolist())
             result[:, k] = np.bincount(owner[order], weights=opened, minlength=len(texts)).astype(np.int64)
         return result, lengths
 
