@@ -4,10 +4,10 @@ import json
 from datetime import timedelta
 
 import pytest
-from conftest import SPARK_ERRORS, at, money
+from conftest import SMALL, SPARK_ERRORS, at, money
 from pyspark.sql import functions as F
 
-from tillwright import schemas, storage
+from tillwright import registry, schemas, storage
 from tillwright.functions import events
 from tillwright.operators.enrich import enrich
 from tillwright.operators.realtime import snapshots
@@ -216,3 +216,12 @@ def test_stream_joins_static_dimensions(spark, products, stores, tmp_path):
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(SPARK_ERRORS, match="kafka"):
         topics.read_kafka(spark, "broker:9092", "sales")
+
+
+def test_metric_log_writes_a_quarter_by_many_tasks(spark, monkeypatch):
+    plans, arrivals, write = [], registry.star.stream_arrivals, registry.topics.write_topic_files
+    monkeypatch.setattr(registry.star, "stream_arrivals", lambda *a: arrivals(*a).repartition(3))
+    monkeypatch.setattr(registry.topics, "write_topic_files",
+                        lambda messages, path: (plans.append(messages.rdd.getNumPartitions()), write(messages, path)))
+    assert registry.stream_metric_log(spark, SMALL).count() == 4
+    assert plans == [3] * 4

@@ -166,17 +166,18 @@ def stream_quarantine(spark, root):
 
 @query
 def stream_metric_log(spark, root):
-    """The metric row of each of four batches, one topic file a batch."""
+    """The metric row of each of four batches, a quarter of the days each, in as many files as it has partitions."""
     folder, arrivals = scratch_path(spark, "metric-log"), star.stream_arrivals(spark, root)
     quarter = F.ntile(4).over(Window.orderBy("batch"))
     days = arrivals.select(F.to_date("ingestion_timestamp").alias("batch")).distinct().select("batch", quarter.alias("file"))
     bounds = [r.least for r in days.groupBy("file").agg(F.min("batch").alias("least")).orderBy("file").collect()]
+    tables = ingest.StreamTables(folder)
     for first, end in zip(bounds, [*bounds[1:], None]):
         day = F.to_date("ingestion_timestamp")
         part = arrivals.filter((day >= F.lit(first)) & (F.lit(True) if end is None else day < F.lit(end)))
-        topics.write_topic_files(events.encode(part, "ingestion_timestamp").coalesce(1), f"{folder}/topic")
-    tables = ingest.StreamTables(folder)
-    ingest.ingest_available(topics.read_topic_files(spark, f"{folder}/topic", 1), tables)
+        topics.write_topic_files(events.encode(part, "ingestion_timestamp"), f"{folder}/topic")
+        # What has arrived since the batch before is one batch.
+        ingest.ingest_available(topics.read_topic_files(spark, f"{folder}/topic"), tables)
     return ingest.read_metrics(spark, tables)
 
 
