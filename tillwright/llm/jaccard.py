@@ -12,8 +12,8 @@ is compared with one pivot of its lists, the one with the fewest n-grams of its
 classes become one component. Pairs within a component need no comparison. All pairs that are
 left across components are then compared; none is dropped.
 
-Overlap. A pair's n-grams are cut into fragments of the order; partial overlaps are counted
-fragment by fragment and summed per pair.
+Overlap. A pair's n-grams are cut into ``PARTS`` ranges of their numbers, which are hashes, not ranks in
+the order; partial overlaps are counted range by range and summed per pair.
 """
 
 from __future__ import annotations

@@ -2,10 +2,11 @@
 
 Lines with a word are numbered within their document; blank lines are not, and are always kept.
 In each window of ``width`` lines the least line hash, the last of equals, is selected, so two documents
-that share ``width`` lines in a row share a selected fingerprint. Fingerprints that occur twice
-or more are joined to their positions. Around each, the match is extended to both sides over the
-window that selected it, and windows that follow each other join to longer runs. The first
-occurrence, by doc_id and line, of every window stays; lines covered by a later one are deleted.
+that share ``width`` lines in a row share a selected fingerprint. Fingerprints that occur at one
+position only rule out the windows that select them; all other windows are grouped by all their line
+hashes, and windows that follow each other join to longer runs. No match is extended from a
+position. The first occurrence, by doc_id and line, of every window stays; lines covered by a later
+one are deleted.
 
 So a line goes if and only if it lies in ``width`` lines in a row that occurred earlier.
 """
@@ -60,7 +61,7 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 def repeated_runs(windows: DataFrame) -> DataFrame:
     """(doc_id, mark, runs): per document, [from, to) of its maximal runs of repeated lines, over all lines.
 
-    Windows that overlap or touch are extended into one run. A document's windows are gathered in
+    Windows that overlap or touch are merged into one run. A document's windows are gathered in
     one row, as its text is.
     """
     spans = windows.groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set(F.struct("from", "to"))).alias("spans"))
