@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import bpe, chat, jaccard, langid, lines, ordermin, packing, passages, quality, suffix
+from tillwright.llm import bpe, chat, jaccard, langid, lines, merkle, ordermin, packing, passages, quality, suffix
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -109,11 +109,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", F.col("offset").cast("long").alias("offset"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.document_manifest(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     found = [op1_bpe, op2_quality, op3_suffix, op4_preferences, op5_lines, op6_jaccard, op7_language, op8_passages,
-             op9_fingerprints, op10_packing]
+             op9_fingerprints, op10_packing, op11_manifest]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
