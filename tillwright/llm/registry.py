@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import bpe, chat, jaccard, langid, lines, merkle, ordermin, packing, passages, quality, suffix
+from tillwright.llm import bpe, chat, jaccard, langid, lines, merkle, mixing, ordermin, packing, passages, quality, repair, suffix
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -113,11 +113,22 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.document_manifest(documents(spark, sf_dir))
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share_code(spark)
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return repair.report(table, repair.damaged(table))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     found = [op1_bpe, op2_quality, op3_suffix, op4_preferences, op5_lines, op6_jaccard, op7_language, op8_passages,
-             op9_fingerprints, op10_packing, op11_manifest]
+             op9_fingerprints, op10_packing, op11_manifest,
+             op12_repair, op13_mixing]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
