@@ -203,15 +203,6 @@ VIOLATIONS = """
     UNION ALL
     SELECT sale_id, 'sale_id', 'primary_key', CAST(COUNT(*) AS VARCHAR) FROM feed GROUP BY sale_id HAVING COUNT(*) > 1"""
 # One metric row for each quarter of the days, as of its newest event.
-BATCHES = """
-    SELECT b.newest AS metric_timestamp, printf('batch-%012d', b.file - 1) AS metric_key,
-           SUM(e.total_amount) AS revenue, COUNT(*) AS orders
-    FROM (SELECT file, max(ingestion_timestamp) AS newest
-          FROM stream_events JOIN (SELECT day, ntile(4) OVER (ORDER BY day) AS file
-                                   FROM (SELECT DISTINCT CAST(ingestion_timestamp AS DATE) AS day FROM stream_events))
-            ON CAST(ingestion_timestamp AS DATE) = day GROUP BY file) b
-    JOIN stream_events e ON e.ingestion_timestamp <= b.newest AND e.ingestion_timestamp >= b.newest - INTERVAL 5 MINUTES
-    GROUP BY b.newest, b.file"""
 REJECTS = """
     SELECT sale_id AS row_key, '' AS column_name, 'accepted' AS rule, CAST(CAST(total_amount AS DECIMAL(10,2)) AS VARCHAR) AS value
     FROM (SELECT *, row_number() OVER (
@@ -277,7 +268,7 @@ def texts() -> dict[str, str]:
         "batch_load": _sql("products stores daily performance", COUNTS),
         "stream_quarantine": _sql("damaged", """
             SELECT key, value, timestamp FROM damaged WHERE payment_method IN ('error', 'signup')"""),
-        "stream_metric_log": _sql("stream_events", f"SELECT {METRIC} FROM m", m=BATCHES),
+        "stream_metric_log": _sql("stream_events", f"SELECT {METRIC} FROM m", m=ONCE),
         "load_rejects": _sql("arrivals", REJECTS, feed=FEED),
         "table_counts": _sql("products stores daily performance", COUNTS),
         "table_schema": SCHEMA,

@@ -1,6 +1,7 @@
 """Messages and streaming ingest over topic files."""
 
 import json
+import random
 from datetime import timedelta
 
 import pytest
@@ -81,6 +82,10 @@ def topic(spark, sales_frame, sale, tmp_path):
     return path, send
 
 
+def as_logged(frame):
+    return sorted((r.metric_timestamp, r.metric_key, r.total_revenue, r.total_orders, r.average_basket) for r in frame.collect())
+
+
 def test_stream_equals_replay(spark, sales_frame, sale, topic, tmp_path):
     path, send = topic
     tables = ingest.StreamTables(str(tmp_path / "tables"))
@@ -92,18 +97,57 @@ def test_stream_equals_replay(spark, sales_frame, sale, topic, tmp_path):
         arrivals = sales_frame(seen, schemas.SALES_STREAM)
         want = replay_upserts(arrivals, schemas.SALES_STREAM, "ingestion_timestamp")
         assert sorted(ingest.read_sales(spark, tables).collect()) == sorted(want.collect())
-        # The metric row of a batch is the snapshot after its newest arrival.
-        newest = snapshots(arrivals).orderBy(F.desc("metric_timestamp")).first()
-        logged = ingest.read_metrics(spark, tables).orderBy(F.desc("metric_timestamp")).first()
-        for c in ("metric_timestamp", "total_revenue", "total_orders", "average_basket"):
-            assert logged[c] == newest[c]
-    assert ingest.read_metrics(spark, tables).count() == 3
-    assert logged.total_orders == 0
+        # A metric row a message, each as of its arrival.
+        assert as_logged(ingest.read_metrics(spark, tables)) == as_logged(snapshots(arrivals))
+    assert ingest.read_metrics(spark, tables).count() == 5
 
     before = sorted(ingest.read_sales(spark, tables).collect())
     ingest.ingest_available(topics.read_topic_files(spark, path), tables)  # nothing new
     assert sorted(ingest.read_sales(spark, tables).collect()) == before
-    assert ingest.read_metrics(spark, tables).count() == 3
+    assert ingest.read_metrics(spark, tables).count() == 5
+
+
+def some_deliveries(rng, sale, n):
+    """Deliveries in order of arrival, of sales old and new, some within the window, some much later."""
+    start, known, rows, at_second = at("2024-03-01 22:00:00"), [], [], 0
+    for i in range(n):
+        at_second += rng.choice([1, 7, 40, 290, 300, 301, 4000, 40000])
+        when = start + timedelta(seconds=at_second)
+        if known and rng.random() < 0.5:
+            name, sold = rng.choice(known)
+        else:
+            name, sold = f"s{i}", when - timedelta(seconds=rng.choice([0, 5, 90000]))
+            known.append((name, sold))
+        rows.append(sale(name, amount=f"{rng.randrange(1, 90)}.25", when=str(sold.replace(microsecond=0)), ingested=str(when)))
+    return rows
+
+
+def test_batches_equal_a_replay_of_all_messages(spark, sales_frame, sale, tmp_path):
+    """However messages fall into batches, redeliveries of any age included."""
+    rng = random.Random(6)
+    tables, rows = ingest.StreamTables(str(tmp_path / "tables")), some_deliveries(rng, sale, 60)
+    keep, cuts = ingest._keep_batch(tables), sorted(rng.sample(range(1, 60), 4))
+    for n, (i, j) in enumerate(zip([0, *cuts], [*cuts, 60])):
+        part = events.encode(sales_frame(rows[i:j], schemas.SALES_STREAM), "ingestion_timestamp")
+        keep(part, n)
+        if n == 2:
+            keep(part, n)  # runs again
+    arrivals = sales_frame(rows, schemas.SALES_STREAM)
+    want = replay_upserts(arrivals, schemas.SALES_STREAM, "ingestion_timestamp")
+    assert sorted(ingest.read_sales(spark, tables).collect()) == sorted(want.collect())
+    assert as_logged(ingest.read_metrics(spark, tables)) == as_logged(snapshots(arrivals))
+    log = tables.sales(spark)
+    firsts = {r.sale_id: r.ingestion_timestamp.date() for r in want.collect()}
+    assert {(r.sale_id, r.day) for r in log.read().collect()} == set(firsts.items())
+
+
+def test_no_state_is_kept_between_batches(spark, sale, topic, tmp_path):
+    path, send = topic
+    tables = ingest.StreamTables(str(tmp_path / "tables"))
+    for rows in deliveries(sale):
+        send(rows)
+        ingest.ingest_available(topics.read_topic_files(spark, path), tables)
+    assert storage.children(spark, f"{tables.checkpoint('sales')}/state") == []
 
 
 def test_one_file_per_batch_equals_one_batch(spark, sale, topic, tmp_path):
@@ -114,20 +158,18 @@ def test_one_file_per_batch_equals_one_batch(spark, sale, topic, tmp_path):
     for name, limit in (("all", None), ("one", 1)):
         tables = ingest.StreamTables(str(tmp_path / name))
         ingest.ingest_available(topics.read_topic_files(spark, path, limit), tables)
-        results.append(sorted(ingest.read_sales(spark, tables).collect()))
-        assert ingest.read_metrics(spark, tables).count() == (3 if limit else 1)
+        results.append((sorted(ingest.read_sales(spark, tables).collect()), as_logged(ingest.read_metrics(spark, tables))))
     assert results[0] == results[1]
 
 
 def test_repeated_batch_replaces_its_own_rows(spark, sales_frame, sale, tmp_path):
     tables = ingest.StreamTables(str(tmp_path / "tables"))
-    rows = sales_frame(deliveries(sale)[0], schemas.SALES_STREAM).withColumn(
-        "last_arrival", F.col("ingestion_timestamp"))
+    rows = events.encode(sales_frame(deliveries(sale)[0], schemas.SALES_STREAM), "ingestion_timestamp")
     keep = ingest._keep_batch(tables)
     keep(rows, 0)
     keep(rows, 0)
-    assert spark.read.parquet(tables.sales).count() == 2
-    assert ingest.read_metrics(spark, tables).count() == 1
+    assert tables.sales(spark).read().count() == 2
+    assert ingest.read_metrics(spark, tables).count() == 2
 
 
 def test_failed_batch_runs_again(spark, sale, topic, tmp_path, monkeypatch):
@@ -144,6 +186,9 @@ def test_failed_batch_runs_again(spark, sale, topic, tmp_path, monkeypatch):
         broken.setattr(ingest, "_log_metrics", stop)
         with pytest.raises(SPARK_ERRORS):
             ingest.ingest_available(topics.read_topic_files(spark, path), tables)
+    # Folding now leaves the batch that is still to run again apart.
+    ingest.compact(spark, tables, at("2024-03-02 00:00:00").date())
+    assert tables.committed(spark) == 0
     ingest.ingest_available(topics.read_topic_files(spark, path), tables)
     got = {r.sale_id: (r.total_amount, r.ingestion_timestamp) for r in ingest.read_sales(spark, tables).collect()}
     assert got == {"a": (money("1.50"), at("2024-03-01 09:58:00")), "b": (money(2), at("2024-03-01 09:59:00")),
@@ -170,17 +215,63 @@ def test_compaction_changes_no_row(spark, sale, topic, tmp_path):
     for rows in deliveries(sale):
         send(rows)
     ingest.ingest_available(topics.read_topic_files(spark, path, 1), tables)
-    before = sorted(ingest.read_sales(spark, tables).collect())
+    before, logged = sorted(ingest.read_sales(spark, tables).collect()), as_logged(ingest.read_metrics(spark, tables))
     day = at("2024-03-01 00:00:00").date()
     assert ingest.compact(spark, tables, day) == []
     assert ingest.compact(spark, tables, day + timedelta(days=1)) == [day]
+    assert ingest.compact(spark, tables, day + timedelta(days=1)) == []
     assert sorted(ingest.read_sales(spark, tables).collect()) == before
-    assert len(storage.children(spark, f"{tables.sales}/ingestion_day={day}")) == 1
+    assert as_logged(ingest.read_metrics(spark, tables)) == logged
+    for log in (tables.sales(spark), tables.metrics(spark)):
+        assert storage.children(spark, f"{log.root}/batches/day={day}") == []
+        assert storage.children(spark, f"{log.root}/folded/day={day}") == ["generation=2"]
     send([sale("a", amount="3.00", ingested="2024-03-02 11:00:00")])
     ingest.ingest_available(topics.read_topic_files(spark, path), tables)
+    got = {r.sale_id: (r.total_amount, r.ingestion_timestamp) for r in ingest.read_sales(spark, tables).collect()}
+    assert got["a"] == (money(3), at("2024-03-01 09:58:00"))  # the stored day knows its first arrival
+    assert ingest.compact(spark, tables, day + timedelta(days=1)) == [day]
+    assert storage.children(spark, f"{tables.sales(spark).root}/folded/day={day}") == ["generation=3"]
     assert {r.sale_id: r.total_amount for r in ingest.read_sales(spark, tables).collect()}["a"] == money(3)
 
 
+def test_a_folded_batch_may_run_again(spark, sales_frame, sale, topic, tmp_path):
+    """Also the last one, in any state that a broken-off fold leaves."""
+    path, send = topic
+    tables, parts = ingest.StreamTables(str(tmp_path / "tables")), deliveries(sale)
+    for rows in parts:
+        send(rows)
+        ingest.ingest_available(topics.read_topic_files(spark, path), tables)
+    before, logged = sorted(ingest.read_sales(spark, tables).collect()), as_logged(ingest.read_metrics(spark, tables))
+    ingest.compact(spark, tables, at("2024-03-02 00:00:00").date())
+    keep = ingest._keep_batch(tables)
+    for n in (2, 0, 1):
+        keep(events.encode(sales_frame(parts[n], schemas.SALES_STREAM), "ingestion_timestamp"), n)
+        assert sorted(ingest.read_sales(spark, tables).collect()) == before
+        assert as_logged(ingest.read_metrics(spark, tables)) == logged
+    assert ingest.compact(spark, tables, at("2024-03-02 00:00:00").date()) == []  # only deletes what came again
+    assert sorted(ingest.read_sales(spark, tables).collect()) == before
+
+
+def test_fold_that_breaks_off_loses_nothing(spark, sale, topic, tmp_path, monkeypatch):
+    path, send = topic
+    tables = ingest.StreamTables(str(tmp_path / "tables"))
+    for rows in deliveries(sale):
+        send(rows)
+    ingest.ingest_available(topics.read_topic_files(spark, path, 1), tables)
+    before = sorted(ingest.read_sales(spark, tables).collect())
+    for step in ("rename", "delete"):
+        with monkeypatch.context() as patch:
+            def gone(*args):
+                raise OSError("the driver is gone")
+
+            patch.setattr(f"tillwright.streaming.daylog.storage.{step}", gone)
+            with pytest.raises(OSError, match="gone"):
+                ingest.compact(spark, tables, at("2024-03-02 00:00:00").date())
+        assert sorted(ingest.read_sales(spark, tables).collect()) == before
+    ingest.compact(spark, tables, at("2024-03-02 00:00:00").date())
+    assert sorted(ingest.read_sales(spark, tables).collect()) == before
+
+
 def test_newest_sales_read_the_newest_days(spark, sale, topic, tmp_path):
     path, send = topic
     tables = ingest.StreamTables(str(tmp_path / "tables"))
@@ -190,16 +281,24 @@ def test_newest_sales_read_the_newest_days(spark, sale, topic, tmp_path):
     assert ingest.recent_sales(spark, tables, 99).count() == 5
 
 
-def test_metric_row_sees_sales_of_later_days(spark, sales_frame, sale, tmp_path):
-    """Batches may come out of order; a sale first ingested on a later day counts, as there is no upper bound."""
+def test_newest_metrics_read_one_day_of_many(spark, sale, topic, tmp_path, monkeypatch):
+    path, send = topic
     tables = ingest.StreamTables(str(tmp_path / "tables"))
-    keep = ingest._keep_batch(tables)
-    for batch, when in enumerate(("2024-03-02 00:00:01", "2024-03-01 23:59:59")):
-        rows = sales_frame([sale(f"s{batch}", ingested=when)], schemas.SALES_STREAM)
-        keep(rows.withColumn("last_arrival", F.col("ingestion_timestamp")), batch)
-    rows = {r.metric_key: r.total_orders for r in ingest.read_metrics(spark, tables).collect()}
-    assert rows == {"batch-000000000000": 1, "batch-000000000001": 2}
-    assert ingest.metric_key(9) < ingest.metric_key(10)
+    send([sale(f"s{d}{i}", ingested=f"2024-03-0{d} 10:00:0{i}") for d in range(1, 8) for i in range(3)])
+    ingest.ingest_available(topics.read_topic_files(spark, path), tables)
+    newest = ingest.recent_metrics(spark, tables, 3)
+    assert {f.split("day=")[1][:10] for f in newest.inputFiles()} == {"2024-03-07"}
+    assert sorted(r.metric_key for r in newest.collect()) == ["s70", "s71", "s72"]
+    read, days = ingest.DayLog.read, []
+    monkeypatch.setattr(ingest.DayLog, "read", lambda self, d=None: days.append(len(d)) or read(self, d))
+    assert ingest.recent_metrics(spark, tables, 5).count() == 6
+    assert days == [1, 1, 2]  # each day is counted once
+
+
+def test_tables_without_rows_are_empty(spark, tmp_path):
+    tables = ingest.StreamTables(str(tmp_path / "tables"))
+    assert ingest.read_sales(spark, tables).collect() == [] and ingest.read_metrics(spark, tables).collect() == []
+    assert ingest.recent_sales(spark, tables).collect() == [] and ingest.compact(spark, tables, at("2030-01-01 00:00:00").date()) == []
 
 
 def test_stream_joins_static_dimensions(spark, products, stores, tmp_path):
@@ -223,5 +322,5 @@ def test_metric_log_writes_a_quarter_by_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(registry.star, "stream_arrivals", lambda *a: arrivals(*a).repartition(3))
     monkeypatch.setattr(registry.topics, "write_topic_files",
                         lambda messages, path: (plans.append(messages.rdd.getNumPartitions()), write(messages, path)))
-    assert registry.stream_metric_log(spark, SMALL).count() == 4
+    assert registry.stream_metric_log(spark, SMALL).count() == arrivals(spark, SMALL).count()
     assert plans == [3] * 4

@@ -92,6 +92,7 @@ def test_batch_load_from_csv(spark, tmp_path):
 
 def test_tables_are_created_once(spark):
     schemas.create_tables(spark)
+    spark.sql("TRUNCATE TABLE raw.stores")
     spark.sql("INSERT INTO raw.stores (store_id, store_name, city, region) VALUES ('S1', 'n', 'c', 'r')")
     schemas.create_tables(spark)
     row = spark.table("raw.stores").first()

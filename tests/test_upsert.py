@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from tillwright import schemas
 from tillwright.operators.upsert import latest_by_key, replay_upserts, upsert
-from tillwright.plans.batch import BatchLoad, Feed
 from tillwright.plans import warehouse
+from tillwright.plans.batch import BatchLoad, Feed
 from tillwright.plans.warehouse import Warehouse
 
 T0, T1 = "2024-01-01 00:00:00", "2024-01-02 00:00:00"
@@ -94,75 +94,159 @@ def test_replay_keeps_first_arrival(sales_frame, sale):
         "a": (money(2), at("2024-03-01 10:00:00")), "b": (money(5), at("2024-03-01 10:01:00"))}
 
 
+def rows_of(w, table):
+    return sorted(map(str, w.table(table).collect()))
+
+
 def test_facts_rewrite_touched_parts_only(spark, sales_frame, sale, tmp_path):
     stored = Warehouse(spark, str(tmp_path), buckets=2)
-    name = schemas.SALES_BATCH.full_name
     days = [at(T0) + timedelta(days=i) for i in range(3)]
     stored.upsert_facts(sales_frame([sale("a"), sale("b")]), schemas.SALES_BATCH, (), time(str(days[0])))
     stored.upsert_facts(sales_frame([sale("c")]), schemas.SALES_BATCH, (), time(str(days[1])))
-    untouched = {p: path for p, path in stored.state()[name].items() if p.startswith("2024-01-02")}
+    untouched = {p: n for p, n in stored.parts(schemas.SALES_BATCH).items() if p[0] == "2024-01-02"}
     for _ in range(2):
         stored.upsert_facts(sales_frame([sale("a", amount="7.00"), sale("d")]), schemas.SALES_BATCH, (), time(str(days[2])))
         got = {r.sale_id: (r.total_amount, r.ingestion_timestamp) for r in stored.table(schemas.SALES_BATCH).collect()}
         assert got == {"a": (money(7), days[0]), "b": (money(10), days[0]),
                        "c": (money(10), days[1]), "d": (money(10), days[2])}
-    state = stored.state()[name]
-    assert len(untouched) == 1 and untouched.items() <= state.items()
+    assert len(untouched) == 1 and untouched.items() <= stored.parts(schemas.SALES_BATCH).items()
+
+
+RAW = (schemas.PRODUCTS, schemas.STORES, schemas.SALES_BATCH)
 
 
 def test_facts_break_off_without_a_trace(spark, sales_frame, sale, products, stores, tmp_path, monkeypatch):
-    """A load that ends between writing and publishing, or between two tables, leaves all rows as they were."""
+    """A load that fails while it writes, or whose driver dies before the switch, leaves all rows as they were."""
     load = BatchLoad(spark, str(tmp_path), buckets=2)
+    w = load.warehouse
     load.load_raw(Feed(products, stores, sales_frame([sale("a"), sale("b")])), time(T0))
-    tables = (schemas.PRODUCTS, schemas.STORES, schemas.SALES_BATCH)
-    before = {t.full_name: sorted(map(str, load.warehouse.table(t).collect())) for t in tables}
+    before = [rows_of(w, t) for t in RAW]
     more = Feed(products.withColumn("unit_price", F.lit("9.99").cast("decimal(10,2)")), stores, sales_frame([sale("a", amount="99.00"), sale("c")]))
-
-    def stop(*args):
-        raise OSError("the driver is gone")
-
-    for broken in ("rename", "claim"):
-        with monkeypatch.context() as patch:
-            patch.setattr(f"tillwright.plans.warehouse.storage.{broken}", stop)
-            with pytest.raises(OSError, match="gone"):
-                load.load_raw(more, time(T1))
     bad_store = stores.withColumn("store_name", F.raise_error(F.lit("broken")).cast("string"))
     with pytest.raises(PySparkException, match="broken"):
         load.load_raw(Feed(more.products, bad_store, more.sales), time(T1))
-    assert {t.full_name: sorted(map(str, load.warehouse.table(t).collect())) for t in tables} == before
+    assert [rows_of(w, t) for t in RAW] == before
+
+    def gone(*args):
+        raise OSError("the driver is gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("tillwright.plans.warehouse.storage.rename", gone)
+        with pytest.raises(OSError, match="gone"):
+            load.load_raw(more, time(T1))
+    assert [rows_of(w, t) for t in RAW] == before
+    with pytest.raises(FileExistsError, match="under way"):  # its mark is still there
+        load.load_raw(more, time(T1))
+    assert w.abandon() == [3]
     load.load_raw(more, time(T1))
-    assert load.warehouse.table(schemas.SALES_BATCH).count() == 3
+    assert w.table(schemas.SALES_BATCH).count() == 3 and w.state() == (1, 4)
+    assert {"load=2", "load=3"} & {p.rsplit("/", 1)[1] for p in w.drop_old()}
+    assert w.table(schemas.SALES_BATCH).count() == 3
 
 
-def test_of_two_loads_from_one_state_one_fails(spark, products, tmp_path):
-    w, loaded = Warehouse(spark, str(tmp_path)), products.withColumn("created_at", time(T0))
-    before = w._commits()
-    w.publish({schemas.PRODUCTS: loaded}, before=before)
-    with pytest.raises(FileExistsError):
-        w.publish({schemas.PRODUCTS: loaded.limit(1)}, before=before)
-    assert w.table(schemas.PRODUCTS).count() == 2
+def test_interleaved_loads_lose_nothing(spark, sales_frame, sale, products, stores, tmp_path, monkeypatch):
+    """A load that starts while another is between reading and publishing fails; neither is lost without an error."""
+    one, two = (BatchLoad(spark, str(tmp_path), buckets=2) for _ in range(2))
+    feeds = [Feed(products, stores, sales_frame([sale(k) for k in keys])) for keys in ("ab", "bc")]
+    upsert_facts, met = warehouse.Load.upsert_facts, []
+
+    def interrupted(self, *args):
+        if not met:
+            met.append(None)
+            for step in (lambda: two.load_raw(feeds[1], time(T1)), lambda: two.build_staging(time(T1)), two.build_analytics):
+                with pytest.raises(FileExistsError):
+                    step()
+        return upsert_facts(self, *args)
 
+    monkeypatch.setattr(warehouse.Load, "upsert_facts", interrupted)
+    one.load_raw(feeds[0], time(T0))
+    assert {r.sale_id for r in one.warehouse.table(schemas.SALES_BATCH).collect()} == {"a", "b"}
+    two.load_raw(feeds[1], time(T1))
+    assert {r.sale_id for r in one.warehouse.table(schemas.SALES_BATCH).collect()} == {"a", "b", "c"}
 
-def test_full_commits_keep_every_part(spark, products, tmp_path, monkeypatch):
-    monkeypatch.setattr(warehouse, "FULL_EVERY", 2)
+
+def test_a_number_is_taken_once(spark, tmp_path, monkeypatch):
     w = Warehouse(spark, str(tmp_path))
-    for n in range(5):
-        w.publish({schemas.PRODUCTS: products.limit(n % 2 + 1).withColumn("created_at", time(T0))})
-    assert w.table(schemas.PRODUCTS).count() == 1
-    assert len(w._commits()[1]) == 2
+    with w.load():
+        pass
+    # A second load saw nothing under way, then the first took the number and was published.
+    marked, seen = Warehouse._marked, iter([[], []])
+    monkeypatch.setattr(Warehouse, "_marked", lambda self, *kinds: next(seen, None) if (found := marked(self, *kinds)) is None else next(seen, found))
+    with pytest.raises(FileExistsError, match="taken by another"):
+        w._begin()
+    assert w.abandon() == []
 
 
-def test_source_is_reduced_before_the_key_lookup(spark, sales_frame, sale, tmp_path):
+def test_source_is_reduced_before_the_key_lookup(spark, sales_frame, sale, tmp_path, monkeypatch):
     """A sale that holds a third of the deliveries is one row when keys are looked up."""
     w = Warehouse(spark, str(tmp_path), buckets=1)
     w.upsert_facts(sales_frame([sale("hot")]), schemas.SALES_BATCH, (), time(T0))
-    reads = []
-    read = w._read
-    w._read = lambda table, paths: reads.append(paths) or read(table, paths)
+    lookup, looked = warehouse.rows_of_keys, []
+    monkeypatch.setattr(warehouse, "rows_of_keys",
+                        lambda stored, delivered, keys: looked.append(delivered.count()) or lookup(stored, delivered, keys))
     w.upsert_facts(sales_frame([sale("hot", amount=str(i)) for i in range(300)] + [sale(str(i)) for i in range(600)]),
                    schemas.SALES_BATCH, (), time(T1))
     assert w.table(schemas.SALES_BATCH).filter("sale_id = 'hot'").first().total_amount == money(299)
-    assert len(reads) >= 2
+    assert looked == [601]
+
+
+def scanned(df, name):
+    """A metric of the file scans of a plan that has run, summed."""
+
+    def nodes(plan):
+        yield plan
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            yield from nodes(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            yield from nodes(plan.plan())
+        children = plan.children()
+        for i in range(children.size()):
+            yield from nodes(children.apply(i))
+
+    found = [n.metrics().get(name).get().value() for n in nodes(df._jdf.queryExecution().executedPlan())
+             if n.getClass().getSimpleName() == "FileSourceScanExec"]
+    return sum(found)
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_stored_sales_are_not_shuffled(spark, sales_frame, sale, tmp_path, monkeypatch, few):
+    """Row groups without a delivered key are not read; those with one go to new files as they are."""
+    w = Warehouse(spark, str(tmp_path), buckets=2)
+    rows = [sale(f"S{i:05d}", amount=str(i % 90)) for i in range(3000)]
+    for n in range(3):
+        w.upsert_facts(sales_frame(rows[n::3]), schemas.SALES_BATCH, (), time(f"2024-01-0{n + 1} 00:00:00"))
+    frames, write = [], warehouse.Load.replace_parts
+    monkeypatch.setattr(warehouse.Load, "replace_parts", lambda self, table, rows, *a, **k: frames.append(rows) or write(self, table, rows, *a, **k))
+    lookups, lookup = [], warehouse.rows_of_keys
+
+    def seen(*args):
+        lookups.append(lookup(*args, few=1000 if few else 0))
+        lookups[0].collect()
+        return lookups[0]
+
+    monkeypatch.setattr(warehouse, "rows_of_keys", seen)
+    w.upsert_facts(sales_frame([sale("S00004", amount="55.00"), sale("new")]), schemas.SALES_BATCH, (), time("2024-02-01 00:00:00"))
+    plan = frames[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftOuter" in plan and "FullOuter" not in plan
+    physical = frames[0]._jdf.queryExecution().executedPlan().toString()
+    stored_side = physical.split("+- Exchange hashpartitioning(load_day", 1)[0]
+    assert "BroadcastHashJoin" in stored_side and "LeftOuter" in stored_side and "hashpartitioning" not in stored_side
+    if few:
+        assert scanned(lookups[0], "numOutputRows") <= 1000  # of 3,000
+    got = {r.sale_id: r.total_amount for r in w.table(schemas.SALES_BATCH).collect()}
+    assert len(got) == 3001 and got["S00004"] == money(55) and got["S00005"] == money(5)
+
+
+def test_large_deliveries_are_joined_by_key(spark, sales_frame, sale, tmp_path, monkeypatch):
+    lookup = warehouse.rows_of_keys
+    monkeypatch.setattr(warehouse, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(warehouse, "rows_of_keys", lambda *a: lookup(*a, few=1))
+    w = Warehouse(spark, str(tmp_path), buckets=3)
+    w.upsert_facts(sales_frame([sale(str(i)) for i in range(40)]), schemas.SALES_BATCH, (), time(T0))
+    w.upsert_facts(sales_frame([sale(str(i), amount="3.00") for i in range(20, 60)]), schemas.SALES_BATCH, (), time(T1))
+    got = {r.sale_id: (r.total_amount, r.ingestion_timestamp) for r in w.table(schemas.SALES_BATCH).collect()}
+    assert got == {str(i): (money(10 if i < 20 else 3), at(T0 if i < 40 else T1)) for i in range(60)}
 
 
 def test_load_refuses_what_the_declaration_forbids(spark, sales_frame, sale, products, tmp_path):
@@ -172,19 +256,39 @@ def test_load_refuses_what_the_declaration_forbids(spark, sales_frame, sale, pro
             w.upsert_facts(sales_frame([sale("b"), bad]), schemas.SALES_BATCH, (), time(T0))
     with pytest.raises(PySparkException, match="not_null of category"):
         w.publish({schemas.PRODUCTS: products.withColumn("category", F.lit(None).cast("string")).withColumn("created_at", time(T0))})
-    assert w.state() == {}
+    assert w.state() == ()
 
 
-def test_catalog_tables_hold_the_loads(spark, sales_frame, sale, products, stores, tmp_path):
+def test_views_show_the_loads_and_cannot_be_written(spark, sales_frame, sale, products, stores, tmp_path):
     load = BatchLoad(spark, str(tmp_path), buckets=2)
-    load.load_raw(Feed(products, stores, sales_frame([sale("a"), sale("b")])), time(T0))
-    load.warehouse.register()
-    assert spark.sql("SELECT count(*) FROM raw.products").first()[0] == 2
-    load.load_raw(Feed(products, stores, sales_frame([sale("c")])), time(T1))
-    load.warehouse.register()
-    assert {r.sale_id for r in spark.sql("SELECT sale_id FROM raw.sales_batch").collect()} == {"a", "b", "c"}
-    for name in ("products", "stores", "sales_batch"):
-        spark.sql(f"DROP TABLE raw.{name}")
+    load.run(Feed(products, stores, sales_frame([sale("a"), sale("b")])), time(T0))
+    names = load.warehouse.register("shown_")
+    assert len(names) == 6 and spark.sql("SELECT count(*) FROM shown_raw.products").first()[0] == 2
+    load.run(Feed(products, stores, sales_frame([sale("a", amount="4.00"), sale("c")])), time(T1))
+    assert spark.table("shown_raw.sales_batch").count() == 2  # as of its load
+    load.warehouse.register("shown_")
+    for table in (schemas.SALES_BATCH, schemas.SALES_CLEAN, schemas.DAILY_SALES_SUMMARY, schemas.PRODUCT_PERFORMANCE):
+        shown = spark.table(f"shown_{table.full_name}")
+        assert sorted(map(str, shown.collect())) == rows_of(load.warehouse, table)
+        assert shown.columns == table.names and [f.dataType for f in shown.schema] == [f.dataType for f in table.struct()]
+    with pytest.raises(PySparkException):
+        spark.sql("INSERT INTO shown_raw.stores VALUES ('S1', 'n', 'c', 'r', TIMESTAMP_NTZ'2024-01-01 00:00:00')")
+    assert spark.table("shown_raw.stores").count() == 2
+    for name in names:
+        spark.sql(f"DROP VIEW {name}")
+
+
+def test_a_table_of_the_catalog_is_never_replaced(spark, products, stores, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    w.publish({t: f.withColumn("created_at", time(T0)) for t, f in ((schemas.PRODUCTS, products), (schemas.STORES, stores))})
+    spark.sql("CREATE DATABASE IF NOT EXISTS kept_raw")
+    spark.sql("CREATE TABLE kept_raw.stores (store_id STRING) USING parquet")
+    spark.sql("INSERT INTO kept_raw.stores VALUES ('mine')")
+    with pytest.raises(ValueError, match="kept_raw.stores"):
+        w.register("kept_")
+    assert spark.table("kept_raw.stores").first().store_id == "mine"
+    assert not spark.catalog.tableExists("kept_raw.products")
+    spark.sql("DROP TABLE kept_raw.stores")
 
 
 def test_failed_load_leaves_tables_as_they_were(spark, products, tmp_path):
@@ -209,8 +313,9 @@ def test_old_versions_are_dropped(spark, products, tmp_path):
     paths = []
     for n in (2, 1, 2):
         w.publish({schemas.PRODUCTS: products.limit(n).withColumn("created_at", time(T0))})
-        paths.append(w.path("raw.products"))
+        paths.append(w.path(schemas.PRODUCTS))
     assert w.drop_old() == paths[:1] and w.drop_old() == []
+    assert w.drop_old(keep=0, needed=3) == []
     assert w.drop_old(keep=0) == [paths[1]]
     assert w.table(schemas.PRODUCTS).count() == 2
 
@@ -227,3 +332,63 @@ def test_batch_load_twice(spark, sales_frame, sale, products, stores, tmp_path):
     daily = load.warehouse.table(schemas.DAILY_SALES_SUMMARY).first()
     assert (daily.total_revenue, daily.total_orders) == (money(119), 3)
     assert load.warehouse.table(schemas.PRODUCTS).select("created_at").distinct().collect()[0][0] == at(T0)
+
+
+def test_counts_read_no_column(spark, sales_frame, sale, products, stores, tmp_path):
+    load = BatchLoad(spark, str(tmp_path), buckets=2)
+    plan = load.run(Feed(products, stores, sales_frame([sale("a")])), time(T0))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReadSchema: struct<>") == 6
+
+
+BUILT = (schemas.DAILY_SALES_SUMMARY, schemas.PRODUCT_PERFORMANCE)
+
+
+def as_full(load, stamp):
+    """What a full build gives; it becomes current too."""
+    load.build_staging(time(stamp), full=True)
+    load.build_analytics(full=True)
+    clean = load.warehouse.table(schemas.SALES_CLEAN).drop("ingestion_timestamp")
+    return [sorted(map(str, clean.collect())), *(rows_of(load.warehouse, t) for t in BUILT)]
+
+
+def refreshed(load):
+    clean = load.warehouse.table(schemas.SALES_CLEAN).drop("ingestion_timestamp")
+    return [sorted(map(str, clean.collect())), *(rows_of(load.warehouse, t) for t in BUILT)]
+
+
+def test_refresh_rewrites_one_day_and_equals_a_full_build(spark, sales_frame, sale, products, stores, tmp_path):
+    load = BatchLoad(spark, str(tmp_path), buckets=2)
+    first = [sale(f"s{d}{i}", product_id=f"P00{i % 3}", store_id=f"S00{i % 4}", when=f"2024-03-0{d} 10:00:00") for d in range(1, 6) for i in range(6)]
+    load.run(Feed(products, stores, sales_frame(first)), time(T0))
+    before = load.warehouse.parts(schemas.DAILY_SALES_SUMMARY)
+    assert set(before) == {(f"2024-03-0{d}",) for d in range(1, 6)}
+    load.run(Feed(products, stores, sales_frame([sale("n1", when="2024-03-03 23:00:00", amount="7.77"), sale("n2", when="2024-03-03 01:00:00")])), time(T1))
+    after = load.warehouse.parts(schemas.DAILY_SALES_SUMMARY)
+    assert {p for p in after if after[p] != before[p]} == {("2024-03-03",)}
+    load.drop_old()
+    got = refreshed(load)
+    assert got == as_full(load, T1)
+
+
+def test_refresh_follows_corrections_and_dimensions(spark, sales_frame, sale, products, stores, tmp_path):
+    """Amounts, days and stores that change, sales that become unclean, days that empty, products and stores renamed or new."""
+    load = BatchLoad(spark, str(tmp_path), buckets=2)
+    rows = [sale(f"s{i}", product_id=f"P00{i % 4}", store_id=f"S00{i % 4}", when=f"2024-03-0{i % 5 + 1} 10:00:00", amount=f"{i}.25") for i in range(20)]
+    load.run(Feed(products, stores, sales_frame(rows)), time(T0))
+    steps = [
+        (products, stores, [sale("s1", amount="0.50", when="2024-03-09 10:00:00"), sale("s2", quantity=0), sale("s6", store_id="S003", product_id="P001")]),
+        (products.withColumn("category", F.lit("Other")).limit(1), stores, [sale("t1", when="2024-04-01 00:00:00")]),
+        (products, stores.withColumn("city", F.concat(F.col("city"), F.lit("!"))), [sale("t1", quantity=0, when="2024-04-01 00:00:00")]),
+        (spark.createDataFrame([("P003", "New", "Fresh", money(1), 1)], products.schema), stores, [sale(f"s{i}", quantity=0) for i in range(0, 20, 5)]),
+    ]
+    for n, (p, s, sales) in enumerate(steps):
+        stamp = f"2024-02-0{n + 1} 00:00:00"
+        load.run(Feed(p, s, sales_frame(sales)), time(stamp))
+        load.drop_old(keep=1)
+        got, again = refreshed(load), BatchLoad(spark, str(tmp_path / f"full{n}"), buckets=2)
+        w = load.warehouse
+        with again.warehouse.load() as copy:
+            for t in (schemas.PRODUCTS, schemas.STORES):
+                copy.replace(t, w.table(t))
+            copy.replace_parts(schemas.SALES_BATCH, w.rows(schemas.SALES_BATCH, w.parts(schemas.SALES_BATCH)), ())
+        assert got == as_full(again, stamp), n

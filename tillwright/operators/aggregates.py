@@ -26,6 +26,21 @@ def _orders(order_count: OrderCount) -> Column:
     return F.count("sale_id")
 
 
+def _signed(sign: str | None) -> Column:
+    return F.count("sale_id") if sign is None else F.sum(sign).cast("bigint")
+
+
+def daily_totals(sales: DataFrame, sign: str | None = None) -> DataFrame:
+    """Revenue, orders and items of every store and day; ``sign`` names a column that counts a sale as +1 or -1."""
+    return sales.groupBy("sale_date", "store_id").agg(
+        total(F.col("total_amount")).alias("total_revenue"), _signed(sign).alias("total_orders"),
+        F.sum("quantity").alias("total_items_sold"))
+
+
+def with_basket(totals: DataFrame) -> DataFrame:
+    return totals.withColumn("average_basket", exact_average(F.col("total_revenue"), F.col("total_orders")))
+
+
 def store_days(sales: DataFrame, order_count: OrderCount = "distinct") -> DataFrame:
     return (
         sales.groupBy("sale_date", "store_id")
@@ -50,11 +65,12 @@ def daily_sales_summary(sales: DataFrame, stores: DataFrame, order_count: OrderC
     )
 
 
-def product_totals(sales: DataFrame, order_count: OrderCount = "distinct") -> DataFrame:
+def product_totals(sales: DataFrame, order_count: OrderCount = "distinct", sign: str | None = None) -> DataFrame:
+    """Revenue, quantity and orders of every product; with ``sign`` as in ``daily_totals``."""
     return sales.groupBy("product_id").agg(
         total(F.col("total_amount")).alias("total_revenue"),
         F.sum("quantity").alias("total_quantity_sold"),
-        _orders(order_count).alias("number_of_orders"),
+        (_signed(sign) if sign else _orders(order_count)).alias("number_of_orders"),
     )
 
 

@@ -38,11 +38,11 @@ def add_time_parts(sales: DataFrame) -> DataFrame:
     })
 
 
-def enrich(sales: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
-    """Sales with product and store facts and time parts; the price stays the one of the sale."""
+def enrich(sales: DataFrame, products: DataFrame, stores: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Sales with product and store facts and time parts, and the columns ``keep``; the price stays the one of the sale."""
     joined = add_facts(add_facts(sales, products, "product_id", PRODUCT_FACTS), stores, "store_id", STORE_FACTS)
     columns = [c for c in SALES_CLEAN.names if c in SALES_CLEAN.fed or c in sales.columns]
-    return add_time_parts(joined).select(*columns)
+    return add_time_parts(joined).select(*columns, *keep)
 
 
 def with_line_total(sales: DataFrame) -> DataFrame:

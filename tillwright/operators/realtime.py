@@ -129,22 +129,27 @@ def _known(name: str) -> Column:
     return F.coalesce(F.col(name), F.raise_error(F.lit(f"NULL in {name} of an arrival")))
 
 
-def snapshots(arrivals: DataFrame) -> DataFrame:
+def snapshots(arrivals: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """One metric row per arrival, as the metric log holds it after the arrival was stored.
 
     ``arrivals`` has ``sale_id``, ``ingestion_timestamp``, ``total_amount`` and any other columns
     of a sale. Arrivals at the same microsecond see each other. A NULL key is an error, as it is
-    for the upsert.
+    for the upsert. ``before`` holds sales that were stored before, one row each, by their first
+    arrival; they count like arrivals but get no row.
     """
     row = [c for c in SALES_STREAM.fed if c in arrivals.columns and c != "sale_id"]
+
     # Never NULL, so that the optimizer adds no null filters, and with them scans and shuffles,
     # to the uses of the shared parts below.
-    timed = arrivals.select(
-        _known("sale_id").alias("sale_id"), _known("ingestion_timestamp").alias("ingestion_timestamp"),
-        F.coalesce(micros(F.col("ingestion_timestamp")), F.lit(0)).alias("at"), F.struct(*row).alias("row"),
-    )
-    states = _states(_changes(_deliveries(timed)))
-    return timed.join(states, "at").select(
+    def timed(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            _known("sale_id").alias("sale_id"), _known("ingestion_timestamp").alias("ingestion_timestamp"),
+            F.coalesce(micros(F.col("ingestion_timestamp")), F.lit(0)).alias("at"), F.struct(*row).alias("row"))
+
+    counted = arrivals if before is None else arrivals.select("sale_id", "ingestion_timestamp", *row).unionByName(
+        before.select("sale_id", "ingestion_timestamp", *row))
+    states = _states(_changes(_deliveries(timed(counted))))
+    return timed(arrivals).join(states, "at").select(
         F.col("ingestion_timestamp").alias("metric_timestamp"),
         F.col("sale_id").alias("metric_key"),
         or_zero(F.col("revenue"), TOTAL).alias("total_revenue"),

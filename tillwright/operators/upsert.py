@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from tillwright.schemas import Table
 
 
+#: Up to so many keys are looked up by value, so that stored row groups without any are not read.
+LOOKUP_KEYS = 1000
+
+
 def _required(name: str) -> Column:
     return F.coalesce(F.col(name), F.raise_error(F.lit(f"NULL in key column {name}"))).alias(name)
 
@@ -41,6 +45,19 @@ def latest_by_key(arrivals: DataFrame, keys: Sequence[str], order_by: Sequence[s
     return _newest(arrivals, keys, order_by, first or {}).drop("_hash")
 
 
+def rows_of_keys(stored: DataFrame, delivered: DataFrame, keys: Sequence[str], few: int = LOOKUP_KEYS) -> DataFrame:
+    """Stored rows whose key was delivered.
+
+    Up to ``few`` keys are compared by value, which Parquet's Bloom filters and value ranges see; more
+    are joined. ``delivered`` is read once or twice.
+    """
+    if len(keys) == 1:
+        values = [r[0] for r in delivered.select(*keys).distinct().limit(few + 1).collect()]
+        if len(values) <= few:
+            return stored.filter(F.col(keys[0]).isin(values))
+    return stored.join(delivered.select(*keys), list(keys), "left_semi")
+
+
 def upsert(target: DataFrame | None, source: DataFrame, table: Table, order_by: Sequence[str],
            loaded_at: Column) -> DataFrame:
     """``target`` after ``source`` was inserted or, for known keys, written over it.

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from tillwright import schemas
 from tillwright.operators import reports
 from tillwright.plans.warehouse import Warehouse
-from tillwright.streaming.ingest import StreamTables, read_metrics, recent_sales
+from tillwright.streaming.ingest import StreamTables, recent_metrics, recent_sales
 
 
 def batch_reports(warehouse: Warehouse) -> dict[str, DataFrame]:
@@ -26,7 +26,7 @@ def batch_reports(warehouse: Warehouse) -> dict[str, DataFrame]:
 
 def stream_reports(warehouse: Warehouse, tables: StreamTables) -> dict[str, DataFrame]:
     spark, state = warehouse.spark, warehouse.state()
-    metrics = read_metrics(spark, tables)
+    metrics = recent_metrics(spark, tables)
     return {
         "latest_metrics": reports.latest_metrics(metrics),
         "recent_metrics": reports.recent_metrics(metrics),

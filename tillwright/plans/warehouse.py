@@ -1,16 +1,19 @@
-"""Published tables: a load writes fresh folders, then one new commit makes them current.
+"""Published tables: plain Parquet folders, partitioned by the number of the load that wrote them.
 
-A commit names, for each part of each table it changes, the folder that now holds it. Commits are
-numbered; the folder of a number can be taken once only, so of two loads that started from the
-same state one fails and changes nothing. Every ``FULL_EVERY`` commits one names all current
-parts, and readers start at the last such one.
+    <layer>/<table>/load=<n>/                     a table of which a load writes all rows
+    <layer>/<table>/<part>=<value>/load=<n>/      one of which a load writes the parts it changes
+    _loads/open/<n>, published/<n>, abandoned/<n>  one empty file a load
+
+One load is under way at a time: it takes the next number by creating its file in ``open``, which
+only one can, and reads what is published after that. Moving the file to ``published`` is the one
+switch that makes all it wrote current. Before it, or if the load is given up, nothing has
+changed. Readers take of each part the newest published load.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,22 +21,24 @@ from pyspark.sql import types as T
 
 from tillwright import storage
 from tillwright.operators.quality import refuse_violations
-from tillwright.operators.upsert import latest_by_key, upsert
-from tillwright.schemas import Table
-
-COMMIT = (T.StructType().add("table_name", T.StringType()).add("part", T.StringType())
-          .add("path", T.StringType()).add("version", T.LongType()))
-FULL_EVERY = 32
-DAY, BUCKET = "load_day", "bucket"
-WHOLE = ""
-
-
-@dataclass(frozen=True)
-class Staged:
-    """Folders that are written but not yet current: part of the table to folder."""
-
-    table: Table
-    parts: dict[str, str]
+from tillwright.operators.upsert import latest_by_key, rows_of_keys
+from tillwright.schemas import DAILY_SALES_SUMMARY, SALES_BATCH, SALES_CLEAN, TABLES, Table
+from tillwright.session import scratch_path
+
+DAY, BUCKET, LOAD = "load_day", "bucket", "load"
+#: Columns that part a table. Sales lie by the day their key was first loaded and a hash of the key, which never change.
+PARTS = {
+    SALES_BATCH.full_name: {DAY: T.DateType(), BUCKET: T.IntegerType()},
+    SALES_CLEAN.full_name: {DAY: T.DateType(), BUCKET: T.IntegerType()},
+    DAILY_SALES_SUMMARY.full_name: {"sale_date": T.DateType()},
+}
+#: A delivery up to this size is broadcast to the stored sales, which then are not shuffled.
+BROADCAST_BYTES = 8 << 20
+
+#: Published loads, in order, that a reader goes by.
+State = tuple[int, ...]
+#: Part (values of the part columns as text) to the load that holds it.
+Held = dict[tuple[str, ...], int]
 
 
 class Warehouse:
@@ -42,188 +47,263 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
 
-    # --- commits -----------------------------------------------------------------------------------
+    # --- loads -------------------------------------------------------------------------------------
+
+    def _marker(self, kind: str, number: int) -> str:
+        return f"{self.root}/_loads/{kind}/{number:09d}"
+
+    def _marked(self, *kinds: str) -> list[int]:
+        return sorted(int(n) for kind in kinds for n in storage.children(self.spark, f"{self.root}/_loads/{kind}"))
+
+    def state(self) -> State:
+        """The published loads; pass it to readers to see several tables as of one of them."""
+        return tuple(self._marked("published"))
+
+    @contextmanager
+    def load(self) -> Iterator[Load]:
+        """The one load under way; published at the end of the block, given up if that fails."""
+        begun = self._begin()
+        try:
+            yield begun
+            storage.rename(self.spark, self._marker("open", begun.number), self._marker("published", begun.number))
+        except BaseException:
+            self.abandon(begun.number)
+            raise
+
+    def _begin(self) -> Load:
+        under_way = self._marked("open")
+        if under_way:
+            raise FileExistsError(f"load {under_way[0]} of {self.root} is under way; if it has died, give it up by abandon()")
+        number = max(self._marked("published", "abandoned"), default=0) + 1
+        storage.claim(self.spark, self._marker("open", number))
+        if number in self._marked("published", "abandoned"):  # another came and went while this one counted
+            storage.delete(self.spark, self._marker("open", number))
+            raise FileExistsError(f"load {number} of {self.root} was taken by another load")
+        return Load(self, number, self.state())
+
+    def abandon(self, number: int | None = None) -> list[int]:
+        """Give up loads under way, or the one named; what they wrote never becomes current."""
+        given_up = [n for n in self._marked("open") if number in (None, n)]
+        for n in given_up:
+            storage.rename(self.spark, self._marker("open", n), self._marker("abandoned", n))
+        return given_up
 
-    @property
-    def _log(self) -> str:
-        return f"{self.root}/_commits"
+    # --- reading -----------------------------------------------------------------------------------
 
-    def _commits(self) -> tuple[int, list]:
-        """Number of the last commit, and the rows from the last full one on: at most one row a part, and few commits more."""
-        taken = max((int(n) for n in storage.children(self.spark, f"{self.root}/_numbers")), default=0)
-        names = sorted(storage.children(self.spark, self._log))
-        if not names:
-            return taken, []
-        full = max((i for i, n in enumerate(names) if n.endswith("-full")), default=0)
-        rows = self.spark.read.schema(COMMIT).parquet(*[f"{self._log}/{n}" for n in names[full:]]).collect()
-        return taken, rows
+    def folder(self, table: Table) -> str:
+        return f"{self.root}/{table.layer}/{table.name}"
+
+    def versions(self, table: Table) -> list[tuple[tuple[str, ...], int]]:
+        """All (part, load) that have files, published or not. Spark lists the folders; no file is opened."""
+        folder, names = self.folder(table), [*PARTS.get(table.full_name, {}), LOAD]
+        if len(names) == 1:
+            return [((), int(n.split("=")[1])) for n in storage.children(self.spark, folder)]
+        if not storage.children(self.spark, folder):
+            return []
+        files = self.spark.read.format("binaryFile").load(folder)
+        # One row a part and version.
+        rows = files.select(*[F.coalesce(F.col(n).cast("string"), F.lit("")).alias(n) for n in names]).distinct().collect()
+        return [(tuple(r)[:-1], int(r[LOAD])) for r in rows]
+
+    def parts(self, table: Table, state: State | None = None) -> Held:
+        """Current version of each part."""
+        state = set(self.state() if state is None else state)
+        return self.newest(v for v in self.versions(table) if v[1] in state)
 
     @staticmethod
-    def _current(rows: Iterable) -> dict[str, dict[str, tuple[str, int]]]:
-        state: dict[str, dict[str, tuple[str, int]]] = {}
-        for row in sorted(rows, key=lambda r: r.version):
-            state.setdefault(row.table_name, {})[row.part] = (row.path, row.version)
-        return state
-
-    def state(self) -> dict[str, dict[str, str]]:
-        """Folders of the current parts of every table."""
-        return {name: {part: path for part, (path, _) in parts.items()} for name, parts in self._current(self._commits()[1]).items()}
-
-    def _commit(self, staged: Sequence[Staged], before: tuple[int, list], kept: list | None = None) -> None:
-        last, rows = before
-        version = last + 1
-        new = [(s.table.full_name, part, path, version) for s in staged for part, path in s.parts.items()]
-        full = kept is not None or version % FULL_EVERY == 0
-        if full:
-            changed = {(name, part) for name, part, _, _ in new}
-            old = kept if kept is not None else [
-                (name, part, path, v) for name, parts in self._current(rows).items() for part, (path, v) in parts.items()]
-            new = [row for row in old if (row[0], row[1]) not in changed] + new if kept is None else kept
-        draft = f"{self.root}/_drafts/{uuid.uuid4().hex}"
-        self.spark.createDataFrame(new, COMMIT).coalesce(1).write.parquet(draft)
-        # Of two loads that began with the same state only one gets the number. A load that breaks
-        # off here leaves a number without a commit, which changes nothing.
-        storage.claim(self.spark, f"{self.root}/_numbers/{version:012d}")
-        storage.rename(self.spark, draft, f"{self._log}/{version:012d}{'-full' if full else ''}")
+    def newest(versions: Iterable[tuple[tuple[str, ...], int]]) -> Held:
+        held: Held = {}
+        for part, number in versions:
+            held[part] = max(number, held.get(part, 0))
+        return held
+
+    def loaded_at(self, table: Table, state: State | None = None) -> int | None:
+        """The newest load that wrote any of the table."""
+        return max(self.parts(table, state).values(), default=None)
+
+    def table(self, table: Table, state: State | None = None) -> DataFrame:
+        """Current rows of a table."""
+        held = self.parts(table, state)
+        if not held and not storage.exists(self.spark, self.folder(table)):
+            raise LookupError(f"{table.full_name} has not been loaded")
+        return self.rows(table, held).select(*table.names)
 
-    # --- reading -----------------------------------------------------------------------------------
+    def path(self, table: Table, state: State | None = None) -> str | None:
+        """Folder that holds the current rows of a table without parts."""
+        number = self.parts(table, state).get(())
+        return None if number is None else f"{self.folder(table)}/{LOAD}={number}"
 
-    def path(self, name: str, state: dict | None = None) -> str | None:
-        """Folder of a table that is one part."""
-        return (state if state is not None else self.state()).get(name, {}).get(WHOLE)
+    @staticmethod
+    def _version(names: Iterable[str]) -> Column:
+        """A folder as one text; a filter on it is decided by the driver, before any file is opened."""
+        return F.concat_ws("/", *[F.coalesce(F.col(n).cast("string"), F.lit("")) for n in names])
 
-    def table(self, table: Table, state: dict | None = None) -> DataFrame:
-        """Current rows of a table; pass ``state`` to read several tables as of one commit."""
-        parts = (state if state is not None else self.state()).get(table.full_name)
-        if parts is None:
-            raise LookupError(f"{table.full_name} has not been loaded")
-        return self._read(table, list(parts.values()))
+    def rows(self, table: Table, held: Held) -> DataFrame:
+        """Rows of the given versions of parts, with the part columns.
 
-    def _read(self, table: Table, paths: list[str]) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], table.struct())
-        return self.spark.read.schema(table.struct()).parquet(*paths).select(*table.names)
+        The reader gets the table's folder and a filter on its partition columns, not a path a part.
+        """
+        parts = PARTS.get(table.full_name, {})
+        schema = T.StructType(table.struct().fields + [T.StructField(n, t) for n, t in parts.items() if n not in table.names])
+        if not held:
+            return self.spark.createDataFrame([], schema)
+        if not parts:
+            return self.spark.read.schema(schema).parquet(f"{self.folder(table)}/{LOAD}={held[()]}")
+        wanted = ["/".join([*part, str(number)]) for part, number in held.items()]
+        return self.spark.read.schema(schema.add(LOAD, T.LongType())).parquet(self.folder(table)).filter(
+            self._version([*parts, LOAD]).isin(wanted)).drop(LOAD)
 
     # --- writing -----------------------------------------------------------------------------------
 
-    def _folder(self, table: Table) -> str:
-        return f"{self.root}/{table.layer}/{table.name}/{uuid.uuid4().hex}"
+    def publish(self, contents: dict[Table, DataFrame]) -> None:
+        """Replace the contents of all given tables at once or, if anything fails, not at all."""
+        with self.load() as load:
+            for table, rows in contents.items():
+                load.replace(table, rows)
+
+    def upsert_facts(self, source: DataFrame, table: Table, order_by: Sequence[str], loaded_at: Column) -> None:
+        """One upsert of facts as a load of its own."""
+        with self.load() as load:
+            load.upsert_facts(source, table, order_by, loaded_at)
+
+    # --- upkeep ------------------------------------------------------------------------------------
+
+    def drop_old(self, keep: int = 2, needed: int | None = None) -> list[str]:
+        """Delete all but the ``keep`` newest versions of each part, and what loads that were given up wrote.
+
+        Keep more than one while readers of an earlier version may still run. Of versions up to load
+        ``needed`` the newest stays too: a refresh since then compares with it. No load may be under
+        way meanwhile; this takes a number itself.
+        """
+        begun, deleted = self._begin(), []
+        try:
+            published, given_up = set(begun.state), set(self._marked("abandoned"))
+            for table in TABLES.values():
+                names, lines = list(PARTS.get(table.full_name, {})), {}
+                versions = self.versions(table)
+                for part, number in versions:
+                    lines.setdefault(part, []).extend([number] if number in published else [])
+                for part, number in versions:
+                    line = sorted(lines[part])
+                    stays = line[-max(keep, 1):] + [n for n in line if needed is not None and n <= needed][-1:]
+                    if number in given_up or (number in published and number not in stays):
+                        values = [f"{n}={v or '__HIVE_DEFAULT_PARTITION__'}" for n, v in zip(names, part)]
+                        path = "/".join([self.folder(table), *values, f"{LOAD}={number}"])
+                        deleted += [path] if storage.delete(self.spark, path) else []
+        finally:
+            self.abandon(begun.number)
+        return deleted
+
+    def register(self, prefix: str = "") -> list[str]:
+        """Views of these names, layer by layer, that show the current contents; returns them.
 
-    def stage(self, table: Table, df: DataFrame) -> Staged:
-        """Write the contents of a table; a row that its declaration forbids fails the load.
+        They can be read by any SQL but not written to. Call it again after a load. A name that is
+        a table's is refused, and then no view is changed.
+        """
+        spark, state, views = self.spark, self.state(), {}
+        for name, table in TABLES.items():
+            if not self.parts(table, state):
+                continue
+            view = f"{prefix}{name}"
+            if spark.catalog.tableExists(view) and spark.catalog.getTable(view).tableType != "VIEW":
+                raise ValueError(f"{view} is a table of the catalog; a view of that name would hide its rows")
+            views[view] = self._view(table, state)
+        for layer in dict.fromkeys(view.split(".")[0] for view in views):
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        for view, text in views.items():
+            spark.sql(f"CREATE OR REPLACE VIEW {view} AS {text}")
+        return list(views)
+
+    def _view(self, table: Table, state: State) -> str:
+        columns = ", ".join(table.names)
+        parts = list(PARTS.get(table.full_name, {}))
+        if not parts:
+            return f"SELECT {columns} FROM parquet.`{self.path(table, state)}`"
+        version = ", ".join(f"coalesce(cast({n} AS STRING), '')" for n in [*parts, LOAD])
+        wanted = ", ".join("'" + "/".join([*part, str(n)]) + "'" for part, n in sorted(self.parts(table, state).items()))
+        return f"SELECT {columns} FROM parquet.`{self.folder(table)}` WHERE concat_ws('/', {version}) IN ({wanted})"
+
+
+class Load:
+    """A load under way: writes folders of its number, which nobody reads before it is published."""
+
+    def __init__(self, warehouse: Warehouse, number: int, state: State):
+        self.warehouse, self.number, self.state = warehouse, number, state
+
+    def table(self, table: Table) -> DataFrame:
+        """Rows as they were when the load began."""
+        return self.warehouse.table(table, self.state)
+
+    def replace(self, table: Table, rows: DataFrame) -> None:
+        """Write all rows of a table; a row that its declaration forbids fails the load.
 
         Executors write the rows, from whatever partitions they are in.
         """
-        path = self._folder(table)
-        refuse_violations(df.select(*table.names), table).write.parquet(path)
-        return Staged(table, {WHOLE: path})
-
-    def publish(self, contents: dict[Table, DataFrame], facts: Sequence[Staged] = (), before: tuple[int, list] | None = None) -> None:
-        """Replace the contents of all given tables, and the given parts of facts, at once or, if anything fails, not at all."""
-        before = before or self._commits()
-        self._commit([*[self.stage(table, df) for table, df in contents.items()], *facts], before)
-
-    def upsert_dimension(self, source: DataFrame, table: Table, order_by: Sequence[str], loaded_at: Column,
-                         state: dict | None = None) -> DataFrame:
-        """Contents of a dimension after the upsert; to be given to ``publish``."""
-        state = self.state() if state is None else state
-        current = self.table(table, state) if table.full_name in state else None
-        return upsert(current, source, table, order_by, loaded_at)
+        if table.full_name in PARTS:
+            self.replace_parts(table, rows, self.warehouse.parts(table, self.state))
+        else:
+            checked = refuse_violations(rows.select(*table.names), table)
+            checked.write.mode("overwrite").parquet(f"{self.warehouse.folder(table)}/{LOAD}={self.number}")
+
+    def replace_parts(self, table: Table, rows: DataFrame, touched: Iterable[tuple[str, ...]], spread: bool = True) -> None:
+        """Write the parts that ``rows`` belong to; those of ``touched`` that get no row become empty.
+
+        ``rows`` has the part columns. ``spread`` gathers a part's rows before they are written.
+        """
+        w, parts = self.warehouse, list(PARTS[table.full_name])
+        extra = [n for n in parts if n not in table.names]
+        checked = refuse_violations(rows.select(*table.names, *extra), table).withColumn(LOAD, F.lit(self.number))
+        if spread:
+            checked = checked.hint("rebalance", *[F.col(n) for n in parts])
+        writer = checked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        for key in table.key if len(table.key) == 1 else ():
+            writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+        writer.partitionBy(*parts, LOAD).parquet(w.folder(table))
+        touched = set(touched)
+        if touched:
+            written = {part for part, number in w.versions(table) if number == self.number}
+            empty = rows.sparkSession.createDataFrame([], T.StructType([f for f in table.struct() if f.name not in parts]))
+            for part in touched - written:
+                values = [f"{n}={v or '__HIVE_DEFAULT_PARTITION__'}" for n, v in zip(parts, part)]
+                empty.coalesce(1).write.mode("overwrite").parquet("/".join([w.folder(table), *values, f"{LOAD}={self.number}"]))
 
     def _part(self, table: Table) -> list[Column]:
         (stamp,) = table.stamps
-        return [F.to_date(stamp).alias(DAY), F.pmod(F.xxhash64(*table.key), F.lit(self.buckets)).cast("int").alias(BUCKET)]
+        return [F.to_date(stamp).alias(DAY), F.pmod(F.xxhash64(*table.key), F.lit(self.warehouse.buckets)).cast("int").alias(BUCKET)]
 
-    def stage_facts(self, source: DataFrame, table: Table, order_by: Sequence[str], loaded_at: Column,
-                    state: dict | None = None) -> Staged:
-        """Write the parts of keyed facts that an upsert of ``source`` changes; to be given to ``publish``.
+    def upsert_facts(self, source: DataFrame, table: Table, order_by: Sequence[str], loaded_at: Column) -> None:
+        """Insert ``source`` into keyed facts or write it over rows of its keys; parts without any stay as they are.
 
-        Facts are laid out by the day a key was first loaded and a hash of the key, neither of
-        which ever changes. The source is reduced to one row a key and stored, so it is evaluated
-        once and no key is hot after that. The parts that hold its keys are found by a semi join
-        that reads the keys of the buckets it touches; only these parts are rewritten, beside the
-        old ones.
+        The source is reduced to one row a key and stored, so it is evaluated once and no key is hot
+        after that. Its keys are looked up in the parts of their buckets; the parts that hold some
+        are written anew. A delivery below ``BROADCAST_BYTES`` is broadcast for both, so that stored
+        rows go from their files to new ones without a shuffle; a larger one is joined by key.
         """
+        w, spark, keys = self.warehouse, self.warehouse.spark, list(table.key)
         (stamp,) = table.stamps
-        reduced = f"{self.root}/_drafts/{uuid.uuid4().hex}"
-        delivered = source.select(*table.fed, *[c for c in order_by if c not in table.fed])
-        newest = latest_by_key(delivered, list(table.key), [c for c in order_by if c not in table.fed])
+        reduced, matched = scratch_path(spark, "delivery"), scratch_path(spark, "matched")
+        extra = [c for c in order_by if c not in table.fed]
+        newest = latest_by_key(source.select(*table.fed, *extra), keys, extra)
         fresh_rows = refuse_violations(newest.select(*table.fed), table).withColumn(stamp, loaded_at.cast("timestamp_ntz"))
         fresh_rows.select("*", *self._part(table)).write.parquet(reduced)
-        fresh = self.spark.read.parquet(reduced)
+        fresh = spark.read.parquet(reduced)
+        small = storage.size(spark, reduced) <= BROADCAST_BYTES
+        delivered = F.broadcast(fresh) if small else fresh
+        held = w.parts(table, self.state)
         # At most one row a bucket; and, below, one a day and bucket.
-        new_parts = {f"{r[DAY]}/{r[BUCKET]}" for r in fresh.select(DAY, BUCKET).distinct().collect()}
-        buckets = {p.split("/")[1] for p in new_parts}
-        held = (self.state() if state is None else state).get(table.full_name, {})
-        searched = [path for part, path in held.items() if part.split("/")[1] in buckets]
-        touched = set()
-        if searched:
-            keys = self._read(table, searched).select(*table.key, *self._part(table))
-            found = keys.join(fresh.select(*table.key), list(table.key), "left_semi").select(DAY, BUCKET).distinct()
-            touched = {f"{r[DAY]}/{r[BUCKET]}" for r in found.collect()}
-        current = self._read(table, [held[p] for p in sorted(touched | new_parts) if p in held])
-        merged = upsert(current, fresh.select(*table.fed), table, (), loaded_at)
-        folder = self._folder(table)
-        (
-            merged.select("*", *self._part(table)).hint("rebalance", F.col(DAY), F.col(BUCKET))
-            .write.partitionBy(DAY, BUCKET).parquet(folder)
-        )
-        storage.delete(self.spark, reduced)
-        written = {}
-        for day in storage.children(self.spark, folder):
-            for bucket in storage.children(self.spark, f"{folder}/{day}"):
-                written[f"{day.split('=')[1]}/{bucket.split('=')[1]}"] = f"{folder}/{day}/{bucket}"
-        return Staged(table, written)
-
-    def upsert_facts(self, source: DataFrame, table: Table, order_by: Sequence[str], loaded_at: Column) -> None:
-        """One upsert of facts as a commit of its own."""
-        before = self._commits()
-        state = {name: {p: path for p, (path, _) in parts.items()} for name, parts in self._current(before[1]).items()}
-        self._commit([self.stage_facts(source, table, order_by, loaded_at, state)], before)
-
-    # --- upkeep ------------------------------------------------------------------------------------
-
-    def drop_old(self, keep: int = 2) -> list[str]:
-        """Delete the files of all but the ``keep`` newest versions of each part.
-
-        Keep more than one while readers of an earlier version may still run. What was deleted is
-        forgotten by a full commit, so that it is not tried again.
-        """
-        before = self._commits()
-        versions: dict[tuple[str, str], list] = {}
-        for row in before[1]:
-            versions.setdefault((row.table_name, row.part), []).append(row)
-        kept, deleted = [], []
-        for rows in versions.values():
-            rows.sort(key=lambda r: -r.version)
-            kept += [tuple(r) for r in rows[:max(keep, 1)]]
-            deleted += [r.path for r in rows[max(keep, 1):]]
-        deleted = [path for path in deleted if storage.delete(self.spark, path)]
-        if deleted:
-            self._commit([], before, kept)
-        return deleted
-
-    def register(self) -> None:
-        """Let the session catalog's tables of these names hold the current contents.
-
-        The tables are external: their folders are the published ones, a part of facts is a
-        partition, and dropping them deletes nothing.
-        """
-        from tillwright.schemas import TABLES
-
-        state = self.state()
-        for layer in dict.fromkeys(name.split(".")[0] for name in state):
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-        for name, parts in state.items():
-            table = TABLES[name]
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            if set(parts) == {WHOLE}:
-                self.spark.sql(table.ddl(parts[WHOLE]))
-                continue
-            columns = ", ".join(f"{c.name} {c.sql_type}" for c in table.columns)
-            self.spark.sql(f"CREATE TABLE {name} ({columns}, {DAY} DATE, {BUCKET} INT) USING parquet "
-                           f"PARTITIONED BY ({DAY}, {BUCKET}) LOCATION '{self._folder(table)}'")
-            named = [f"PARTITION ({DAY}=DATE'{p.split('/')[0]}', {BUCKET}={p.split('/')[1]}) LOCATION '{path}'"
-                     for p, path in sorted(parts.items())]
-            for start in range(0, len(named), 500):
-                self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(named[start:start + 500])}")
+        buckets = {str(r[BUCKET]) for r in fresh.select(BUCKET).distinct().collect()}
+        stored = w.rows(table, {part: n for part, n in held.items() if part[1] in buckets})
+        rows_of_keys(stored.select(*keys, DAY, BUCKET), delivered, keys).write.parquet(matched)
+        found = spark.read.parquet(matched)
+        touched = {tuple(r) for r in found.select(F.col(DAY).cast("string"), F.col(BUCKET).cast("string")).distinct().collect()}
+        today = {tuple(r) for r in fresh.select(F.col(DAY).cast("string"), F.col(BUCKET).cast("string")).distinct().collect()}
+        current = w.rows(table, {part: n for part, n in held.items() if part in touched | today}).alias("old")
+        new = delivered.select(*table.fed, F.lit(True).alias("_new")).alias("new")
+        values = [c for c in table.fed if c not in keys]
+        written_over = current.join(new, keys, "left").select(
+            *keys, *[F.when(F.col("_new"), F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in values], stamp, DAY, BUCKET)
+        added = fresh.join(F.broadcast(found.select(*keys)) if small else found.select(*keys), keys, "left_anti")
+        rows = written_over.unionByName(added.hint("rebalance", F.col(DAY), F.col(BUCKET)) if small else added)
+        self.replace_parts(table, rows, (), spread=not small)
+        for path in (reduced, matched):
+            storage.delete(spark, path)

@@ -17,7 +17,7 @@ from tillwright.operators import aggregates, enrich, quality, realtime, reports
 from tillwright.operators.upsert import replay_upserts, upsert
 from tillwright.plans.batch import BatchLoad, Feed
 from tillwright.plans.warehouse import Warehouse
-from tillwright.session import scratch_path
+from tillwright.session import cut, scratch_path
 from tillwright.sources import files, star, topics
 from tillwright.streaming import ingest
 
@@ -87,9 +87,10 @@ def _snapshots(spark, root):
 
 
 def _metric_log(spark, root):
-    warehouse = Warehouse(spark, scratch_path(spark, "metrics"))
-    warehouse.publish({schemas.REALTIME_SALES_METRICS: _snapshots(spark, root)})
-    return warehouse.table(schemas.REALTIME_SALES_METRICS)
+    """The stored metric log of all arrivals, by day."""
+    log = ingest.StreamTables(scratch_path(spark, "metrics")).metrics(spark)
+    log.write(_snapshots(spark, root), F.to_date("metric_timestamp"), 0)
+    return log
 
 
 # --- sources, sinks and tables -------------------------------------------------------------------
@@ -146,11 +147,11 @@ def stream_upsert(spark, root):
     return _stream_sales(spark, root)
 
 
-def _ingested(spark, messages):
+def _ingested(spark, messages, metrics=False):
     folder = scratch_path(spark, "stream")
     topics.write_topic_files(messages, f"{folder}/topic")
     tables = ingest.StreamTables(folder)
-    ingest.ingest_available(topics.read_topic_files(spark, f"{folder}/topic"), tables)
+    ingest.ingest_available(topics.read_topic_files(spark, f"{folder}/topic"), tables, metrics=metrics)
     return tables
 
 
@@ -166,7 +167,7 @@ def stream_quarantine(spark, root):
 
 @query
 def stream_metric_log(spark, root):
-    """The metric row of each of four batches, a quarter of the days each, in as many files as it has partitions."""
+    """The metric row of each message, in four batches, a quarter of the days each, in as many files as it has partitions."""
     folder, arrivals = scratch_path(spark, "metric-log"), star.stream_arrivals(spark, root)
     quarter = F.ntile(4).over(Window.orderBy("batch"))
     days = arrivals.select(F.to_date("ingestion_timestamp").alias("batch")).distinct().select("batch", quarter.alias("file"))
@@ -202,11 +203,14 @@ def batch_load(spark, root):
 
 @query
 def table_counts(spark, root):
+    """Rows of six tables; what several of them are made from is reduced once and stored."""
+    raw = cut(_raw_sales(spark, root).select("sale_id", "product_id", "store_id", "quantity", "total_amount", "sale_timestamp"))
+    sales = enrich.add_time_parts(enrich.clean(raw))
     return quality.table_counts({
         "raw.products": star.products(spark, root), "raw.stores": star.stores(spark, root),
-        "raw.sales_batch": _raw_sales(spark, root), "staging.sales_clean": _sales(spark, root),
-        "analytics.daily_sales_summary": _store_days(spark, root),
-        "analytics.product_performance": aggregates.product_totals(_sales(spark, root), "rows"),
+        "raw.sales_batch": raw, "staging.sales_clean": sales,
+        "analytics.daily_sales_summary": sales.select("sale_date", "store_id").distinct(),
+        "analytics.product_performance": sales.select("product_id").distinct(),
     })
 
 
@@ -214,8 +218,7 @@ def table_counts(spark, root):
 def table_schema(spark, root):
     warehouse = Warehouse(spark, scratch_path(spark, "schema"))
     warehouse.publish({schemas.DAILY_SALES_SUMMARY: _daily(spark, root)})
-    stored = files.read_parquet(spark, warehouse.path("analytics.daily_sales_summary"))
-    return quality.table_schema(spark, "analytics.daily_sales_summary", stored)
+    return quality.table_schema(spark, "analytics.daily_sales_summary", warehouse.table(schemas.DAILY_SALES_SUMMARY))
 
 
 def _dirty_feed(spark, root):
@@ -361,13 +364,14 @@ def city_sales(spark, root):
 def sql_report(spark, root):
     """Revenue by region and weekday, as SQL text over the catalog's tables of a load."""
     warehouse = Warehouse(spark, scratch_path(spark, "named"), buckets=1)
-    sales = warehouse.stage_facts(star.sales_arrivals(spark, root), schemas.SALES_BATCH, (star.ARRIVAL,), _time(FIRST_LOAD))
-    warehouse.publish({schemas.STORES: upsert(None, star.stores(spark, root), schemas.STORES, (), _time(FIRST_LOAD))}, [sales])
-    warehouse.register()
+    with warehouse.load() as load:
+        load.replace(schemas.STORES, upsert(None, star.stores(spark, root), schemas.STORES, (), _time(FIRST_LOAD)))
+        load.upsert_facts(star.sales_arrivals(spark, root), schemas.SALES_BATCH, (star.ARRIVAL,), _time(FIRST_LOAD))
+    warehouse.register("report_")
     return spark.sql("""
         SELECT s.region, weekday(b.sale_timestamp) AS weekday, COUNT(*) AS sales,
                CAST(SUM(b.total_amount) AS DECIMAL(20,2)) AS revenue
-        FROM raw.sales_batch AS b INNER JOIN raw.stores AS s ON b.store_id = s.store_id
+        FROM report_raw.sales_batch AS b INNER JOIN report_raw.stores AS s ON b.store_id = s.store_id
         GROUP BY s.region, weekday(b.sale_timestamp)
     """)
 
@@ -402,17 +406,17 @@ def realtime_snapshots_redelivered(spark, root):
 
 @query
 def realtime_metrics_recent(spark, root):
-    return reports.recent_metrics(_metric_log(spark, root))
+    return reports.recent_metrics(ingest.newest_rows(_metric_log(spark, root), 50))
 
 
 @query
 def realtime_metrics_series(spark, root):
-    return reports.metrics_series(_metric_log(spark, root))
+    return reports.metrics_series(ingest.newest_rows(_metric_log(spark, root), 50))
 
 
 @query
 def realtime_kpi_latest(spark, root):
-    return reports.latest_metrics_display(_metric_log(spark, root))
+    return reports.latest_metrics_display(ingest.newest_rows(_metric_log(spark, root), 1))
 
 
 @query

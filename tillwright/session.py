@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Keys of a small delivery are looked up by value; Parquet then tests each against its Bloom filters.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     # Streaming keyed state lives in RocksDB on the executors, not on the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

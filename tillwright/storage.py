@@ -25,6 +25,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [n for n in names if not n.startswith(("_", "."))]
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path."""
+    fs, folder = _at(spark, path)
+    return fs.getContentSummary(folder).getLength()
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, folder = _at(spark, path)
     return fs.delete(folder, True)
@@ -36,12 +42,17 @@ def claim(spark: SparkSession, path: str) -> None:
     try:
         fs.create(file, False).close()
     except Py4JJavaError as error:
-        raise FileExistsError(f"{path} was taken by another load") from error
+        raise FileExistsError(f"{path} is there already") from error
 
 
 def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file or folder at once; an error if it is no longer there."""
     fs, folder = _at(spark, source)
     _, to = _at(spark, target)
     fs.mkdirs(to.getParent())
-    if not fs.rename(folder, to):
-        raise OSError(f"{source} could not be renamed to {target}")
+    try:
+        done = fs.rename(folder, to)
+    except Py4JJavaError as error:
+        raise FileNotFoundError(f"{source} is gone") from error
+    if not done:
+        raise FileNotFoundError(f"{source} could not be moved to {target}")

@@ -1,34 +1,42 @@
-"""Streaming ingest of sale events: keyed upsert, realtime metrics, quarantine.
-
-Sales are kept by a streaming aggregation per ``sale_id`` (first arrival, newest payload). Its
-partial step runs before the shuffle, and its state store is the key index: a micro-batch costs as
-much as the sales it holds, not as the table. Each batch writes the sales it changed under its own
-``batch_id``, so a batch that is run again after a failure replaces its own files. The metric row
-of a batch reads the days from the beginning of its window on, and of these only versions of sales
-that first arrived in it. ``compact`` leaves one version per sale of a day that has passed.
+"""Streaming ingest of sale events: keyed upsert, a metric row a message, quarantine.
+
+A micro-batch keeps no state of its own: which of its sales are known, and since when, is read from
+the stored ones. A sale is stored by the day of its first arrival, and a redelivery is looked for
+where that may be: among sales that arrived within ``LATE`` before, and for the few that were sold
+longer ago, from the day of the sale on. So a batch costs as much as the sales of the last hour
+and of these days, however long the stream has run, and nothing grows with it but the stored
+sales. A redelivery whose first arrival is both longer ago and on a day before that of the sale
+is stored as a new sale; reading all sales still joins both.
+
+Each batch writes the versions of sales it changed, and its metric rows, under its ``batch_id``; run
+again after a failure it replaces them. Readers take the newest version of a sale.
 """
 
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillwright import storage
 from tillwright.functions.events import accepted, rejected
-from tillwright.functions.times import from_micros, micros
-from tillwright.operators.realtime import WINDOW_SECONDS, window_metrics
-from tillwright.operators.upsert import latest_by_key
+from tillwright.operators.realtime import WINDOW_SECONDS, snapshots
+from tillwright.operators.upsert import latest_by_key, rows_of_keys
 from tillwright.schemas import REALTIME_SALES_METRICS, SALES_STREAM
-from tillwright.session import build_session
+from tillwright.session import build_session, scratch_path
 from tillwright.sources.topics import TOPIC_COLUMNS, read_kafka
+from tillwright.streaming.daylog import BATCH, DayLog
 
-DAY, BATCH = "ingestion_day", "batch_id"
+#: How long after its first arrival a redelivery is known by that alone; a later one by the day of the sale.
+LATE = timedelta(hours=1)
+LAST = "last_arrival"
+VERSION = SALES_STREAM.struct().add(LAST, T.TimestampNTZType())
 
 
 @dataclass(frozen=True)
@@ -37,13 +45,13 @@ class StreamTables:
 
     root: str
 
-    @property
-    def sales(self) -> str:
-        return f"{self.root}/raw/sales_stream"
+    def sales(self, spark: SparkSession) -> DayLog:
+        """Versions of sales by day of first arrival."""
+        return DayLog(spark, f"{self.root}/raw/sales_stream", VERSION, "sale_id")
 
-    @property
-    def metrics(self) -> str:
-        return f"{self.root}/analytics/realtime_sales_metrics"
+    def metrics(self, spark: SparkSession) -> DayLog:
+        """Metric rows by day."""
+        return DayLog(spark, f"{self.root}/analytics/realtime_sales_metrics", REALTIME_SALES_METRICS.struct())
 
     @property
     def quarantine(self) -> str:
@@ -52,94 +60,86 @@ class StreamTables:
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
 
+    def committed(self, spark: SparkSession) -> int:
+        """The last batch that will not run again; -1 if there is none."""
+        names = storage.children(spark, f"{self.checkpoint('sales')}/commits")
+        return max((int(n) for n in names if n.isdigit()), default=-1)
 
-def _replace_partitions(df: DataFrame, path: str, *partitions: str) -> None:
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
+
+def _time(moment: datetime) -> Column:
+    return F.lit(str(moment)).cast("timestamp_ntz")
 
 
 def _newest(versions: DataFrame) -> DataFrame:
-    """Newest version of each sale; all versions carry the same first arrival."""
-    return latest_by_key(versions.select(*SALES_STREAM.names, BATCH), ["sale_id"], [BATCH])
-
-
-def _keep_batch(tables: StreamTables):
-    def keep(changed: DataFrame, batch_id: int) -> None:
-        """Write the changed sales by day of first arrival, then the metric row of this batch.
-
-        The day of a sale never changes, so all its versions are in one day.
-        """
-        arrivals = Observation()
-        rows = changed.observe(arrivals, F.max(micros(F.col("last_arrival"))).alias("newest"))
-        _replace_partitions(
-            rows.select(
-                *SALES_STREAM.names,
-                F.to_date("ingestion_timestamp").alias(DAY),
-                F.lit(batch_id).cast("bigint").alias(BATCH),
-            ).hint("rebalance", F.col(DAY)),
-            tables.sales, DAY, BATCH,
-        )
-        newest = arrivals.get["newest"]
-        if newest is not None:
-            _log_metrics(changed.sparkSession, tables, batch_id, from_micros(newest))
+    """Newest version of each sale, by arrival, with the least of the first arrivals they name."""
+    rows = versions.select(*SALES_STREAM.fed, LAST, F.col("ingestion_timestamp").alias("_first"))
+    found = latest_by_key(rows, ["sale_id"], [LAST], {"ingestion_timestamp": "_first", "_last": LAST})
+    return found.withColumnRenamed("_last", LAST).select(*VERSION.names)
+
+
+def _known(log: DayLog, arrivals: DataFrame, least: datetime, sold: datetime) -> DataFrame:
+    """Stored versions of the sales that arrived; ``least`` is the first arrival, ``sold`` the first sale time."""
+    recent, days = least - LATE, log.days()
+    versions = log.read([d for d in days if d >= recent.date()])
+    ids = arrivals.select("sale_id").distinct()
+    found = versions.filter(F.col("ingestion_timestamp") >= _time(recent)).join(ids, "sale_id", "left_semi")
+    older = [d for d in days if sold.date() <= d <= recent.date()] if sold < recent else []
+    if older:
+        late = arrivals.filter(F.col("sale_timestamp") < _time(recent))
+        before = log.read(older).filter(F.col("ingestion_timestamp") < _time(recent))
+        found = found.unionByName(rows_of_keys(before, late.select("sale_id").distinct(), ["sale_id"]))
+    return found
+
+
+def _keep_batch(tables: StreamTables, strict: bool = False, metrics: bool = True):
+    def keep(messages: DataFrame, batch_id: int) -> None:
+        """Write the changed sales by day of first arrival, then the metric rows of this batch."""
+        spark, log = messages.sparkSession, tables.sales(messages.sparkSession)
+        scratch = scratch_path(spark, "arrivals")
+        accepted(messages, strict).write.parquet(scratch)
+        arrivals = spark.read.schema(SALES_STREAM.struct()).parquet(scratch)
+        at = F.col("ingestion_timestamp")
+        span = arrivals.agg(F.min(at).alias("least"), F.min("sale_timestamp").alias("sold")).first()
+        if span.least is None:
+            return
+        stored = scratch_path(spark, "known")
+        _known(log, arrivals, span.least, span.sold).write.parquet(stored)
+        known = spark.read.parquet(stored)
+        # A version that this batch wrote when it ran before names the same first arrival.
+        firsts = known.groupBy("sale_id").agg(F.min("ingestion_timestamp").alias("_known"))
+        rows = arrivals.select(*SALES_STREAM.fed, at.alias(LAST))
+        changed = latest_by_key(rows, ["sale_id"], [LAST], {"_first": LAST, "_last": LAST}).join(firsts, "sale_id", "left")
+        log.write(
+            changed.withColumns({"ingestion_timestamp": F.least("_first", "_known"), LAST: F.col("_last")}),
+            F.to_date("ingestion_timestamp"), batch_id)
+        if metrics:
+            _log_metrics(tables, arrivals, known.filter(F.col(BATCH) < batch_id), span.least, batch_id)
+        for path in (scratch, stored):
+            storage.delete(spark, path)
 
     return keep
 
 
-def _stored_days(spark: SparkSession, tables: StreamTables) -> list[date]:
-    """Days that have a folder, in order."""
-    return sorted(date.fromisoformat(name.split("=")[1]) for name in storage.children(spark, tables.sales))
-
-
-def _days(spark: SparkSession, tables: StreamTables, days: list[date]) -> DataFrame:
-    """Stored versions of some days; only the folders of these days are listed."""
-    schema = SALES_STREAM.struct().add(DAY, T.DateType()).add(BATCH, T.LongType())
-    if not days:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", tables.sales).parquet(*[f"{tables.sales}/{DAY}={day}" for day in days])
-
-
-def metric_key(batch_id: int) -> str:
-    """Key of a batch's metric row; as text in the order of batches."""
-    return f"batch-{batch_id:012d}"
+def _log_metrics(tables: StreamTables, arrivals: DataFrame, known: DataFrame, least: datetime, batch_id: int) -> None:
+    """A metric row for each arrival of the batch, over what was stored before and the batch itself.
 
-
-def _log_metrics(spark: SparkSession, tables: StreamTables, batch_id: int, now: datetime) -> None:
-    """Metric row as of the newest arrival of this batch, over the stored sales of its window."""
-    since = now - timedelta(seconds=WINDOW_SECONDS)
-    days = [day for day in _stored_days(spark, tables) if day >= since.date()]
-    # All versions of a sale carry its first arrival, so the window is cut before they are reduced.
-    # A batch that runs again must not see later ones.
-    stored = _days(spark, tables, days).filter(
-        (F.col("ingestion_timestamp") >= F.lit(since).cast("timestamp_ntz")) & (F.col(BATCH) <= batch_id))
-    row = window_metrics(_newest(stored), F.lit(now).cast("timestamp_ntz")).withColumns({
-        "metric_key": F.lit(metric_key(batch_id)), BATCH: F.lit(batch_id).cast("bigint"),
-    })
-    _replace_partitions(row, tables.metrics, BATCH)
-
-
-def upserts(messages: DataFrame, strict: bool = False) -> DataFrame:
-    """Stream of changed sales: first arrival, newest payload, newest arrival."""
-    sales = accepted(messages, strict)
-    values = [c for c in SALES_STREAM.fed if c != "sale_id"]
-    newest = F.max(F.struct("ingestion_timestamp", F.struct(*values).alias("row"))).alias("newest")
-    return (
-        sales.groupBy("sale_id").agg(F.min("ingestion_timestamp").alias("first"), newest)
-        .select("sale_id", "newest.row.*", F.col("first").alias("ingestion_timestamp"),
-                F.col("newest.ingestion_timestamp").alias("last_arrival"))
-    )
+    Sales whose window reaches into the batch are read from the days of that window. Each counts as
+    one arrival, its first, of the newest amount; so do the known sales that the batch delivers again.
+    """
+    spark = arrivals.sparkSession
+    log, since = tables.sales(spark), least - timedelta(seconds=WINDOW_SECONDS)
+    held = log.read([d for d in log.days() if d >= since.date()]).filter(
+        (F.col("ingestion_timestamp") >= _time(since)) & (F.col(BATCH) < batch_id))
+    before = _newest(held.unionByName(known)).select(*SALES_STREAM.names)
+    rows = snapshots(arrivals, before)
+    tables.metrics(spark).write(rows, F.to_date("metric_timestamp"), batch_id)
 
 
-def start_sales(messages: DataFrame, tables: StreamTables, strict: bool = False, **trigger) -> StreamingQuery:
-    """Keep the sales and metric tables up to date with a stream of messages."""
+def start_sales(messages: DataFrame, tables: StreamTables, strict: bool = False, metrics: bool = True, **trigger) -> StreamingQuery:
+    """Keep the sales, and unless told otherwise the metric log, up to date with a stream of messages."""
     return (
-        upserts(messages, strict).writeStream.outputMode("update")
-        .option("checkpointLocation", tables.checkpoint("sales"))
-        .foreachBatch(_keep_batch(tables))
+        messages.writeStream.option("checkpointLocation", tables.checkpoint("sales"))
+        .foreachBatch(_keep_batch(tables, strict, metrics))
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .start()
     )
@@ -157,12 +157,32 @@ def start_quarantine(messages: DataFrame, tables: StreamTables, **trigger) -> St
 
 def read_sales(spark: SparkSession, tables: StreamTables) -> DataFrame:
     """The streamed sales, one row per sale."""
-    versions = spark.read.schema(SALES_STREAM.struct().add(BATCH, T.LongType())).parquet(tables.sales)
-    return _newest(versions).select(*SALES_STREAM.names)
+    return _newest(tables.sales(spark).read()).select(*SALES_STREAM.names)
 
 
 def read_metrics(spark: SparkSession, tables: StreamTables) -> DataFrame:
-    return spark.read.schema(REALTIME_SALES_METRICS.struct()).parquet(tables.metrics).select(*REALTIME_SALES_METRICS.names)
+    return tables.metrics(spark).read().select(*REALTIME_SALES_METRICS.names)
+
+
+def _newest_days(log: DayLog, n: int, count: Callable[[DataFrame], int]) -> DataFrame:
+    """Rows of the newest days, so many that they hold ``n``; each day is counted once, older ones are not listed."""
+    days: list[date] = []
+    held = 0
+    for day in reversed(log.days()):
+        days.append(day)
+        held += count(log.read([day]))
+        if held >= n:
+            break
+    return log.read(days)
+
+
+def newest_rows(log: DayLog, n: int) -> DataFrame:
+    """Rows of the newest days, so many days that the ``n`` newest rows are among them."""
+    return _newest_days(log, n, lambda day: day.limit(n).count()).select(*log.schema.names)
+
+
+def recent_metrics(spark: SparkSession, tables: StreamTables, n: int = 50) -> DataFrame:
+    return newest_rows(tables.metrics(spark), n)
 
 
 def recent_sales(spark: SparkSession, tables: StreamTables, n: int = 20) -> DataFrame:
@@ -170,12 +190,8 @@ def recent_sales(spark: SparkSession, tables: StreamTables, n: int = 20) -> Data
 
     A sale never leaves the day of its first arrival, so older days cannot hold any.
     """
-    days: list[date] = []
-    for day in reversed(_stored_days(spark, tables)):
-        days.append(day)
-        if _days(spark, tables, days).select("sale_id").distinct().limit(n).count() >= n:
-            break
-    return _newest(_days(spark, tables, days)).select(*SALES_STREAM.names)
+    versions = _newest_days(tables.sales(spark), n, lambda day: day.select("sale_id").distinct().limit(n).count())
+    return _newest(versions).select(*SALES_STREAM.names)
 
 
 def read_quarantine(spark: SparkSession, tables: StreamTables) -> DataFrame:
@@ -183,28 +199,23 @@ def read_quarantine(spark: SparkSession, tables: StreamTables) -> DataFrame:
 
 
 def compact(spark: SparkSession, tables: StreamTables, before: date) -> list[date]:
-    """Leave one version of each sale of the days before ``before``; returns the days that shrank.
+    """Fold the days before ``before``: one version a sale, one folder of metric rows; returns the days of sales folded.
 
-    Run it between batches, for days whose sales no longer arrive often. The newest versions are added
-    to the folder of the day's last batch first, and older folders go only then: a break at any
-    point leaves rows twice, which readers reduce, but loses none.
+    Only batches whose commit is in the checkpoint are folded. Run it between batches.
     """
-    done = []
-    for day in _stored_days(spark, tables):
-        folder = f"{tables.sales}/{DAY}={day}"
-        batches = sorted(int(name.split("=")[1]) for name in storage.children(spark, folder))
-        if day >= before or len(batches) < 2:
-            continue
-        _newest(_days(spark, tables, [day])).select(*SALES_STREAM.names).write.mode("append").parquet(f"{folder}/{BATCH}={batches[-1]}")
-        for batch in batches[:-1]:
-            storage.delete(spark, f"{folder}/{BATCH}={batch}")
-        done.append(day)
-    return done
-
-
-def ingest_available(messages: DataFrame, tables: StreamTables, strict: bool = False) -> None:
+    committed = tables.committed(spark)
+
+    def newest(versions: DataFrame) -> DataFrame:
+        batches = versions.groupBy("sale_id").agg(F.max(BATCH).alias(BATCH))
+        return _newest(versions).join(batches, "sale_id")
+
+    tables.metrics(spark).fold(before, committed, lambda rows: rows)
+    return tables.sales(spark).fold(before, committed, newest)
+
+
+def ingest_available(messages: DataFrame, tables: StreamTables, strict: bool = False, metrics: bool = True) -> None:
     """Process everything that has arrived and stop. Invalid messages are set aside, or stop it if ``strict``."""
-    queries = [start_sales(messages, tables, strict, availableNow=True)]
+    queries = [start_sales(messages, tables, strict, metrics, availableNow=True)]
     if not strict:
         queries.append(start_quarantine(messages, tables, availableNow=True))
     for query in queries:
@@ -217,7 +228,7 @@ def main() -> None:
     parser.add_argument("topic")
     parser.add_argument("root", help="folder of the tables and checkpoints, in shared storage")
     parser.add_argument("--strict", action="store_true", help="stop at an invalid message")
-    parser.add_argument("--data-bytes", type=int, help="volume of the keyed state, to size its partitions for good")
+    parser.add_argument("--data-bytes", type=int, help="volume of a batch, to size shuffles")
     parser.add_argument("--max-offsets", type=int, help="messages a batch takes at most")
     args = parser.parse_args()
     spark, tables = build_session(data_bytes=args.data_bytes), StreamTables(args.root)
