@@ -26,6 +26,8 @@ from tillwright.session import scratch_path
 FANOUT = 3
 #: Number of the tree over the subroots; the groups' trees count from 0.
 TOP = -1
+#: Levels above a leaf whose siblings its own climb keeps; further up those of the first of all leaves below are kept.
+OWN = 2
 #: Levels a climb can go up; a tree of this height has more leaves than any storage.
 HEIGHT = 200
 
@@ -159,13 +161,17 @@ def build(rows: DataFrame, group: str, order: Sequence[str]) -> Manifest:
 
 
 def climb(manifest: Manifest, presented: DataFrame) -> DataFrame:
-    """Steps (row_id, step, siblings, folded) from each presented leaf (row_id, digest) up to the root, step 0 being the leaf.
+    """Steps (row_id, step, siblings, folded, up_tree) from each presented leaf (row_id, digest) up to the root, step 0 being the leaf.
 
-    A recursive query: a step's row holds the siblings at that height, left to right, and the hash
-    of them and of what was folded below. Its rows are stored, so reading them climbs no more.
+    A recursive query: each of its rounds takes every leaf one node up and appends a row, which
+    holds the siblings met there, left to right, and the hash of them and of what was folded below;
+    ``up_tree`` is null at the root. All leaves under one node ``OWN`` levels up meet the same
+    siblings from there on, so of those the climb of the first one only keeps them (see ``proofs``),
+    for the others ``siblings`` is null. Rows that neither hold siblings nor end a climb are left out.
     """
     spark = manifest.spark
-    start = manifest.leaves.select("row_id", "up_tree", "up_level", "up_idx", "slot").join(
+    lead = F.col("idx") % FANOUT ** OWN == 0
+    start = manifest.leaves.select("row_id", lead.alias("lead"), "up_tree", "up_level", "up_idx", "slot").join(
         presented.select("row_id", "digest"), "row_id")
     mark = uuid.uuid4().hex
     start.createOrReplaceTempView(f"start_{mark}")
@@ -173,16 +179,16 @@ def climb(manifest: Manifest, presented: DataFrame) -> DataFrame:
     path = scratch_path(spark, "climb")
     try:
         spark.sql(f"""
-            WITH RECURSIVE climb (row_id, step, siblings, folded, at_tree, at_level, at_idx, slot) MAX RECURSION LEVEL {HEIGHT} AS (
-                SELECT row_id, 0, CAST(array() AS ARRAY<BINARY>), digest, up_tree, up_level, up_idx, slot FROM start_{mark}
+            WITH RECURSIVE climb (row_id, lead, step, siblings, folded, up_tree, up_level, up_idx, slot) MAX RECURSION LEVEL {HEIGHT} AS (
+                SELECT row_id, lead, 0, CAST(array() AS ARRAY<BINARY>), digest, up_tree, up_level, up_idx, slot FROM start_{mark}
                 UNION ALL
-                SELECT c.row_id, c.step + 1,
-                       filter(n.children, (d, i) -> i <> c.slot),
+                SELECT c.row_id, c.lead, c.step + 1,
+                       IF(c.lead OR c.step < {OWN}, filter(n.children, (d, i) -> i <> c.slot), NULL),
                        unhex(sha2(array_join(transform(n.children, (d, i) -> lower(hex(IF(i = c.slot, c.folded, d)))), ''), 256)),
                        n.up_tree, n.up_level, n.up_idx, n.slot
-                FROM climb AS c JOIN nodes_{mark} AS n ON n.tree = c.at_tree AND n.level = c.at_level AND n.idx = c.at_idx
+                FROM climb AS c JOIN nodes_{mark} AS n ON n.tree = c.up_tree AND n.level = c.up_level AND n.idx = c.up_idx
             )
-            SELECT row_id, step, siblings, folded FROM climb LIMIT ALL
+            SELECT row_id, step, siblings, folded, up_tree FROM climb WHERE siblings IS NOT NULL OR up_tree IS NULL LIMIT ALL
         """).write.parquet(path)
     finally:
         for view in ("start", "nodes"):
@@ -190,21 +196,33 @@ def climb(manifest: Manifest, presented: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def proofs(steps: DataFrame) -> DataFrame:
-    """(row_id, proof, folded_root): the siblings of all steps in order, and what the last step folded."""
-    path = F.array_sort(F.collect_list(F.struct("step", "siblings")))
-    return steps.groupBy("row_id").agg(path.alias("path"), F.max(F.struct("step", "folded"))["folded"].alias("folded_root")).select(
-        "row_id", F.flatten(F.transform("path", lambda p: p["siblings"])).alias("proof"), "folded_root")
+def _path(steps: DataFrame, key: Sequence[str], name: str, *more: Column) -> DataFrame:
+    """Siblings of all steps of a key, in order."""
+    rows = F.array_sort(F.collect_list(F.when(F.col("siblings").isNotNull(), F.struct("step", "siblings"))))
+    return steps.groupBy(*key).agg(rows.alias("_rows"), *more).withColumn(
+        name, F.flatten(F.transform("_rows", lambda p: p["siblings"]))).drop("_rows")
+
+
+def proofs(manifest: Manifest, steps: DataFrame) -> DataFrame:
+    """Leaves climbed, with ``proof`` (the siblings of all steps, in order) and ``folded_root``."""
+    under = F.expr(f"idx div {FANOUT ** OWN}").alias("under")
+    leaves = manifest.leaves.withColumn("under", under)
+    own = _path(steps.filter(f"step <= {OWN} OR up_tree IS NULL").withColumn(
+        "siblings", F.when(F.col("step") <= OWN, F.col("siblings"))), ["row_id"], "own",
+        F.max(F.when(F.col("up_tree").isNull(), F.col("folded"))).alias("folded_root"))
+    above = steps.filter(f"step > {OWN} AND siblings IS NOT NULL").select("row_id", "step", "siblings")
+    shared = _path(above.join(leaves.filter(f"idx % {FANOUT ** OWN} = 0").select("row_id", "tree", "under"), "row_id"), ["tree", "under"], "shared")
+    none = F.array().cast("array<binary>")
+    return leaves.join(own, "row_id").join(shared, ["tree", "under"], "left").withColumn(
+        "proof", F.concat("own", F.coalesce("shared", none))).drop("own", "shared", "under")
 
 
 def verify(manifest: Manifest, presented: DataFrame) -> DataFrame:
     """Each presented leaf (row_id, digest) with tree, leaf, subroot, root, proof, folded_root and whether that equals the root."""
     top, subroots = manifest.root, manifest.subroots.select("tree", "subroot")
-    folded = proofs(climb(manifest, presented))
-    rows = manifest.leaves.drop("members", "trees", "idx", "width", "up_tree", "up_level", "up_idx", "slot")
+    folded = proofs(manifest, climb(manifest, presented)).drop("members", "trees", "idx", "width", "up_tree", "up_level", "up_idx", "slot")
     # One row; there is none only if there are no leaves either.
-    return rows.join(folded, "row_id").join(subroots, "tree").join(F.broadcast(top)).withColumn(
-        "verified", F.col("folded_root") == F.col("root"))
+    return folded.join(subroots, "tree").join(F.broadcast(top)).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
 def tampered(row_key: Column, text: Column) -> Column:
