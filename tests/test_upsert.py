@@ -165,6 +165,16 @@ def test_interleaved_loads_lose_nothing(spark, sales_frame, sale, products, stor
     assert {r.sale_id for r in one.warehouse.table(schemas.SALES_BATCH).collect()} == {"a", "b", "c"}
 
 
+def test_many_folders_are_listed_by_spark(spark, sales_frame, sale, tmp_path, monkeypatch):
+    w = Warehouse(spark, str(tmp_path), buckets=2)
+    w.upsert_facts(sales_frame([sale(str(i)) for i in range(9)]), schemas.SALES_BATCH, (), time(T0))
+    w.upsert_facts(sales_frame([sale("8")]), schemas.SALES_BATCH, (), time(T1))
+    here = sorted(w.versions(schemas.SALES_BATCH))
+    monkeypatch.setattr(warehouse, "LISTED_HERE", 0)
+    assert sorted(w.versions(schemas.SALES_BATCH)) == here and len(here) == 3
+    assert w.table(schemas.SALES_BATCH).count() == 9
+
+
 def test_a_number_is_taken_once(spark, tmp_path, monkeypatch):
     w = Warehouse(spark, str(tmp_path))
     with w.load():
@@ -356,15 +366,15 @@ def refreshed(load):
     return [sorted(map(str, clean.collect())), *(rows_of(load.warehouse, t) for t in BUILT)]
 
 
-def test_refresh_rewrites_one_day_and_equals_a_full_build(spark, sales_frame, sale, products, stores, tmp_path):
+def test_refresh_rewrites_one_month_and_equals_a_full_build(spark, sales_frame, sale, products, stores, tmp_path):
     load = BatchLoad(spark, str(tmp_path), buckets=2)
-    first = [sale(f"s{d}{i}", product_id=f"P00{i % 3}", store_id=f"S00{i % 4}", when=f"2024-03-0{d} 10:00:00") for d in range(1, 6) for i in range(6)]
+    first = [sale(f"s{m}{i}", product_id=f"P00{i % 3}", store_id=f"S00{i % 4}", when=f"2024-0{m}-0{i % 2 + 3} 10:00:00") for m in range(1, 6) for i in range(6)]
     load.run(Feed(products, stores, sales_frame(first)), time(T0))
     before = load.warehouse.parts(schemas.DAILY_SALES_SUMMARY)
-    assert set(before) == {(f"2024-03-0{d}",) for d in range(1, 6)}
+    assert set(before) == {(f"2024-0{m}-01",) for m in range(1, 6)}
     load.run(Feed(products, stores, sales_frame([sale("n1", when="2024-03-03 23:00:00", amount="7.77"), sale("n2", when="2024-03-03 01:00:00")])), time(T1))
     after = load.warehouse.parts(schemas.DAILY_SALES_SUMMARY)
-    assert {p for p in after if after[p] != before[p]} == {("2024-03-03",)}
+    assert {p for p in after if after[p] != before[p]} == {("2024-03-01",)}
     load.drop_old()
     got = refreshed(load)
     assert got == as_full(load, T1)
@@ -376,10 +386,11 @@ def test_refresh_follows_corrections_and_dimensions(spark, sales_frame, sale, pr
     rows = [sale(f"s{i}", product_id=f"P00{i % 4}", store_id=f"S00{i % 4}", when=f"2024-03-0{i % 5 + 1} 10:00:00", amount=f"{i}.25") for i in range(20)]
     load.run(Feed(products, stores, sales_frame(rows)), time(T0))
     steps = [
-        (products, stores, [sale("s1", amount="0.50", when="2024-03-09 10:00:00"), sale("s2", quantity=0), sale("s6", store_id="S003", product_id="P001")]),
-        (products.withColumn("category", F.lit("Other")).limit(1), stores, [sale("t1", when="2024-04-01 00:00:00")]),
-        (products, stores.withColumn("city", F.concat(F.col("city"), F.lit("!"))), [sale("t1", quantity=0, when="2024-04-01 00:00:00")]),
-        (spark.createDataFrame([("P003", "New", "Fresh", money(1), 1)], products.schema), stores, [sale(f"s{i}", quantity=0) for i in range(0, 20, 5)]),
+        (products.withColumn("category", F.lit("Other")).limit(1), stores, [
+            sale("s1", amount="0.50", when="2024-03-09 10:00:00"), sale("s2", quantity=0), sale("s6", store_id="S003", product_id="P001"),
+            sale("t1", when="2024-04-01 00:00:00")]),
+        (spark.createDataFrame([("P003", "New", "Fresh", money(1), 1)], products.schema), stores.withColumn("city", F.concat(F.col("city"), F.lit("!"))), [
+            sale("t1", quantity=0, when="2024-04-01 00:00:00"), *[sale(f"s{i}", quantity=0) for i in range(0, 20, 5)]]),
     ]
     for n, (p, s, sales) in enumerate(steps):
         stamp = f"2024-02-0{n + 1} 00:00:00"

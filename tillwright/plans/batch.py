@@ -18,7 +18,7 @@ from tillwright.operators.aggregates import daily_totals, product_totals, with_b
 from tillwright.operators.enrich import PRODUCT_FACTS, STORE_FACTS, add_facts, clean, enrich
 from tillwright.operators.quality import table_counts
 from tillwright.operators.upsert import upsert
-from tillwright.plans.warehouse import BUCKET, DAY, Load, Warehouse
+from tillwright.plans.warehouse import BUCKET, DAY, Load, Warehouse, month_of
 from tillwright.schemas import Table
 from tillwright.session import build_session, cut
 from tillwright.sources.files import LINE_ORDER, read_csv
@@ -50,7 +50,7 @@ class BatchLoad:
         """All three raw tables in one load."""
         with self.warehouse.load() as load:
             for table, rows in ((schemas.PRODUCTS, feed.products), (schemas.STORES, feed.stores)):
-                before = load.table(table) if self.warehouse.parts(table, load.state) else None
+                before = load.table(table) if load.parts(table) else None
                 load.replace(table, upsert(before, rows, table, feed.dimension_order, loaded_at))
             load.upsert_facts(feed.sales, schemas.SALES_BATCH, feed.order, loaded_at)
 
@@ -67,8 +67,8 @@ class BatchLoad:
         """Cleaned and enriched sales, in the parts of the raw ones."""
         w = self.warehouse
         with w.load() as load:
-            since = None if full else w.loaded_at(schemas.SALES_CLEAN, load.state)
-            raw = w.parts(schemas.SALES_BATCH, load.state)
+            since = None if full else max(load.parts(schemas.SALES_CLEAN).values(), default=None)
+            raw = load.parts(schemas.SALES_BATCH)
             touched = dict(raw) if since is None else {part: n for part, n in raw.items() if n > since}
             for table, facts in ((schemas.PRODUCTS, PRODUCT_FACTS), (schemas.STORES, STORE_FACTS)):
                 keys = self._changed(load, table, facts, since) if since is not None else None
@@ -87,13 +87,13 @@ class BatchLoad:
         """Store-days and product totals. Stored sale ids are unique, so rows are orders.
 
         A refresh adds what the touched parts of staging now hold to the stored totals and takes away
-        what they held at the last build. Only days of which a total or a store changed are written.
+        what they held at the last build. Only months with a day of which a total or a store changed are written.
         """
         w = self.warehouse
         with w.load() as load:
-            since = None if full else w.loaded_at(schemas.PRODUCT_PERFORMANCE, load.state)
+            since = None if full else load.parts(schemas.PRODUCT_PERFORMANCE).get(())
             stores, products = load.table(schemas.STORES), load.table(schemas.PRODUCTS)
-            now = w.parts(schemas.SALES_CLEAN, load.state)
+            now = load.parts(schemas.SALES_CLEAN)
             if since is None:
                 sales = w.rows(schemas.SALES_CLEAN, now)
                 load.replace(schemas.DAILY_SALES_SUMMARY, _summary(daily_totals(sales), stores))
@@ -106,15 +106,15 @@ class BatchLoad:
             moved = signed.withColumns({c: F.col(c) * F.col("sign") for c in ("total_amount", "quantity")})
             change = cut(daily_totals(moved, "sign").filter("total_revenue <> 0 OR total_orders <> 0 OR total_items_sold <> 0"))
             days = change.select("sale_date")
-            daily = load.table(schemas.DAILY_SALES_SUMMARY)
             renamed = self._changed(load, schemas.STORES, STORE_FACTS, since)
             if renamed is not None:
-                days = days.unionByName(daily.join(renamed, "store_id", "left_semi").select("sale_date"))
-            # One row a day.
-            dates = [r[0] for r in days.distinct().collect()]
-            held = daily.filter(F.col("sale_date").isin(dates)).select(*change.columns)
-            load.replace_parts(schemas.DAILY_SALES_SUMMARY, _summary(_summed(held, change, ("sale_date", "store_id")), stores),
-                               [(str(d),) for d in dates])
+                days = days.unionByName(load.table(schemas.DAILY_SALES_SUMMARY).join(renamed, "store_id", "left_semi").select("sale_date"))
+            # One row a month.
+            months = {(str(r[0]),) for r in days.select(month_of(F.col("sale_date"))).distinct().collect()}
+            held = w.rows(schemas.DAILY_SALES_SUMMARY, {
+                part: n for part, n in load.parts(schemas.DAILY_SALES_SUMMARY).items() if part in months})
+            totalled = _summed(held.select(*change.columns), change, ("sale_date", "store_id"))
+            load.replace_parts(schemas.DAILY_SALES_SUMMARY, _summary(totalled, stores), months)
             totals = load.table(schemas.PRODUCT_PERFORMANCE)
             by_product = product_totals(moved, "rows", "sign")
             load.replace(schemas.PRODUCT_PERFORMANCE, _performance(_summed(totals.select(*by_product.columns), by_product, ("product_id",)), products))

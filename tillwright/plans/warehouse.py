@@ -25,16 +25,40 @@ from tillwright.operators.upsert import latest_by_key, rows_of_keys
 from tillwright.schemas import DAILY_SALES_SUMMARY, SALES_BATCH, SALES_CLEAN, TABLES, Table
 from tillwright.session import scratch_path
 
-DAY, BUCKET, LOAD = "load_day", "bucket", "load"
-#: Columns that part a table. Sales lie by the day their key was first loaded and a hash of the key, which never change.
+DAY, BUCKET, MONTH, LOAD = "load_day", "bucket", "sale_month", "load"
+#: Columns that part a table. Sales lie by the day their key was first loaded and a hash of the key, which never
+#: change; store-days by month, as a folder a day would hold little.
 PARTS = {
     SALES_BATCH.full_name: {DAY: T.DateType(), BUCKET: T.IntegerType()},
     SALES_CLEAN.full_name: {DAY: T.DateType(), BUCKET: T.IntegerType()},
-    DAILY_SALES_SUMMARY.full_name: {"sale_date": T.DateType()},
+    DAILY_SALES_SUMMARY.full_name: {MONTH: T.DateType()},
 }
+
+
+def month_of(day: Column) -> Column:
+    return F.trunc(day, "month")
+
+
+#: Part columns that follow from a row.
+_DERIVED = {MONTH: lambda: month_of(F.col("sale_date"))}
+_NULL = "__HIVE_DEFAULT_PARTITION__"
+#: A table with more folders than this is listed by Spark.
+LISTED_HERE = 64
 #: A delivery up to this size is broadcast to the stored sales, which then are not shuffled.
 BROADCAST_BYTES = 8 << 20
 
+
+
+def _value(step: str) -> str:
+    """Value in a folder's name ``column=value``; empty for null."""
+    value = step.split("=", 1)[1]
+    return "" if value == _NULL else value
+
+
+def _step(name: str, value: str) -> str:
+    return f"{name}={value or _NULL}"
+
+
 #: Published loads, in order, that a reader goes by.
 State = tuple[int, ...]
 #: Part (values of the part columns as text) to the load that holds it.
@@ -94,16 +118,20 @@ class Warehouse:
         return f"{self.root}/{table.layer}/{table.name}"
 
     def versions(self, table: Table) -> list[tuple[tuple[str, ...], int]]:
-        """All (part, load) that have files, published or not. Spark lists the folders; no file is opened."""
+        """All (part, load) that have files, published or not. No file is opened.
+
+        Few folders are listed here, more by Spark, which lists in parallel.
+        """
         folder, names = self.folder(table), [*PARTS.get(table.full_name, {}), LOAD]
-        if len(names) == 1:
-            return [((), int(n.split("=")[1])) for n in storage.children(self.spark, folder)]
-        if not storage.children(self.spark, folder):
-            return []
-        files = self.spark.read.format("binaryFile").load(folder)
-        # One row a part and version.
-        rows = files.select(*[F.coalesce(F.col(n).cast("string"), F.lit("")).alias(n) for n in names]).distinct().collect()
-        return [(tuple(r)[:-1], int(r[LOAD])) for r in rows]
+        outer = storage.children(self.spark, folder)
+        if len(outer) <= LISTED_HERE:
+            paths = storage.matching(self.spark, "/".join([folder, *[f"{n}=*" for n in names]])) if outer else []
+            rows = [tuple(_value(step) for step in path.rsplit("/", len(names))[1:]) for path in paths]
+        else:
+            files = self.spark.read.format("binaryFile").load(folder)
+            # One row a part and version.
+            rows = files.select(*[F.coalesce(F.col(n).cast("string"), F.lit("")).alias(n) for n in names]).distinct().collect()
+        return [(tuple(r)[:-1], int(r[-1])) for r in rows]
 
     def parts(self, table: Table, state: State | None = None) -> Held:
         """Current version of each part."""
@@ -187,7 +215,7 @@ class Warehouse:
                     line = sorted(lines[part])
                     stays = line[-max(keep, 1):] + [n for n in line if needed is not None and n <= needed][-1:]
                     if number in given_up or (number in published and number not in stays):
-                        values = [f"{n}={v or '__HIVE_DEFAULT_PARTITION__'}" for n, v in zip(names, part)]
+                        values = [_step(n, v) for n, v in zip(names, part)]
                         path = "/".join([self.folder(table), *values, f"{LOAD}={number}"])
                         deleted += [path] if storage.delete(self.spark, path) else []
         finally:
@@ -229,10 +257,19 @@ class Load:
 
     def __init__(self, warehouse: Warehouse, number: int, state: State):
         self.warehouse, self.number, self.state = warehouse, number, state
+        self._parts: dict[str, Held] = {}
+
+    def parts(self, table: Table) -> Held:
+        """Parts as they were when the load began."""
+        if table.full_name not in self._parts:
+            self._parts[table.full_name] = self.warehouse.parts(table, self.state)
+        return self._parts[table.full_name]
 
     def table(self, table: Table) -> DataFrame:
         """Rows as they were when the load began."""
-        return self.warehouse.table(table, self.state)
+        if not self.parts(table):
+            return self.warehouse.table(table, self.state)
+        return self.warehouse.rows(table, self.parts(table)).select(*table.names)
 
     def replace(self, table: Table, rows: DataFrame) -> None:
         """Write all rows of a table; a row that its declaration forbids fails the load.
@@ -240,7 +277,7 @@ class Load:
         Executors write the rows, from whatever partitions they are in.
         """
         if table.full_name in PARTS:
-            self.replace_parts(table, rows, self.warehouse.parts(table, self.state))
+            self.replace_parts(table, rows, self.parts(table))
         else:
             checked = refuse_violations(rows.select(*table.names), table)
             checked.write.mode("overwrite").parquet(f"{self.warehouse.folder(table)}/{LOAD}={self.number}")
@@ -248,11 +285,12 @@ class Load:
     def replace_parts(self, table: Table, rows: DataFrame, touched: Iterable[tuple[str, ...]], spread: bool = True) -> None:
         """Write the parts that ``rows`` belong to; those of ``touched`` that get no row become empty.
 
-        ``rows`` has the part columns. ``spread`` gathers a part's rows before they are written.
+        ``rows`` has the part columns that do not follow from others. ``spread`` gathers a part's rows before they are written.
         """
         w, parts = self.warehouse, list(PARTS[table.full_name])
         extra = [n for n in parts if n not in table.names]
-        checked = refuse_violations(rows.select(*table.names, *extra), table).withColumn(LOAD, F.lit(self.number))
+        given = rows.withColumns({n: make() for n, make in _DERIVED.items() if n in extra})
+        checked = refuse_violations(given.select(*table.names, *extra), table).withColumn(LOAD, F.lit(self.number))
         if spread:
             checked = checked.hint("rebalance", *[F.col(n) for n in parts])
         writer = checked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -264,7 +302,7 @@ class Load:
             written = {part for part, number in w.versions(table) if number == self.number}
             empty = rows.sparkSession.createDataFrame([], T.StructType([f for f in table.struct() if f.name not in parts]))
             for part in touched - written:
-                values = [f"{n}={v or '__HIVE_DEFAULT_PARTITION__'}" for n, v in zip(parts, part)]
+                values = [_step(n, v) for n, v in zip(parts, part)]
                 empty.coalesce(1).write.mode("overwrite").parquet("/".join([w.folder(table), *values, f"{LOAD}={self.number}"]))
 
     def _part(self, table: Table) -> list[Column]:
@@ -289,7 +327,7 @@ class Load:
         fresh = spark.read.parquet(reduced)
         small = storage.size(spark, reduced) <= BROADCAST_BYTES
         delivered = F.broadcast(fresh) if small else fresh
-        held = w.parts(table, self.state)
+        held = self.parts(table)
         # At most one row a bucket; and, below, one a day and bucket.
         buckets = {str(r[BUCKET]) for r in fresh.select(BUCKET).distinct().collect()}
         stored = w.rows(table, {part: n for part, n in held.items() if part[1] in buckets})

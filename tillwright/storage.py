@@ -25,6 +25,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [n for n in names if not n.startswith(("_", "."))]
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that fit a pattern with ``*`` in it."""
+    fs, folder = _at(spark, pattern)
+    return [status.getPath().toString() for status in fs.globStatus(folder) or ()]
+
+
 def size(spark: SparkSession, path: str) -> int:
     """Bytes of all files below a path."""
     fs, folder = _at(spark, path)
