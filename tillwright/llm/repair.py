@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwright.llm.ranks import stored
+
 # Costs of the edits, and letters in order of their digits.
 COST = {"D": 3, "I": 2, "K": 0, "R": 2}
 LETTERS = "\0DIKR"
@@ -280,12 +282,12 @@ def report(original: DataFrame, rows: DataFrame) -> DataFrame:
     ``gaps`` counts turn numbers missing between the least and the greatest. A conversation of
     which no row is left has zeros, an empty audit and the hash of nothing.
     """
-    diagnosed = diagnose(rows)
+    diagnosed = stored(diagnose(rows), "diagnosed")
     counts = [F.count(F.when(F.col("fault") == f, 1)).alias(f) for f in ("blank", "duplicate", "truncated")]
     per_conv = diagnosed.groupBy("conv_id").agg(
         F.coalesce(F.max("turn") - F.min("turn") + 1 - F.count_distinct("turn"), F.lit(0)).alias("gaps"), *counts,
         F.count(F.when(F.col("illegal"), 1)).alias("illegal"))
-    script = scripts(diagnosed, plan_edits(diagnosed))
+    script = stored(scripts(diagnosed, plan_edits(diagnosed)), "scripts")
     costs = script.groupBy("conv_id").agg(F.sum(cost(F.col("edit"), F.col("fault"))).alias("cost"))
     found = original.select("conv_id").distinct().withColumnRenamed("conv_id", "_id")
     for part in (per_conv, costs, rendered(script)):
