@@ -1,9 +1,12 @@
+import base64
 import random
 import re
 from collections import Counter
+
+import zstandard
 from llm_fixtures import docs, make_prose, odd, shared_code  # noqa: F401
 
-from tillwright.llm import quality
+from tillwright.llm import quality, registry
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
 
@@ -44,9 +47,41 @@ def test_bands_reject_repetition_and_noise(docs, make_prose):
     assert got[4].bad_chunk_share > 0.3 and got[5].ratio is None
 
 
-def test_bands_by_length():
+def junk(rng, size):
+    """Random base64, random letters of many scripts, and few words again and again."""
+    letters = "".join(chr(rng.randrange(0x800, 0x2FFF)) for _ in range(size // 3))
+    return {
+        "base64": " ".join(base64.b64encode(rng.randbytes(30)).decode() for _ in range(size))[:size],
+        "scripts": " ".join(letters[i:i + 7] for i in range(0, len(letters), 7)),
+        "mantra": " ".join(f"again {i % 7}" for i in range(size))[:size],
+    }
+
+
+def test_junk_of_any_length_is_outside_the_bands(docs):
+    rng, codec = random.Random(5), zstandard.ZstdCompressor(level=3)
+    for size in (1000, 5000, 20000):
+        for kind, text in junk(rng, size).items():
+            # A thousand bytes of random letters cannot be told from prose in a wide script.
+            assert (kind, quality._verdict(text.encode(), quality.Bands(), codec)[2]) == (kind, (kind, size) == ("scripts", 1000))
+    hexes = " ".join(rng.randbytes(8).hex() for _ in range(2000))
+    assert not quality._verdict(hexes[:20000].encode(), quality.Bands(), codec)[2]
+
+
+def test_bands_by_length_and_width():
     bands = quality.Bands()
-    assert bands.of(10) == bands.limits[0][1:] and bands.of(1 << 40) == bands.limits[-1][1:]
+    assert bands.of(10) == bands.limits[0][0][1:] and bands.of(1 << 40, 2) == bands.limits[2][-1][1:]
+    assert [quality._width(t.encode()) for t in ("plain é", "Привет мир", "漢字", "")] == [0, 1, 2, 0]
+
+
+def test_bands_are_fitted_to_good_texts(docs, make_prose, odd):
+    rng = random.Random(9)
+    rows = [(i, make_prose(rng, rng.randrange(20, 900), 300)) for i in range(150)]
+    bands = quality.fit(docs(rows + odd[:4]))
+    codec = zstandard.ZstdCompressor(level=3)
+    assert all(quality._verdict(t.encode(), bands, codec)[2] for _, t in rows)
+    assert bands.limits[0] != quality.PROSE[0] and bands.limits[1:] == quality.PROSE[1:]
+    assert [upto for upto, _, _ in bands.limits[0]] == sorted(upto for upto, _, _ in bands.limits[0])
+    assert quality.fit(docs([])) == quality.Bands()
 
 
 def test_other_columns_and_empty_table(docs):
@@ -55,9 +90,10 @@ def test_other_columns_and_empty_table(docs):
     assert quality.measure(docs([])).count() == 0
 
 
-def test_labelled_good_documents_are_kept(spark):
+def test_labelled_good_documents_are_kept_and_others_rejected(spark):
     root = "/root/testdata/sf0.01"
-    found = quality.measure(spark.read.parquet(f"{root}/documents.parquet")).filter("not base_failed")
-    good = spark.read.parquet(f"{root}/labels.parquet").filter("quality = 1 and toxic = 0")
-    joined = found.join(good, "doc_id")
+    found = registry.op2_quality(spark, root).filter("not base_failed")
+    labels = spark.read.parquet(f"{root}/labels.parquet")
+    joined = found.join(labels.filter("quality = 1 and toxic = 0"), "doc_id")
     assert joined.count() > 100 and joined.filter("not kept").count() == 0
+    assert found.filter("not kept").count() > 0

@@ -56,7 +56,9 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.measure(documents(spark, sf_dir))
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    good = labels.filter("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id").distinct()
+    return quality.measure(docs, quality.fit(docs.join(good, "doc_id", "left_semi")))
 
 
 def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
