@@ -62,14 +62,39 @@ def test_pairs_equal_plain_walk(spark):
     assert got[51, "prompt", 0] == ("<|user|>\n<|end|>\n", [], 1)
 
 
-def test_swapped_replies(spark):
-    rows = [(1, 0, "user", "q1"), (1, 1, "assistant", "a1"), (1, 2, "user", "q2"), (1, 3, "assistant", "a2"), (1, 4, "user", "q3"),
-            (2, 0, "user", "q"), (2, 1, "assistant", "a"), (3, 0, "user", "nobody answers")]
-    frame = spark.createDataFrame([(*r, 0) for r in rows], "conv_id long, turn long, role string, text string, pair_id long").drop("pair_id")
+def swaps(rows):
+    """Both sides of each conversation's pair, by walking its turns."""
+    chosen, rejected = [], []
+    for conv in {r[0] for r in rows if r[0] is not None}:
+        mine = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0))
+        replies = [(t, x) for _, t, role, x in mine if role == "assistant" and t is not None]
+        if not replies:
+            continue
+        first, last = replies[0], replies[-1]
+        middle = next(r for r in replies if 2 * r[0] >= first[0] + last[0])
+        swap, other = ((first, last), (middle, first), (last, first))[conv % 3]
+        chosen += mine
+        for c, t, role, x in mine:
+            if len(replies) == 1 and t is not None and t >= swap[0]:
+                continue
+            rejected.append((c, t, role, other[1] if t == swap[0] and role == "assistant" else x))
+    return chosen, rejected
+
+
+def test_swapped_replies_part_at_first_middle_and_last(spark):
+    rows = [(conv, turn, ("user", "assistant")[turn % 2] if conv % 7 else "user", f"{conv} says {turn // 2}")
+            for conv in range(30) for turn in range(conv % 9 + 1)]
+    rows += [(40, None, "user", "x"), (40, 3, "assistant", None), (40, 5, "assistant", "late"), (40, 9, None, "last word"), (None, 1, "assistant", "x"),
+             (41, 1, "assistant", "only"), (41, 2, "user", "after it")]
+    random.Random(3).shuffle(rows)
+    frame = spark.createDataFrame([(*r, 0) for r in rows], "conv_id long, turn long, role string, text string, other long")
     got = shown(chat.format_preferences(*chat.reply_swaps(frame)))
-    assert got[1, "prompt", 0][0].count("<|end|>") == 3
-    assert got[1, "chosen", 0][0] == "<|assistant|>\na2<|end|>\n" and got[1, "rejected", 0][0] == "<|assistant|>\na1<|end|>\n"
-    assert (2, "rejected", 0) not in got and 3 not in {k[0] for k in got}
+    assert got == plain(*swaps(rows))
+    whole = {conv: sum(1 for r in rows if r[0] == conv) for conv in (6, 8, 16, 17)}
+    parted = {conv: got[conv, "prompt", 0][2] if (conv, "prompt", 0) in got else 0 for conv in whole}
+    assert parted == {6: 1, 8: 7, 16: 5, 17: 7}  # first, last, middle and last reply
+    assert got[41, "chosen", 0][2] == 2 and (41, "rejected", 0) not in got
+    assert all(got[conv, "chosen", 0][2] + parted[conv] == n for conv, n in whole.items())
 
 
 def test_empty_tables(spark):

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: Turn numbers in one rendered segment.
 SEGMENT = 64
+#: Which reply a rejected conversation changes, and whose text it gets.
+SWAPPED = (("first", "last"), ("middle", "first"), ("last", "first"))
 
 
 def render(role: Column, text: Column) -> Column:
@@ -66,37 +68,55 @@ def format_preferences(chosen: DataFrame, rejected: DataFrame, pair_id: str = "p
 def reply_swaps(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs made from single conversations: (chosen, rejected), each with pair_id.
 
-    The chosen one runs up to the conversation's last assistant turn. In the rejected one that
-    turn says what its first assistant turn said, an answer to another question; it is missing if
-    there is no other. Conversations without an assistant turn make no pair.
+    The chosen one is the whole conversation. In the rejected one a reply of the assistant says what
+    another one of it says, an answer to another question: the first reply what the last says, or
+    the middle or the last what the first says, by the remainder of conv_id and three. All other turns
+    are the same, so the sides part at that reply and go on to the end, whatever turn that is. The
+    middle reply is the first one not before the midpoint of first and last.
+
+    A conversation with a single reply has no other answer: its rejected side ends before the reply.
+    One without any makes no pair, nor does a null conv_id. Of repeated turns all replies are swapped,
+    for the least or, as last, the greatest text of theirs.
     """
-    rows = conversations.select(F.col("conv_id").alias("pair_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
-    answer = F.when(F.col("role") == "assistant", F.struct("turn", "text"))
-    spans = rows.groupBy("pair_id").agg(F.min(answer).alias("first"), F.max(answer).alias("last")).filter(
-        F.col("last").isNotNull())
-    joined = rows.join(spans, "pair_id").filter(F.col("turn") <= F.col("last.turn"))
+    rows = conversations.filter("conv_id IS NOT NULL").select(
+        F.col("conv_id").alias("pair_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    replies = rows.filter("role = 'assistant' AND turn IS NOT NULL").select("pair_id", F.struct("turn", "text").alias("said"))
+    spans = replies.groupBy("pair_id").agg(F.min("said").alias("first"), F.max("said").alias("last"))
+    later = replies.join(spans, "pair_id").filter(2 * F.col("said.turn") >= F.col("first.turn") + F.col("last.turn"))
+    picks = spans.join(later.groupBy("pair_id").agg(F.min("said").alias("middle")), "pair_id").withColumn(
+        "which", F.pmod(F.col("pair_id").cast("long"), F.lit(len(SWAPPED)))).select(
+        "pair_id", F.element_at(F.array(*[F.col(a)["turn"] for a, _ in SWAPPED]), (F.col("which") + 1).cast("int")).alias("swap"),
+        F.element_at(F.array(*[F.col(b)["text"] for _, b in SWAPPED]), (F.col("which") + 1).cast("int")).alias("other"),
+        (F.col("first.turn") == F.col("last.turn")).alias("alone"))
+    joined = rows.join(picks, "pair_id")
     names = ["pair_id", "turn", "role", "text"]
-    final = (F.col("turn") == F.col("last.turn")) & (F.col("role") == "assistant")
-    alone = F.col("first.turn") == F.col("last.turn")
-    rejected = joined.filter(~F.coalesce(final & alone, F.lit(False))).withColumn(
-        "text", F.when(final, F.col("first.text")).otherwise(F.col("text")))
+    swapped = (F.col("turn") == F.col("swap")) & (F.col("role") == "assistant")
+    rejected = joined.filter(~F.coalesce(F.col("alone") & (F.col("turn") >= F.col("swap")), F.lit(False))).withColumn(
+        "text", F.when(swapped, F.col("other")).otherwise(F.col("text")))
     return joined.select(*names), rejected.select(*names)
 
 
 def oracle_sql() -> str:
     """DuckDB SQL of the preference segments of ``reply_swaps`` over ``conversations``, without repeated turns."""
     return f"""
-WITH spans AS (
-  SELECT conv_id, min(turn) AS first_turn, max(turn) AS last_turn FROM conversations WHERE role = 'assistant' GROUP BY 1
-), replies AS (
+WITH replies AS (
   SELECT conv_id, turn, text FROM conversations WHERE role = 'assistant'
+), spans AS (
+  SELECT conv_id, min(turn) AS first_turn, max(turn) AS last_turn FROM replies GROUP BY 1
+), middles AS (
+  SELECT conv_id, min(turn) AS middle_turn FROM replies JOIN spans USING (conv_id)
+  WHERE 2 * turn >= first_turn + last_turn GROUP BY 1
+), picks AS (
+  SELECT conv_id, first_turn = last_turn AS alone,
+         CASE conv_id % 3 WHEN 0 THEN first_turn WHEN 1 THEN middle_turn ELSE last_turn END AS swap_turn,
+         CASE conv_id % 3 WHEN 0 THEN last_turn ELSE first_turn END AS other_turn
+  FROM spans JOIN middles USING (conv_id)
 ), chosen AS (
-  SELECT c.conv_id, c.turn, c.role, c.text, s.first_turn, s.last_turn
-  FROM conversations c JOIN spans s USING (conv_id) WHERE c.turn <= s.last_turn
+  SELECT c.conv_id, c.turn, c.role, c.text, p.alone, p.swap_turn, p.other_turn FROM conversations c JOIN picks p USING (conv_id)
 ), rejected AS (
-  SELECT c.conv_id, c.turn, c.role, CASE WHEN c.turn = c.last_turn THEN r.text ELSE c.text END AS text
-  FROM chosen c JOIN replies r ON r.conv_id = c.conv_id AND r.turn = c.first_turn
-  WHERE NOT (c.turn = c.last_turn AND c.first_turn = c.last_turn)
+  SELECT c.conv_id, c.turn, c.role, CASE WHEN c.turn = c.swap_turn THEN r.text ELSE c.text END AS text
+  FROM chosen c JOIN replies r ON r.conv_id = c.conv_id AND r.turn = c.other_turn
+  WHERE NOT (c.alone AND c.turn >= c.swap_turn)
 ), split AS (
   SELECT c.conv_id, min(c.turn) AS split FROM chosen c
   LEFT JOIN rejected r ON r.conv_id = c.conv_id AND r.turn = c.turn AND r.role = c.role AND r.text = c.text
