@@ -19,7 +19,8 @@ import json
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -32,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm.textbatch import Texts, slices
+from tillwright.llm.textbatch import Texts, release, slices
 
 #: Fixed value: the pattern by which byte-level vocabularies of this kind part a text.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -149,15 +150,34 @@ def _unpack(payload: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).reshape(-1).view("<u4")
 
 
-def _to_bytes(batch: pa.RecordBatch) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))) as writer:
-        writer.write_batch(batch)
-    return sink.getvalue().to_pybytes()
+def _pack_words(words: pa.Array) -> bytes:
+    """Lengths, in byte planes, and letters of words: both compress better than Arrow's offsets."""
+    texts = Texts.of(words)
+    lengths = np.diff(texts.bounds).astype("<u4")
+    planes = np.ascontiguousarray(lengths.view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=LEVEL).compress(np.uint32(len(lengths)).tobytes() + planes.tobytes() + texts.data.tobytes())
 
 
-def _column(payload: bytes) -> pa.Array:
-    return pa.ipc.open_stream(payload).read_next_batch().column(0)
+def _unpack_words(payload: bytes) -> pa.Array:
+    raw = zstandard.ZstdDecompressor().decompress(payload)
+    n = int(np.frombuffer(raw, "<u4", 1)[0])
+    planes = np.frombuffer(raw, np.uint8, 4 * n, 4)
+    lengths = np.ascontiguousarray(planes.reshape(4, -1).T).reshape(-1).view("<u4")
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    return pa.StringArray.from_buffers(n, pa.py_buffer(offsets), pa.py_buffer(raw[4 + 4 * n:]))
+
+
+def _pack_lists(lists: pa.ListArray) -> bytes:
+    """Lists of small numbers."""
+    lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
+    return _pack(np.concatenate([[len(lengths)], lengths, lists.flatten().to_numpy(zero_copy_only=False)]).astype(np.uint32))
+
+
+def _unpack_lists(payload: bytes) -> pa.ListArray:
+    numbers = _unpack(payload)
+    n = int(numbers[0])
+    offsets = np.concatenate([[0], np.cumsum(numbers[1:n + 1])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(numbers[n + 1:]))
 
 
 def _facts(ids: pa.Array, lengths: np.ndarray) -> np.ndarray:
@@ -207,7 +227,7 @@ def _words(batches: Iterator[pa.RecordBatch], path: str, fragments: int) -> Iter
     for block, _, _, _, distinct, _, share in _numbered(batches, path, fragments):
         cuts = np.searchsorted(share, np.arange(fragments + 1))
         held = np.flatnonzero(np.diff(cuts))
-        payloads = [_to_bytes(pa.RecordBatch.from_arrays([distinct.slice(cuts[f], cuts[f + 1] - cuts[f])], ["word"])) for f in held]
+        payloads = [_pack_words(distinct.slice(cuts[f], cuts[f + 1] - cuts[f])) for f in held]
         yield pa.RecordBatch.from_arrays(
             [pa.array(held, pa.int32()), pa.array([block] * len(held), pa.string()), pa.array(payloads, pa.binary())],
             ["fragment", "block", "payload"])
@@ -228,21 +248,21 @@ def _encode_fragment(table: pa.Table, path: str) -> pa.Table:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    parts = [_column(p) for p in table.column("payload").to_pylist()]
+    parts = [_unpack_words(p) for p in table.column("payload").to_pylist()]
     coded = pa.concat_arrays(parts).dictionary_encode()
-    flat, sizes = [], []
+    flat, bounds = array("I"), array("i", [0])
     for start in range(0, len(coded.dictionary), BATCH_WORDS):
         for found in tokenizer.encode_batch(coded.dictionary.slice(start, BATCH_WORDS).to_pylist(), add_special_tokens=False):
-            ids = found.ids
-            flat.append(np.array(ids, np.uint32))
-            sizes.append(len(ids))
-    bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-    lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(flat) if flat else np.zeros(0, np.uint32)))
+            flat.extend(found.ids)
+            bounds.append(len(flat))
+    lists = pa.ListArray.from_arrays(pa.array(np.frombuffer(bounds, np.int32)), pa.array(np.frombuffer(flat, np.uint32)))
     payloads, start = [], 0
     for part in parts:
         mine = lists.take(coded.indices.slice(start, len(part)))
         start += len(part)
-        payloads.append(_to_bytes(pa.RecordBatch.from_arrays([mine], ["ids"])))
+        payloads.append(_pack_lists(mine))
+    del coded, lists, parts, tokenizer
+    release()
     return pa.table({"fragment": table.column("fragment"), "block": table.column("block"), "payload": pa.array(payloads, pa.binary())})
 
 
@@ -254,7 +274,7 @@ def _join_back(key: tuple, words: pa.Table, documents: pa.Table) -> pa.Table:
     doc_ids, lengths, rest = _open(payloads[0])
     count = int(rest[0])
     order, numbers = rest[1:count + 1], rest[count + 1:]
-    lists = pa.concat_arrays([_column(p) for p in payloads[1:]]) if len(payloads) > 1 else pa.array([], pa.list_(pa.uint32()))
+    lists = pa.concat_arrays([_unpack_lists(p) for p in payloads[1:]]) if len(payloads) > 1 else pa.array([], pa.list_(pa.uint32()))
     if len(lists) != count:
         raise ValueError(f"block {key[0].as_py()} lost words")
     sizes, starts = np.zeros(count, np.int64), np.zeros(count, np.int64)
@@ -276,17 +296,22 @@ def _gather(table: np.ndarray, sizes: np.ndarray, starts: np.ndarray, picks: np.
     return table[np.arange(int(ends[-1])) + shift]
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids array<int>) of every row, as the vocabulary file at ``path`` encodes its text."""
+def _encoded(docs: DataFrame, path: str, finish: Callable[[tuple, pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """What ``finish`` makes of each block's encoded words and documents."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     fragments = max(8, -(-size // FRAGMENT_BYTES))
-    schema = "fragment int, block string, payload binary"
-    words = rows.mapInArrow(lambda b: _words(b, path, fragments), schema)
-    encoded = words.groupBy("fragment").applyInArrow(lambda t: _encode_fragment(t, path), schema)
-    texts = rows.mapInArrow(lambda b: _documents(b, path, fragments), schema)
+    packed = "fragment int, block string, payload binary"
+    words = rows.mapInArrow(lambda b: _words(b, path, fragments), packed)
+    encoded = words.groupBy("fragment").applyInArrow(lambda t: _encode_fragment(t, path), packed)
+    texts = rows.mapInArrow(lambda b: _documents(b, path, fragments), packed)
     # Each side has a stage of its own, so that a block has the same name in both.
-    return encoded.groupBy("block").cogroup(texts.groupBy("block")).applyInArrow(_join_back, "doc_id long, ids array<int>")
+    return encoded.groupBy("block").cogroup(texts.groupBy("block")).applyInArrow(finish, schema)
+
+
+def encode(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, ids array<int>) of every row, as the vocabulary file at ``path`` encodes its text."""
+    return _encoded(docs, path, _join_back, "doc_id long, ids array<int>")
 
 
 def _token_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,15 +329,16 @@ def _token_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                  pa.array([None] * n + [payload], pa.binary())], ["id", "ordinal", "payload"])
 
 
-def decode(tokens: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids, text) of every row of (doc_id, ids); bytes that are no UTF-8 become U+FFFD.
+_TOKEN_BLOCK = "id int, ordinal int, payload binary"
+
+
+def _decoded(blocks: DataFrame, path: str, finish: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+    """What ``finish`` makes of the decoded batches (doc_id, ids, text) of token blocks.
 
     The pieces come from a join on the id with the vocabulary's table, which every executor gets.
     The join keeps the order of rows within a partition, so that nothing is shuffled; each block
-    checks that it has its pieces in order. An id outside the vocabulary is an error.
+    checks that it has its pieces in order.
     """
-    blocks = tokens.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids")).mapInArrow(
-        _token_blocks, "id int, ordinal int, payload binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int] = []
@@ -334,8 +360,33 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
                 bounds = np.concatenate([[0], np.cumsum(sizes[numbers])])[places].tolist() if len(numbers) else [0] * len(places)
                 texts = [letters[a:b].decode("utf-8", "replace") for a, b in zip(bounds[:-1], bounds[1:])]
                 tokens = pa.ListArray.from_arrays(pa.array(places.astype(np.int32)), pa.array(np.array(ids, np.int32)[numbers]))
-                yield pa.RecordBatch.from_arrays([doc_ids, tokens, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+                yield finish(pa.RecordBatch.from_arrays([doc_ids, tokens, pa.array(texts, pa.string())], ["doc_id", "ids", "text"]))
                 ids, pieces = [], []
+        release()
+
+    joined = blocks.join(F.broadcast(piece_table(blocks.sparkSession, path)), "id", "left")
+    return joined.select("id", "ordinal", "piece", "payload").mapInArrow(run, schema)
+
+
+def decode(tokens: DataFrame, path: str) -> DataFrame:
+    """(doc_id, ids, text) of every row of (doc_id, ids); bytes that are no UTF-8 become U+FFFD.
+
+    An id outside the vocabulary is an error.
+    """
+    blocks = tokens.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids")).mapInArrow(
+        _token_blocks, _TOKEN_BLOCK)
+    return _decoded(blocks, path, lambda batch: batch, "doc_id long, ids array<int>, text string")
+
+
+def round_trip(docs: DataFrame, path: str, finish: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+    """What ``finish`` makes of batches (doc_id, ids, text) of the texts encoded and decoded again.
+
+    As ``decode(encode(docs))``, but a task of the last stage runs two Python functions one after
+    the other, not four: each keeps a process and its memory.
+    """
+
+    def blocks(key: tuple, words: pa.Table, documents: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(list(_token_blocks(iter(_join_back(key, words, documents).combine_chunks().to_batches()))), pa.schema(
+            [("id", pa.int32()), ("ordinal", pa.int32()), ("payload", pa.binary())]))
 
-    joined = blocks.join(F.broadcast(piece_table(tokens.sparkSession, path)), "id", "left")
-    return joined.select("id", "ordinal", "piece", "payload").mapInArrow(run, "doc_id long, ids array<int>, text string")
+    return _decoded(_encoded(docs, path, blocks, _TOKEN_BLOCK), path, finish, schema)
