@@ -35,16 +35,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwright.llm.jaccard import pack_numbers, to_bytes, unpack_numbers
-from tillwright.llm.textbatch import Texts, mix, slices
+from tillwright.llm.textbatch import Texts, mix, release, slices
 from tillwright.session import scratch_path
 
 LENGTH = 200
 FIRST = 100
 BLOCK_BYTES = 1 << 20
 FRAGMENT_BYTES = 8 << 20
+#: A block's rows travel in pieces: the JVM sets larger arrays apart and frees them late.
+PIECE_BYTES = 192 << 10
 #: Stretches with one first rank that a block sends to the rank's own task.
 CROWD = 2
 UNIQUE, REPEATED, OPEN, SAMPLE = 0, 1, 2, 3
+#: A reader holds a row group's payloads at once, and a writer checks its size by the row: both stay small.
+SMALL_GROUPS = {"parquet.block.size": str(4 << 20), "parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1",
+                "parquet.block.size.row.check.max": "4"}
 #: Number of an entry that no one asks about.
 NOBODY = 0xFFFFFFFF
 RESULTS = ("n_bytes", "n_removed", "n_spans", "spans", "kept")
@@ -141,8 +146,11 @@ def _rows(batches: Iterator[pa.RecordBatch], length: int, first: int) -> Iterato
     for block in _blocks(batches, length, first):
         rows = to_bytes(block.batch)
         payload = rows + pack_numbers(block.low, block.high - block.low, block.stretch)
-        yield pa.RecordBatch.from_arrays([pa.array([block.name]), pa.array([len(rows)], pa.int64()), pa.array([payload], pa.binary())],
-                                         ["block", "head", "payload"])
+        pieces = [payload[i:i + PIECE_BYTES] for i in range(0, len(payload), PIECE_BYTES)]
+        n = len(pieces)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([block.name] * n), pa.array([len(rows)] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array([n] * n, pa.int32()),
+             pa.array(pieces, pa.binary())], ["block", "head", "piece", "pieces", "payload"])
 
 
 def _judge(key: tuple, table: pa.Table, fragments: int) -> pa.Table:
@@ -177,6 +185,8 @@ def _judge(key: tuple, table: pa.Table, fragments: int) -> pa.Table:
             mine = mine[np.argsort(index[mine])]
             out.append(block)
             payloads.append(pack_numbers(index[mine], kind[mine]))
+    del parts, k, u, index, counts, source, told, order, keep
+    release()
     return pa.table({"block": pa.array(out, pa.string()), "payload": pa.array(payloads, pa.binary())})
 
 
@@ -239,9 +249,10 @@ def _groups(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _resolve(key: tuple, replies: pa.Table, rows: pa.Table, fragments: int, length: int, first: int) -> pa.Table:
     """A block after step 2: finished rows, rows that wait, and pairs of ranks of step 3."""
     block = key[0].as_py()
-    if len(rows) != 1:
-        raise ValueError(f"block {block} has {len(rows)} times its rows")
-    head, body = rows.column("head")[0].as_py(), rows.column("payload")[0].as_py()
+    rows = rows.sort_by("piece")
+    if rows.column("piece").to_pylist() != list(range(rows.column("pieces")[0].as_py() if len(rows) else 1)):
+        raise ValueError(f"block {block} lacks rows or has some twice")
+    head, body = rows.column("head")[0].as_py(), b"".join(rows.column("payload").to_pylist())
     batch = _read_batch(body[:head])
     texts = Texts.of(batch.column("text"))
     low, width, stretch = unpack_numbers(body[head:], 3)
@@ -302,6 +313,8 @@ def _match(table: pa.Table) -> pa.Table:
         if len(mine):
             out.append(block)
             payloads.append(pack_numbers(np.sort(number[mine])))
+    del parts, one, two, number, counts, group
+    release()
     return pa.table({"block": pa.array(out, pa.string()), "payload": pa.array(payloads, pa.binary())})
 
 
@@ -358,11 +371,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, first: int = FIRST) ->
     # Both readings take the same columns, as their size decides where batches end.
     ranks = docs.mapInArrow(lambda b: _ranks(b, fragments, length, first), "fragment int, block string, payload binary")
     judged = ranks.groupBy("fragment").applyInArrow(lambda key, t: _judge(key, t, fragments), "block string, payload binary")
-    rows = docs.mapInArrow(lambda b: _rows(b, length, first), "block string, head long, payload binary")
+    rows = docs.mapInArrow(lambda b: _rows(b, length, first), "block string, head long, piece int, pieces int, payload binary")
     path = scratch_path(spark, "repeats")
     # Each side has a stage of its own, so that a block has the same name in both.
     judged.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(
-        lambda key, replies, own: _resolve(key, replies, own, fragments, length, first), STAGED).write.parquet(path)
+        lambda key, replies, own: _resolve(key, replies, own, fragments, length, first), STAGED).write.options(**SMALL_GROUPS).parquet(path)
     staged = spark.read.schema(STAGED).parquet(path)
 
     schema = T.StructType([f for f in docs.schema if f.name != "text"]).add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add(
