@@ -76,12 +76,13 @@ def test_bands_by_length_and_width():
 def test_bands_are_fitted_to_good_texts(docs, make_prose, odd):
     rng = random.Random(9)
     rows = [(i, make_prose(rng, rng.randrange(20, 900), 300)) for i in range(150)]
-    bands = quality.fit(docs(rows + odd[:4]))
+    frame, ids = docs(rows + odd + [(500, "x" * 5000)]), docs([(i, None) for i, _ in rows + odd] * 2)
+    bands = quality.fit(frame, ids)
     codec = zstandard.ZstdCompressor(level=3)
     assert all(quality._verdict(t.encode(), bands, codec)[2] for _, t in rows)
     assert bands.limits[0] != quality.PROSE[0] and bands.limits[1:] == quality.PROSE[1:]
     assert [upto for upto, _, _ in bands.limits[0]] == sorted(upto for upto, _, _ in bands.limits[0])
-    assert quality.fit(docs([])) == quality.Bands()
+    assert quality.fit(docs([]), ids) == quality.fit(frame, docs([])) == quality.Bands()
 
 
 def test_other_columns_and_empty_table(docs):

@@ -85,30 +85,32 @@ def _verdict(data: bytes, bands: Bands, codec: zstandard.ZstdCompressor) -> tupl
     return whole, share, low <= whole <= high and share <= bands.max_bad_share
 
 
-def fit(good: DataFrame, bands: Bands = Bands(), margin: float = 0.05, least_texts: int = 50) -> Bands:
-    """Bands that hold the texts of ``good`` with a margin, by length and width of letters.
+def fit(docs: DataFrame, good: DataFrame, bands: Bands = Bands(), margin: float = 0.05, least_texts: int = 50) -> Bands:
+    """Bands that hold the texts of ``docs`` whose doc_id is in ``good``, with a margin, by length and width of letters.
 
     A class with fewer than ``least_texts`` texts joins the next longer one; what is left over at the
     end, and widths without any, keep the limits of ``bands``. Chunks count as texts of their
     length. At most ``len(LENGTHS)`` rows a width reach the driver. Null and empty texts count nothing.
+    All texts are compressed, so that ids and ratios are joined and no text is shuffled.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = zstandard.ZstdCompressor(level=bands.level)
         for batch in slices(batches, "text"):
-            found = []
-            for data in (texts.bytes_of(i) for texts in [Texts.of(batch.column("text"))] for i in range(len(texts))):
+            found, texts = [], Texts.of(batch.column("text"))
+            for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
+                data = texts.bytes_of(i)
                 pieces = [data] if data else []
                 if len(data) > bands.chunk:
                     pieces += [data[i:i + bands.chunk] for i in range(0, len(data), bands.chunk)]
                 # The last piece of a text may be a few bytes of it and tells nothing.
-                found += [(_width(data), bisect.bisect_left(LENGTHS, len(p)), len(p) / len(codec.compress(p)))
+                found += [(doc_id, _width(data), bisect.bisect_left(LENGTHS, len(p)), len(p) / len(codec.compress(p)))
                           for p in pieces if p is data or len(p) == bands.chunk]
-            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.float64()))],
-                                             ["width", "length", "ratio"])
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.float64()))],
+                                             ["doc_id", "width", "length", "ratio"])
 
-    measured = good.select("text").mapInArrow(run, "width int, length int, ratio double")
-    rows = measured.groupBy("width", "length").agg(F.count("*").alias("n"), F.min("ratio").alias("low"), F.max("ratio").alias("high")).collect()
+    measured = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, width int, length int, ratio double")
+    rows = measured.join(good.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("width", "length").agg(F.count("*").alias("n"), F.min("ratio").alias("low"), F.max("ratio").alias("high")).collect()
     limits = []
     for width, before in enumerate(bands.limits):
         fitted, n, low, high = [], 0, float("inf"), 0.0

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,27 +37,23 @@ def tokenizer_path() -> str:
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path()
-    decoded = bpe.decode(bpe.encode(documents(spark, sf_dir), path), path)
+    def digest(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids = batch.column("ids")
+        bounds = np.array(ids.offsets) - ids.offsets[0].as_py()
+        raw = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4").view(np.uint8)
+        marks = [hashlib.sha256(raw[4 * a:4 * b]).hexdigest() for a, b in zip(bounds[:-1], bounds[1:])]
+        texts = [hashlib.sha256(text.encode()).hexdigest() for text in batch.column("text").to_pylist()]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(np.diff(bounds), pa.int64()), pa.array(marks, pa.string()), pa.array(texts, pa.string())],
+            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("ids")
-            bounds = np.array(ids.offsets) - ids.offsets[0].as_py()
-            raw = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4").view(np.uint8)
-            marks = [hashlib.sha256(raw[4 * a:4 * b]).hexdigest() for a, b in zip(bounds[:-1], bounds[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(bounds), pa.int64()), pa.array(marks, pa.string()),
-                 batch.column("decoded_sha256")], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return decoded.select("doc_id", "ids", F.sha2("text", 256).alias("decoded_sha256")).mapInArrow(
-        digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return bpe.round_trip(documents(spark, sf_dir), tokenizer_path(), digest,
+                          "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
-    good = labels.filter("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id").distinct()
-    return quality.measure(docs, quality.fit(docs.join(good, "doc_id", "left_semi")))
+    return quality.measure(docs, quality.fit(docs, labels.filter("quality = 1 AND coalesce(toxic, 0) = 0")))
 
 
 def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
