@@ -40,7 +40,7 @@ from tillwright.session import scratch_path
 
 LENGTH = 200
 FIRST = 100
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 512 << 10
 FRAGMENT_BYTES = 8 << 20
 #: A block's rows travel in pieces: the JVM sets larger arrays apart and frees them late.
 PIECE_BYTES = 192 << 10
