@@ -80,6 +80,21 @@ def test_near_duplicates_at_the_limit(docs):
     assert near_rows(docs([])) == Counter()
 
 
+def test_sketches_rule_out_no_link(spark):
+    rng = random.Random(8)
+    sets = {0: set(range(300))}
+    for i in range(1, 30):
+        kept = set(rng.sample(sorted(sets[0]), 300 - 4 * i))
+        sets[i] = kept | {rng.randrange(1 << 48) for _ in range(3 * i)}
+    rows = spark.createDataFrame([(i, len(s), sorted(s)) for i, s in sets.items()], "node long, n long, tokens array<long>")
+    rows = rows.join(jaccard.sketches(rows), "node").select("node", "n", "sketch")
+    a, b = rows.alias("a"), rows.alias("b")
+    sides = [jaccard.F.col(f"{t}.{c}") for t in "ab" for c in ("n", "n", "sketch")]
+    may = {(r[0], r[1]) for r in a.join(b, jaccard._may_share(*sides, 80)).select("a.node", "b.node").collect()}
+    like = {(i, j) for i in sets for j in sets if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    assert like <= may and len(may) < 2 * len(like) < len(sets) ** 2
+
+
 def test_one_of_each_group_stays(docs, odd, make_prose):
     rows = copies(random.Random(6), make_prose) + odd
     frame = docs([(*r, "s") for r in rows], "doc_id long, text string, doc_mark string")

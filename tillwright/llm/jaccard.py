@@ -9,8 +9,10 @@ Candidates. Documents with equal sets are one class. Two sets of the wanted like
 n-gram within the first |x| - ceil(t |x|) + 1 of their order (the prefix). Every pair of
 classes on a prefix n-gram's list would be too many, so rounds of pivots come first: each class
 is compared with one pivot of its lists, the one with the fewest n-grams of its own, and linked
-classes become one component. Pairs within a component need no comparison. All pairs that are
-left across components are then compared; none is dropped.
+classes become one component. Pairs within a component need no comparison. Of the pairs left
+across components, those become rows that can link by their sizes and by their sketches: a sketch
+has the parities of the numbers of n-grams in ``SKETCH`` hash buckets, and two sets differ in at
+least as many n-grams as their sketches do in bits. No pair that links is ruled out.
 
 Overlap. A pair's n-grams are cut into ``PARTS`` ranges of their numbers, which are hashes, not ranks in
 the order; partial overlaps are counted range by range and summed per pair.
@@ -43,6 +45,8 @@ LISTED = 1 << 31
 PARTS = 4
 #: Rounds of pivots at most before all remaining pairs are compared.
 ROUNDS = 3
+#: Bits of a set's sketch.
+SKETCH = 1024
 
 
 def pack_numbers(*columns: np.ndarray) -> bytes:
@@ -214,6 +218,23 @@ def _may_link(n: Column, shared: Column, m: Column, other: Column, percent: int)
     return F.least(shared, other) * (100 + percent) >= percent * (n + m)
 
 
+def sketches(sets: DataFrame) -> DataFrame:
+    """(node, sketch): per set, the parity of the number of its ``tokens`` in each hash bucket, in words of 64."""
+    listed = sets.select("node", F.explode("tokens").alias("token"))
+    words = [F.bit_xor(F.expr(f"if(token % {SKETCH} div 64 = {w}, shiftleft(1L, cast(token % 64 as int)), 0L)")).alias(f"w{w}")
+             for w in range(SKETCH // 64)]
+    return listed.groupBy("node").agg(*words).select("node", F.array(*[f"w{w}" for w in range(SKETCH // 64)]).alias("sketch"))
+
+
+def _may_share(n: Column, shared: Column, sketch: Column, m: Column, other: Column, other_sketch: Column, percent: int) -> Column:
+    """Whether sets with these sketches of their shared n-grams can be like enough.
+
+    At most (shared + other - differing bits) / 2 n-grams are common.
+    """
+    differ = sum((F.bit_count(sketch[w].bitwiseXOR(other_sketch[w])) for w in range(SKETCH // 64)), F.lit(0))
+    return (shared + other - differ) * (100 + percent) >= 2 * percent * (n + m)
+
+
 def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     """``pairs`` (x, y, ...) that share an n-gram, with ``common``, their number, summed over fragments."""
     left = segments.select(F.col("node").alias("x"), "part", F.col("tokens").alias("xs"))
@@ -283,10 +304,13 @@ def _link(sets: DataFrame, percent: int) -> DataFrame:
             break
         last = open_pairs <= 2 * members or round_ == ROUNDS
         if last:
-            one, other = rows.alias("a"), rows.alias("b")
+            sketched = rows.join(sketches(involved), "node")
+            one, other = sketched.alias("a"), sketched.alias("b")
             met = one.join(other, (F.col("a.token") == F.col("b.token")) & (F.col("a.node") < F.col("b.node"))
                            & (F.col("a.root") != F.col("b.root"))
-                           & _may_link(F.col("a.n"), F.col("a.shared"), F.col("b.n"), F.col("b.shared"), percent))
+                           & _may_link(F.col("a.n"), F.col("a.shared"), F.col("b.n"), F.col("b.shared"), percent)
+                           & _may_share(F.col("a.n"), F.col("a.shared"), F.col("a.sketch"),
+                                        F.col("b.n"), F.col("b.shared"), F.col("b.sketch"), percent))
             roots = F.lit(None).cast("long")
             pairs = met.select(F.col("a.node").alias("x"), F.col("b.node").alias("y"), (F.col("a.n") + F.col("b.n")).alias("total"),
                                roots.alias("low_root"), roots.alias("high_root")).distinct()
