@@ -73,3 +73,12 @@ def test_repeated_and_missing_ids(docs, odd):
     assert ordermin.edit_study(docs([]), partitions=3).count() == 0
     same = {r.fingerprint for r in ordermin.fingerprints(docs(odd)).filter("doc_id in (-6, -7)").collect()}
     assert len(same) == 1
+
+
+def test_parts_grow_with_the_text(docs, monkeypatch):
+    frame = docs([(i, "some words of text " * 50) for i in range(40)])
+    least = ordermin.parts_for(frame)
+    monkeypatch.setattr(ordermin, "PART_BYTES", 100)
+    assert ordermin.parts_for(frame) == 380 > least
+    assert ordermin.parts_for(docs([])) == least
+    assert ordermin.edit_study(frame).count() == 40

@@ -23,6 +23,10 @@ from tillwright.llm.textbatch import Texts, Words, combine, mix, slices
 from tillwright.session import scratch_path
 
 
+#: Text of one part of the order, at most on average; a small input has as many parts as shuffles have partitions.
+PART_BYTES = 128 << 20
+
+
 @dataclass(frozen=True)
 class Settings:
     k: int = 3
@@ -112,7 +116,13 @@ def fingerprints(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         run, "doc_id long, fingerprint string")
 
 
-def with_next(docs: DataFrame, partitions: int | None = None) -> DataFrame:
+def parts_for(docs: DataFrame) -> int:
+    """How many parts the order of ``docs`` is cut into; grows with the bytes of their text."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+
+
+def with_next(docs: DataFrame, partitions: int) -> DataFrame:
     """Rows in partitions by descending doc_id; columns (part, guest, doc_id, text).
 
     Each partition also holds, as ``guest``, the rows of the least key of the partition that
@@ -121,7 +131,6 @@ def with_next(docs: DataFrame, partitions: int | None = None) -> DataFrame:
     last. The text is shuffled once.
     """
     spark = docs.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     cuts = sorted(set(rows.stat.approxQuantile("doc_id", [i / partitions for i in range(1, partitions)], 0.25 / partitions))) \
         if partitions > 1 else []
@@ -205,8 +214,8 @@ def edit_study(docs: DataFrame, settings: Settings = Settings(), partitions: int
         if held:
             raise ValueError("a part has no guest")
 
-    placed = with_next(docs, partitions)
-    count = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = placed.repartition(count, "part").sortWithinPartitions(
+    count = partitions or parts_for(docs)
+    # Each part has a partition of its own; hashed, several would meet in one.
+    ordered = with_next(docs, count).repartitionById(count, F.col("part") % count).sortWithinPartitions(
         "part", "guest", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
     return ordered.mapInArrow(run, SCHEMA)
