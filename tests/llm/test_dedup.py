@@ -72,6 +72,12 @@ def test_near_duplicates_equal_all_pairs(docs, odd, make_prose, monkeypatch, rou
     assert any(c > 3 for c in Counter(k[2] for k in want).values())
 
 
+def test_near_duplicates_ignore_other_columns(docs, odd):
+    rows = [(*r, 7, "m", [1]) for r in odd + [(90, "one two three four five six"), (91, "One two three four five six")]]
+    clash = docs(rows, "doc_id long, text string, node long, mark string, tokens array<long>")
+    assert near_rows(clash) == near_groups([r[:2] for r in rows])
+
+
 def test_near_duplicates_at_the_limit(docs):
     # 8 of 10 n-grams in common link, 7 of 9 do not.
     base = [f"t{i}" for i in range(30)]

@@ -82,3 +82,10 @@ def test_parts_grow_with_the_text(docs, monkeypatch):
     assert ordermin.parts_for(frame) == 380 > least
     assert ordermin.parts_for(docs([])) == least
     assert ordermin.edit_study(frame).count() == 40
+
+
+def test_other_columns_are_ignored(docs):
+    rows = [(1, "a b c d", "x", 5, True), (2, None, None, None, None), (3, "a b c e", "y", 7, False)]
+    clash = docs(rows, "doc_id long, text string, head string, part int, guest boolean")
+    plain = docs([r[:2] for r in rows])
+    assert sorted(ordermin.edit_study(clash, partitions=2).collect()) == sorted(ordermin.edit_study(plain, partitions=2).collect())
