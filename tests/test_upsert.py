@@ -259,6 +259,29 @@ def test_large_deliveries_are_joined_by_key(spark, sales_frame, sale, tmp_path,
     assert got == {str(i): (money(10 if i < 20 else 3), at(T0 if i < 40 else T1)) for i in range(60)}
 
 
+def test_a_large_delivery_is_joined_once_and_written_from_there(spark, sales_frame, sale, tmp_path, monkeypatch):
+    """Nothing is looked up in empty facts; after that, parts without a delivered key stay, whichever lookup tells."""
+    monkeypatch.setattr(warehouse, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(warehouse, "LOOKUP_KEYS", 1)
+    plans, write = [], warehouse.Load.replace_parts
+
+    def seen(self, table, rows, touched, spread=True):
+        plans.append((rows._jdf.queryExecution().optimizedPlan().toString(), spread))
+        write(self, table, rows, touched, spread)
+
+    monkeypatch.setattr(warehouse.Load, "replace_parts", seen)
+    w = Warehouse(spark, str(tmp_path), buckets=2)
+    for n in range(3):
+        w.upsert_facts(sales_frame([sale(f"{n}-{i}") for i in range(20)]), schemas.SALES_BATCH, (), time(f"2024-01-0{n + 1} 00:00:00"))
+    w.upsert_facts(sales_frame([sale(f"{n}-{i}", amount="3.00") for n in (0, 2) for i in range(20)]), schemas.SALES_BATCH, (), time("2024-02-01 00:00:00"))
+    assert [plan.count("Join ") for plan, _ in plans] == [0, 1, 1, 1] and not any(spread for _, spread in plans)
+    assert all("Join FullOuter" in plan for plan, _ in plans[1:])
+    held = w.parts(schemas.SALES_BATCH)
+    assert {part[0]: n for part, n in held.items()} == {"2024-01-01": 4, "2024-01-02": 2, "2024-01-03": 4}
+    got = {r.sale_id: (r.total_amount, r.ingestion_timestamp) for r in w.table(schemas.SALES_BATCH).collect()}
+    assert got == {f"{n}-{i}": (money(10 if n == 1 else 3), at(f"2024-01-0{n + 1} 00:00:00")) for n in range(3) for i in range(20)}
+
+
 def test_load_refuses_what_the_declaration_forbids(spark, sales_frame, sale, products, tmp_path):
     w = Warehouse(spark, str(tmp_path))
     for bad in (sale("a", payment=None), sale("a", product_id="P" * 90)):

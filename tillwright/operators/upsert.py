@@ -19,17 +19,17 @@ def _required(name: str) -> Column:
 
 
 def _hash(keys: Sequence[str]) -> Column:
-    """Sorts compare this number first, which is much cheaper than comparing key texts."""
-    return F.xxhash64(*keys).alias("_hash")
+    """Sorts compare this number first, which is much cheaper than comparing key texts; 32 bits are enough and travel with each row."""
+    return F.hash(*keys).alias("_hash")
 
 
 def _newest(arrivals: DataFrame, keys: Sequence[str], order_by: Sequence[str],
             first: dict[str, str]) -> DataFrame:
     payload = [c for c in arrivals.columns if c not in keys and c not in order_by]
-    newest = F.max(F.struct(*order_by, F.struct(*payload).alias("_row")))
+    newest = F.max(F.struct(*order_by, *payload))
     return (
         arrivals.groupBy(_hash(keys), *[_required(k) for k in keys])
-        .agg(newest["_row"].alias("_row"), *[F.min(c).alias(name) for name, c in first.items()])
+        .agg(newest.alias("_row"), *[F.min(c).alias(name) for name, c in first.items()])
         .select("_hash", *keys, *[f"_row.{c}" for c in payload], *first)
     )
 

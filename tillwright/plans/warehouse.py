@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from tillwright import storage
 from tillwright.operators.quality import refuse_violations
-from tillwright.operators.upsert import latest_by_key, rows_of_keys
+from tillwright.operators.upsert import LOOKUP_KEYS, latest_by_key, rows_of_keys
 from tillwright.schemas import DAILY_SALES_SUMMARY, SALES_BATCH, SALES_CLEAN, TABLES, Table
 from tillwright.session import scratch_path
 
@@ -46,7 +46,10 @@ _NULL = "__HIVE_DEFAULT_PARTITION__"
 LISTED_HERE = 64
 #: A delivery up to this size is broadcast to the stored sales, which then are not shuffled.
 BROADCAST_BYTES = 8 << 20
-
+#: Rows that go to at most so many parts are written from the partitions they are in; a task's files stay large.
+FEW_PARTS = 8
+#: Of the published files and of stored deliveries.
+COMPRESSION = "zstd"
 
 
 def _value(step: str) -> str:
@@ -280,7 +283,7 @@ class Load:
             self.replace_parts(table, rows, self.parts(table))
         else:
             checked = refuse_violations(rows.select(*table.names), table)
-            checked.write.mode("overwrite").parquet(f"{self.warehouse.folder(table)}/{LOAD}={self.number}")
+            checked.write.mode("overwrite").option("compression", COMPRESSION).parquet(f"{self.warehouse.folder(table)}/{LOAD}={self.number}")
 
     def replace_parts(self, table: Table, rows: DataFrame, touched: Iterable[tuple[str, ...]], spread: bool = True) -> None:
         """Write the parts that ``rows`` belong to; those of ``touched`` that get no row become empty.
@@ -293,7 +296,7 @@ class Load:
         checked = refuse_violations(given.select(*table.names, *extra), table).withColumn(LOAD, F.lit(self.number))
         if spread:
             checked = checked.hint("rebalance", *[F.col(n) for n in parts])
-        writer = checked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = checked.write.mode("overwrite").option("compression", COMPRESSION).option("partitionOverwriteMode", "dynamic")
         for key in table.key if len(table.key) == 1 else ():
             writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
         writer.partitionBy(*parts, LOAD).parquet(w.folder(table))
@@ -312,36 +315,70 @@ class Load:
     def upsert_facts(self, source: DataFrame, table: Table, order_by: Sequence[str], loaded_at: Column) -> None:
         """Insert ``source`` into keyed facts or write it over rows of its keys; parts without any stay as they are.
 
-        The source is reduced to one row a key and stored, so it is evaluated once and no key is hot
-        after that. Its keys are looked up in the parts of their buckets; the parts that hold some
-        are written anew. A delivery below ``BROADCAST_BYTES`` is broadcast for both, so that stored
-        rows go from their files to new ones without a shuffle; a larger one is joined by key.
+        The source is reduced to one row a key, so that no key is hot after that. Into empty facts it
+        goes as it is. Else it is stored, so it is evaluated once, and its keys are looked up in the
+        parts of their buckets; the parts that hold some are written anew. A delivery below
+        ``BROADCAST_BYTES`` is broadcast for both, so that stored rows go from their files to new ones
+        without a shuffle. Of a larger one the hashes of keys are shuffled to find the parts, then its
+        rows and those of the parts once, by key.
         """
         w, spark, keys = self.warehouse, self.warehouse.spark, list(table.key)
         (stamp,) = table.stamps
-        reduced, matched = scratch_path(spark, "delivery"), scratch_path(spark, "matched")
         extra = [c for c in order_by if c not in table.fed]
         newest = latest_by_key(source.select(*table.fed, *extra), keys, extra)
         fresh_rows = refuse_violations(newest.select(*table.fed), table).withColumn(stamp, loaded_at.cast("timestamp_ntz"))
-        fresh_rows.select("*", *self._part(table)).write.parquet(reduced)
-        fresh = spark.read.parquet(reduced)
-        small = storage.size(spark, reduced) <= BROADCAST_BYTES
-        delivered = F.broadcast(fresh) if small else fresh
+        fresh_rows = fresh_rows.select("*", *self._part(table))
         held = self.parts(table)
+        if not held:
+            self.replace_parts(table, fresh_rows, (), spread=w.buckets > FEW_PARTS)
+            return
+        reduced = scratch_path(spark, "delivery")
+        fresh_rows.write.option("compression", COMPRESSION).parquet(reduced)
+        fresh = spark.read.parquet(reduced)
         # At most one row a bucket; and, below, one a day and bucket.
         buckets = {str(r[BUCKET]) for r in fresh.select(BUCKET).distinct().collect()}
+        today = self._parts_of(fresh)
+        merge = self._merge_small if storage.size(spark, reduced) <= BROADCAST_BYTES else self._merge_large
+        merge(table, fresh, held, buckets, today)
+        storage.delete(spark, reduced)
+
+    @staticmethod
+    def _parts_of(rows: DataFrame) -> set[tuple[str, ...]]:
+        return {tuple(r) for r in rows.select(F.col(DAY).cast("string"), F.col(BUCKET).cast("string")).distinct().collect()}
+
+    def _merge_small(self, table: Table, fresh: DataFrame, held: Held, buckets: set[str], today: set[tuple[str, ...]]) -> None:
+        w, keys, (stamp,) = self.warehouse, list(table.key), table.stamps
         stored = w.rows(table, {part: n for part, n in held.items() if part[1] in buckets})
-        rows_of_keys(stored.select(*keys, DAY, BUCKET), delivered, keys).write.parquet(matched)
-        found = spark.read.parquet(matched)
-        touched = {tuple(r) for r in found.select(F.col(DAY).cast("string"), F.col(BUCKET).cast("string")).distinct().collect()}
-        today = {tuple(r) for r in fresh.select(F.col(DAY).cast("string"), F.col(BUCKET).cast("string")).distinct().collect()}
-        current = w.rows(table, {part: n for part, n in held.items() if part in touched | today}).alias("old")
-        new = delivered.select(*table.fed, F.lit(True).alias("_new")).alias("new")
+        matched = scratch_path(w.spark, "matched")
+        rows_of_keys(stored.select(*keys, DAY, BUCKET), F.broadcast(fresh), keys).write.parquet(matched)
+        found = w.spark.read.parquet(matched)
+        touched = self._parts_of(found) | today
+        current = w.rows(table, {part: n for part, n in held.items() if part in touched}).alias("old")
+        new = F.broadcast(fresh.select(*table.fed, F.lit(True).alias("_new"))).alias("new")
         values = [c for c in table.fed if c not in keys]
         written_over = current.join(new, keys, "left").select(
             *keys, *[F.when(F.col("_new"), F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in values], stamp, DAY, BUCKET)
-        added = fresh.join(F.broadcast(found.select(*keys)) if small else found.select(*keys), keys, "left_anti")
-        rows = written_over.unionByName(added.hint("rebalance", F.col(DAY), F.col(BUCKET)) if small else added)
-        self.replace_parts(table, rows, (), spread=not small)
-        for path in (reduced, matched):
-            storage.delete(spark, path)
+        added = fresh.join(F.broadcast(found.select(*keys)), keys, "left_anti")
+        self.replace_parts(table, written_over.unionByName(added.hint("rebalance", F.col(DAY), F.col(BUCKET))), (), spread=False)
+        storage.delete(w.spark, matched)
+
+    def _merge_large(self, table: Table, fresh: DataFrame, held: Held, buckets: set[str], today: set[tuple[str, ...]]) -> None:
+        w, keys, (stamp,) = self.warehouse, list(table.key), table.stamps
+        # A few keys often tell of every part; the others are looked up in the rest. Two keys of one
+        # hash only have a part written anew that need not be.
+        hashed, rest = F.xxhash64(*keys).alias("_hash"), {part: n for part, n in held.items() if part not in today and part[1] in buckets}
+        touched = set(today)
+        if rest:
+            some = fresh.select(*keys).limit(LOOKUP_KEYS)
+            touched |= self._parts_of(rows_of_keys(w.rows(table, rest).select(*keys, DAY, BUCKET), some, keys))
+            rest = {part: n for part, n in rest.items() if part not in touched}
+        if rest:
+            touched |= self._parts_of(w.rows(table, rest).select(hashed, DAY, BUCKET).join(fresh.select(hashed), "_hash", "left_semi"))
+        old = w.rows(table, {part: n for part, n in held.items() if part in touched}).select(*table.names, F.lit(True).alias("_old")).alias("old")
+        new = fresh.select(*table.names, F.lit(True).alias("_new")).alias("new")
+        # What was loaded before keeps its stamp, and so its part.
+        chosen = {c: "_new" for c in table.fed if c not in keys} | {stamp: "_old"}
+        other = {"_new": "old", "_old": "new"}
+        merged = old.join(new, keys, "full_outer").select(
+            *keys, *[F.when(F.col(flag), F.col(f"{flag[1:]}.{c}")).otherwise(F.col(f"{other[flag]}.{c}")).alias(c) for c, flag in chosen.items()])
+        self.replace_parts(table, merged.select("*", *self._part(table)), (), spread=len(touched) > FEW_PARTS)
