@@ -18,7 +18,7 @@ from tillwright.operators.aggregates import daily_totals, product_totals, with_b
 from tillwright.operators.enrich import PRODUCT_FACTS, STORE_FACTS, add_facts, clean, enrich
 from tillwright.operators.quality import table_counts
 from tillwright.operators.upsert import upsert
-from tillwright.plans.warehouse import BUCKET, DAY, Load, Warehouse, month_of
+from tillwright.plans.warehouse import BUCKET, DAY, FEW_PARTS, Load, Warehouse, month_of
 from tillwright.schemas import Table
 from tillwright.session import build_session, cut
 from tillwright.sources.files import LINE_ORDER, read_csv
@@ -81,7 +81,8 @@ class BatchLoad:
             sales = w.rows(schemas.SALES_BATCH, touched).drop("ingestion_timestamp")
             parts = sales.select("sale_id", DAY, BUCKET, *[c for c in sales.columns if c not in ("sale_id", DAY, BUCKET)])
             enriched = enrich(clean(parts), load.table(schemas.PRODUCTS), load.table(schemas.STORES), keep=(DAY, BUCKET))
-            load.replace_parts(schemas.SALES_CLEAN, enriched.withColumn("ingestion_timestamp", loaded_at.cast("timestamp_ntz")), touched)
+            staged = enriched.withColumn("ingestion_timestamp", loaded_at.cast("timestamp_ntz"))
+            load.replace_parts(schemas.SALES_CLEAN, staged, touched, spread=len(touched) > FEW_PARTS)
 
     def build_analytics(self, full: bool = False) -> None:
         """Store-days and product totals. Stored sale ids are unique, so rows are orders.
