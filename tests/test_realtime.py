@@ -115,3 +115,15 @@ def test_stored_sales_of_a_window(spark, now, want):
          ("c", at("2024-03-01 09:59:59"), money(9))], SCHEMA)
     got = realtime.window_metrics(sales, F.lit(now).cast("timestamp_ntz")).first()
     assert (got.total_revenue, got.total_orders, got.average_basket) == (money(want[0]), want[1], money(want[2]))
+
+
+def test_sales_that_arrive_once_need_no_look_back(spark):
+    """The rows are those of looking back for all."""
+    arrivals = spark.createDataFrame([arrival(s, 200 + n, n + 1) for n, s in enumerate("abcadbeaf")] + [arrival("late", 900, 3)], SCHEMA)
+    before = spark.createDataFrame([arrival("a", 0, 7), arrival("old", 150, 2), arrival("late", 100, 1)], SCHEMA)
+    again = realtime.repeated_sales(arrivals, before)
+    assert sorted(r.sale_id for r in again.collect()) == ["a", "b", "late"]
+    stored = spark.createDataFrame(again.collect(), again.schema)
+    told = realtime.snapshots(arrivals, before, stored)
+    assert sorted(map(tuple, told.collect())) == sorted(map(tuple, realtime.snapshots(arrivals, before).collect()))
+    assert len(told.collect()) == 10

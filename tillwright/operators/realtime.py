@@ -83,6 +83,18 @@ def _deliveries(arrivals: DataFrame) -> DataFrame:
     )
 
 
+def _lone(arrivals: DataFrame) -> DataFrame:
+    """``_deliveries`` of sales that arrive once: nothing to look up."""
+    return arrivals.select("at", (F.col("at") + WINDOW_US + 1).alias("until"), F.col("row")["total_amount"].alias("revenue"),
+                           F.lit(1).cast("bigint").alias("orders"))
+
+
+def repeated_sales(arrivals: DataFrame, before: DataFrame) -> DataFrame:
+    """``sale_id`` of the sales that both together hold more than once."""
+    ids = arrivals.select("sale_id").unionByName(before.select("sale_id"))
+    return ids.groupBy("sale_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("sale_id")
+
+
 def _changes(deliveries: DataFrame) -> DataFrame:
     """Add at ``at``, take away at ``until``; carried into the next block if that lies between."""
     crosses = _block(F.col("until")) > _block(F.col("at"))
@@ -129,13 +141,14 @@ def _known(name: str) -> Column:
     return F.coalesce(F.col(name), F.raise_error(F.lit(f"NULL in {name} of an arrival")))
 
 
-def snapshots(arrivals: DataFrame, before: DataFrame | None = None) -> DataFrame:
+def snapshots(arrivals: DataFrame, before: DataFrame | None = None, repeated: DataFrame | None = None) -> DataFrame:
     """One metric row per arrival, as the metric log holds it after the arrival was stored.
 
     ``arrivals`` has ``sale_id``, ``ingestion_timestamp``, ``total_amount`` and any other columns
     of a sale. Arrivals at the same microsecond see each other. A NULL key is an error, as it is
     for the upsert. ``before`` holds sales that were stored before, one row each, by their first
-    arrival; they count like arrivals but get no row.
+    arrival; they count like arrivals but get no row. ``repeated``, if given, is the stored result of
+    ``repeated_sales``; only these are then shuffled by sale.
     """
     row = [c for c in SALES_STREAM.fed if c in arrivals.columns and c != "sale_id"]
 
@@ -148,7 +161,13 @@ def snapshots(arrivals: DataFrame, before: DataFrame | None = None) -> DataFrame
 
     counted = arrivals if before is None else arrivals.select("sale_id", "ingestion_timestamp", *row).unionByName(
         before.select("sale_id", "ingestion_timestamp", *row))
-    states = _states(_changes(_deliveries(timed(counted))))
+    counted = timed(counted)
+    if repeated is None:
+        deliveries = _deliveries(counted)
+    else:
+        deliveries = _deliveries(counted.join(repeated, "sale_id", "left_semi")).unionByName(
+            _lone(counted.join(repeated, "sale_id", "left_anti")))
+    states = _states(_changes(deliveries))
     return timed(arrivals).join(states, "at").select(
         F.col("ingestion_timestamp").alias("metric_timestamp"),
         F.col("sale_id").alias("metric_key"),

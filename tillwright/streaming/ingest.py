@@ -26,7 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillwright import storage
 from tillwright.functions.events import accepted, rejected
-from tillwright.operators.realtime import WINDOW_SECONDS, snapshots
+from tillwright.operators.realtime import WINDOW_SECONDS, repeated_sales, snapshots
 from tillwright.operators.upsert import latest_by_key, rows_of_keys
 from tillwright.schemas import REALTIME_SALES_METRICS, SALES_STREAM
 from tillwright.session import build_session, scratch_path
@@ -130,9 +130,15 @@ def _log_metrics(tables: StreamTables, arrivals: DataFrame, known: DataFrame, le
     log, since = tables.sales(spark), least - timedelta(seconds=WINDOW_SECONDS)
     held = log.read([d for d in log.days() if d >= since.date()]).filter(
         (F.col("ingestion_timestamp") >= _time(since)) & (F.col(BATCH) < batch_id))
-    before = _newest(held.unionByName(known)).select(*SALES_STREAM.names)
-    rows = snapshots(arrivals, before)
+    stored, again = scratch_path(spark, "before"), scratch_path(spark, "repeated")
+    _newest(held.unionByName(known)).select(*SALES_STREAM.names).write.parquet(stored)
+    before = spark.read.schema(SALES_STREAM.struct()).parquet(stored)
+    # Most sales are delivered once; their ids alone are shuffled to tell.
+    repeated_sales(arrivals, before).write.parquet(again)
+    rows = snapshots(arrivals, before, spark.read.parquet(again))
     tables.metrics(spark).write(rows, F.to_date("metric_timestamp"), batch_id)
+    for path in (stored, again):
+        storage.delete(spark, path)
 
 
 def start_sales(messages: DataFrame, tables: StreamTables, strict: bool = False, metrics: bool = True, **trigger) -> StreamingQuery:
