@@ -49,9 +49,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated byte strings go, and documents of which nothing is left."""
     share_code(spark)
-    found = suffix.remove_repeats(docs)
-    left = suffix.kept_text(found.filter((F.col("n_bytes") == 0) | (F.col("n_removed") < F.col("n_bytes"))))
-    return _sized(left, docs.columns)
+    found = suffix.remove_repeats(docs, spelled=True)
+    return _sized(found.filter((F.col("n_bytes") == 0) | (F.col("n_removed") < F.col("n_bytes"))), docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -149,6 +149,26 @@ def test_repeated_strings_equal_brute_force(docs, odd, make_prose, monkeypatch,
     assert got == repeats(rows, 200)
 
 
+def test_ranks_are_dealt_out_evenly(docs, make_prose):
+    """Anchors have the least rank of many places; that must not send them to the first fragments alone."""
+    rng = random.Random(7)
+    frame = docs([(i, make_prose(rng, 400)) for i in range(60)])
+    dealt = frame.mapInArrow(lambda b: suffix._ranks(b, 40, suffix.LENGTH, suffix.FIRST), "fragment int, block string, payload binary")
+    sizes = {}
+    for r in dealt.collect():
+        sizes[r.fragment] = sizes.get(r.fragment, 0) + len(suffix.unpack_numbers(bytes(r.payload), 5)[0])
+    own = [sizes.get(f, 0) for f in range(40)]
+    assert sum(own) > 800 and max(own) < 4 * sum(own) / 40
+
+
+def test_spelled_repeats_equal_kept_texts(docs, odd):
+    rows = odd + [(900 + i, "é" * 150 + "x" * i + "common end " * 40) for i in range(3)]
+    kept = suffix.kept_text(suffix.remove_repeats(docs(rows)))
+    told = suffix.remove_repeats(docs(rows), spelled=True)
+    assert "kept" not in told.columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in told.collect()) == sorted((str(r.doc_id), str(r.text)) for r in kept.collect())
+
+
 def test_repeats_keep_columns_and_texts(docs):
     frame = docs([(1, "é" * 200, 7, "a"), (2, "b" + "é" * 200, 8, "b"), (3, None, None, None)],
                  "doc_id long, text string, n_bytes long, source string")

@@ -44,6 +44,8 @@ BLOCK_BYTES = 512 << 10
 FRAGMENT_BYTES = 8 << 20
 #: A block's rows travel in pieces: the JVM sets larger arrays apart and frees them late.
 PIECE_BYTES = 192 << 10
+#: Positions ranked in one go; each takes some ten numbers meanwhile.
+RANKED_AT_ONCE = 64 << 10
 #: Stretches with one first rank that a block sends to the rank's own task.
 CROWD = 2
 UNIQUE, REPEATED, OPEN, SAMPLE = 0, 1, 2, 3
@@ -62,10 +64,14 @@ def anchors(texts: Texts, length: int, first: int) -> tuple[np.ndarray, np.ndarr
     if n < length:
         return none
     sums = texts.sums()
-    starts = np.arange(n - first + 1)
-    ranks = texts.hashes(starts, starts + first, sums)
+    ranks = np.empty(n - first + 1, np.uint64)
+    for i in range(0, len(ranks), RANKED_AT_ONCE):
+        starts = np.arange(i, min(i + RANKED_AT_ONCE, len(ranks)))
+        ranks[i:i + len(starts)] = texts.hashes(starts, starts + first, sums)
     bits = np.uint64(max(1, int(n).bit_length()))
-    least = ((ranks >> bits) << bits) | starts.astype(np.uint64)
+    least = ranks >> bits
+    least <<= bits
+    least |= np.arange(len(ranks), dtype=np.uint64)
     span, width = 1, length - first + 1
     while span < width:
         step = min(span, width - span)
@@ -131,7 +137,8 @@ def _ranks(batches: Iterator[pa.RecordBatch], fragments: int, length: int, first
         lead = np.concatenate([[True], k[1:] != k[:-1]])[:len(k)]
         sizes = np.diff(np.concatenate([np.flatnonzero(lead), [len(k)]]))
         crowd = np.repeat(sizes > CROWD, sizes) if len(k) else lead
-        cut = (k >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)
+        # An anchor's rank is the least of many, so ranks crowd at the low end; mixed, they spread evenly.
+        cut = (mix(k) >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)
         salted = np.uint64(fragments) + ((mix(u) >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32))
         known = np.flatnonzero(lead & crowd)  # the rank's own task must know that it is shared
         target = np.concatenate([np.where(crowd, salted, cut), cut[known]]).astype(np.int64)
@@ -318,6 +325,13 @@ def _match(table: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array(out, pa.string()), "payload": pa.array(payloads, pa.binary())})
 
 
+def _spelled(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """``kept`` as text, in ``text``; letters that a cut went through are left out."""
+    texts = [k.decode("utf-8", "ignore") if k is not None else None for k in batch.column("kept").to_pylist()]
+    others = [n for n in batch.schema.names if n != "kept"]
+    return pa.RecordBatch.from_arrays([*[batch.column(n) for n in others], pa.array(texts, pa.string())], [*others, "text"])
+
+
 def _read_batch(payload: bytes) -> pa.RecordBatch:
     return pa.ipc.open_stream(payload).read_next_batch()
 
@@ -333,7 +347,7 @@ def _part(batch, texts, rows, low, high, owner, length) -> pa.RecordBatch:
     return finish(part, own, low[here] + shift, high[here] + shift, length)
 
 
-def _complete(key: tuple, waiting: pa.Table, replies: pa.Table, length: int, first: int) -> pa.Table:
+def _complete(key: tuple, waiting: pa.Table, replies: pa.Table, length: int, first: int) -> pa.RecordBatch:
     """The rows of a block that waited, once its repeated pairs are known."""
     if len(waiting) != 1:
         raise ValueError(f"block {key[0].as_py()} has {len(waiting)} times its rows")
@@ -353,16 +367,17 @@ def _complete(key: tuple, waiting: pa.Table, replies: pa.Table, length: int, fir
     for payload in replies.column("payload").to_pylist():
         repeated[unpack_numbers(payload, 1)[0].astype(np.int64)] = True
     found = positions[repeated[group]]
-    return pa.Table.from_batches([finish(batch, own, np.concatenate([here(low), found]), np.concatenate([here(high), found]), length)])
+    return finish(batch, own, np.concatenate([here(low), found]), np.concatenate([here(high), found]), length)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, first: int = FIRST) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, first: int = FIRST, spelled: bool = False) -> DataFrame:
     """The columns of ``docs`` but ``text``, and n_bytes, n_removed, n_spans, spans, kept.
 
     ``spans`` (array<struct<start, end>>) are the maximal removed runs, in bytes; ``kept`` (binary)
     is what is left, null for a null text, which like an empty one has no bytes. Every row stays,
     in no order; columns named like a result are replaced. Repeated rows repeat each other. Texts
     shorter than ``length`` are kept whole. Ranks are hashes, compared in pairs of 64 bits and more.
+    With ``spelled``, what is left comes as ``text`` instead of ``kept``, less the letters that a cut went through.
     """
     spark = docs.sparkSession
     docs = docs.drop(*RESULTS)
@@ -379,14 +394,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, first: int = FIRST) ->
     staged = spark.read.schema(STAGED).parquet(path)
 
     schema = T.StructType([f for f in docs.schema if f.name != "text"]).add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add(
-        "spans", T.ArrayType(T.StructType().add("start", "long").add("end", "long"))).add("kept", "binary")
+        "spans", T.ArrayType(T.StructType().add("start", "long").add("end", "long"))).add(*("text", "string") if spelled else ("kept", "binary"))
+    # In the function that has the bytes: one more would be one more Python worker a core.
+    shown = _spelled if spelled else lambda batch: batch
     done = staged.filter(f"kind = {DONE}").select("payload").mapInArrow(
-        lambda batches: (_read_batch(p) for b in batches for p in b.column("payload").to_pylist()), schema)
+        lambda batches: (shown(_read_batch(p)) for b in batches for p in b.column("payload").to_pylist()), schema)
     pairs = staged.filter(f"kind = {PAIRS}").select("fragment", "block", "payload")
     matched = pairs.groupBy("fragment").applyInArrow(_match, "block string, payload binary")
     waiting = staged.filter(f"kind = {PENDING}").select("block", "payload")
     rest = waiting.groupBy("block").cogroup(matched.groupBy("block")).applyInArrow(
-        lambda key, own, replies: _complete(key, own, replies, length, first), schema)
+        lambda key, own, replies: pa.Table.from_batches([shown(_complete(key, own, replies, length, first))]), schema)
     return done.unionByName(rest)
 
 
@@ -396,7 +413,6 @@ def kept_text(repeats: DataFrame, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [k.decode("utf-8", "ignore") if k is not None else None for k in batch.column("kept").to_pylist()]
-            yield batch.append_column(text, pa.array(texts, pa.string()))
+            yield batch.append_column(text, _spelled(batch.select(["kept"])).column("text"))
 
     return repeats.mapInArrow(run, schema)
