@@ -1,14 +1,19 @@
 import hashlib
 import itertools
+import os
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import docs, make_prose, odd, shared_code  # noqa: F401
 
 from tillwright.llm import jaccard, lines, passages, suffix
 from tillwright.llm.components import components
+from tillwright.session import FREE_SHUFFLES
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
 
@@ -331,3 +336,55 @@ def test_passages_with_many_edits_are_found(docs, rate, least):
             certain.add(2 * trial + 1)
     found = {r.doc_id for r in passages.repeated_passages(docs(rows)).collect() if r.source_doc_id == r.doc_id - 1}
     assert found >= certain and len(certain) >= 200 * least
+
+
+def test_passages_leave_no_shuffled_blocks_behind(spark, docs, make_prose):
+    rng = random.Random(3)
+    shared = make_prose(rng, 80, 5000)
+    rows = docs([(i, make_prose(rng, 100, 5000) + " " + shared) for i in range(40)])
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {os.path.basename(f) for f in files.split("\n") if "shuffle_" in f}
+
+    before, setting = shuffled(), spark.conf.get(FREE_SHUFFLES)
+    found = passages.repeated_passages(rows)
+    # What is left is a sum of sizes; the jobs that ran before the last shuffle blocks, keys and chains.
+    least = time.time() + 10
+    while len(left := {f.split("_")[1] for f in shuffled() - before}) > 1 and time.time() < least:
+        time.sleep(0.2)
+    assert len(left) <= 1
+    assert spark.conf.get(FREE_SHUFFLES) == setting
+    assert found.select("doc_id").distinct().count() == 39
+
+
+@pytest.mark.parametrize("words", [40, 4000])
+def test_chains_that_are_sifted_out_hold_no_passage(words):
+    rng, settings = np.random.default_rng(words), passages.Settings()
+    own, other, found, low = [], [], [], []
+    for _ in range(150):
+        a, b = (rng.integers(0, words, rng.integers(60, 500)).astype(np.uint16) * np.uint16(17) for _ in range(2))
+        n = int(rng.integers(6, 55))
+        x, y = int(rng.integers(0, len(a) - n)), int(rng.integers(0, len(b) - n))
+        b[y:y + n] = a[x:x + n]
+        changed = y + rng.integers(0, n, int(rng.integers(0, 1 + n // 4)))
+        b[changed] = 0
+        begin, here = max(0, x - 300), int(rng.integers(0, n - 5))
+        own.append(a[begin:])
+        low.append(begin)
+        other.append(b)
+        found.append([[x + here, y + here, 6], [x, y, n]])
+    chains = pa.array(found, pa.list_(pa.list_(pa.int32())))
+    pairs = passages.Pairs(own, np.array(low), other, chains, settings, np.int32, (-1, -2))
+    bytes_only = [[np.minimum((w & 255).astype(np.uint8), 253) for w in side] for side in (own, other)]
+    may = passages.Pairs(bytes_only[0], np.array(low), bytes_only[1], chains, settings, np.uint8, (254, 255)).may_pass()
+    nearly, growth = pairs.nearly(np.arange(len(pairs.pair)))
+    passed = 0
+    for i, pair in enumerate(pairs.pair.tolist()):
+        pieces = pairs.chain(i)
+        args = own[pair], low[pair], other[pair]
+        alone = list(passages.passages_of(*args, [pieces], settings))
+        assert alone == list(passages.passages_of(*args, [pieces], settings, [growth[i].tolist()]))
+        assert not alone or (may[i] and nearly[i])
+        passed += bool(alone)
+    assert 20 < passed < 250 and nearly.sum() < 300
