@@ -388,3 +388,79 @@ def test_chains_that_are_sifted_out_hold_no_passage(words):
         assert not alone or (may[i] and nearly[i])
         passed += bool(alone)
     assert 20 < passed < 250 and nearly.sum() < 300
+
+
+def chance_phrases(docs):
+    """Texts of few words that share runs of six of them, each with many others, and copies of a passage."""
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(40)]
+
+    def noise(n):
+        return [rng.choice(vocabulary) for _ in range(n)]
+
+    phrases, passage, rows = [noise(6) for _ in range(400)], noise(60), []
+    for i in range(100):
+        text = [w for p in rng.sample(phrases, 25) for w in noise(40) + p]
+        rows.append((i, " ".join(text + (passage if i % 10 == 3 else []) + noise(40))))
+    return docs(rows)
+
+
+def test_pairs_by_chance_go_before_whole_words_are_sent(docs, monkeypatch):
+    counts, stored = Counter(), passages._stored
+
+    def counted(rows, schema, path):
+        out = stored(rows, schema, path)
+        if "chains" in schema:
+            counts["chains" if path.endswith("/chains") else "likely"] += out.filter("chains IS NOT NULL").count()
+        return out
+
+    monkeypatch.setattr(passages, "_stored", counted)
+    assert passages.repeated_passages(chance_phrases(docs)).count() >= 9
+    assert counts["chains"] > 2000 and counts["likely"] < 0.04 * counts["chains"]
+
+
+def test_rounds_give_the_same_passages(docs, monkeypatch):
+    rows, written, stored, rounds = chance_phrases(docs), [], passages._stored, passages._rounds
+    monkeypatch.setattr(passages, "_stored", lambda r, s, path: written.append(path) or stored(r, s, path))
+    once = sorted(passages.repeated_passages(rows).collect())
+    assert not any("/found/" in path or path.endswith("/likely/1") for path in written)
+    monkeypatch.setattr(passages, "_rounds", lambda pairs, size, limit: rounds(pairs, size, 1 << 18 if "near" in size else 1 << 13))
+    monkeypatch.setattr(passages, "BLOCK_BYTES", 20_000)
+    assert sorted(passages.repeated_passages(rows).collect()) == once and len(once) >= 9
+    for step in ("likely", "found"):
+        assert any(f"/{step}/1" in path for path in written)
+
+
+@pytest.mark.parametrize("words", [40, 4000])
+def test_words_next_to_chains_are_enough_to_sift(words):
+    rng, settings = np.random.default_rng(words + 1), passages.Settings()
+    most = settings.known + 3
+    own, other, found, near, low = [], [], [], [], []
+    for trial in range(400):
+        a, b = (rng.integers(1, words, rng.integers(300, 900)).astype(np.uint16) * np.uint16(17) for _ in range(2))
+        n = int(rng.integers(20, 300))
+        x, y = int(rng.integers(0, len(a) - n)), int(rng.integers(0, len(b) - n))
+        copy = a[x:x + n].copy()
+        copy[rng.random(n) < rng.choice([0.05, 0.2, 0.3])] = 0
+        if trial % 3 == 0:
+            copy = np.delete(copy, rng.integers(0, n, 2))
+        if trial % 4 == 0:
+            copy[:n // 3] = 0  # agreement begins far from the chain only
+        here = int(rng.integers(0, len(copy) - 6))
+        copy[here:here + 6] = a[x + here:x + here + 6]
+        b[y:y + len(copy)] = copy[:len(b) - y]
+        own.append(a)
+        other.append(b)
+        found.append([[x + here, y + here, 6]])
+        low.append(max(0, x + here - most))
+        near.append(a[low[-1]:x + here + 6 + most])
+    chains = pa.array(found, pa.list_(pa.list_(pa.int32())))
+    sketches = [[np.minimum((w & 255).astype(np.uint8), 253) for w in side] for side in (near, other)]
+    may = passages.Pairs(sketches[0], np.array(low), sketches[1], chains, settings, np.uint8, (254, 255), settings.known).may_pass()
+    passed = 0
+    for i, pieces in enumerate(found):
+        begin = max(0, pieces[0][0] - settings.reach)
+        alone = list(passages.passages_of(own[i][begin:pieces[0][0] + 6 + settings.reach].astype(np.int32), begin, other[i].astype(np.int32), [pieces[0]], settings))
+        assert may[i] or not alone
+        passed += bool(alone)
+    assert 50 < passed < 350 and (words < 100 or may.sum() < 1.3 * passed + 40)
