@@ -464,3 +464,14 @@ def test_words_next_to_chains_are_enough_to_sift(words):
         assert may[i] or not alone
         passed += bool(alone)
     assert 50 < passed < 350 and (words < 100 or may.sum() < 1.3 * passed + 40)
+
+
+@pytest.mark.parametrize("high", [1 << 63, 50])
+def test_numbers_are_ranked_in_full(high):
+    rng = np.random.default_rng(4)
+    values = rng.integers(0, high, 5000).astype(np.uint64) + rng.integers(0, 3, 5000).astype(np.uint64) * np.uint64(1 << 9)
+    values[:100] = values[100:200] ^ np.uint64(1)  # these differ in bits that give way to their places
+    for part in (values, values[:1], values[:0]):
+        order, new = passages._ranked(part)
+        assert order.tolist() == np.argsort(part, kind="stable").tolist()
+        assert new.sum() == len(set(part.tolist()))
